@@ -10,11 +10,13 @@ from threshmill.llm.chat import op3_chat
 from threshmill.llm.html import op1_html
 from threshmill.llm.packing import op10_packing
 from threshmill.llm.sstable import op2_sstable
+from threshmill.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_sstable": op2_sstable,
     "op3_chat": op3_chat,
+    "op6_toxicity": op6_toxicity,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
