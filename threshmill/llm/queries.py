@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threshmill.llm.chat import op3_chat
 from threshmill.llm.html import op1_html
+from threshmill.llm.ngram_join import op9_ngram_join
 from threshmill.llm.packing import op10_packing
 from threshmill.llm.sstable import op2_sstable
 from threshmill.llm.toxicity import op6_toxicity
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sstable": op2_sstable,
     "op3_chat": op3_chat,
     "op6_toxicity": op6_toxicity,
+    "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
