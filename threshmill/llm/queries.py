@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threshmill.llm.bwt_dedup import op8_bwt_dedup
 from threshmill.llm.chat import op3_chat
+from threshmill.llm.embeddings import op5_embedding_dedup
 from threshmill.llm.html import op1_html
 from threshmill.llm.ngram_join import op9_ngram_join
 from threshmill.llm.packing import op10_packing
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_sstable": op2_sstable,
     "op3_chat": op3_chat,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
     "op8_bwt_dedup": op8_bwt_dedup,
     "op9_ngram_join": op9_ngram_join,
