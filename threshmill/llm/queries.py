@@ -10,17 +10,21 @@ from threshmill.llm.bwt_dedup import op8_bwt_dedup
 from threshmill.llm.chat import op3_chat
 from threshmill.llm.embeddings import op5_embedding_dedup
 from threshmill.llm.html import op1_html
+from threshmill.llm.mixing import op7_mixing
 from threshmill.llm.ngram_join import op9_ngram_join
 from threshmill.llm.packing import op10_packing
 from threshmill.llm.sstable import op2_sstable
+from threshmill.llm.syncmers import op4_syncmers
 from threshmill.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_sstable": op2_sstable,
     "op3_chat": op3_chat,
+    "op4_syncmers": op4_syncmers,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_mixing": op7_mixing,
     "op8_bwt_dedup": op8_bwt_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
