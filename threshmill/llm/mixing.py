@@ -78,13 +78,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, powers:
         cells = cells.join(own, d, "left")
     cells = shared.staged(spark, cells, f"{folder}/0")
     for i in range(1, rounds + 1):
-        off = F.lit(0.0)
         for d in DIMENSIONS:
-            sums = cells.groupBy(d).agg(F.sum("raked").alias("sum"))
+            sums = cells.groupBy(F.col(d).alias("value")).agg(F.sum("raked").alias("sum"))
             ratio = F.when(F.col("sum") > 0, F.col(f"target_{d}") / F.col("sum")).otherwise(1.0)
-            cells = cells.join(sums.select(F.col(d).alias("value"), ratio.alias("ratio")), F.col(d) == F.col("value"), "left").drop("value")
-            off = F.greatest(off, F.abs(F.coalesce("ratio", F.lit(1.0)) - 1))
-            cells = cells.withColumn("raked", F.col("raked") * F.coalesce("ratio", F.lit(1.0))).withColumn(f"off_{d}", F.abs(F.coalesce("ratio", F.lit(1.0)) - 1)).drop("ratio")
+            cells = cells.join(sums, F.col(d) == F.col("value"), "left").withColumn("ratio", F.coalesce(ratio, F.lit(1.0)))
+            cells = cells.withColumn("raked", F.col("raked") * F.col("ratio")).withColumn(f"off_{d}", F.abs(F.col("ratio") - 1)).drop("ratio", "value", "sum")
         cells = shared.staged(spark, cells, f"{folder}/{i}")
         worst = cells.filter("raked > 0").agg(F.max(F.greatest(*(f"off_{d}" for d in DIMENSIONS)))).first()[0]
         cells = cells.drop(*(f"off_{d}" for d in DIMENSIONS))
