@@ -38,6 +38,8 @@ from threshmill.llm.tokens import utf8
 WORDS = 5
 THRESHOLD = 80
 BLOCK = 1024
+#: Texts that open a component with which each further text is compared at once.
+FIRSTS = 16
 #: Texts in the sample that tells which shingles are frequent, and from how many of them on one is.
 SAMPLE_TEXTS, FREQUENT = 2_000, 4
 _U = np.uint64
@@ -123,30 +125,50 @@ def candidates(maps: list[bytes], sizes: np.ndarray) -> list[tuple[int, int]]:
 # --- T-occurrence
 
 
-def divide_skip(lists: list[tuple[np.ndarray, int]], need: int) -> dict[int, int]:
-    """Occurrences of the ids that reach ``need``; lists are (ascending ids, weight), a weight counting equal lists."""
+#: Entries of short lists up to which a heap merges them; longer ones are merged by one sort.
+HEAP_ENTRIES = 256
+
+
+def _merge(lists: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of ascending lists, ascending, and the sum of the weights of the lists that hold each."""
+    if sum(len(ids) for ids, _ in lists) > HEAP_ENTRIES:
+        ids = np.concatenate([ids for ids, _ in lists])
+        weights = np.bincount(ids, np.repeat([float(w) for _, w in lists], [len(i) for i, _ in lists]))
+        found = np.flatnonzero(weights)
+        return found, weights[found].astype(np.int64)
+    out: list[list[int]] = []
+    for i, w in heapq.merge(*([(i, w) for i in ids.tolist()] for ids, w in lists)):
+        if out and out[-1][0] == i:
+            out[-1][1] += w
+        else:
+            out.append([i, w])
+    return np.array([i for i, _ in out], np.int64), np.array([w for _, w in out], np.int64)
+
+
+def divide_skip(lists: list[tuple[np.ndarray, int]], need: int, wanted=None) -> dict[int, int]:
+    """Occurrences of the ids that reach ``need``; lists are (ascending ids, weight), a weight counting equal lists.
+
+    ``wanted`` keeps, of an array of ids, those still worth probing.
+    """
     lists = sorted(lists, key=lambda x: -len(x[0]))
     long_weight = cut = 0
     while cut < len(lists) and len(lists[cut][0]) > 8 and long_weight + lists[cut][1] < need:
         long_weight += lists[cut][1]
         cut += 1
-    least, found = need - long_weight, {}
-    merged = heapq.merge(*([(i, w) for i in ids.tolist()] for ids, w in lists[cut:]))
-    current, count = -1, 0
-    for i, w in [*merged, (-2, 0)]:
-        if i == current:
-            count += w
-            continue
-        if current >= 0 and count >= least:
-            total = count
-            for ids, weight in lists[:cut]:
-                at = int(np.searchsorted(ids, current))
-                if at < len(ids) and ids[at] == current:
-                    total += weight
-            if total >= need:
-                found[current] = total
-        current, count = i, w
-    return found
+    ids, count = _merge(lists[cut:])
+    live = count >= need - long_weight
+    if wanted is not None and live.any():
+        live &= wanted(ids)
+    ids, count = ids[live], count[live]
+    for long, weight in reversed(lists[:cut]):  # what can no longer reach the need is not probed again
+        if not len(ids):
+            break
+        at = np.minimum(np.searchsorted(long, ids), len(long) - 1)
+        count = count + weight * (long[at] == ids)
+        long_weight -= weight
+        live = count >= need - long_weight
+        ids, count = ids[live], count[live]
+    return {int(i): int(c) for i, c in zip(ids, count) if c >= need}
 
 
 def search(sets: list[np.ndarray], left: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -164,14 +186,14 @@ def search(sets: list[np.ndarray], left: np.ndarray | None = None) -> list[tuple
 
     firsts: list[int] = []
     for j in range(n):
-        for i in firsts[:4]:
-            if pair(i, j) and linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), int(sizes[i]), int(sizes[j])):
+        for i in firsts[:FIRSTS]:
+            if pair(i, j) and 100 * min(sizes[i], sizes[j]) >= THRESHOLD * max(sizes[i], sizes[j]) and linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), int(sizes[i]), int(sizes[j])):
                 link(i, j)
                 break
         else:
             firsts.append(j)
     roots = np.array([union.root(i) for i in range(n)])
-    largest = np.bincount(roots).argmax()
+    largest = int(np.bincount(roots).argmax())
     queries = np.flatnonzero(roots != largest)
     if not len(queries):
         return edges
@@ -193,9 +215,21 @@ def search(sets: list[np.ndarray], left: np.ndarray | None = None) -> list[tuple
             for q in asking.tolist():
                 lists_of[q].setdefault(key, [ids, 0])[1] += 1
     for q in queries.tolist():
+        own = union.root(q)
+        if own == union.root(largest):  # joined since; texts of other components ask for it
+            continue
         need = max(1, -(-THRESHOLD * int(sizes[q]) // 100))
-        for i, count in divide_skip([(ids, w) for ids, w in lists_of[q].values()], need).items():
-            if i != q and pair(i, q) and union.root(i) != union.root(q) and linked(count, int(sizes[i]), int(sizes[q])):
+
+        def wanted(ids: np.ndarray) -> np.ndarray:
+            fits = (ids != q) & (100 * np.minimum(sizes[ids], sizes[q]) >= THRESHOLD * np.maximum(sizes[ids], sizes[q]))
+            if left is not None:
+                fits &= left[ids] != left[q]
+            for at in np.flatnonzero(fits).tolist():
+                fits[at] = union.root(int(ids[at])) != own
+            return fits
+
+        for i, count in divide_skip(list(map(tuple, lists_of[q].values())), need, wanted).items():
+            if union.root(i) != union.root(q) and linked(count, int(sizes[i]), int(sizes[q])):
                 link(i, q)
     return edges
 
