@@ -391,7 +391,8 @@ def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int")
     placed = clusters.join(sizes, "cluster").select("doc_id", "cluster", "blocks", part.alias("part"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = placed.join(rows, "doc_id").select("cluster", "doc_id", "part", "text", other)
+    # Whatever the size, the clusters' rows are the side that is built, so the plan is the same at every scale.
+    placed = rows.join(placed.hint("shuffle_hash"), "doc_id").select("cluster", "doc_id", "part", "text", other)
     placed = placed.select("cluster", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "doc_id", "text")
     placed = placed.repartition(shared.parallelism(spark) * 2, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "doc_id")
 
