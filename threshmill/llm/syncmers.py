@@ -13,6 +13,8 @@ one identifier, the order is that of their text's hash; a null identifier comes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,25 +93,27 @@ def match_offset(a: Column, b: Column) -> Column:
     return F.element_at(F.array_sort(counted), 1)["shift"]
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Adds ``next_<column>`` of the row that follows by (identifier, tie), the first row's to the last.
 
-    Rows are dealt by runs of identifiers, whose width is that of ``RUN_ROWS`` rows on average, and led within a run; only
-    the last row of a run meets the first of the following one. All branches read one exchange.
+    Rows are dealt by runs of identifiers, whose width is that of ``RUN_ROWS`` rows on average, and led within a run, in one
+    exchange. The first and last row of each run are found by an aggregate, and a run's last row meets the first of the
+    following run. ``derive`` adds columns, before the exchange or, to firsts and lasts, after the aggregate.
     """
     low, high, n = docs.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
     width = max(1, ((high or 0) - (low or 0) + 1) * RUN_ROWS // max(1, n))
     run = F.coalesce(F.floor((F.col(id_col) - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1)) if low is not None else F.lit(-1)
     placed = docs.withColumn("run", run)
     order = Window.partitionBy("run").orderBy(F.col(id_col).asc_nulls_first(), "tie")
-    led = placed.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns), F.lead(F.lit(True)).over(order).alias("followed"))
+    main = derive(placed)
+    led = main.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns), F.lead(F.lit(True)).over(order).alias("followed"))
     within = led.filter("followed").drop("followed", "run")
-    heads = placed.withColumn("place", F.row_number().over(order)).filter("place = 1")
-    runs = placed.select("run").distinct()
-    whole = Window.orderBy("run")
-    following = runs.select("run", F.coalesce(F.lead("run").over(whole), F.min("run").over(Window.partitionBy())).alias("then"))
-    lasts = led.filter("followed is null").drop("followed", *(f"next_{c}" for c in columns)).join(following, "run").drop("run")
-    heads = heads.select(F.col("run").alias("then"), *(F.col(c).alias(f"next_{c}") for c in columns))
+    row, key = F.struct(*docs.columns), F.struct(id_col, "tie")
+    ends = placed.groupBy("run").agg(F.min_by(row, key).alias("head"), F.max_by(row, key).alias("last"))
+    heads = derive(ends.select("run", "head.*")).select(F.col("run").alias("then"), *(F.col(c).alias(f"next_{c}") for c in columns))
+    following = placed.select("run").distinct()
+    following = following.select("run", F.coalesce(F.lead("run").over(Window.orderBy("run")), F.min("run").over(Window.partitionBy())).alias("then"))
+    lasts = derive(ends.select("run", "last.*")).join(following, "run").drop("run")
     return within.unionByName(lasts.join(heads, "then").drop("then"))
 
 
@@ -121,8 +125,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: fingerprints of all ``documents`` and of their edited texts, and their likeness."""
     rows = shared.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), shared.text_or_empty().alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("sketch", sketch(F.col("text")))
-    rows = with_next(rows, "doc_id", ["text", "sketch"])
+    rows = with_next(rows.withColumn("tie", F.xxhash64("text")), "doc_id", ["text", "sketch"], lambda df: df.withColumn("sketch", sketch(F.col("text"))))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
