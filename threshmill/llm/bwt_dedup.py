@@ -177,8 +177,12 @@ def repeated_starts(shards: list[ShardTransform], ranges: list[list[tuple[int, i
 # --- the distributed steps
 
 
+#: Columns added to the documents' own, by names that those will not have.
+KEY, LOWS, HIGHS = "_repeat_key", "_repeat_lows", "_repeat_highs"
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumn("row_key", F.xxhash64(F.col(id_col), shared.text_or_empty(text_col)))
+    return docs.withColumn(KEY, F.xxhash64(F.col(id_col), shared.text_or_empty(text_col)))
 
 
 _RUNS = "row_key long, anchor long, lo int, hi int, kind int, number int, contexts int"
@@ -343,24 +347,24 @@ def _kept(raw: bytes, lows: list[int], highs: list[int]) -> tuple[bytes, int, in
 
 
 def repeat_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Keyed documents (``row_key``) with ``lows`` and ``highs``: runs of repeated starts; null where there is none."""
+    """The documents with ``LOWS`` and ``HIGHS``: runs of repeated starts; null where there is none."""
     spark = docs.sparkSession
     shared.small_batches(spark, 2048)
     folder = shared.work_dir(spark, "bwt-dedup")
     keyed = _keyed(docs, id_col, text_col)
-    rows = keyed.select("row_key", shared.text_or_empty(text_col).alias("text"))
+    rows = keyed.select(F.col(KEY).alias("row_key"), shared.text_or_empty(text_col).alias("text"))
     n_rows = rows.count()
     runs = shared.staged(spark, anchor_table(rows, max(1, n_rows // 8_000)), f"{folder}/runs")
     found = shared.staged(spark, compare(runs, rows), f"{folder}/found")
     spans = runs.filter(F.col("kind") == REPEAT).select("row_key", "lo", "hi").unionByName(found).distinct()
-    spans = spans.groupBy("row_key").agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs"))
-    # lows and highs are collected in one aggregate, so they stand in one order
-    return keyed.join(spans.hint("shuffle_hash"), "row_key", "left")
+    # Both lists are collected in one aggregate, so they stand in one order.
+    spans = spans.groupBy(F.col("row_key").alias(KEY)).agg(F.collect_list("lo").alias(LOWS), F.collect_list("hi").alias(HIGHS))
+    return keyed.join(spans.hint("shuffle_hash"), KEY, "left")
 
 
 def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: digests of all ``documents`` without their repeated strings."""
-    marked = repeat_runs(shared.table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("long").alias("doc_id"), shared.text_or_empty().alias("text"), "lows", "highs")
+    marked = repeat_runs(shared.table(spark, sf_dir, "documents")).select(F.col("doc_id").cast("long").alias("doc_id"), shared.text_or_empty().alias("text"), F.col(LOWS).alias("lows"), F.col(HIGHS).alias("highs"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches):
@@ -387,14 +391,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.Series([t if lo is None else _kept(t.encode(), whole(lo), whole(hi))[0].decode(errors="ignore") for t, lo, hi in zip(text, lows, highs)])
 
     marked = repeat_runs(docs, id_col, text_col)
-    text = F.when(F.col("lows").isNull(), F.col(text_col)).otherwise(cut(shared.text_or_empty(text_col), "lows", "highs"))
+    text = F.when(F.col(LOWS).isNull(), F.col(text_col)).otherwise(cut(shared.text_or_empty(text_col), LOWS, HIGHS))
     return marked.withColumn(text_col, text).select(*docs.columns)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated strings go, a document that had nothing else goes too, and n_chars follows the text."""
-    had = docs.withColumn("had_text", F.length(shared.text_or_empty()) > 0)
-    left = remove_repeats(had).filter(~F.col("had_text") | (F.length(shared.text_or_empty()) > 0))
+    had = docs.withColumn("_had_text", F.length(shared.text_or_empty()) > 0)
+    left = remove_repeats(had).filter(~F.col("_had_text") | (F.length(shared.text_or_empty()) > 0))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast("long"))
     return left.select(*docs.columns)

@@ -109,27 +109,29 @@ def calibrate(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_share: float = KEEP_SHARE, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Adds topic, mix_tokens, factor, probability and kept to documents."""
+    """Adds mix_topic, mix_tokens, mix_factor, mix_probability and mix_kept to documents."""
     spark = docs.sparkSession
     text = shared.text_or_empty(text_col)
-    marked = docs.withColumn("topic", topic_of(text)).withColumn("mix_tokens", n_tokens(text))
-    marked = marked.withColumn("mix_source", F.coalesce(F.col("source").cast("string"), F.lit("\0null"))).withColumn("mix_lang", F.coalesce(F.col("lang").cast("string"), F.lit("\0null")))
-    cells = marked.groupBy(F.col("mix_source").alias("source"), F.col("mix_lang").alias("lang"), "topic").agg(F.sum("mix_tokens").alias("tokens"))
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0null"))
+    marked = docs.withColumns({"mix_topic": topic_of(text), "mix_tokens": n_tokens(text), "mix_source": named("source"), "mix_lang": named("lang")})
+    keys = {d: f"mix_{d}" for d in DIMENSIONS}
+    cells = marked.groupBy(*(F.col(k).alias(d) for d, k in keys.items())).agg(F.sum("mix_tokens").alias("tokens"))
     cells = shared.staged(spark, cells, shared.work_dir(spark, "mixing-cells"))
     cells = calibrate(rake(cells, targets), keep_share)
-    cells = shared.staged(spark, cells.select(F.col("source").alias("mix_source"), F.col("lang").alias("mix_lang"), "topic", "factor", "probability"), shared.work_dir(spark, "mixing-probabilities"))
+    cells = cells.select(*(F.col(d).alias(k) for d, k in keys.items()), F.col("factor").alias("mix_factor"), F.col("probability").alias("mix_probability"))
+    cells = shared.staged(spark, cells, shared.work_dir(spark, "mixing-probabilities"))
     if cells.count() <= BROADCAST_CELLS:
         cells = F.broadcast(cells)
-    joined = marked.join(cells, ["mix_source", "mix_lang", "topic"], "left").drop("mix_source", "mix_lang")
-    return joined.withColumn("kept", chance(id_col) < F.col("probability"))
+    joined = marked.join(cells, [*keys.values()], "left").drop("mix_source", "mix_lang")
+    return joined.withColumn("mix_kept", chance(id_col) < F.col("mix_probability"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: the calibrated probability of all ``documents`` and whether each stays."""
     out = mixed(shared.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "source", "lang", "topic", F.col("mix_tokens").alias("n_tokens"), F.round("factor", 6).alias("factor"), F.round("probability", 6).alias("probability"), "kept")
+    return out.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), F.round("mix_factor", 6).alias("factor"), F.round("mix_probability", 6).alias("probability"), F.col("mix_kept").alias("kept"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the sample stays."""
-    return mixed(docs).filter("kept").select(*docs.columns)
+    return mixed(docs).filter("mix_kept").select(*docs.columns)

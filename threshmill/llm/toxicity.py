@@ -185,20 +185,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     width = len(names) + len(SENTENCES) + 2
     x = np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float32).reshape(-1, width).astype(float)
     gold = np.array([r.toxic for r in sample], int)
-    # Rows that show each fixed voter once keep it alive where the sample has no such word.
-    known_words = np.zeros((len(fixed) + 1, width))
+    # Rows that show each fixed voter once keep it alive where the sample has no such word; where there is hardly a
+    # sample, empty rows keep toxicity rare.
+    blank = max(1, 10 * len(fixed) - int((gold == 0).sum()))
+    known_words = np.zeros((len(fixed) + blank, width))
     for i in range(len(fixed)):
         known_words[i, i] = known_words[i, -2] = known_words[i, -1] = 1 / 3
     x = np.vstack([x, known_words])
-    gold = np.concatenate([gold, np.full(len(fixed), 1), [0]])
+    gold = np.concatenate([gold, np.full(len(fixed), 1), np.zeros(blank, int)])
     groups = np.cumsum([0, *(len(w) for w in LEXICON.values())])
     votes = np.hstack([*(x[:, a:b].any(1)[:, None] for a, b in zip(groups, groups[1:])), x[:, len(fixed) : -2] > 0])
     posterior, _ = label_model(votes, gold)
     return names, fit_linear(x, posterior)
 
 
-def score(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Adds ``held_out``, ``score`` and ``predicted`` to documents."""
+def score(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
+    """Adds ``held_out``, ``score`` and ``predicted`` to documents, under a prefix if there is one."""
     shared.small_batches(docs.sparkSession, 1024)
     names, weights = model
 
@@ -209,8 +211,8 @@ def score(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "d
             logits = [float(row_of(t, patterns) @ weights[:-1] + weights[-1]) for t in texts]
             yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -30, 30))))
 
-    scored = docs.withColumn("held_out", held_out(id_col)).withColumn("score", run(shared.text_or_empty(text_col)))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = docs.withColumn(f"{prefix}held_out", held_out(id_col)).withColumn(f"{prefix}score", run(shared.text_or_empty(text_col)))
+    return scored.withColumn(f"{prefix}predicted", (F.col(f"{prefix}score") >= threshold).cast("int"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,4 +225,4 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier rejects go."""
     model = train(docs, shared.table(spark, sf_dir, "labels"))
-    return score(docs, model).filter("predicted = 0").select(*docs.columns)
+    return score(docs, model, prefix="_toxicity_").filter("_toxicity_predicted = 0").select(*docs.columns)
