@@ -54,7 +54,7 @@ def json_document(spark: SparkSession, path: str) -> DataFrame:
 def subtitles(files: DataFrame) -> DataFrame:
     """(path, index, start_seconds, end_seconds, text) of SRT files given as (path, text)."""
     block = F.explode(F.split(F.regexp_replace("text", "\r\n?", "\n"), r"\n[ \t]*\n+"))
-    parsed = files.select("path", F.trim(block).alias("block"))
+    parsed = files.select("path", block.alias("block")).withColumn("block", F.trim("block"))
     clock = r"(\d+):(\d+):(\d+)[,.](\d+)"
     grammar = rf"(?s)^(\d+)\s*\n{clock}\s*-->\s*{clock}[^\n]*\n(.*)$"
     part = lambda i: F.regexp_extract("block", grammar, i)
