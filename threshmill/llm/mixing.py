@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from threshmill.llm import shared
 
 KEEP_SHARE = 0.6
-ROUNDS, TOLERANCE = 60, 1e-7
+ROUNDS, TOLERANCE = 60, 1e-5
 BROADCAST_CELLS = 100_000
 #: Power of a value's own share that is its target share: 1 leaves a marginal as it is, 0 makes it even.
 POWERS = {"source": 0.5, "lang": 0.8, "topic": 0.7}
@@ -68,6 +68,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, powers:
     """
     spark = cells.sparkSession
     folder = shared.work_dir(spark, "mixing")
+    few = cells.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        """Few cells are one partition, whose sums and joins need no shuffle; many stay dealt out."""
+        df = shared.staged(spark, df.coalesce(1) if few else df, f"{folder}/{name}")
+        return df.coalesce(1) if few else df
+
+    cells = written(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     cells = cells.withColumn("raked", F.col("tokens").cast("double"))
     if not total:
@@ -82,14 +90,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, powers:
         all_wanted = own.agg(F.sum("wanted")).first()[0] or 1.0
         own = own.select(d, (F.col("wanted") / F.lit(all_wanted) * F.lit(float(total))).alias(f"target_{d}"))
         cells = cells.join(own, d, "left")
-    cells = shared.staged(spark, cells, f"{folder}/0")
+    cells = written(cells, "0")
     for i in range(1, rounds + 1):
         for d in DIMENSIONS:
             sums = cells.groupBy(F.col(d).alias("value")).agg(F.sum("raked").alias("sum"))
             ratio = F.when(F.col("sum") > 0, F.col(f"target_{d}") / F.col("sum")).otherwise(1.0)
             cells = cells.join(sums, F.col(d) == F.col("value"), "left").withColumn("ratio", F.coalesce(ratio, F.lit(1.0)))
             cells = cells.withColumn("raked", F.col("raked") * F.col("ratio")).withColumn(f"off_{d}", F.abs(F.col("ratio") - 1)).drop("ratio", "value", "sum")
-        cells = shared.staged(spark, cells, f"{folder}/{i}")
+        cells = written(cells, str(i))
         worst = cells.filter("raked > 0").agg(F.max(F.greatest(*(f"off_{d}" for d in DIMENSIONS)))).first()[0]
         cells = cells.drop(*(f"off_{d}" for d in DIMENSIONS))
         if worst is None or worst < tolerance:
