@@ -42,6 +42,8 @@ GRAM = 128
 PART = 1 << 19
 BLOCK = 2048
 SHARD_BYTES = 1 << 18
+#: Rounds of a merge after which suffixes that are alone in their interval go.
+DROP_EVERY = 4
 _U = np.uint64
 
 # --- anchors
@@ -102,6 +104,15 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 # --- transforms
 
 
+def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys and their dense ranks."""
+    order = np.argsort(key)
+    own = key[order]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[0], own[1:] != own[:-1]]))
+    return order, rank
+
+
 class ShardTransform:
     """Sorted suffixes of some contexts, each with an end of its own, to ``depth`` bytes."""
 
@@ -115,24 +126,27 @@ class ShardTransform:
         symbols[:] = raw
         symbols[self.ends] = 0
         last = np.repeat(self.ends, sizes)
-        rank, step = symbols, 1
+        # The first ranks are those of six symbols at once, then twice as many each time.
+        rank, step = np.zeros(n, np.int64), 6
+        for j in range(6):
+            ahead = np.arange(n) + j
+            rank = rank << 9 | np.where(ahead <= last, symbols[np.minimum(ahead, n - 1)] + 1, 0)
+        rank = _ranks(rank)[1]
         while step < depth:
             ahead = np.arange(n) + step
             behind = np.where(ahead <= last, rank[np.minimum(ahead, n - 1)] + 1, 0)
             key = rank * (int(rank.max()) + 2) + behind
-            order = np.argsort(key, kind="stable")
-            fresh = np.concatenate([[0], key[order][1:] != key[order][:-1]])
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh)
+            self.order, rank = _ranks(key)
             step *= 2
-        self.order = np.argsort(rank, kind="stable")  # suffix array
+        # ``order`` is the suffix array
         self.rank = np.empty(n, np.int64)
         self.rank[self.order] = np.arange(n)
         before = self.order - 1
         starts = np.zeros(n, bool)
         starts[self.begins] = True
         outside = starts[self.order]
-        self.symbols = np.where(outside, 0, symbols[before]).astype(np.uint16)  # the transform
+        # The transform; UTF-8 has no bytes above 0xF7, so symbols fit a byte, and other input takes two.
+        self.symbols = np.where(outside, 0, symbols[before]).astype(np.uint8 if symbols.max() < 256 else np.uint16)
         self.back = np.where(outside, -1, self.rank[before])  # the step to the suffix one byte longer
 
 
@@ -145,26 +159,29 @@ def repeated_starts(shards: list[ShardTransform], ranges: list[list[tuple[int, i
     """
     shift = np.concatenate([[0], np.cumsum([len(s.order) for s in shards])])
     symbols = np.concatenate([s.symbols for s in shards])
-    back = np.concatenate([s.back + (s.back >= 0) * shift[i] for i, s in enumerate(shards)])
+    back = np.concatenate([s.back + (s.back >= 0) * shift[i] for i, s in enumerate(shards)]).astype(np.int32 if shift[-1] < 1 << 31 else np.int64)
     current = []
     for i, (s, own) in enumerate(zip(shards, ranges)):
         places = np.concatenate([np.arange(lo, hi + 1) + length + b for (lo, hi), b in zip(own, s.begins.tolist())])
         current.append(np.sort(s.rank[places]) + shift[i])
-    current = np.concatenate(current)
-    group = np.zeros(len(current), np.int64)
-    for _ in range(length):
+    current = np.concatenate(current).astype(back.dtype)
+    group = np.zeros(len(current), back.dtype)
+    for h in range(1, length + 1):
         byte = symbols[current]
         order = np.argsort(byte, kind="stable")
         byte, group = byte[order], group[order]
         current = back[current[order]]
-        fresh = np.concatenate([[True], (byte[1:] != byte[:-1]) | (group[1:] != group[:-1])])
-        alone = fresh & np.append(fresh[1:], True)
-        if alone.any():
-            stays = ~alone
+        fresh = np.empty(len(current), bool)
+        fresh[:1] = True
+        np.not_equal(group[1:], group[:-1], out=fresh[1:])
+        fresh[1:] |= byte[1:] != byte[:-1]
+        if h % DROP_EVERY == 0 or h == length:  # a suffix alone stays alone, so it need not go at once
+            stays = ~fresh
+            stays[:-1] |= ~fresh[1:]
             current, fresh = current[stays], fresh[stays]
-        if not len(current):
-            break
-        group = np.cumsum(fresh)
+            if not len(current):
+                break
+        group = np.cumsum(fresh, dtype=back.dtype)
     found = np.zeros(int(shift[-1]), bool)
     found[current] = True
     out = []
