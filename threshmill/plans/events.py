@@ -75,9 +75,9 @@ WITH m AS (SELECT max(ts) AS last FROM events) SELECT user_id, count(*) FILTER (
 def recent_window(spark, sf):
     """Recency is measured from the corpus's last event."""
     e = read(spark, sf, "events")
-    last = e.agg(F.max("ts").alias("last"))
-    recent = F.col("ts") >= F.col("last") - F.expr("INTERVAL 7 DAYS")
-    return e.crossJoin(F.broadcast(last)).groupBy("user_id").agg(F.count_if(recent).alias("recent"), F.count_if(~recent).alias("stale"), F.max("ts").alias("last_seen"))
+    last = e.agg(F.max("ts").alias("last")).first()["last"]
+    recent = F.col("ts") >= F.lit(last) - F.expr("INTERVAL 7 DAYS")
+    return e.groupBy("user_id").agg(F.count_if(recent).alias("recent"), F.count_if(~recent).alias("stale"), F.max("ts").alias("last_seen"))
 
 
 @query("SELECT user_id, min(ts) AS first_time, max(ts) AS last_time, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 6e7, 4) AS minutes FROM events GROUP BY user_id")
