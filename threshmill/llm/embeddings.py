@@ -31,7 +31,7 @@ TILE = 2048
 #: Leading coordinates in a tile's box and in each step of a product.
 BOX_AXES, STEP = 8, 16
 #: Rows in the bounded sample whose medians place the cuts of the tree.
-CUT_SAMPLE = 50_000
+CUT_SAMPLE = 10_000
 #: A product in another order of axes differs from the plain one by less than this.
 SLACK = 1e-9
 
