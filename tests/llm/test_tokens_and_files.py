@@ -71,7 +71,7 @@ def test_shard_blocks_and_filter(tmp_path):
     assert [x.tolist() for x in shard.get(2997)] == [list(range(60_000, 62_997))] and shard.get(2996) == []
     assert sum(shard.may_hold(sstable.key_of(i)) for i in range(1, 3000, 3)) < 60
     damaged = (tmp_path / "s.sst").read_bytes()
-    (tmp_path / "d.sst").write_bytes(damaged[:-30] + b"x" + damaged[-29:])
+    (tmp_path / "d.sst").write_bytes(damaged[:-57] + b"\xff" + damaged[-56:])
     with pytest.raises(ValueError):
         sstable.Shard(str(tmp_path / "d.sst"))
 

@@ -40,7 +40,7 @@ LENGTH = 400
 GRAM = 128
 #: Bytes of text hashed together; longer texts are taken in overlapping parts of so many.
 PART = 1 << 19
-BLOCK = 2048
+BLOCK = 1024
 SHARD_BYTES = 1 << 18
 #: Rounds of a merge after which suffixes that are alone in their interval go.
 DROP_EVERY = 4

@@ -423,7 +423,7 @@ def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row of the input as doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    shared.small_batches(spark, 1024)
+    shared.small_batches(spark, 512)
     folder = shared.work_dir(spark, "ngram-join")
     rows = _docs(docs, id_col, text_col)
     n_rows = rows.count()
@@ -435,7 +435,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = signed.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     buckets = max(1, n_rows // 8_000)
     lists = shared.staged(spark, holder_lists(chosen, buckets), f"{folder}/lists")
-    shared.small_batches(spark, 1024)
+    shared.small_batches(spark, 512)
     coarse = components(spark, candidate_edges(lists, chosen.select("doc_id", "n", "bitmap")))
     clusters = coarse.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
     shared.small_batches(spark, 256)

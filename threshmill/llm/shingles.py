@@ -10,6 +10,8 @@ import numpy as np
 
 _MULTIPLIER = 0xD1342543DE82EF95
 _U = np.uint64
+#: Bytes of text hashed together.
+PART = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -39,7 +41,17 @@ class Hasher:
         return (sums[end] - sums[begin]) * self.inverse[begin]
 
     def sets(self, data: np.ndarray, offsets: np.ndarray, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, edges): the sorted set of text i is ``hashes[edges[i]:edges[i+1]]``."""
+        """(hashes, edges): the sorted set of text i is ``hashes[edges[i]:edges[i+1]]``; about ``PART`` bytes at a time."""
+        found, counts, i = [np.zeros(0, _U)], [np.zeros(1, np.int64)], 0
+        while i < len(offsets) - 1:
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + PART, "right")) - 1)
+            hashes, edges = self._sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+            found.append(hashes)
+            counts.append(np.diff(edges))
+            i = j
+        return np.concatenate(found), np.cumsum(np.concatenate(counts))
+
+    def _sets(self, data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
         n_docs = len(offsets) - 1
         if not len(data):
             return np.zeros(0, _U), np.zeros(n_docs + 1, np.int64)

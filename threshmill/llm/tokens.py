@@ -22,9 +22,9 @@ _PLAIN = re.compile("[\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-ɏ‐-‧‰-⁞€]*
 #: The pre-token pattern of byte-level BPE (a fixed value), with letters and digits as ``re`` spells them.
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Entries that a worker keeps of each kind; beyond it, texts cost more time but give the same ids.
-PIECES_KEPT, CHUNKS_KEPT = 400_000, 1_500_000
+PIECES_KEPT, CHUNKS_KEPT = 200_000, 800_000
 #: Bytes of text encoded together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123)])
 _STOP = np.isin(np.arange(256), list(b".,;:!?\n"))
 _SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
