@@ -229,3 +229,16 @@ def test_pipeline(spark, sf_dir):
     assert all(hashlib.sha256(left[i].encode()).hexdigest() == removed[i][3] for i in left)
     before, after = kept[4]
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, sf_dir):
+    rng = np.random.default_rng(12)
+    a, b, c, d = (prose(rng, 120) for _ in range(4))
+    rows = [(1, a), (1, a), (2, a), (3, b), (3, c), (None, b), (None, d), (None, d), (5, "short"), (5, ""), (None, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert all(len(t) > 400 for t in (a, b, c, d))
+    once = ngram_join.stage(spark, docs, sf_dir)
+    key = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    wanted = sorted([(1, a), (3, b), (3, c), (None, d), (5, "short"), (5, ""), (None, ""), (None, None), (None, None)], key=repr)
+    assert once.columns == docs.columns and key(once) == wanted
+    assert key(bwt_dedup.stage(spark, shared.staged(spark, once, shared.work_dir(spark, "t")), sf_dir)) == wanted

@@ -42,6 +42,8 @@ BLOCK = 1024
 FIRSTS = 16
 #: Texts in the sample that tells which shingles are frequent, and from how many of them on one is.
 SAMPLE_TEXTS, FREQUENT = 2_000, 4
+#: Column of the pipeline stage that numbers the rows.
+ROW = "_ngram_row"
 _U = np.uint64
 
 
@@ -453,6 +455,14 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest identifier stays."""
-    kept = jaccard_components(docs).filter("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """Pipeline stage: of each component one row stays, one with the smallest identifier.
+
+    Rows are told apart by a number of their own, written with them, so that copies of a row and rows without an
+    identifier are members like any other.
+    """
+    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    numbered = shared.staged(spark, numbered, f"{shared.work_dir(spark, 'ngram-rows')}/rows")
+    parts = jaccard_components(numbered, ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW))
+    kept = numbered.select(ROW, "doc_id").join(parts, ROW).groupBy("component_id").agg(least.alias("least")).select(f"least.{ROW}")
+    return numbered.join(kept, ROW, "left_semi").select(*docs.columns)
