@@ -44,6 +44,27 @@ def test_page(page, text):
     assert html.extract(page) == text
 
 
+LINKS = "".join(f"<li><a href=x>link {i}</a></li>" for i in range(5))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><h1><a href=x>Title</a></h1><p>text</p></article>", "Title\ntext"),
+        (f"<article><p>text</p><ul>{LINKS}</ul><p>end</p></article>", "text\n" + "\n".join(f"link {i}" for i in range(5)) + "\nend"),
+        (f"<main><p>text</p><table><tr><td><a href=x>a</a></td></tr><tr><td><a href=y>b</a></td></tr></table><nav>{LINKS}</nav></main>", "text\na\nb"),
+        ("<div class='layout has-sidebar'><article><p>text</p></article></div>", "text"),
+        ("<section id='with-comments'><article><p>text</p></article><div class='comments'><article>c</article></div></section>", "text"),
+        ("<div class='content-sidebar-wrap'><main><p>text</p></main><div class='sidebar'><article>other</article></div></div>", "text"),
+        ("<div class='sidebar-layout'><div class='sidebar'><article>other</article></div><article><p>text</p></article></div>", "text"),
+        (f"<div><p>{PROSE}</p></div><div class='comments'><article>{PROSE * 3}</article></div><div class='sidebar'><article>other</article></div>", PROSE.strip()),
+        ("<main><p>text</p></main><div class='related'><article>other</article></div><div hidden><main>no</main></div>", "text"),
+    ],
+)
+def test_whole_article(page, text):
+    assert html.extract(page) == text
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="<>/!-pabdiv =\"'&;xn\n", max_size=80))
 def test_broken_markup_ends(text):

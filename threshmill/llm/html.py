@@ -5,7 +5,11 @@ no link and stands where an article may stand. Sums of mass over sliding windows
 point and fall to nothing at a dive point; the lines between them are the text. Elements that cannot be article
 (menus, forms, scripts, adverts, notices, reader comments and the like, by their tag, role, class or id) leave lines
 without mass, so the distribution dives there. Where the page marks an article or main element, only lines in it have
-mass and any mass makes a surge; elsewhere a surge needs a block of text of some size.
+mass, their links' text with them, and any mass makes a surge; elsewhere a surge needs a block of text of some size.
+
+A class or id does not bar by words that say what an element has or lacks (``has-sidebar``), nor an element round the
+main element. Where no article stands outside barred elements, those round the least deeply barred one are open too,
+unless they hold other people's texts or there is more text outside than in it.
 
 Defined results: a null, empty or text-free page gives an empty text; broken markup is read to its end; all other
 columns of the input are kept, and those named ``text`` or ``n_chars`` are replaced.
@@ -36,6 +40,10 @@ _BARRED_ROLES = frozenset("navigation banner contentinfo complementary search fo
 _BARRED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations teaser widget pagination pager comment comments commentlist disqus respond reply replies skip copyright".split()
 )
+#: Of these words, those of elements that hold articles other than the page's own.
+_OTHERS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion promoted related recommended recommendations teaser widget comment comments commentlist disqus respond reply replies".split())
+#: A word after one of these tells of a part, not of the element.
+_OF_PARTS = re.compile(r"\b(?:has|have|with|without|no)[\s_-]+[a-z]+(?![a-z])", re.I)
 _CLOSED_BY = {"p": _BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -43,28 +51,55 @@ _SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _barred(tag: str, attributes: str, within_article: bool) -> bool:
+def _barred(tag: str, attributes: str, within_article: bool) -> int:
+    """0, or 1 for an element barred by what it is, 2 by a word, 3 by a word for articles other than the page's own."""
     if tag in _BARRED or tag == "header" and not within_article:
-        return True
+        return 1
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return 0
+    found = 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
+            return 1
         if name == "role" and value.lower() in _BARRED_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and not _BARRED_WORDS.isdisjoint(_SPLIT.sub(" ", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()).split()):
-            return True
-    return False
+            return 1
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+            words = {w for name in value.split() for w in _SPLIT.sub(" ", _OF_PARTS.sub(" ", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name)).lower()).split()}
+            if not _OTHERS.isdisjoint(words):
+                found = 3
+            elif not _BARRED_WORDS.isdisjoint(words):
+                found = max(found, 2)
+    return found
 
 
 def lines_of(html: str) -> list[tuple[str, int, int, int]]:
     """(text, own characters outside links, is in an article, is in a main element) of each line; barred ones are empty."""
+    lines, mains, articles = _parsed(html, frozenset())
+    opened = frozenset(place for bars in mains for place in bars)
+    if opened:
+        lines, _, articles = _parsed(html, opened)
+    if articles and not any(n for _, n, article, main in lines if article or main):
+        depth = min(map(len, articles))
+        opened |= {place for bars in articles if len(bars) == depth for place in bars}
+        wider = _parsed(html, opened)[0]
+        if sum(n for _, n, article, _ in wider if article) >= sum(n for _, n, *_ in lines):
+            return wider
+    return lines
+
+
+def _parsed(html: str, opened: frozenset[int]) -> tuple[list[tuple[str, int, int, int]], list[tuple[int, ...]], list[tuple[int, ...]]]:
+    """The lines, and for main elements and articles that only words bar, the places of the barred elements round them.
+
+    Words do not bar the elements at the places ``opened``; articles among other people's texts are not given.
+    """
     lines: list[tuple[str, int, int, int]] = []
     text: list[str] = []
     state = {"linked": 0}
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, int]] = []
+    places: list[tuple[int, int]] = []  # (place, kind) of the open barred elements
+    mains: list[tuple[int, ...]] = []
+    articles: list[tuple[int, ...]] = []
     barred = article = main = links = 0
     at = 0
 
@@ -75,9 +110,11 @@ def lines_of(html: str) -> list[tuple[str, int, int, int]]:
             text.clear()
             state["linked"] = 0
 
-    def leave(tag: str, bar: bool) -> None:
+    def leave(tag: str, bar: int) -> None:
         nonlocal barred, article, main, links
-        barred -= bar
+        if bar:
+            barred -= 1
+            places.pop()
         article -= tag == "article"
         main -= tag == "main"
         links -= tag == "a"
@@ -116,14 +153,23 @@ def lines_of(html: str) -> list[tuple[str, int, int, int]]:
                 say(" ")
             if tag in _VOID:
                 continue
+            if barred and tag in ("article", "main") and all(kind > 1 for _, kind in places):
+                if tag == "main":
+                    mains.append(tuple(place for place, _ in places))
+                elif all(kind == 2 for _, kind in places):
+                    articles.append(tuple(place for place, _ in places))
             bar = _barred(tag, m[3], article > 0)
+            if bar > 1 and at in opened:
+                bar = 0
             if bar and not barred:
                 if tag not in _BLOCKS:
                     say(" ")
                 else:
                     lines.append(("", 0, article, main))
             stack.append((tag, bar))
-            barred += bar
+            if bar:
+                barred += 1
+                places.append((at, bar))
             article += tag == "article"
             main += tag == "main"
             links += tag == "a"
@@ -144,17 +190,17 @@ def lines_of(html: str) -> list[tuple[str, int, int, int]]:
                     if t == tag:
                         break
     flush()
-    return lines
+    return lines, mains, articles
 
 
 def main_lines(lines: list[tuple[str, int, int, int]]) -> list[int]:
     """Indices of the lines between surge and dive points."""
     masses = [sum(n for _, n, *marks in lines if marks[i]) for i in (0, 1)]
     if masses[0] and masses[0] * 2 >= masses[1]:
-        mass, least = [n if a else 0 for _, n, a, _ in lines], 0
+        mass, least = [len(words) if a else 0 for words, _, a, _ in lines], 0
         inside = [bool(a) for _, _, a, _ in lines]
     elif masses[1]:
-        mass, least = [n if m else 0 for _, n, _, m in lines], 0
+        mass, least = [len(words) if m else 0 for words, _, _, m in lines], 0
         inside = [bool(m) for *_, m in lines]
     else:
         mass, inside = [n for _, n, *_ in lines], [True] * len(lines)
