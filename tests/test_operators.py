@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -75,6 +76,39 @@ def test_bipartite_match(spark):
     assert {(r.left_id, r.right_id) for r in clusters.bipartite_match(rows, "key").collect()} == {("a", "y"), ("b", "x")}
 
 
+def brute_matching(pairs):
+    """The greatest total, by trying all."""
+    if not pairs:
+        return 0.0
+    left, own = pairs[0][0], [p for p in pairs if p[0] == pairs[0][0]]
+    rest = [p for p in pairs if p[0] != left]
+    return max([brute_matching(rest), *(s + brute_matching([p for p in rest if p[1] != r]) for _, r, s in own)])
+
+
+def test_best_matching_by_brute_force():
+    rng = random.Random(5)
+    for _ in range(300):
+        pairs = [(i, j, round(rng.random(), 2) + 0.01) for i in range(rng.randint(1, 6)) for j in range(rng.randint(1, 6)) if rng.random() < 0.6]
+        found = clusters.best_matching(pairs)
+        assert set(found) <= set(pairs) and len({l for l, *_ in found}) == len(found) == len({r for _, r, _ in found})
+        assert abs(sum(s for *_, s in found) - brute_matching(pairs)) < 1e-9
+
+
+def test_matching_of_a_large_label(spark):
+    n = 60
+    rows = [("k", i, j, 0.9 - 0.01 * abs(i - j)) for i in range(n) for j in range(n) if abs(i - j) < 10]
+    got = clusters.bipartite_match(spark.createDataFrame(rows, "key string, left_id long, right_id long, score double"), "key").collect()
+    assert {(r.left_id, r.right_id) for r in got} == {(i, i) for i in range(n)}
+
+
+def test_issue_matching_has_no_id_prefix(spark, tmp_path):
+    from threshmill.plans import vectors
+
+    rows = [(i, [1.0, 0.0], 1) for i in (1000, 1001)] + [(2001, [0.0, 1.0], 1), (2002, [0.0, 1.0], 2)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [(r.left_id, r.right_id) for r in vectors.issue_matching(spark, str(tmp_path)).collect()] == [(1000, 1001)]
+
+
 def test_top_k_with_ties_and_zero(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 0.0])], "id long, v array<double>")
     got = {(r.query_id, r.id, r["rank"]) for r in similarity.top_k(v, v, "id", "v", 1).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,24 +114,79 @@ def greedy_keep(rows: DataFrame, edges: DataFrame, components: DataFrame, id_col
     return grouped.unionByName(lone)
 
 
+def best_matching(pairs: list[tuple]) -> list[tuple]:
+    """The matching of greatest total score of (left, right, score) with scores above 0: by the shortest augmenting paths of sparse min-cost flow.
+
+    A left row may also stay alone at score 0, so all rows but the taken ones are reached by one search for each left row.
+    """
+    best: dict[tuple, float] = {}
+    for left, right, score in pairs:
+        best[left, right] = max(score, best.get((left, right), score))
+    lefts, rights = sorted({l for l, _ in best}), sorted({r for _, r in best})
+    at = {r: j for j, r in enumerate(rights)}
+    top = max(best.values(), default=0.0)
+    near: list[list[tuple[int, float]]] = [[] for _ in lefts]
+    place = {l: i for i, l in enumerate(lefts)}
+    for (left, right), score in sorted(best.items()):
+        near[place[left]].append((at[right], top - score))
+    for i, own in enumerate(near):  # staying alone: a right side of its own
+        own.append((len(rights) + i, top))
+    n = len(rights) + len(lefts)
+    price, owner, partner = [0.0] * n, [-1] * n, [-1] * len(lefts)
+    paid = [0.0] * len(lefts)  # what a matched left row's own edge costs
+    for start in range(len(lefts)):
+        # Dijkstra over right rows with reduced costs, until one that is free.
+        length: dict[int, float] = {}
+        came: dict[int, int] = {}
+        done: set[int] = set()
+        heap: list[tuple[float, int]] = []
+        i, gone, end = start, 0.0, -1
+        while end < 0:
+            base = 0.0 if i == start else paid[i] - price[partner[i]]
+            for j, cost in near[i]:
+                if j not in done:
+                    to = gone + cost - price[j] - base
+                    if to < length.get(j, float("inf")):
+                        length[j], came[j] = to, i
+                        heapq.heappush(heap, (to, j))
+            while True:
+                gone, j = heapq.heappop(heap)
+                if j not in done:
+                    break
+            if owner[j] < 0:
+                end = j
+            else:
+                done.add(j)
+                i = owner[j]
+        for j in done:
+            price[j] += length[j] - gone
+        j = end
+        while True:
+            i = came[j]
+            before = partner[i]
+            owner[j], partner[i] = i, j
+            paid[i] = next(cost for k, cost in near[i] if k == j)
+            if i == start:
+                break
+            j = before
+    return [(lefts[i], rights[j], best[lefts[i], rights[j]]) for i, j in enumerate(partner) if j < len(rights)]
+
+
 def bipartite_match(pairs: DataFrame, key: str, least: float = 0.35) -> DataFrame:
-    """Within each key, the matching of left and right rows of greatest total score, of pairs scoring at least ``least``."""
+    """Within each key, the matching of left and right rows of greatest total score, of pairs scoring at least ``least``.
+
+    Matchings never cross a component of the scored pairs, so components are worked on apart. A component's pairs are in
+    one task; README gives figures.
+    """
     kinds = dict(pairs.dtypes)
     schema = f"{key} {kinds[key]}, left_id {kinds['left_id']}, right_id {kinds['right_id']}, score double"
+    node = lambda side: F.struct(F.col(key).alias("key"), F.lit(side == "right_id").alias("right"), F.col(side).cast("string").alias("id"))
+    good = pairs.filter((F.col("score") >= least) & (F.col("score") > 0) & ~F.isnan("score")).select(key, "left_id", "right_id", F.col("score").cast("double").alias("score"), node("left_id").alias("_left"), node("right_id").alias("_right"))
+    parts = connected_components(good.select(F.col("_left").alias("a"), F.col("_right").alias("b")))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        good = pdf[pdf["score"] >= least].sort_values(["left_id", "right_id"])
-        rights = {r: i for i, r in enumerate(sorted(good["right_id"].unique()))}
-        best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-        for left, own in good.groupby("left_id", sort=True):
-            for taken, (total, chosen) in list(best.items()):
-                for right, score in own[["right_id", "score"]].itertuples(index=False):
-                    bit = 1 << rights[right]
-                    if not taken & bit:
-                        new = (total + score, (*chosen, (left, right, score)))
-                        if taken | bit not in best or new[0] > best[taken | bit][0]:
-                            best[taken | bit] = new
-        top = max(best.values(), key=lambda x: x[0])[1]
-        return pd.DataFrame([(pdf[key].iloc[0], *m) for m in top], columns=[key, "left_id", "right_id", "score"])
-
-    return pairs.groupBy(key).applyInPandas(run, schema)
+        found = best_matching(list(pdf[["left_id", "right_id", "score"]].itertuples(index=False, name=None)))
+        return pd.DataFrame([(pdf[key].iloc[0], *m) for m in found], columns=[key, "left_id", "right_id", "score"])
+
+    placed = good.join(parts, good["_left"] == parts["node"]).select("component", key, "left_id", "right_id", "score")
+    return placed.groupBy("component").applyInPandas(run, schema)

@@ -151,7 +151,7 @@ def greedy_dedup(spark, sf):
 def issue_matching(spark, sf):
     """The best matching of the even with the odd vectors of each label, among similar pairs."""
     e = read(spark, sf, "embeddings").select("vec_id", "label")
-    p = pairs(spark, sf, 0.36).join(e.select(F.col("vec_id").alias("id_a"), F.col("label").alias("key")), "id_a").join(e.select(F.col("vec_id").alias("id_b"), F.col("label").alias("lb")), "id_b").filter("key = lb and id_a % 2 <> id_b % 2 and id_a < 200 and id_b < 200")
+    p = pairs(spark, sf, 0.36).join(e.select(F.col("vec_id").alias("id_a"), F.col("label").alias("key")), "id_a").join(e.select(F.col("vec_id").alias("id_b"), F.col("label").alias("lb")), "id_b").filter("key = lb and id_a % 2 <> id_b % 2")
     even = F.col("id_a") % 2 == 0
     rows = p.select("key", F.when(even, F.col("id_a")).otherwise(F.col("id_b")).alias("left_id"), F.when(even, F.col("id_b")).otherwise(F.col("id_a")).alias("right_id"), F.col("similarity").alias("score"))
     return clusters.bipartite_match(rows, "key")
