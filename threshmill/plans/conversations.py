@@ -213,6 +213,17 @@ def funnel_counts(spark, sf):
 SELECT conv_id || '@r' || turn AS chunk_id, '问题：' || role || chr(10) || '答案：' || text AS text, length('问题：' || role || chr(10) || '答案：' || text)::INT AS chars FROM conversations WHERE turn > 0
 """)
 def rag_chunks(spark, sf):
-    rows = read(spark, sf, "conversations").filter("turn > 0")
+    return chunks(read(spark, sf, "conversations").filter("turn > 0"))
+
+
+@query("""
+SELECT conv_id || '@r' || turn AS chunk_id, '问题：' || role || chr(10) || '答案：' || text AS text, length('问题：' || role || chr(10) || '答案：' || text)::INT AS chars FROM conversations
+""")
+def rag_chunks_all(spark, sf):
+    """The same of all turns, the first too."""
+    return chunks(read(spark, sf, "conversations"))
+
+
+def chunks(rows):
     text = T.chunk_text("role", "text")
     return rows.select(F.format_string("%d@r%d", "conv_id", "turn").alias("chunk_id"), text.alias("text"), F.length(text).alias("chars"))
