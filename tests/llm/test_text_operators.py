@@ -213,6 +213,31 @@ def test_raking_hits_targets(spark):
         assert r.raked == pytest.approx(w[int(r.source[1]), int(r.lang[1]), int(r.topic[1])], rel=1e-4)
 
 
+def test_raking_is_close(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"s{i}", f"l{j}", f"t{k}", int(rng.integers(1, 1000) ** 2)) for i in range(4) for j in range(3) for k in range(2)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    got = mixing.rake(cells).collect()
+    total = sum(r[3] for r in rows)
+    for d, power in mixing.POWERS.items():
+        own = {}
+        for r in got:
+            own.setdefault(r[d], [0, 0.0])
+            own[r[d]] = [own[r[d]][0] + r.tokens, own[r[d]][1] + r.raked]
+        wanted = {v: (n / total) ** power for v, (n, _) in own.items()}
+        for v, (_, raked) in own.items():
+            assert raked / total == pytest.approx(wanted[v] / sum(wanted.values()), rel=2e-7)
+
+
+def test_tokens_and_topics(spark):
+    rows = [("a\tb\rc\fd\x0be", 5, "prose"), ("  one\n\n\n    two   three ", 3, "prose"), (" \n", 0, "prose"), ("", 0, "prose"), ("one\xa0word", 1, "prose")]
+    rows += [("the microphone and the telephone", 5, "prose"), ("see you @ noon", 4, "prose"), ("write to a.b@c.org", 3, "contact"), ("call +1 (234) 567-8901", 4, "contact")]
+    rows += [("it was a secret password", 5, "prose"), ('password = "x"', 3, "code"), ("<b>x</b>", 1, "code"), ("Licensed to you", 3, "legal"), ("sublicenser", 1, "prose"), ("x | y | z", 5, "table")]
+    df = spark.createDataFrame([r[:1] for r in rows], "text string")
+    got = df.select("text", mixing.n_tokens(F.col("text")).alias("n"), mixing.topic_of(F.col("text")).alias("topic")).collect()
+    assert [tuple(r) for r in got] == rows
+
+
 def test_mixing_query(spark, sf_dir):
     rows = QUERIES["op7_mixing"](spark, sf_dir).collect()
     total = sum(r.n_tokens for r in rows)
