@@ -194,6 +194,15 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(docs.filter("false"), toxicity.train(docs.filter("false"), none)).count() == 0
 
 
+def test_sentences_without_listed_words(spark):
+    texts = ["plain words", "nobody likes you", "shut up", "go die", "please kill yourself"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0)], "doc_id long, toxic int")
+    for known in (labels, labels.filter("false")):
+        got = {r.text: r.score for r in toxicity.score(docs, toxicity.train(docs, known)).collect()}
+        assert all(got["plain words"] < toxicity.THRESHOLD <= got[t] for t in texts[1:]), got
+
+
 # --- 7
 
 

@@ -44,6 +44,8 @@ SENTENCES = {
     "wish_harm": re.compile(r"\b(?:go|please|hope you|should) (?:die|kill yourself|rot)\b", re.I),
     "silence": re.compile(r"\b(?:shut up|nobody likes you|get lost)\b", re.I),
 }
+#: Whether any sentence pattern hits, in one scan that stops at the letters they start with.
+_ANY_SENTENCE = re.compile(r"\b(?=[yghpsn])(?:" + "|".join(p.pattern for p in SENTENCES.values()) + ")", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
 
@@ -96,10 +98,11 @@ def row_of(text: str, patterns: Patterns) -> np.ndarray:
     counts = patterns.counts(text)
     for i, c in counts.items():
         x[i] = min(3, c) / 3
-    if counts:
+    if _ANY_SENTENCE.search(text):
         for j, p in enumerate(SENTENCES.values()):
             x[n + j] = bool(p.search(text))
-        hits = sum(counts.values())
+    hits = sum(counts.values()) or int(x[n:-2].sum())  # sentences count where no pattern hits
+    if hits:
         x[-2] = min(1.0, np.log1p(hits) / 3)
         x[-1] = min(1.0, 400 * hits / (len(text) + 200) / 8)
     return x
@@ -188,11 +191,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # Rows that show each fixed voter once keep it alive where the sample has no such word; where there is hardly a
     # sample, empty rows keep toxicity rare.
     blank = max(1, 10 * len(fixed) - int((gold == 0).sum()))
-    known_words = np.zeros((len(fixed) + blank, width))
-    for i in range(len(fixed)):
-        known_words[i, i] = known_words[i, -2] = known_words[i, -1] = 1 / 3
+    voters = len(fixed) + len(SENTENCES)
+    known_words = np.zeros((voters + blank, width))
+    for i in range(voters):
+        known_words[i, -2] = known_words[i, -1] = 1 / 3
+        if i < len(fixed):
+            known_words[i, i] = 1 / 3
+        else:
+            known_words[i, len(names) + i - len(fixed)] = 1
     x = np.vstack([x, known_words])
-    gold = np.concatenate([gold, np.full(len(fixed), 1), np.zeros(blank, int)])
+    gold = np.concatenate([gold, np.full(voters, 1), np.zeros(blank, int)])
     groups = np.cumsum([0, *(len(w) for w in LEXICON.values())])
     votes = np.hstack([*(x[:, a:b].any(1)[:, None] for a, b in zip(groups, groups[1:])), x[:, len(fixed) : -2] > 0])
     posterior, _ = label_model(votes, gold)
