@@ -43,3 +43,12 @@ def test_evidence_and_chunks_of_all_turns(spark, tmp_path):
 def test_sql(spark, sf_dir, name):
     got, wanted, own, theirs = oracle.compare(spark, oracle.connect(sf_dir), plans().QUERIES[name], plans().ORACLE_SQL[name], sf_dir)
     assert own == theirs and got == wanted
+
+
+def test_grounding_of_whole_answers(spark, tmp_path):
+    rows = [(1, 0, "user", "first line\n\nthe third line"), (1, 1, "assistant", "x\ny\nthe third line"), (2, 0, "assistant", "no question")]
+    write(spark, tmp_path, "conversations", rows, TURNS)
+    grams = lambda t: {t[i : i + 2] for i in range(len(t) - 1)}
+    own, source = grams("xythethirdline"), grams("firstlinethethirdline")
+    got = plans().QUERIES["bigram_grounding_all"](spark, str(tmp_path)).collect()
+    assert {(r.conv_id, r.turn): r.grounded for r in got} == {(1, 1): round(len(own & source) / len(own), 6), (2, 0): 0.0}

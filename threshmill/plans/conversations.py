@@ -108,6 +108,23 @@ def exact_question_groups(spark, sf):
     return q.groupBy("conv_id").agg(F.count("*").alias("turns"), F.array_join(F.array_sort(F.collect_set("role")), " | ").alias("roles"), F.min("n").alias("shortest"), F.max("n").alias("longest"), F.round(F.avg("n"), 6).alias("mean"))
 
 
+def asked_and_answered(spark, sf):
+    """Turns with the text of the last user turn before them and of the turn after them, if that is an assistant's."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before = F.last(F.when(F.col("role") == "user", F.col("text")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.when(F.lead("role").over(order) == "assistant", F.lead("text").over(order))
+    return read(spark, sf, "conversations").select("conv_id", "turn", "role", "text", before.alias("question"), after.alias("answer"))
+
+
+@query()
+def bigram_grounding_all(spark, sf):
+    """Share of each answer's bigrams that its question has, whole text against whole text."""
+    rows = asked_and_answered(spark, sf).filter("role = 'assistant'")
+    whole = lambda c: T.normalize(F.coalesce(c, F.lit("")))
+    rows = rows.select("conv_id", "turn", whole("text").alias("a"), whole("question").alias("b"))
+    return rows.select("conv_id", "turn", F.round(T.grounded_ratio("a", "b"), 6).alias("grounded"))
+
+
 @query("""
 WITH c AS (SELECT conv_id, role, count(*) AS n, min(turn) AS first FROM conversations GROUP BY 1, 2)
 SELECT conv_id, role AS modal_role, n FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, first) AS r FROM c) WHERE r = 1
