@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threshmill.functions import patterns as P
 from threshmill.functions import text as T
 from threshmill.operators import guards, incremental, messages, segments
-from threshmill.plans.base import query, read
+from threshmill.plans.base import numbered, query, read
 
 ROLES = {"user": "customer", "assistant": "support", "system": "internal"}
 #: Patterns that fit the invented prose, in place of the Chinese packs.
@@ -125,6 +125,29 @@ def bigram_grounding_all(spark, sf):
     return rows.select("conv_id", "turn", F.round(T.grounded_ratio("a", "b"), 6).alias("grounded"))
 
 
+@query()
+def equal_question_groups(spark, sf):
+    """Groups of user turns with equal normalised text: unique values, type and reasons for a review.
+
+    Solution, resolution and the like are judgements that the conversations do not have; some stand in by conv_id.
+    """
+    c = F.col("conv_id")
+    rows = asked_and_answered(spark, sf).filter("role = 'user'").withColumn("question_normalized", T.normalize("text")).filter("question_normalized <> ''")
+    rows = rows.withColumns({
+        "resolution": F.when(F.col("answer").isNotNull(), "answered").otherwise("open"), "knowledge_value": F.when(c % 6 == 0, "low").otherwise("high"),
+        "temporal_status": F.when(c % 8 == 0, "future_plan").when(c % 8 == 1, "historical").otherwise("stable"), "needs_followup": (c % 5 == 0).cast("string"), "crm_module": F.concat(F.lit("m"), (c % 3).cast("string")),
+    })
+    diffs = ("resolution", "temporal_status", "knowledge_value", "crm_module", "needs_followup")
+    uniques = (F.array_sort(F.filter(F.collect_set(T.clean_text(x)), lambda v: v != "")).alias(f"{x}_set") for x in ("answer", *diffs))
+    g = rows.groupBy("question_normalized").agg(F.count("*").alias("member_count"), *uniques).filter("member_count > 1")
+    many = {"multiple_answers": F.size("answer_set") > 1} | {f"{x}_diff": F.size(f"{x}_set") > 1 for x in diffs}
+    g = g.withColumns({"answer_unique_count": F.size("answer_set"), "review_reasons": P.flags(**many)})
+    kind = P.ladder((F.col("answer_unique_count") == 1, "same_question_same_answer"), (F.col("answer_unique_count") > 1, "same_question_different_answer"), otherwise="same_question_mixed")
+    g = numbered(g.withColumns({"group_type": kind, "needs_review": F.size("review_reasons") > 0}), "question_normalized")
+    sets = (T.join_list(f"{x}_set").alias(f"{x}_set") for x in diffs)
+    return g.select(F.format_string("GROUP-EXACT-%04d", "row_no").alias("exact_group_id"), "question_normalized", "member_count", "answer_unique_count", "group_type", "needs_review", T.join_list("review_reasons").alias("review_reasons"), *sets)
+
+
 @query("""
 WITH c AS (SELECT conv_id, role, count(*) AS n, min(turn) AS first FROM conversations GROUP BY 1, 2)
 SELECT conv_id, role AS modal_role, n FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC, first) AS r FROM c) WHERE r = 1
