@@ -9,8 +9,6 @@ from threshmill.functions import text as T
 from threshmill.operators import guards
 from threshmill.plans.base import query, read
 
-D = F.col("doc_id")
-
 
 def labels(spark, sf):
     return read(spark, sf, "labels").select("doc_id", "quality", "toxic")
@@ -18,7 +16,7 @@ def labels(spark, sf):
 
 @query("""SELECT doc_id, CASE WHEN toxic = 1 THEN 'insufficient_evidence' WHEN doc_id % 5 = 0 THEN 'irrelevant' WHEN quality = 0 THEN 'not_a_cause' WHEN doc_id % 3 = 0 THEN 'action_unsupported' ELSE 'valid' END AS verdict FROM labels""")
 def cause_verdicts(spark, sf):
-    rows = labels(spark, sf).withColumns({"supported": F.col("toxic") == 0, "answers_question": D % 5 != 0, "is_real_cause": F.col("quality") == 1, "action_supported": D % 3 != 0})
+    rows = labels(spark, sf).withColumns({"supported": F.col("toxic") == 0, "answers_question": F.col("doc_id") % 5 != 0, "is_real_cause": F.col("quality") == 1, "action_supported": F.col("doc_id") % 3 != 0})
     return rows.select("doc_id", guards.cause_verdict().alias("verdict"))
 
 
@@ -28,7 +26,7 @@ SELECT doc_id, CASE WHEN d = 'CURRENT_CONFIRMED' THEN (CASE WHEN recent = 0 OR r
 def temporal_gates(spark, sf):
     decisions = F.array(*(F.lit(x) for x in ("CURRENT_CONFIRMED", "STALE", "INCIDENT_TEMPORARY", "HISTORICAL_SUPERSEDED", "UNKNOWN")))
     sound = 1 - F.col("toxic")
-    rows = labels(spark, sf).withColumns({"decision": F.get(decisions, (D % 5).cast("int")), "n_recent": F.col("quality"), "n_recent_sound": F.col("quality") * sound, "annotated": F.lit(True), "n_cited": F.col("quality"), "n_cited_temporary": sound, "n_members": D % 3, "span_days": D % 700})
+    rows = labels(spark, sf).withColumns({"decision": F.get(decisions, (F.col("doc_id") % 5).cast("int")), "n_recent": F.col("quality"), "n_recent_sound": F.col("quality") * sound, "annotated": F.lit(True), "n_cited": F.col("quality"), "n_cited_temporary": sound, "n_members": F.col("doc_id") % 3, "span_days": F.col("doc_id") % 700})
     return rows.select("doc_id", guards.temporal_gate().alias("decision"))
 
 
@@ -42,7 +40,7 @@ def validation_verdicts(spark, sf):
 
 @query("""SELECT doc_id, CASE WHEN toxic = 1 THEN 'reject' WHEN doc_id % 4 = 0 AND quality = 0 THEN 'reject' ELSE 'candidate' END AS decision FROM labels""")
 def admission_guard(spark, sf):
-    rows = labels(spark, sf).withColumns({"qa_aligned": F.when(F.col("toxic") == 1, "no").otherwise("yes"), "problem_type": F.when(D % 4 == 0, "feature_request").otherwise("how_to"), "stable_limitation": F.col("quality") == 1, "decision": F.lit("candidate")})
+    rows = labels(spark, sf).withColumns({"qa_aligned": F.when(F.col("toxic") == 1, "no").otherwise("yes"), "problem_type": F.when(F.col("doc_id") % 4 == 0, "feature_request").otherwise("how_to"), "stable_limitation": F.col("quality") == 1, "decision": F.lit("candidate")})
     return rows.select("doc_id", guards.admission().alias("decision"))
 
 
@@ -55,8 +53,8 @@ def confidence_stats(spark, sf):
 @query("""WITH e AS (SELECT doc_id, doc_id // 4 AS cluster, quality, toxic FROM labels), c AS (SELECT DISTINCT cluster FROM e WHERE toxic = 1 OR doc_id % 10 < 2) SELECT e.doc_id, e.cluster FROM e WHERE cluster IN (SELECT cluster FROM c)""")
 def review_cluster_members(spark, sf):
     """Members of clusters that need a review, by semi-join."""
-    e = labels(spark, sf).withColumn("cluster", F.floor(D / 4))
-    review = e.filter((F.col("toxic") == 1) | (D % 10 < 2)).select("cluster")
+    e = labels(spark, sf).withColumn("cluster", F.floor(F.col("doc_id") / 4))
+    review = e.filter((F.col("toxic") == 1) | (F.col("doc_id") % 10 < 2)).select("cluster")
     return e.join(review, "cluster", "left_semi").select("doc_id", "cluster")
 
 
