@@ -79,6 +79,26 @@ def covered(texts, length=400):
     return out
 
 
+def windows(texts, length=bwt_dedup.STAGE_LENGTH):
+    for b in ((t or "").encode() for t in texts):
+        yield from (b[s : s + length] for s in range(len(b) - length + 1))
+
+
+def passages_gone(counts, raw, length=bwt_dedup.STAGE_LENGTH, words=51):
+    """What the pipeline's stage leaves of a text, by brute force."""
+    hit = np.zeros(len(raw) + 2, bool)
+    for s in range(len(raw) - length + 1):
+        if counts[raw[s : s + length]] > 1:
+            hit[s + 1 : s + 1 + length] = True
+    edges = np.flatnonzero(np.diff(hit.astype(int)))
+    out, at = b"", 0
+    for a, b in zip(edges[::2], edges[1::2]):
+        if len(raw[a:b].split()) >= words:
+            out += raw[at:a]
+            at = b
+    return (out + raw[at:]).decode(errors="ignore")
+
+
 def prose(rng, n):
     return " ".join("".join(rng.choice(list("abcdeé"), rng.integers(2, 8))) for _ in range(n))
 
@@ -89,34 +109,65 @@ def repeats(rng):
     return texts + [prose(rng, 100) + passage[i : i + 430] + prose(rng, 100) for i in range(0, 60, 7)]
 
 
-def test_transforms_find_repeats(monkeypatch):
+def test_transforms_find_repeats():
     rng = np.random.default_rng(5)
-    monkeypatch.setattr(bwt_dedup, "SHARD_BYTES", 500)
     pool = [rng.integers(97, 99, 30).astype(np.uint8).tobytes() for _ in range(4)]
-    contexts = [b"".join(pool[j] for j in rng.integers(0, 4, 3)) for _ in range(30)]
+    contexts = [b"".join(pool[j] for j in rng.integers(0, 4, 3))[: 90 - int(rng.integers(0, 60))] for _ in range(30)]
+    contexts[3] = contexts[4] = b"a" * 60
     length = 25
-    ranges = [(0, len(c) - length) for c in contexts]
     counts = Counter(c[s : s + length] for c in contexts for s in range(len(c) - length + 1))
-    shards = [bwt_dedup.ShardTransform(contexts[i : i + 7], length) for i in range(0, 30, 7)]
-    found = bwt_dedup.repeated_starts(shards, [ranges[i : i + 7] for i in range(0, 30, 7)], length)
-    got = [x.tolist() for own in found for x in own]
-    assert got == [[counts[c[s : s + length]] > 1 for s in range(len(c) - length + 1)] for c in contexts]
-    for s in shards:  # the transform leads back through each context
-        assert all(s.back[s.rank[b]] == -1 for b in s.begins.tolist())
-
-
-@pytest.mark.parametrize("block", [2048, 3])
-def test_repeats(spark, monkeypatch, block):
+    groups = [contexts[i : i + 7] for i in range(0, 30, 7)]
+    shards = [(bwt_dedup.transform(own), np.array([len(c) for c in own])) for own in groups]
+    found = bwt_dedup.repeated_starts(shards, length)
+    assert found.tolist() == [counts[c[s : s + length]] > 1 for c in contexts for s in range(len(c) - length + 1)]
+    for own, (symbols, sizes) in zip(groups, shards):  # a transform gives its contexts back
+        back = bwt_dedup.steps_back(symbols)
+        for k, c in enumerate(own):
+            at, out = k, []
+            for _ in range(len(c)):
+                out.append(int(symbols[at]) - 1)
+                at = back[at]
+            assert bytes(reversed(out)) == c and symbols[at] == 0
+
+
+@pytest.mark.parametrize(("block", "length"), [(2048, 400), (4, 400), (4, 200)])
+def test_repeats(spark, monkeypatch, block, length):
     monkeypatch.setattr(bwt_dedup, "BLOCK", block)
+    monkeypatch.setattr(bwt_dedup, "SHARD_CONTEXTS", min(block, 256) // 2)
+    monkeypatch.setattr(bwt_dedup, "SHARD_BYTES", 2_000)
+    monkeypatch.setattr(bwt_dedup, "SLOT_BYTES", 10_000)
     monkeypatch.setattr(bwt_dedup, "PART", 700)
     texts = repeats(np.random.default_rng(6))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lows", F.lit("clash")).repartition(3)
     got = {}
-    for r in bwt_dedup.repeat_runs(docs).collect():
+    for r in bwt_dedup.repeat_runs(docs, length=length).collect():
         raw = (r.text or "").encode()
-        left, removed, runs = bwt_dedup._kept(raw, r[bwt_dedup.LOWS] or [], r[bwt_dedup.HIGHS] or [])
+        left, removed, runs = bwt_dedup._kept(raw, r[bwt_dedup.LOWS] or [], r[bwt_dedup.HIGHS] or [], length)
         got[r.doc_id] = (len(raw), removed, runs, hashlib.sha256(left).hexdigest())
-    assert got == covered([(i, (t or "").encode()) for i, t in enumerate(texts)])
+    assert got == covered([(i, (t or "").encode()) for i, t in enumerate(texts)], length)
+
+
+def test_repeated_rows_and_null_identifiers(spark):
+    rng = np.random.default_rng(8)
+    one, two = prose(rng, 150), prose(rng, 150)
+    rows = [(1, one), (1, one), (None, two), (None, two), (None, prose(rng, 150)), (2, prose(rng, 150))]
+    marked = bwt_dedup.repeat_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(marked) == len(rows)
+    for r in marked:
+        whole = r.text in (one, two)
+        assert bwt_dedup._kept(r.text.encode(), r[bwt_dedup.LOWS] or [], r[bwt_dedup.HIGHS] or [])[0] == (b"" if whole else r.text.encode())
+
+
+def test_stage_removes_passages_of_over_50_words(spark):
+    rng = np.random.default_rng(9)
+    passages, short = [prose(rng, n) for n in range(51, 61)], [prose(rng, n) for n in (30, 45, 49)]
+    rows = [(10 * i + j, f"{prose(rng, 80)}\n{p}\n{prose(rng, 80)}") for i, p in enumerate(passages + short) for j in range(2)]
+    rows += [(1000, "x" * 300), (1001, None), (1002, "")]
+    counts = Counter(windows(t for _, t in rows))
+    out = {r.doc_id: r.text for r in bwt_dedup.stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert out == {i: t and passages_gone(counts, t.encode()) for i, t in rows if not t or passages_gone(counts, t.encode())}
+    assert not any(p in out[10 * i + j] for i, p in enumerate(passages) for j in range(2))
+    assert all(out[i] == t for i, t in rows[2 * len(passages) : -3])
 
 
 def test_remove_repeats_keeps_columns(spark):
@@ -223,10 +274,10 @@ def test_pipeline(spark, sf_dir):
     groups = joined([(r.doc_id, r.text) for r in before.collect()])
     assert {r.doc_id for r in after.collect()} == {i for i, (_, c) in groups.items() if i == c}
     before, after = kept[2]
-    removed = covered([(r.doc_id, (r.text or "").encode()) for r in before.collect()])
+    wanted = {r.doc_id: (r.text or "", passages_gone(before_texts, (r.text or "").encode())) for before_texts in [Counter(windows(r.text for r in before.collect()))] for r in before.collect()}
     left = {r.doc_id: r.text for r in after.collect()}
-    assert set(left) == {i for i, (n, gone, *_) in removed.items() if gone < n or not n}
-    assert all(hashlib.sha256(left[i].encode()).hexdigest() == removed[i][3] for i in left)
+    assert set(left) == {i for i, (had, has) in wanted.items() if has or not had}
+    assert all(left[i] == wanted[i][1] for i in left)
     before, after = kept[4]
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
 

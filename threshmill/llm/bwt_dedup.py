@@ -1,25 +1,29 @@
 """Repeated byte strings by merging shard Burrows-Wheeler transforms (operator 8).
 
-Finds every byte that is covered by a string of ``LENGTH`` bytes which also starts elsewhere in the corpus.
+Finds every byte that is covered by a string of ``length`` bytes which also starts elsewhere in the corpus.
 
-1. Each start of such a window belongs to an anchor in the window: the gram of ``GRAM`` bytes with the smallest hash.
-   Equal windows have equal anchors at equal places, so only windows of one anchor need to be compared. The starts of
-   an anchor form a run, whose bytes are its context. Contexts are dealt by anchor as packed rows of hashes.
+1. Each start of such a window belongs to an anchor in the window: the gram (``gram_of(length)`` bytes) with the
+   smallest hash. Equal windows have equal anchors at equal places, so only windows of one anchor need to be compared.
+   The starts of an anchor form a run, whose bytes are its context. Contexts are dealt by anchor as packed rows of hashes.
 2. An anchor that occurs once has no repeat. Contexts that are equal, copies of documents above all, are repeats in
    whole, and one of them stands for all. Only distinct contexts of one anchor go on, with their bytes.
-3. Contexts are put in shards. Each shard's suffixes are sorted by prefix doubling, which gives its transform: the byte
-   before each suffix and the step to that suffix. The transforms are merged by refining their interleave: the order
-   by h bytes, sorted stably by the transform's bytes and stepped back, is the order by h + 1 bytes. Where neighbours
-   first differ is their common prefix; a suffix alone in its interval falls out. After ``LENGTH`` rounds the
-   intervals left are those of the repeated strings. No suffix is sorted again.
+3. Contexts are put in shards of ``SHARD_BYTES``, and shards in slots of ``SLOT_BYTES``, however many contexts there are.
+   Each shard's suffixes are sorted once, by prefix doubling, and its transform, the byte before each suffix, is written
+   to the shared folder. Tasks of their own read the transforms of a slot, regain from each the step to the suffix one
+   byte longer (a stable sort of the bytes), and merge them by refining their interleave: the order by h bytes, sorted
+   stably by the transforms' bytes and stepped back, is the order by h + 1 bytes. Where neighbours first differ is their
+   common prefix; a suffix alone in its interval falls out. After ``length`` rounds the intervals left are those of the
+   repeated strings. No suffix is sorted again, and no context is read again.
 4. The runs of repeated starts meet their documents, and the covered bytes go.
 
-An anchor with more than ``BLOCK`` distinct contexts is dealt as pairs of blocks, so no task holds them all; equal
-contexts are joined before any shuffle. Equality of contexts in step 2 is that of 64-bit hashes with length and
-place; step 3 compares bytes.
+An anchor with more than ``BLOCK`` distinct contexts is merged as pairs of blocks, so no task holds them all; a block's
+transforms are made once and read by each of its pairs. Equal contexts are joined before any shuffle. Equality of
+contexts in step 2 is that of two 64-bit hashes, of anchor and context, with length and place; a document is known by
+128 bits; step 3 compares bytes.
 
 Defined results: a null or empty text has no bytes and nothing removed; a text shorter than the length loses nothing;
-repeated rows remove each other; other columns are kept by ``remove_repeats`` and ignored by the query.
+repeated rows remove each other; a null identifier is one like any other; other columns are kept by
+``remove_repeats`` and ignored by the query; of an empty table no rows come.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,25 +42,34 @@ from threshmill.llm.shingles import Hasher, mix
 from threshmill.llm.tokens import utf8
 
 LENGTH = 400
-GRAM = 128
+#: The pipeline's stage removes passages of so many words, found by repeats of so many bytes, which few of them fall short of.
+STAGE_LENGTH, STAGE_WORDS = 200, 51
 #: Bytes of text hashed together; longer texts are taken in overlapping parts of so many.
 PART = 1 << 19
-BLOCK = 1024
-SHARD_BYTES = 1 << 18
+#: Distinct contexts of an anchor merged at once, and those in a shard of theirs.
+BLOCK, SHARD_CONTEXTS = 1024, 256
+#: Bytes of contexts in a shard, and in a slot of shards that are merged together.
+SHARD_BYTES, SLOT_BYTES = 1 << 17, 1 << 22
 #: Rounds of a merge after which suffixes that are alone in their interval go.
 DROP_EVERY = 4
 _U = np.uint64
 
+
+def gram_of(length: int) -> int:
+    """Bytes of an anchor for windows of ``length``."""
+    return max(1, min(128, length // 3))
+
+
 # --- anchors
 
 
-def anchor_runs(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
+def anchor_runs(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> dict[str, np.ndarray]:
     """Runs of window starts with one anchor: text (index), lo, hi (starts, both included), anchor and context hashes."""
     n = len(data)
     out = {k: np.zeros(0, t) for k, t in (("text", np.int64), ("lo", np.int64), ("hi", np.int64), ("anchor", _U), ("context", _U))}
     if n < length or not (np.diff(offsets) >= length).any():
         return out
-    sums = hasher.sums(data)
+    sums, gram = hasher.sums(data), gram_of(length)
     at = np.arange(n - gram + 1)
     grams = mix(hasher.between(sums, at, at + gram))
     # The smallest hash and, among equals, the rightmost place.
@@ -80,7 +94,7 @@ def anchor_runs(hasher: Hasher, data: np.ndarray, offsets: np.ndarray, length: i
     return {"text": text, "lo": lo - offsets[text], "hi": hi - offsets[text], "anchor": grams[owner], "context": context}
 
 
-def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _parts(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts in groups of about ``PART`` bytes, long ones in overlapping parts: (bytes, offsets, text index, shift)."""
     begin, end, text, shift, size = [], [], [], [], 0
 
@@ -90,8 +104,8 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 
     for i in range(len(offsets) - 1):
         a, b = int(offsets[i]), int(offsets[i + 1])
-        for p in range(a, max(a + 1, b - LENGTH + 1), PART):
-            q = min(b, p + PART + LENGTH - 1)
+        for p in range(a, max(a + 1, b - length + 1), PART):
+            q = min(b, p + PART + length - 1)
             begin.append(p), end.append(q), text.append(i), shift.append(p - a)
             size += q - p
             if size >= PART:
@@ -104,68 +118,79 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
 # --- transforms
 
 
-def _ranks(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of keys and their dense ranks."""
+def _ranks(key: np.ndarray) -> np.ndarray:
+    """The dense ranks of keys."""
     order = np.argsort(key)
     own = key[order]
     rank = np.empty(len(key), np.int64)
     rank[order] = np.cumsum(np.concatenate([[0], own[1:] != own[:-1]]))
-    return order, rank
-
-
-class ShardTransform:
-    """Sorted suffixes of some contexts, each with an end of its own, to ``depth`` bytes."""
-
-    def __init__(self, contexts: list[bytes], depth: int = LENGTH):
-        sizes = np.array([len(c) + 1 for c in contexts], np.int64)
-        self.ends = np.cumsum(sizes) - 1
-        self.begins = self.ends - sizes + 1
-        n = int(sizes.sum())
-        symbols = np.zeros(n, np.int64)  # 0 at ends, bytes from 1 on
-        raw = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.int64) + 1
-        symbols[:] = raw
-        symbols[self.ends] = 0
-        last = np.repeat(self.ends, sizes)
-        # The first ranks are those of six symbols at once, then twice as many each time.
-        rank, step = np.zeros(n, np.int64), 6
-        for j in range(6):
-            ahead = np.arange(n) + j
-            rank = rank << 9 | np.where(ahead <= last, symbols[np.minimum(ahead, n - 1)] + 1, 0)
-        rank = _ranks(rank)[1]
-        while step < depth:
-            ahead = np.arange(n) + step
-            behind = np.where(ahead <= last, rank[np.minimum(ahead, n - 1)] + 1, 0)
-            key = rank * (int(rank.max()) + 2) + behind
-            self.order, rank = _ranks(key)
-            step *= 2
-        # ``order`` is the suffix array
-        self.rank = np.empty(n, np.int64)
-        self.rank[self.order] = np.arange(n)
-        before = self.order - 1
-        starts = np.zeros(n, bool)
-        starts[self.begins] = True
-        outside = starts[self.order]
-        # The transform; UTF-8 has no bytes above 0xF7, so symbols fit a byte, and other input takes two.
-        self.symbols = np.where(outside, 0, symbols[before]).astype(np.uint8 if symbols.max() < 256 else np.uint16)
-        self.back = np.where(outside, -1, self.rank[before])  # the step to the suffix one byte longer
-
-
-def repeated_starts(shards: list[ShardTransform], ranges: list[list[tuple[int, int]]], length: int = LENGTH) -> list[list[np.ndarray]]:
-    """Of each context of each shard, which starts in its range [lo, hi] begin a string that also begins elsewhere.
-
-    The starts of all contexts are held as suffixes ``length`` bytes further on, in the interleaved order of the shards'
-    transforms; each round sorts them stably by the transform's byte and steps back. ``group`` numbers the intervals with
-    a common prefix of as many bytes as there were rounds.
+    return rank
+
+
+def transform(contexts: list[bytes]) -> np.ndarray:
+    """The bytes (plus one; 0 at a context's begin) before each sorted suffix of contexts that each have an end of their own."""
+    sizes = np.array([len(c) + 1 for c in contexts], np.int64)
+    ends = np.cumsum(sizes) - 1
+    n = int(sizes.sum())
+    symbols = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.int64) + 1  # 0 at ends, bytes from 1 on
+    symbols[ends] = 0
+    last = np.repeat(ends, sizes)
+    # The first ranks are those of six symbols at once, then twice as many each time.
+    place = np.arange(n)
+    rank, step = np.zeros(n, np.int64), 6
+    for j in range(6):
+        rank = rank << 9 | np.where(place + j <= last, symbols[np.minimum(place + j, n - 1)] + 1, 0)
+    rank = _ranks(rank)
+    while step < sizes.max() and rank.max() < n - 1:
+        ahead = place + step
+        behind = np.where(ahead <= last, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        rank = _ranks(rank * (int(rank.max()) + 2) + behind)
+        step *= 2
+    order = np.argsort(rank * n + place)  # equal suffixes stand in the order of their contexts
+    opens = np.zeros(n, bool)
+    opens[ends - sizes + 1] = True
+    before = np.where(opens[order], 0, symbols[order - 1])
+    return before.astype(np.uint8 if symbols.max() < 256 else np.uint16)  # UTF-8 has no bytes above 0xF7
+
+
+def steps_back(symbols: np.ndarray) -> np.ndarray:
+    """Of each sorted suffix, the place of the suffix one byte longer; where a context begins, that of some end."""
+    back = np.empty(len(symbols), np.int64)
+    back[np.argsort(symbols, kind="stable")] = np.arange(len(symbols))
+    return back
+
+
+def repeated_starts(shards: list[tuple[np.ndarray, np.ndarray]], length: int = LENGTH) -> np.ndarray:
+    """Which starts begin a string of ``length`` bytes that also begins elsewhere, from transforms and contexts' sizes.
+
+    A context of n bytes has n - length + 1 starts; the flags of all contexts' starts come in one row, shard by shard.
+    The starts are held as suffixes ``length`` bytes further on, in the interleaved order of the shards' transforms; each
+    round sorts them stably by the transform's byte and steps back. ``group`` numbers the intervals with a common prefix
+    of as many bytes as there were rounds.
     """
-    shift = np.concatenate([[0], np.cumsum([len(s.order) for s in shards])])
-    symbols = np.concatenate([s.symbols for s in shards])
-    back = np.concatenate([s.back + (s.back >= 0) * shift[i] for i, s in enumerate(shards)]).astype(np.int32 if shift[-1] < 1 << 31 else np.int64)
+    shift = np.concatenate([[0], np.cumsum([len(symbols) for symbols, _ in shards])])
+    kind = np.int32 if shift[-1] < 1 << 31 else np.int64
+    symbols = np.concatenate([symbols for symbols, _ in shards])
+    back = np.concatenate([steps_back(own) + shift[i] for i, (own, _) in enumerate(shards)]).astype(kind)
+    sizes = np.concatenate([own for _, own in shards])
+    # The last suffix of a shard's k-th context, its end alone, is the shard's k-th; a walk back from it meets the others.
+    end = np.concatenate([np.arange(len(own)) + shift[i] for i, (_, own) in enumerate(shards)])
+    starts = sizes - length + 1
+    begin = np.concatenate([[0], np.cumsum(starts)])
+
+    def walk(first: int, steps: int):
+        at, live = end, np.arange(len(sizes))
+        for step in range(steps):
+            if step >= first:
+                yield step, live, at
+            stays = step < sizes[live]
+            live, at = live[stays], back[at[stays]]
+
     current = []
-    for i, (s, own) in enumerate(zip(shards, ranges)):
-        places = np.concatenate([np.arange(lo, hi + 1) + length + b for (lo, hi), b in zip(own, s.begins.tolist())])
-        current.append(np.sort(s.rank[places]) + shift[i])
-    current = np.concatenate(current).astype(back.dtype)
-    group = np.zeros(len(current), back.dtype)
+    for step, which, at in walk(0, int(starts.max())):
+        current.append(at[starts[which] > step])
+    current = np.sort(np.concatenate(current)).astype(kind)
+    group = np.zeros(len(current), kind)
     for h in range(1, length + 1):
         byte = symbols[current]
         order = np.argsort(byte, kind="stable")
@@ -181,13 +206,13 @@ def repeated_starts(shards: list[ShardTransform], ranges: list[list[tuple[int, i
             current, fresh = current[stays], fresh[stays]
             if not len(current):
                 break
-        group = np.cumsum(fresh, dtype=back.dtype)
-    found = np.zeros(int(shift[-1]), bool)
-    found[current] = True
-    out = []
-    for i, (s, own) in enumerate(zip(shards, ranges)):
-        mine = found[shift[i] : shift[i + 1]][s.rank]
-        out.append([mine[b + lo : b + hi + 1] for (lo, hi), b in zip(own, s.begins.tolist())])
+        group = np.cumsum(fresh, dtype=kind)
+    out = np.zeros(int(begin[-1]), bool)
+    if len(current):
+        found = np.zeros(int(shift[-1]), bool)
+        found[current] = True
+        for step, which, at in walk(length, int(sizes.max()) + 1):  # the start ``step`` bytes before the end
+            out[begin[which] + sizes[which] - step] = found[at]
     return out
 
 
@@ -195,26 +220,28 @@ def repeated_starts(shards: list[ShardTransform], ranges: list[list[tuple[int, i
 
 
 #: Columns added to the documents' own, by names that those will not have.
-KEY, LOWS, HIGHS = "_repeat_key", "_repeat_lows", "_repeat_highs"
+KEY, KEY2, LOWS, HIGHS = "_repeat_key", "_repeat_key2", "_repeat_lows", "_repeat_highs"
+_KEYS = ("row_key", "row_key2")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumn(KEY, F.xxhash64(F.col(id_col), shared.text_or_empty(text_col)))
+    text = shared.text_or_empty(text_col)
+    return docs.withColumns({KEY: F.xxhash64(F.col(id_col), text), KEY2: F.xxhash64(F.lit(KEY2), text, F.col(id_col))})
 
 
-_RUNS = "row_key long, anchor long, lo int, hi int, kind int, number int, contexts int"
+_RUNS = "row_key long, row_key2 long, anchor long, lo int, hi int, kind int, number int, contexts int"
 
 
 def _rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    types = {"row_key": np.int64, "anchor": np.int64, "lo": np.int32, "hi": np.int32, "kind": np.int32, "number": np.int32, "contexts": np.int32}
+    types = {"row_key": np.int64, "row_key2": np.int64, "anchor": np.int64, "lo": np.int32, "hi": np.int32, "kind": np.int32, "number": np.int32, "contexts": np.int32}
     return pa.RecordBatch.from_arrays([pa.array(columns[k].astype(t) if columns[k].dtype != _U else columns[k].view(np.int64)) for k, t in types.items()], list(types))
 
 
 REPEAT, COMPARE = 1, 2
-_PACKED = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("row_key", "<i8"), ("lo", "<u4"), ("hi", "<u4"), ("many", "<u1")])
+_PACKED = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("row_key", "<i8"), ("row_key2", "<i8"), ("lo", "<u4"), ("hi", "<u4"), ("many", "<u1")])
 
 
-def anchor_table(rows: DataFrame, buckets: int) -> DataFrame:
+def anchor_table(rows: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
     """Runs that repeat in whole (kind REPEAT) and distinct contexts to compare (COMPARE, numbered within the anchor)."""
     spark = rows.sparkSession
 
@@ -222,13 +249,14 @@ def anchor_table(rows: DataFrame, buckets: int) -> DataFrame:
         # bucket -1 carries runs that repeat in whole already; the rest are packed by bucket.
         hasher = Hasher()
         for batch in batches:
-            keys = batch.column("row_key").to_numpy(zero_copy_only=False)
+            keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in _KEYS]
             packed = []
-            for data, offsets, text, shift in _parts(*utf8(batch.column("text"))):
-                runs = anchor_runs(hasher, data, offsets)
+            for data, offsets, text, shift in _parts(*utf8(batch.column("text")), length):
+                runs = anchor_runs(hasher, data, offsets, length)
                 own = np.zeros(len(runs["lo"]), _PACKED)
                 if len(own):
-                    own["anchor"], own["context"], own["row_key"] = runs["anchor"], runs["context"], keys[text[runs["text"]]]
+                    own["anchor"], own["context"] = runs["anchor"], runs["context"]
+                    own["row_key"], own["row_key2"] = (k[text[runs["text"]]] for k in keys)
                     own["lo"], own["hi"] = runs["lo"] + shift[runs["text"]], runs["hi"] + shift[runs["text"]]
                     packed.append(own)
             if not packed:
@@ -259,7 +287,7 @@ def anchor_table(rows: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield from _compared(np.concatenate(held))
 
-    dealt = rows.select("row_key", "text").mapInArrow(deal, "bucket long, runs binary")
+    dealt = rows.select(*_KEYS, "text").mapInArrow(deal, "bucket long, runs binary")
     # Runs that repeat already have any bucket: they are spread evenly.
     spread = F.when(F.col("bucket") < 0, F.xxhash64("runs")).otherwise(F.col("bucket"))
     dealt = dealt.repartition(min(buckets, shared.parallelism(spark) * 4), spread).sortWithinPartitions("bucket")
@@ -268,7 +296,7 @@ def anchor_table(rows: DataFrame, buckets: int) -> DataFrame:
 
 def _joined(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One run of each context, marked if there are more, and all runs of contexts with more than one."""
-    order = np.lexsort((own["lo"], own["row_key"], own["context"], own["anchor"]))
+    order = np.lexsort((own["lo"], own["row_key2"], own["row_key"], own["context"], own["anchor"]))
     own = own[order]
     first = np.concatenate([[True], (own["anchor"][1:] != own["anchor"][:-1]) | (own["context"][1:] != own["context"][:-1])])
     size = np.diff(np.append(np.flatnonzero(first), len(own)))
@@ -283,7 +311,7 @@ def _joined(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _whole(own: np.ndarray) -> pa.RecordBatch:
     zero = np.zeros(len(own), np.int32)
-    return _rows({"row_key": own["row_key"], "anchor": own["anchor"], "lo": own["lo"], "hi": own["hi"], "kind": zero + REPEAT, "number": zero, "contexts": zero})
+    return _rows({"row_key": own["row_key"], "row_key2": own["row_key2"], "anchor": own["anchor"], "lo": own["lo"], "hi": own["hi"], "kind": zero + REPEAT, "number": zero, "contexts": zero})
 
 
 def _compared(own: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -297,86 +325,140 @@ def _compared(own: np.ndarray) -> Iterator[pa.RecordBatch]:
     some = contexts > 1
     one = one[some]
     if len(one):
-        yield _rows({"row_key": one["row_key"], "anchor": one["anchor"], "lo": one["lo"], "hi": one["hi"], "kind": np.full(len(one), COMPARE), "number": number[some], "contexts": contexts[some]})
+        yield _rows({"row_key": one["row_key"], "row_key2": one["row_key2"], "anchor": one["anchor"], "lo": one["lo"], "hi": one["hi"], "kind": np.full(len(one), COMPARE), "number": number[some], "contexts": contexts[some]})
+
 
+_SHARDS = "slot long, shard int, blocks int, part int, symbols binary, contexts binary"
+_PLACES = np.dtype([("row_key", "<i8"), ("row_key2", "<i8"), ("lo", "<i4"), ("hi", "<i4")])
 
-def compare(runs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Repeated starts (row_key, lo, hi) among distinct contexts of one anchor, by merged transforms."""
+
+def shard_transforms(runs: DataFrame, rows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """A row for each shard of the contexts to compare: its transform and where its contexts stand.
+
+    An anchor with more than ``BLOCK`` contexts is a slot of its own, whose parts are its blocks; the others share slots.
+    """
     spark = rows.sparkSession
-    parts = shared.parallelism(spark) * 2
+    wanted = runs.filter(F.col("kind") == COMPARE)
+    size = wanted.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
+    slots, per_slot = max(1, -(-size // SLOT_BYTES)), SLOT_BYTES // SHARD_BYTES
+    per_block = BLOCK // SHARD_CONTEXTS
     blocks = F.ceil(F.col("contexts") / BLOCK).cast("int")
-    part = F.pmod(F.col("number"), blocks)
-    wanted = runs.filter(F.col("kind") == COMPARE).groupBy("row_key").agg(F.collect_list(F.struct("anchor", "lo", "hi", part.alias("part"), blocks.alias("blocks"))).alias("wanted"))
-    joined = rows.join(wanted.hint("shuffle_hash"), "row_key").select("row_key", F.col("text").cast("binary").alias("bytes"), F.explode("wanted").alias("w"))
-    cut = joined.select("row_key", "w.*", F.substring("bytes", F.col("w.lo") + 1, F.col("w.hi") - F.col("w.lo") + LENGTH).alias("context"))
-    cut = cut.dropDuplicates(["row_key", "anchor", "lo"])
-    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    hot = F.col("blocks") > 1
+    shuffled = F.xxhash64("row_key", "lo")
+    wanted = wanted.select(*_KEYS, "lo", "hi", "anchor", blocks.alias("blocks"), F.pmod("number", blocks).alias("part"), F.floor(F.col("number") / blocks).cast("int").alias("in_part"))
+    slot = F.when(hot, F.xxhash64("anchor", F.lit("hot"))).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(slots)))
+    shard = F.when(hot, F.col("part") * per_block + F.pmod("in_part", F.lit(per_block))).otherwise(F.pmod(shuffled, F.lit(per_slot)).cast("int"))
+    wanted = wanted.select(*_KEYS, F.struct("anchor", "lo", "hi", slot.alias("slot"), shard.alias("shard"), "blocks", "part").alias("w"))
+    wanted = wanted.groupBy(*_KEYS).agg(F.collect_list("w").alias("wanted"))  # no more than a text has anchors
+    joined = rows.join(wanted.hint("shuffle_hash"), [*_KEYS]).select(*_KEYS, F.col("text").cast("binary").alias("bytes"), F.explode("wanted").alias("w"))
+    cut = joined.select(*_KEYS, "w.*", F.substring("bytes", F.col("w.lo") + 1, F.col("w.hi") - F.col("w.lo") + length).alias("context"))
+    cut = cut.dropDuplicates([*_KEYS, "anchor", "lo"]).drop("anchor")
+    order = ["slot", "shard", "row_key", "row_key2", "lo"]
+    cut = cut.repartition(shared.parallelism(spark) * 2, "slot", "shard").sortWithinPartitions(*order)
+
+    def build(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+
+        def shard_row(held):
+            symbols = transform([h[4] for h in held])
+            places = np.array([h[:4] for h in held], _PLACES)
+            return pa.RecordBatch.from_pylist([{"slot": key[0], "shard": key[1], "blocks": key[2], "part": key[3], "symbols": pack(symbols.astype("<u2").tobytes() if symbols.itemsize == 2 else symbols.tobytes()), "contexts": places.tobytes()}], schema=schema)
+
+        schema = pa.schema([("slot", pa.int64()), ("shard", pa.int32()), ("blocks", pa.int32()), ("part", pa.int32()), ("symbols", pa.binary()), ("contexts", pa.binary())])
+        key, held, size = None, [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(n).to_pylist() for n in ("slot", "shard", "blocks", "part", "row_key", "row_key2", "lo", "hi", "context"))):
+                if held and (row[:4] != key or size > 2 * SHARD_BYTES):  # a full one is closed, and its rest is another
+                    yield shard_row(held)
+                    held, size = [], 0
+                key = row[:4]
+                held.append(row[4:])
+                size += len(row[8])
+        if held:
+            yield shard_row(held)
+
+    return cut.mapInArrow(build, _SHARDS)
+
+
+def compare(shards: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Repeated starts (row keys, lo, hi) among distinct contexts of one anchor, by merged transforms."""
+    spark = shards.sparkSession
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    paired = shards.select("*", other)
     x, y = F.least("part", "other"), F.greatest("part", "other")
-    # A hot anchor's pairs of blocks stand alone; other anchors share tasks by hash.
-    slot = F.when(F.col("blocks") > 1, F.xxhash64("anchor", x, y)).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(parts * 4)))
-    paired = paired.select(slot.alias("slot"), "row_key", "lo", "hi", "context").repartition(parts, "slot").sortWithinPartitions("slot", "row_key", "lo")
+    paired = paired.select("slot", F.when(F.col("blocks") > 1, x).otherwise(0).alias("x"), F.when(F.col("blocks") > 1, y).otherwise(0).alias("y"), "shard", "symbols", "contexts")
+    paired = paired.repartition(shared.parallelism(spark) * 2, "slot", "x", "y").sortWithinPartitions("slot", "x", "y", "shard")
 
-    def run(batches):
-        slot, held, size = None, [], 0
+    def merge(batches):
+        key, held = None, []
         for batch in batches:
-            for row in zip(*(batch.column(n).to_pylist() for n in ("slot", "row_key", "lo", "hi", "context"))):
-                if row[0] != slot and held:
-                    yield _merged(held)
+            for row in zip(*(batch.column(n).to_pylist() for n in ("slot", "x", "y", "symbols", "contexts"))):
+                if row[:3] != key and held:
+                    yield _merged(held, length)
                     held = []
-                slot = row[0]
-                held.append(row[1:])
+                key = row[:3]
+                held.append(row[3:])
         if held:
-            yield _merged(held)
-
-    return paired.mapInArrow(run, "row_key long, lo int, hi int")
-
-
-def _merged(held: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    shards, ranges, at, size = [[]], [[]], [], 0
-    for _, lo, hi, context in held:
-        if size > SHARD_BYTES:
-            shards.append([])
-            ranges.append([])
-            size = 0
-        at.append((len(shards) - 1, len(shards[-1])))
-        shards[-1].append(context)
-        ranges[-1].append((0, hi - lo))
-        size += len(context)
-    found = repeated_starts([ShardTransform(s) for s in shards], ranges)
-    rows = []
-    for (key, lo, _, _), (i, j) in zip(held, at):
-        hit = np.flatnonzero(np.diff(np.concatenate([[0], found[i][j].view(np.int8), [0]])))
-        rows += [(key, lo + a, lo + b - 1) for a, b in zip(hit[::2].tolist(), hit[1::2].tolist())]
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], ["row_key", "lo", "hi"])
-
-
-def _kept(raw: bytes, lows: list[int], highs: list[int]) -> tuple[bytes, int, int]:
-    """Bytes that no repeated string covers, and how many went in how many runs."""
-    kept, at, runs = [], 0, 0
+            yield _merged(held, length)
+
+    return paired.mapInArrow(merge, "row_key long, row_key2 long, lo int, hi int")
+
+
+def _merged(held: list[tuple[bytes, bytes]], length: int) -> pa.RecordBatch:
+    unpack = zstandard.ZstdDecompressor().decompress
+    shards, places = [], []
+    for symbols, contexts in held:
+        own = np.frombuffer(contexts, _PLACES)
+        sizes = own["hi"].astype(np.int64) - own["lo"] + length
+        raw = unpack(symbols)
+        shards.append((np.frombuffer(raw, np.uint8 if len(raw) == int(sizes.sum()) + len(own) else "<u2"), sizes))
+        places.append(own)
+    found, places = repeated_starts(shards, length), np.concatenate(places)
+    starts = places["hi"].astype(np.int64) - places["lo"] + 1
+    which = np.repeat(np.arange(len(places)), starts)
+    at = np.arange(len(found)) - np.repeat(np.cumsum(starts) - starts, starts) + places["lo"][which]
+    hit = np.flatnonzero(found)
+    first = np.ones(len(hit), bool)
+    first[1:] = (np.diff(hit) > 1) | (np.diff(which[hit]) > 0)
+    last = np.append(first[1:], True)[: len(hit)]
+    own = places[which[hit[first]]]
+    return pa.RecordBatch.from_arrays([pa.array(own["row_key"]), pa.array(own["row_key2"]), pa.array(at[hit[first]].astype(np.int32)), pa.array(at[hit[last]].astype(np.int32))], ["row_key", "row_key2", "lo", "hi"])
+
+
+def _kept(raw: bytes, lows: list[int], highs: list[int], length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
+    """Bytes that no repeated string covers, and how many went in how many runs; runs of fewer words stay."""
+    runs: list[list[int]] = []
     for lo, hi in sorted(zip(lows, highs)):
-        if lo > at or not runs:
-            runs += 1
+        if runs and lo <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], hi + length)
+        else:
+            runs.append([lo, hi + length])
+    if least_words:
+        runs = [r for r in runs if len(raw[r[0] : r[1]].split()) >= least_words]
+    kept, at = [], 0
+    for lo, end in runs:
         kept.append(raw[at:lo])
-        at = max(at, hi + LENGTH)
+        at = end
     kept.append(raw[at:])
     left = b"".join(kept)
-    return left, len(raw) - len(left), runs
+    return left, len(raw) - len(left), len(runs)
 
 
-def repeat_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with ``LOWS`` and ``HIGHS``: runs of repeated starts; null where there is none."""
+def repeat_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """The documents with ``LOWS`` and ``HIGHS``: runs of starts of repeated strings of ``length``; null where there is none."""
     spark = docs.sparkSession
-    shared.small_batches(spark, 2048)
+    shared.small_batches(spark)
     folder = shared.work_dir(spark, "bwt-dedup")
     keyed = _keyed(docs, id_col, text_col)
-    rows = keyed.select(F.col(KEY).alias("row_key"), shared.text_or_empty(text_col).alias("text"))
+    rows = keyed.select(F.col(KEY).alias("row_key"), F.col(KEY2).alias("row_key2"), shared.text_or_empty(text_col).alias("text"))
     n_rows = rows.count()
-    runs = shared.staged(spark, anchor_table(rows, max(1, n_rows // 8_000)), f"{folder}/runs")
-    found = shared.staged(spark, compare(runs, rows), f"{folder}/found")
-    spans = runs.filter(F.col("kind") == REPEAT).select("row_key", "lo", "hi").unionByName(found).distinct()
+    runs = shared.staged(spark, anchor_table(rows, max(1, n_rows // 8_000), length), f"{folder}/runs")
+    shards = shared.staged(spark, shard_transforms(runs, rows, length), f"{folder}/shards")
+    found = shared.staged(spark, compare(shards, length), f"{folder}/found")
+    spans = runs.filter(F.col("kind") == REPEAT).select(*_KEYS, "lo", "hi").unionByName(found).distinct()
     # Both lists are collected in one aggregate, so they stand in one order.
-    spans = spans.groupBy(F.col("row_key").alias(KEY)).agg(F.collect_list("lo").alias(LOWS), F.collect_list("hi").alias(HIGHS))
-    return keyed.join(spans.hint("shuffle_hash"), KEY, "left")
+    spans = spans.groupBy(F.col("row_key").alias(KEY), F.col("row_key2").alias(KEY2)).agg(F.collect_list("lo").alias(LOWS), F.collect_list("hi").alias(HIGHS))
+    return keyed.join(spans.hint("shuffle_hash"), [KEY, KEY2], "left")
 
 
 def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,25 +479,32 @@ def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the covered bytes gone from their text; bytes that no longer form a character go too."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, least_words: int = 0) -> DataFrame:
+    """The documents with the covered bytes gone from their text; bytes that no longer form a character go too.
+
+    With ``least_words``, only runs of covered bytes that hold or touch so many words go.
+    """
 
     @F.pandas_udf("string")
     def cut(text, lows, highs):
         import pandas as pd
 
         whole = lambda x: [] if x is None else list(x)
-        return pd.Series([t if lo is None else _kept(t.encode(), whole(lo), whole(hi))[0].decode(errors="ignore") for t, lo, hi in zip(text, lows, highs)])
+        return pd.Series([t if lo is None else _kept(t.encode(), whole(lo), whole(hi), length, least_words)[0].decode(errors="ignore") for t, lo, hi in zip(text, lows, highs)])
 
-    marked = repeat_runs(docs, id_col, text_col)
+    marked = repeat_runs(docs, id_col, text_col, length)
     text = F.when(F.col(LOWS).isNull(), F.col(text_col)).otherwise(cut(shared.text_or_empty(text_col), LOWS, HIGHS))
     return marked.withColumn(text_col, text).select(*docs.columns)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: repeated strings go, a document that had nothing else goes too, and n_chars follows the text."""
+    """Pipeline stage: repeated passages of more than 50 words go; a document that had nothing else goes too.
+
+    Passages are found as repeated strings of ``STAGE_LENGTH`` bytes and go if they have ``STAGE_WORDS`` words; n_chars
+    follows the text.
+    """
     had = docs.withColumn("_had_text", F.length(shared.text_or_empty()) > 0)
-    left = remove_repeats(had).filter(~F.col("_had_text") | (F.length(shared.text_or_empty()) > 0))
+    left = remove_repeats(had, length=STAGE_LENGTH, least_words=STAGE_WORDS).filter(~F.col("_had_text") | (F.length(shared.text_or_empty()) > 0))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast("long"))
     return left.select(*docs.columns)

@@ -89,7 +89,7 @@ _FORMATTED = pa.schema([("conv_id", pa.int64()), ("block", pa.int32()), ("format
 def format_conversations(turns: DataFrame, template: Callable[[Turns], str] = turn_template, loss_role: str = "assistant", block_turns: int = BLOCK_TURNS) -> DataFrame:
     """One row for each block of a conversation: the formatted text, the turns' spans and the loss mask."""
     spark = turns.sparkSession
-    shared.small_batches(spark, 1024)
+    shared.small_batches(spark)
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), shared.text_or_empty("role").alias("role"), shared.text_or_empty("text").alias("text"))
     rows = rows.repartition(shared.parallelism(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 

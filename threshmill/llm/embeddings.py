@@ -165,7 +165,7 @@ def compare_tiles(ids_a, sizes_a, a, ids_b, sizes_b, b, same: bool, axes: np.nda
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """Each row of the input as vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
-    shared.small_batches(spark, 2048)
+    shared.small_batches(spark)
     folder = shared.work_dir(spark, "embeddings")
     units = shared.staged(spark, clean(vectors, id_col, vector_col), f"{folder}/units")
     classes = units.filter("unit is not null and vec_id is not null").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
@@ -237,9 +237,7 @@ def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: f
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["rep", "n", "other"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     found = shared.staged(spark, both.mapInArrow(run, "rep long, n long, other long"), f"{folder}-links")
-    shared.small_batches(spark, 2048)
     return found.filter("n > 0").select("rep", "n"), found.filter("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
 

@@ -233,7 +233,7 @@ def extract(html: str | None) -> str:
 
 def with_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Adds ``text`` and ``n_chars`` (code points) to pages; a page at a time, without a shuffle."""
-    shared.small_batches(pages.sparkSession, 1024)
+    shared.small_batches(pages.sparkSession)
 
     @F.pandas_udf("string")
     def run(html):

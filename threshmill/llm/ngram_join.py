@@ -320,8 +320,6 @@ def holder_lists(signed: DataFrame, buckets: int) -> DataFrame:
         if tokens:
             yield from _lists(tokens, owners)
 
-    # Few bytes come of many rows: small batches keep the blobs near a megabyte, and many rows in each keep them few.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     dealt = signed.select("doc_id", "prefix").mapInArrow(deal, "bucket long, tokens binary, owners binary")
     dealt = dealt.repartition(min(buckets, shared.parallelism(spark) * 4), "bucket").sortWithinPartitions("bucket")
     lists = dealt.mapInArrow(gather, "k1 long, k2 long, ids array<long>")
@@ -425,7 +423,7 @@ def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row of the input as doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    shared.small_batches(spark, 512)
+    shared.small_batches(spark)
     folder = shared.work_dir(spark, "ngram-join")
     rows = _docs(docs, id_col, text_col)
     n_rows = rows.count()
@@ -437,10 +435,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     chosen = signed.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     buckets = max(1, n_rows // 8_000)
     lists = shared.staged(spark, holder_lists(chosen, buckets), f"{folder}/lists")
-    shared.small_batches(spark, 512)
     coarse = components(spark, candidate_edges(lists, chosen.select("doc_id", "n", "bitmap")))
     clusters = coarse.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-    shared.small_batches(spark, 256)
     links = shared.staged(spark, exact_edges(clusters, rows), f"{folder}/links")
     joined = components(spark, links)
     placed = classes.join(joined, classes["rep"] == joined["node"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))

@@ -93,7 +93,7 @@ class Packer:
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
     """Pieces of all documents with their place in a sequence; memory holds one batch and a bin of each class."""
-    shared.small_batches(docs.sparkSession, 1024)
+    shared.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), shared.text_or_empty(text_col).alias("text"))
 
     def run(batches):

@@ -66,6 +66,10 @@ def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound Arrow batches, so that long texts do not pile up in one: by bytes where Spark can, and by rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Bytes of an Arrow batch.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, so that long texts do not pile up in one. All operators set the same bound."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -198,7 +198,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     half shard, and a second attempt makes the same bytes.
     """
     spark = docs.sparkSession
-    shared.small_batches(spark, 1024)
+    shared.small_batches(spark)
     parts = shards or shared.parallelism(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), shared.text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))

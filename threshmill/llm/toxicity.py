@@ -153,7 +153,7 @@ def fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 0.5, rounds: in
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """(patterns, weights) from a bounded sample of the labelled rows that are not held out."""
     spark = docs.sparkSession
-    shared.small_batches(spark, 1024)
+    shared.small_batches(spark)
     known = labels.filter(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic"))
     taken = known.orderBy(F.xxhash64(id_col), id_col).limit(sample_rows)  # so many rows at most: safe to broadcast
     rows = docs.select(F.col(id_col), shared.text_or_empty(text_col).alias("text")).join(F.broadcast(taken), id_col).select("toxic", "text")
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
     """Adds ``held_out``, ``score`` and ``predicted`` to documents, under a prefix if there is one."""
-    shared.small_batches(docs.sparkSession, 1024)
+    shared.small_batches(docs.sparkSession)
     names, weights = model
 
     @F.pandas_udf("double")
