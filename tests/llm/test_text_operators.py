@@ -154,14 +154,25 @@ def test_fingerprint_query(spark, sf_dir):
     assert worse <= 0.02 * len(rows)
 
 
-def test_fingerprints_of_odd_rows(spark, monkeypatch):
-    monkeypatch.setattr(syncmers, "RUN_ROWS", 2)
-    rows = [(5, "a b"), (None, None), (1, ""), (1, ""), (9, "x" * 9), (200, "one two three")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+@pytest.mark.parametrize("ids", [[5, None, 1, 1, 9, 200], [None, None, None], [7], [-(1 << 63), (1 << 63) - 1, 0, *range(40), 1 << 61], [3] * 60 + [1, 2, 4, 5] * 3])
+def test_next_rows_of_odd_identifiers(spark, monkeypatch, ids):
+    monkeypatch.setattr(syncmers, "RUN_SAMPLE", 2)
+    rows = [(i, None if n % 5 == 4 else f"text {n // 2}", "c", "d") for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, run string, followed string").withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     order = [r.text for r in df.orderBy(F.col("doc_id").asc_nulls_first(), "tie").collect()]
-    nexts = syncmers.with_next(df, "doc_id", ["text"]).collect()
-    assert sorted((str(r.text), str(r.next_text)) for r in nexts) == sorted((str(a), str(b)) for a, b in zip(order, order[1:] + order[:1]))
-    assert syncmers.with_next(df.filter("false"), "doc_id", ["text"]).count() == 0
+    out = syncmers.with_next(df, "doc_id", "tie", ["text"])
+    assert out.columns == [*df.columns, "next_text"]
+    assert sorted((str(r.text), str(r.next_text)) for r in out.collect()) == sorted((str(a), str(b)) for a, b in zip(order, order[1:] + order[:1]))
+    assert syncmers.with_next(df.filter("false"), "doc_id", "tie", ["text"]).count() == 0
+
+
+def test_runs_are_even(spark):
+    """Clustered, wide and frequent identifiers alike fill runs evenly."""
+    ids = [*range(3000), 1 << 61, *[77] * 3000]
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "doc_id long, n long").withColumn("tie", F.xxhash64("n"))
+    cuts = syncmers.run_cuts(df, "doc_id", 32)
+    sizes = [r["count"] for r in df.groupBy(syncmers.run_of(F.col("doc_id"), F.col("tie"), cuts)).count().collect()]
+    assert len(sizes) >= 20 and max(sizes) < 4 * len(ids) / 32
 
 
 # --- 6

@@ -24,8 +24,8 @@ PIECE = 4
 WINDOW = 8
 SHORT = 4 * WINDOW
 SKETCH = 64
-#: Documents that a window of the next-document step holds on average.
-RUN_ROWS = 1024
+#: Runs of the next-document step for each shuffle partition, and sampled identifiers for each run.
+RUNS, RUN_SAMPLE = 8, 16
 
 
 def _let(value: Column, body) -> Column:
@@ -93,28 +93,71 @@ def match_offset(a: Column, b: Column) -> Column:
     return F.element_at(F.array_sort(counted), 1)["shift"]
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+#: Columns added to the documents' own, by names that those will not have.
+RUN, FOLLOWED, HEAD = "_next_run", "_next_followed", "_next_head"
+
+
+def run_cuts(docs: DataFrame, id_col: str, runs: int) -> list[int]:
+    """Ascending identifiers at which runs begin, the smallest first, from a bounded sample of them.
+
+    An identifier that many rows have may stand there more than once.
+    """
+    n, least = docs.agg(F.count(id_col), F.min(id_col)).first()
+    if not n:
+        return []
+    sample = docs.select(id_col).filter(F.col(id_col).isNotNull() & (F.rand(17) < min(1.0, runs * RUN_SAMPLE / n)))
+    found = sorted(r[0] for r in sample.limit(2 * runs * RUN_SAMPLE).collect())  # some ``RUN_SAMPLE`` for each run
+    return [least, *found[RUN_SAMPLE::RUN_SAMPLE]]
+
+
+def run_of(value: Column, tie: Column, cuts: list[int]) -> Column:
+    """The run of a row: 0 without an identifier, else the number of cuts up to it, by binary search.
+
+    Rows of one identifier with several cuts are dealt over their runs by ranges of the tie, a hash.
+    """
+    depth = len(cuts).bit_length()
+    places = F.lit([*cuts, *[(1 << 63) - 1] * ((1 << depth) - len(cuts))])
+    steps = F.lit([1 << i for i in reversed(range(depth))])
+
+    def count(before) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(before(F.get(places, at + step - 1)), step).otherwise(0))
+
+    upto = F.least(count(lambda cut: cut <= value), F.lit(len(cuts)))
+    if len(set(cuts)) < len(cuts):
+        below = count(lambda cut: cut < value)
+        many = upto - below
+        part = F.floor((tie.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64) * many).cast("int")
+        upto = F.when(many > 1, below + 1 + F.least(part, many - 1)).otherwise(upto)
+    return F.when(value.isNull(), 0).otherwise(upto)
+
+
+def with_next(docs: DataFrame, id_col: str, tie: str, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Adds ``next_<column>`` of the row that follows by (identifier, tie), the first row's to the last.
 
-    Rows are dealt by runs of identifiers, whose width is that of ``RUN_ROWS`` rows on average, and led within a run, in one
-    exchange. The first and last row of each run are found by an aggregate, and a run's last row meets the first of the
-    following run. ``derive`` adds columns, before the exchange or, to firsts and lasts, after the aggregate.
+    Rows are dealt by ranges of identifiers whose cuts come from a sample, so that clustered, wide or frequent identifiers
+    fill no single run; there are ``RUNS`` for each shuffle partition. One exchange brings a run together, where a window
+    leads within it, and an aggregate over the same exchange finds its first row for the last of the run before. Of rows
+    alike in identifier and tie, all stand in one run. ``derive`` adds columns before the exchange.
     """
-    low, high, n = docs.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
-    width = max(1, ((high or 0) - (low or 0) + 1) * RUN_ROWS // max(1, n))
-    run = F.coalesce(F.floor((F.col(id_col) - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1)) if low is not None else F.lit(-1)
-    placed = docs.withColumn("run", run)
-    order = Window.partitionBy("run").orderBy(F.col(id_col).asc_nulls_first(), "tie")
-    main = derive(placed)
-    led = main.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns), F.lead(F.lit(True)).over(order).alias("followed"))
-    within = led.filter("followed").drop("followed", "run")
-    row, key = F.struct(*docs.columns), F.struct(id_col, "tie")
-    ends = placed.groupBy("run").agg(F.min_by(row, key).alias("head"), F.max_by(row, key).alias("last"))
-    heads = derive(ends.select("run", "head.*")).select(F.col("run").alias("then"), *(F.col(c).alias(f"next_{c}") for c in columns))
-    following = placed.select("run").distinct()
-    following = following.select("run", F.coalesce(F.lead("run").over(Window.orderBy("run")), F.min("run").over(Window.partitionBy())).alias("then"))
-    lasts = derive(ends.select("run", "last.*")).join(following, "run").drop("run")
-    return within.unionByName(lasts.join(heads, "then").drop("then"))
+    partitions = shared.parallelism(docs.sparkSession)
+    cuts = run_cuts(docs, id_col, partitions * RUNS)
+    run = run_of(F.col(id_col), F.col(tie), cuts)
+    if len(set(cuts)) < len(cuts):  # parts of an identifier may be empty; there are as many rows as runs
+        there = sorted(r[0] for r in docs.select(run.alias(RUN)).distinct().collect())
+    else:
+        there = [0] * bool(docs.filter(F.col(id_col).isNull()).limit(1).count()) + [*range(1, len(cuts) + 1)]
+    before = [0] * (len(cuts) + 1)
+    for i, r in enumerate(there):
+        before[r] = there[i - 1]
+    main = derive(docs.withColumn(RUN, run)).repartition(partitions, RUN)
+    heads = main.groupBy(RUN).agg(F.min_by(F.struct(*main.columns), F.struct(id_col, tie)).alias(HEAD))
+    heads = heads.select(F.get(F.lit(before), F.col(RUN)).alias("_next_of"), HEAD)
+    order = Window.partitionBy(RUN).orderBy(F.col(id_col).asc_nulls_first(), tie)
+    led = main.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns), F.lead(F.lit(True)).over(order).alias(FOLLOWED))
+    joined = led.join(heads.hint("shuffle_hash"), (F.col(RUN) == F.col("_next_of")) & F.col(FOLLOWED).isNull(), "left")
+    for c in columns:
+        joined = joined.withColumn(f"next_{c}", F.when(F.col(FOLLOWED), F.col(f"next_{c}")).otherwise(F.col(HEAD)[c]))
+    return joined.drop(RUN, FOLLOWED, HEAD, "_next_of")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -125,7 +168,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: fingerprints of all ``documents`` and of their edited texts, and their likeness."""
     rows = shared.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), shared.text_or_empty().alias("text"))
-    rows = with_next(rows.withColumn("tie", F.xxhash64("text")), "doc_id", ["text", "sketch"], lambda df: df.withColumn("sketch", sketch(F.col("text"))))
+    rows = with_next(rows.withColumn("tie", F.xxhash64("text")), "doc_id", "tie", ["text", "sketch"], lambda df: df.withColumn("sketch", sketch(F.col("text"))))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
