@@ -210,9 +210,11 @@ def variants(rng):
     return texts + [prose(rng, 60) + " " + passage for _ in range(60)] + [texts[50]] * 15
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_jaccard(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "shingles", "holders"), [(1024, 1 << 20, 256), (8, 1 << 20, 4), (1024, 2000, 16)])
+def test_jaccard(spark, monkeypatch, block, shingles, holders):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
+    monkeypatch.setattr(ngram_join, "HOLDER_BLOCK", holders)
     rows = list(enumerate(variants(np.random.default_rng(8))))
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k1", F.lit("clash")).repartition(3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()}
@@ -233,14 +235,28 @@ def test_repeated_and_null_ids(spark):
 
 def test_divide_skip_counts():
     rng = np.random.default_rng(9)
-    for _ in range(60):
-        lists = [(np.unique(rng.integers(0, 80, rng.integers(1, 60))), int(rng.integers(1, 4))) for _ in range(int(rng.integers(1, 12)))]
-        total = Counter()
-        for ids, w in lists:
-            for i in ids.tolist():
-                total[i] += w
+    for _ in range(100):
+        lists = [np.unique(rng.integers(0, 80, rng.integers(1, 60))) for _ in range(int(rng.integers(1, 12)))]
+        size = np.array([len(x) for x in lists])
+        total = Counter(i for ids in lists for i in ids.tolist())
         need = int(rng.integers(1, 12))
-        assert ngram_join.divide_skip(lists, need) == {i: c for i, c in total.items() if c >= need}
+        found, count = ngram_join.divide_skip(np.concatenate(lists), np.cumsum(size) - size, size, need)
+        assert dict(zip(found.tolist(), count.tolist())) == {i: c for i, c in total.items() if c >= need}
+
+
+def test_search_finds_all_components():
+    rng = np.random.default_rng(11)
+    for _ in range(20):
+        base = [np.unique(rng.integers(0, 1 << 40, rng.integers(1, 60)).astype(np.uint64)) for _ in range(4)]
+        sets = []
+        for _ in range(60):
+            own = base[int(rng.integers(0, 4))]
+            own = own[rng.random(len(own)) > rng.choice([0, 0.05, 0.12, 0.3])]
+            sets.append(np.unique(np.concatenate([own, rng.integers(0, 1 << 40, rng.integers(0, 6)).astype(np.uint64), base[0][:1]])))
+        sets.sort(key=len)
+        links = [(i, j) for j in range(len(sets)) for i in range(j) if ngram_join.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))]
+        found = ngram_join.search(sets)
+        assert set(map(tuple, map(sorted, found))) <= set(links) and roots(range(len(sets)), found) == roots(range(len(sets)), links)
 
 
 def test_candidates_lose_no_link():

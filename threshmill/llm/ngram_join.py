@@ -8,10 +8,12 @@ Links texts whose shingle sets have a Jaccard similarity of at least ``THRESHOLD
    first fifths are dealt by shingle as packed blobs, and each shingle with two holders or more gives a list of holders.
 3. Holders carry a parity bitmap of their set. Bits that differ bound the sets' difference from below, so pairs that
    cannot link are cut off; the lists leave spanning edges of what may link, whose components are small clusters.
-4. In each cluster an exact T-occurrence search runs. DivideSkip sets long inverted lists aside, heap-merges the short
-   ones and probes the long ones by binary search; what reaches the required overlap is compared exactly. A text that
-   links to its component's first text joins at once, and only pairs across components are searched further. A cluster
-   of more than ``BLOCK`` texts is dealt as pairs of blocks, so that any task is bounded.
+4. In each cluster an exact T-occurrence search runs. DivideSkip sets a text's long inverted lists aside, heap-merges the
+   short ones and probes the long ones by binary search; what reaches the required overlap is linked. A text first asks
+   the lists of the texts that opened the components so far, and only texts outside the largest component ask all.
+
+A shingle with more than ``HOLDER_BLOCK`` holders or a cluster of more than ``BLOCK`` texts is dealt as pairs of blocks,
+so that any task is bounded.
 
 No pair is listed within a group, nothing but the frequent shingles of the bounded sample is broadcast, and results
 of each step are written to the shared folder.
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threshmill.llm import shared
@@ -37,11 +39,12 @@ from threshmill.llm.tokens import utf8
 
 WORDS = 5
 THRESHOLD = 80
-BLOCK = 1024
-#: Texts that open a component with which each further text is compared at once.
-FIRSTS = 16
-#: Texts in the sample that tells which shingles are frequent, and from how many of them on one is.
-SAMPLE_TEXTS, FREQUENT = 2_000, 4
+#: Texts and shingles of a cluster, and holders of a shingle, in a block; larger groups are dealt as pairs of blocks.
+BLOCK, BLOCK_SHINGLES, HOLDER_BLOCK = 1024, 1 << 20, 256
+#: Texts whose lists are asked at a time for links across components.
+ASKED = 64
+#: Texts in the sample that tells which shingles are frequent, from how many of them on one is, and how many are sent out.
+SAMPLE_TEXTS, FREQUENT, FREQUENT_SENT = 2_000, 4, 1 << 16
 #: Column of the pipeline stage that numbers the rows.
 ROW = "_ngram_row"
 _U = np.uint64
@@ -127,112 +130,131 @@ def candidates(maps: list[bytes], sizes: np.ndarray) -> list[tuple[int, int]]:
 # --- T-occurrence
 
 
-#: Entries of short lists up to which a heap merges them; longer ones are merged by one sort.
-HEAP_ENTRIES = 256
-
-
-def _merge(lists: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of ascending lists, ascending, and the sum of the weights of the lists that hold each."""
-    if sum(len(ids) for ids, _ in lists) > HEAP_ENTRIES:
-        ids = np.concatenate([ids for ids, _ in lists])
-        weights = np.bincount(ids, np.repeat([float(w) for _, w in lists], [len(i) for i, _ in lists]))
-        found = np.flatnonzero(weights)
-        return found, weights[found].astype(np.int64)
-    out: list[list[int]] = []
-    for i, w in heapq.merge(*([(i, w) for i in ids.tolist()] for ids, w in lists)):
-        if out and out[-1][0] == i:
-            out[-1][1] += w
+def heap_merge(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of ascending lists, ascending, and how many lists hold each."""
+    found, count, last = [], [], -1
+    for i in heapq.merge(*lists):
+        if i == last:
+            count[-1] += 1
         else:
-            out.append([i, w])
-    return np.array([i for i, _ in out], np.int64), np.array([w for _, w in out], np.int64)
-
-
-def divide_skip(lists: list[tuple[np.ndarray, int]], need: int, wanted=None) -> dict[int, int]:
-    """Occurrences of the ids that reach ``need``; lists are (ascending ids, weight), a weight counting equal lists.
-
-    ``wanted`` keeps, of an array of ids, those still worth probing.
+            found.append(i)
+            count.append(1)
+            last = i
+    return np.array(found, np.int64), np.array(count, np.int64)
+
+
+def probe(ids: np.ndarray, begin: np.ndarray, size: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Of each wanted id, how many of the lists ids[begin:begin+size] hold it, by binary search in all of them at once."""
+    low = np.broadcast_to(begin, (len(wanted), len(begin)))
+    high = low + size
+    end, own = high, wanted[:, None]
+    for _ in range(int(size.max()).bit_length()):
+        middle = low + high >> 1
+        less = ids[np.minimum(middle, end - 1)] < own
+        low, high = np.where(less & (low < high), middle + 1, low), np.where(less, high, middle)
+    return ((low < end) & (ids[np.minimum(low, end - 1)] == own)).sum(1)
+
+
+def divide_skip(ids: np.ndarray, begin: np.ndarray, size: np.ndarray, need: int, wanted=None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids that at least ``need`` of the ascending lists ids[begin:begin+size] hold, none empty, and how many do.
+
+    The longest lists, one fewer than needed, are set aside: an id that is wanted stands in another. The short ones are
+    merged by a heap, and the long ones probed by binary search for what can still reach the need. ``wanted`` tells of an
+    array of ids which are worth probing.
     """
-    lists = sorted(lists, key=lambda x: -len(x[0]))
-    long_weight = cut = 0
-    while cut < len(lists) and len(lists[cut][0]) > 8 and long_weight + lists[cut][1] < need:
-        long_weight += lists[cut][1]
-        cut += 1
-    ids, count = _merge(lists[cut:])
-    live = count >= need - long_weight
+    order = np.argsort(-size, kind="stable")
+    long, short = order[: need - 1], order[need - 1 :]
+    found, count = heap_merge([ids[b : b + n].tolist() for b, n in zip(begin[short].tolist(), size[short].tolist())])
+    live = count >= need - len(long)
     if wanted is not None and live.any():
-        live &= wanted(ids)
-    ids, count = ids[live], count[live]
-    for long, weight in reversed(lists[:cut]):  # what can no longer reach the need is not probed again
-        if not len(ids):
-            break
-        at = np.minimum(np.searchsorted(long, ids), len(long) - 1)
-        count = count + weight * (long[at] == ids)
-        long_weight -= weight
-        live = count >= need - long_weight
-        ids, count = ids[live], count[live]
-    return {int(i): int(c) for i, c in zip(ids, count) if c >= need}
-
-
-def search(sets: list[np.ndarray], left: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Spanning links of the sets; with ``left``, only pairs of one set where it is true and one where it is not count."""
+        live &= wanted(found)
+    found, count = found[live], count[live]
+    if len(long) and len(found):
+        count = count + probe(ids, begin[long], size[long], found)
+        found, count = found[count >= need], count[count >= need]
+    return found, count
+
+
+class InvertedLists:
+    """Lists of the sets that hold a token, for tokens that two or more sets hold; filled set by set, in place."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        edges = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        tokens, index, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.sets = [own[holders[own] > 1] for own in (index[a:b].astype(np.int32) for a, b in zip(edges[:-1], edges[1:]))]
+        self.begin = np.concatenate([[0], np.cumsum(np.where(holders > 1, holders, 0))])
+        self.size = np.zeros(len(tokens), np.int64)
+        self.ids = np.zeros(int(self.begin[-1]), np.int32)
+
+    def add(self, i: int) -> None:
+        """Sets are added in ascending order, so lists ascend."""
+        own = self.sets[i]
+        self.ids[self.begin[own] + self.size[own]] = i
+        self.size[own] += 1
+
+    def clear(self) -> None:
+        self.size[:] = 0
+
+    def ask(self, i: int, need: int, wanted) -> tuple[np.ndarray, np.ndarray]:
+        """Sets added that hold at least ``need`` tokens of a set, and how many."""
+        own = self.sets[i]
+        own = own[self.size[own] > 0]
+        if len(own) < need:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return divide_skip(self.ids, self.begin[own], self.size[own], need, wanted)
+
+
+def search(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Spanning links of the sets, by T-occurrence search.
+
+    First each set in turn asks the lists of the openers, that is of sets before it that linked to no opener or to
+    several; what links to one joins it. Then each set outside the largest component asks the lists of all
+    sets, ``ASKED`` of them at a time, for links across components, and is done with what it has joined.
+    """
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     union, edges = Union(n), []
+    lists = InvertedLists(sets)
 
-    def pair(i: int, j: int) -> bool:
-        return left is None or left[i] != left[j]
-
-    def link(i: int, j: int) -> None:
-        union.join(i, j)
-        edges.append((i, j))
-
-    firsts: list[int] = []
-    for j in range(n):
-        for i in firsts[:FIRSTS]:
-            if pair(i, j) and 100 * min(sizes[i], sizes[j]) >= THRESHOLD * max(sizes[i], sizes[j]) and linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), int(sizes[i]), int(sizes[j])):
-                link(i, j)
-                break
-        else:
-            firsts.append(j)
-    roots = np.array([union.root(i) for i in range(n)])
-    largest = int(np.bincount(roots).argmax())
-    queries = np.flatnonzero(roots != largest)
-    if not len(queries):
-        return edges
-    # Inverted lists; equal ones are one with a weight.
-    tokens = np.concatenate(sets)
-    owner = np.repeat(np.arange(n), sizes)
-    order = np.argsort(tokens, kind="stable")
-    tokens, owner = tokens[order], owner[order]
-    begin = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-    end = np.append(begin[1:], len(tokens))
-    lists_of: list[dict[bytes, list]] = [{} for _ in range(n)]
-    wanted = np.zeros(n, bool)
-    wanted[queries] = True
-    for a, b in zip(begin[end - begin > 1].tolist(), end[end - begin > 1].tolist()):
-        ids = owner[a:b]
-        asking = ids[wanted[ids]]
-        if len(asking):
-            key = ids.tobytes()
-            for q in asking.tolist():
-                lists_of[q].setdefault(key, [ids, 0])[1] += 1
-    for q in queries.tolist():
-        own = union.root(q)
-        if own == union.root(largest):  # joined since; texts of other components ask for it
-            continue
-        need = max(1, -(-THRESHOLD * int(sizes[q]) // 100))
-
+    def ask(q: int, across: bool) -> None:
         def wanted(ids: np.ndarray) -> np.ndarray:
             fits = (ids != q) & (100 * np.minimum(sizes[ids], sizes[q]) >= THRESHOLD * np.maximum(sizes[ids], sizes[q]))
-            if left is not None:
-                fits &= left[ids] != left[q]
-            for at in np.flatnonzero(fits).tolist():
-                fits[at] = union.root(int(ids[at])) != own
+            if across and fits.any():
+                own = union.root(q)
+                fits &= np.array([union.root(i) != own for i in ids.tolist()])
             return fits
 
-        for i, count in divide_skip(list(map(tuple, lists_of[q].values())), need, wanted).items():
+        need = max(1, -(-THRESHOLD * int(sizes[q]) // 100))
+        for i, count in zip(*(x.tolist() for x in lists.ask(q, need, wanted))):
             if union.root(i) != union.root(q) and linked(count, int(sizes[i]), int(sizes[q])):
-                link(i, q)
+                union.join(i, q)
+                edges.append((i, q))
+
+    openers: list[int] = []
+    for q in range(n):
+        before = len(edges)
+        ask(q, False)
+        if len(edges) - before != 1:  # it opens a component, or joins several and speaks for them from now on
+            openers.append(q)
+            lists.add(q)
+            one_each = {union.root(i): i for i in openers}
+            if len(openers) > 2 * len(one_each):
+                openers = sorted(one_each.values())
+                lists.clear()
+                for i in openers:
+                    lists.add(i)
+    roots = np.array([union.root(i) for i in range(n)])
+    largest = int(np.bincount(roots).argmax())
+    queries = np.flatnonzero(roots != largest).tolist()
+    for a in range(0, n if queries else 0, ASKED):
+        lists.clear()
+        for i in range(a, min(n, a + ASKED)):
+            lists.add(i)
+        there = {union.root(i) for i in range(a, min(n, a + ASKED))}
+        for q in queries:
+            # What has joined the largest component is asked for by the sets of other components.
+            if union.root(q) != union.root(largest) and there != {union.root(q)}:
+                ask(q, True)
     return edges
 
 
@@ -244,7 +266,10 @@ def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def frequent_shingles(rows: DataFrame, n_rows: int) -> np.ndarray:
-    """Shingles of at least ``FREQUENT`` of about ``SAMPLE_TEXTS`` sampled texts; as many as the sample holds over FREQUENT at most."""
+    """The most frequent shingles that at least ``FREQUENT`` of about ``SAMPLE_TEXTS`` sampled texts hold, ``FREQUENT_SENT`` at most.
+
+    They only order a set's prefix: one that is left out costs time and loses no link.
+    """
     share = min(1.0, SAMPLE_TEXTS / max(1, n_rows))
     sample = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
@@ -256,7 +281,7 @@ def frequent_shingles(rows: DataFrame, n_rows: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "n"])
 
     counted = sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
-    found = np.array([r.h for r in counted.select("h").collect()], np.int64).view(np.uint64)
+    found = np.array([r.h for r in counted.orderBy(F.desc("n"), "h").limit(FREQUENT_SENT).select("h").collect()], np.int64).view(np.uint64)
     return np.sort(found)
 
 
@@ -365,15 +390,23 @@ def _edges(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.int64())], ["a", "b"])
 
 
+def _paired(blocks: Column, part: Column) -> Column:
+    """The pairs of blocks (x, y) to which a row of a part goes: each with another, or its own where there is one."""
+    other = F.filter(F.sequence(F.lit(0), blocks - 1), lambda o: (o != part) | (blocks == 1))
+    return F.transform(other, lambda o: F.struct(F.least(o, part).alias("x"), F.greatest(o, part).alias("y")))
+
+
 def candidate_edges(lists: DataFrame, signed: DataFrame) -> DataFrame:
-    """Spanning edges, within each list of holders, of the pairs that the bitmaps let link."""
+    """Spanning edges, within each list of holders, of the pairs that the bitmaps let link; long lists by pairs of blocks."""
     spark = lists.sparkSession
-    held = lists.select("k1", "k2", F.explode("ids").alias("doc_id")).join(signed.select("doc_id", "n", "bitmap"), "doc_id")
-    held = held.repartition(shared.parallelism(spark) * 2, "k1", "k2").sortWithinPartitions("k1", "k2")
+    blocks = F.ceil(F.size("ids") / HOLDER_BLOCK).cast("int")
+    held = lists.select("k1", "k2", blocks.alias("blocks"), F.posexplode("ids").alias("place", "doc_id")).join(signed.select("doc_id", "n", "bitmap"), "doc_id")
+    held = held.select("k1", "k2", "doc_id", "n", "bitmap", F.explode(_paired(F.col("blocks"), F.pmod("place", "blocks"))).alias("at"))
+    held = held.select("k1", "k2", "at.x", "at.y", "doc_id", "n", "bitmap").repartition(shared.parallelism(spark) * 2, "k1", "k2", "x", "y").sortWithinPartitions("k1", "k2", "x", "y", "doc_id")
 
     def run(batches):
         out = []
-        for _, (ids, sizes, maps) in _groups(batches, ["k1", "k2"], ["doc_id", "n", "bitmap"]):
+        for _, (ids, sizes, maps) in _groups(batches, ["k1", "k2", "x", "y"], ["doc_id", "n", "bitmap"]):
             out += [(ids[i], ids[j]) for i, j in candidates(maps, np.array(sizes, np.int64))]
             if len(out) > 10_000:
                 yield _edges(out)
@@ -385,15 +418,15 @@ def candidate_edges(lists: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
-    """Spanning links within clusters (doc_id, cluster), by T-occurrence search on the whole sets."""
+    """Spanning links within clusters (doc_id, n, cluster), by T-occurrence search on the whole sets."""
     spark = rows.sparkSession
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     part = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int")
-    placed = clusters.join(sizes, "cluster").select("doc_id", "cluster", "blocks", part.alias("part"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    placed = clusters.join(sizes, "cluster").select("doc_id", "cluster", F.explode(_paired(F.col("blocks"), part)).alias("at"))
+    placed = placed.groupBy("doc_id").agg(F.collect_list(F.struct("cluster", "at.x", "at.y")).alias("at"))  # a cluster's pairs of one block
     # Whatever the size, the clusters' rows are the side that is built, so the plan is the same at every scale.
-    placed = rows.join(placed.hint("shuffle_hash"), "doc_id").select("cluster", "doc_id", "part", "text", other)
-    placed = placed.select("cluster", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "doc_id", "text")
+    placed = rows.join(placed.hint("shuffle_hash"), "doc_id").select("doc_id", "text", F.explode("at").alias("at"))
+    placed = placed.select("at.cluster", "at.x", "at.y", "doc_id", "text")
     placed = placed.repartition(shared.parallelism(spark) * 2, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "doc_id")
 
     def run(batches):
@@ -404,13 +437,11 @@ def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
             for batch in batches:
                 hashes, edges = hasher.sets(*utf8(batch.column("text")), WORDS)
                 sets = [hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("cluster", "x", "y", "part", "doc_id")), pa.array(sets, pa.binary())], ["cluster", "x", "y", "part", "doc_id", "set"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("cluster", "x", "y", "doc_id")), pa.array(sets, pa.binary())], ["cluster", "x", "y", "doc_id", "set"])
 
-        for (_, x, y), (parts, ids, sets) in _groups(hashed(), ["cluster", "x", "y"], ["part", "doc_id", "set"]):
+        for _, (ids, sets) in _groups(hashed(), ["cluster", "x", "y"], ["doc_id", "set"]):
             order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-            left = None if x == y else np.array([parts[i] == x for i in order])
-            found = search([np.frombuffer(sets[i], np.uint64) for i in order], left)
-            out += [(ids[order[i]], ids[order[j]]) for i, j in found]
+            out += [(ids[order[i]], ids[order[j]]) for i, j in search([np.frombuffer(sets[i], np.uint64) for i in order])]
             if len(out) > 10_000:
                 yield _edges(out)
                 out = []
@@ -436,7 +467,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = max(1, n_rows // 8_000)
     lists = shared.staged(spark, holder_lists(chosen, buckets), f"{folder}/lists")
     coarse = components(spark, candidate_edges(lists, chosen.select("doc_id", "n", "bitmap")))
-    clusters = coarse.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    clusters = chosen.select("doc_id", "n").join(coarse.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
     links = shared.staged(spark, exact_edges(clusters, rows), f"{folder}/links")
     joined = components(spark, links)
     placed = classes.join(joined, classes["rep"] == joined["node"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
