@@ -65,6 +65,53 @@ def test_whole_article(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<p data-id='comment'>{PROSE}</p>", PROSE.strip()),
+        (f"<p data-class=ad aria-label='hidden menu' title='id=ad'>{PROSE}</p>", PROSE.strip()),
+        (f"<div class='story related-work'><p>{PROSE}</p><p>and so on</p></div>", f"{PROSE.strip()}\nand so on"),
+        (f"<div id='notice-board-news'><p>{PROSE}</p></div><p>short</p>", f"{PROSE.strip()}\nshort"),
+        (f"<div class='comments'><p>{PROSE}</p></div>", ""),
+        (f"<div class='story'><p>{PROSE}</p></div><div class='related'><p>{PROSE * 9}</p></div>", PROSE.strip()),
+        (f"<p>{PROSE}</p><p class='x>no end of the quote</p>", f"{PROSE.strip()}\nno end of the quote"),
+        (f"<p>{PROSE} 1 <b 2", f"{PROSE.strip()} 1 <b 2"),
+        (f"<p>{PROSE}<![CDATA[a < b]]></p>", f"{PROSE.strip()} a < b"),
+    ],
+)
+def test_page_without_marks(page, text):
+    assert html.extract(page) == text
+
+
+def test_distribution_finds_articles_without_marks(spark, sf_dir):
+    """Pages whose articles are plain div elements give the same text, but for a few with hardly any."""
+    pages = [r.html for r in shared.table(spark, sf_dir, "pages").collect()]
+    plain = [re.sub(r"<(/?)(?:article|main)\b", r"<\1div", p) for p in pages]
+    differ = [a for a, b in zip(map(html.extract, pages), map(html.extract, plain)) if a != b]
+    assert len(differ) <= 0.03 * len(pages)
+
+
+@pytest.mark.parametrize("piece", ["<a b", '<p x="', "<b><p></p>", "<div class=ad><article>", "</span><div>", "<!--", "<a x='\">", "<", "<script>", "&amp"])
+def test_pages_are_read_in_linear_time(piece):
+    import time
+
+    def took(n):
+        began = time.process_time()
+        html.extract(piece * n)
+        return time.process_time() - began
+
+    assert took(20_000) < 20 * took(2_000) + 0.5
+
+
+def test_pages_of_odd_tables(spark):
+    rows = [(1, "u", f"<p>{PROSE}", "c", 7), (1, "u", f"<p>{PROSE}", "c", 7), (None, None, None, None, None), (2, "u", "", "c", 7)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    out = html.with_main_text(pages)
+    assert sorted(out.columns) == sorted(pages.columns)
+    assert sorted((r.page_id or 0, r.text, r.n_chars) for r in out.collect()) == [(0, "", 0), *[(1, PROSE.strip(), len(PROSE.strip()))] * 2, (2, "", 0)]
+    assert html.with_main_text(pages.filter("false")).count() == 0
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="<>/!-pabdiv =\"'&;xn\n", max_size=80))
 def test_broken_markup_ends(text):

@@ -2,22 +2,29 @@
 
 Markup is stripped to lines, one for each block of the page, in page order. The mass of a line is its text that is
 no link and stands where an article may stand. Sums of mass over sliding windows of ``WINDOW`` lines rise at a surge
-point and fall to nothing at a dive point; the lines between them are the text. Elements that cannot be article
-(menus, forms, scripts, adverts, notices, reader comments and the like, by their tag, role, class or id) leave lines
-without mass, so the distribution dives there. Where the page marks an article or main element, only lines in it have
-mass, their links' text with them, and any mass makes a surge; elsewhere a surge needs a block of text of some size.
+point and fall to nothing at a dive point; the lines between them are the text. One rule holds on every page: a surge
+is a line with mass whose window reaches ``SURGE_CHARS``, or ``SURGE_SHARE`` of the fullest window if that is less.
+Elements that cannot be article (menus, forms, scripts, adverts, notices, reader comments and the like, by their tag,
+role, class or id) leave lines without mass, so the distribution dives there. Where the page marks an article or main
+element, that is evidence of its own: a line in it weighs ``MARKED`` characters more, its links' text counts, and lines
+outside it have no mass.
 
 A class or id does not bar by words that say what an element has or lacks (``has-sidebar``), nor an element round the
 main element. Where no article stands outside barred elements, those round the least deeply barred one are open too,
-unless they hold other people's texts or there is more text outside than in it.
+unless they hold other people's texts or there is more text outside than in it. Where a page has no text for a surge
+but in elements barred by words alone, the one with the greatest mass is open, unless it holds comments or adverts.
 
-Defined results: a null, empty or text-free page gives an empty text; broken markup is read to its end; all other
-columns of the input are kept, and those named ``text`` or ``n_chars`` are replaced.
+A page is read once from begin to end, in time in proportion to its length whatever its markup.
+
+Defined results: a null, empty or text-free page gives an empty text; a tag that does not end is none, and its angle
+bracket begins text; a quote that does not end is a character like any other; repeated pages have equal texts; all other
+columns of the input are kept, and those named ``text`` or ``n_chars`` are replaced; of an empty table no rows come.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +33,8 @@ from pyspark.sql import functions as F
 from threshmill.llm import shared
 
 WINDOW = 3
-#: Characters in a window that make a surge on pages without a marked article, and its share of the page's fullest window.
-SURGE_CHARS, SURGE_SHARE = 80, 0.2
+#: Characters in a window that make a surge, or share of the page's fullest window; characters that a marked line weighs more.
+SURGE_CHARS, SURGE_SHARE, MARKED = 80, 0.2, 80
 
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -42,20 +49,24 @@ _BARRED_WORDS = frozenset(
 )
 #: Of these words, those of elements that hold articles other than the page's own.
 _OTHERS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion promoted related recommended recommendations teaser widget comment comments commentlist disqus respond reply replies".split())
+#: Of those, the words of texts that are never the page's own.
+_NEVER = _OTHERS - frozenset("promo promotion promoted related recommended recommendations teaser widget".split())
 #: A word after one of these tells of a part, not of the element.
 _OF_PARTS = re.compile(r"\b(?:has|have|with|without|no)[\s_-]+[a-z]+(?![a-z])", re.I)
 _CLOSED_BY = {"p": _BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_TO_TAG_END = re.compile(r"[^>\"']*")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 def _barred(tag: str, attributes: str, within_article: bool) -> int:
-    """0, or 1 for an element barred by what it is, 2 by a word, 3 by a word for articles other than the page's own."""
+    """0, or for a barred element why: 1 by what it is, 2 by a word, 3 by a word for articles other than the page's own, 4 by one for texts that never are."""
     if tag in _BARRED or tag == "header" and not within_article:
         return 1
-    if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
+    if not attributes:
         return 0
     found = 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -66,151 +77,215 @@ def _barred(tag: str, attributes: str, within_article: bool) -> int:
             return 1
         if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
             words = {w for name in value.split() for w in _SPLIT.sub(" ", _OF_PARTS.sub(" ", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name)).lower()).split()}
-            if not _OTHERS.isdisjoint(words):
-                found = 3
+            if not _NEVER.isdisjoint(words):
+                found = 4
+            elif not _OTHERS.isdisjoint(words):
+                found = max(found, 3)
             elif not _BARRED_WORDS.isdisjoint(words):
                 found = max(found, 2)
     return found
 
 
+class _Page:
+    """What one reading of a page found."""
+
+    def __init__(self):
+        #: (text, own characters outside links, is in an article, is in a main element) of each line; barred ones are empty.
+        self.lines: list[tuple[str, int, int, int]] = []
+        #: Of main elements and articles that only words bar, the places of the barred elements round them; articles
+        #: among other people's texts are left out.
+        self.mains: list[tuple[int, ...]] = []
+        self.articles: list[tuple[int, ...]] = []
+        #: Characters outside links in the outermost elements that only words bar, by place.
+        self.barred_mass: dict[int, int] = {}
+
+    def mass(self) -> int:
+        return sum(n for _, n, *_ in self.lines)
+
+
 def lines_of(html: str) -> list[tuple[str, int, int, int]]:
-    """(text, own characters outside links, is in an article, is in a main element) of each line; barred ones are empty."""
-    lines, mains, articles = _parsed(html, frozenset())
-    opened = frozenset(place for bars in mains for place in bars)
+    """The page's lines, after opening what only words bar and the rest of the page speaks for."""
+    page = _parsed(html, frozenset())
+    articles = page.articles
+    opened = frozenset(place for bars in page.mains for place in bars)
     if opened:
-        lines, _, articles = _parsed(html, opened)
-    if articles and not any(n for _, n, article, main in lines if article or main):
+        page = _parsed(html, opened)
+        articles = page.articles
+    if articles and not any(n for _, n, article, main in page.lines if article or main):
         depth = min(map(len, articles))
         opened |= {place for bars in articles if len(bars) == depth for place in bars}
-        wider = _parsed(html, opened)[0]
-        if sum(n for _, n, article, _ in wider if article) >= sum(n for _, n, *_ in lines):
-            return wider
-    return lines
+        wider = _parsed(html, opened)
+        if sum(n for _, n, article, _ in wider.lines if article) >= page.mass():
+            return wider.lines
+    if page.barred_mass and page.mass() < SURGE_CHARS:
+        place, mass = max(page.barred_mass.items(), key=lambda x: x[1])
+        if mass >= SURGE_CHARS:
+            return _parsed(html, opened | {place}).lines
+    return page.lines
 
 
-def _parsed(html: str, opened: frozenset[int]) -> tuple[list[tuple[str, int, int, int]], list[tuple[int, ...]], list[tuple[int, ...]]]:
-    """The lines, and for main elements and articles that only words bar, the places of the barred elements round them.
+def _tags(html: str):
+    """(text before, markup's place, tag or None, whether it closes, attributes, place after) of each piece of markup, and what follows the last.
 
-    Words do not bar the elements at the places ``opened``; articles among other people's texts are not given.
+    A generator that takes, by send, the place from where to go on.
     """
-    lines: list[tuple[str, int, int, int]] = []
+    size, at, begin = len(html), 0, 0
+    gone = set()  # quotes and ends that do not come again
+    while True:
+        place = html.find("<", at)
+        if place < 0:
+            yield html[begin:], size, None, False, "", size
+            return
+        if html.startswith("<!--", place):
+            end = html.find("-->", place + 4)
+            tag, closes, attributes, after = None, False, "", size if end < 0 else end + 3
+        elif html.startswith("<![CDATA[", place):
+            end = html.find("]]>", place)
+            tag, closes, attributes, after = "", False, html[place + 9 : size if end < 0 else end], size if end < 0 else end + 3
+        elif html.startswith(("<!", "<?"), place):
+            end = html.find(">", place)
+            tag, closes, attributes, after = None, False, "", size if end < 0 else end + 1
+        else:
+            m = _TAG.match(html, place)
+            after = m.end() if m else -1
+            while m and ">" not in gone:
+                after = _TO_TAG_END.match(html, after).end()
+                if after == size:
+                    gone.add(">")
+                elif html[after] == ">":
+                    break
+                else:
+                    quote = html[after]
+                    end = -1 if quote in gone else html.find(quote, after + 1)
+                    if end < 0:
+                        gone.add(quote)
+                    after = max(end, after) + 1
+            if not m or ">" in gone:
+                at = place + 1
+                continue
+            tag, closes, attributes, after = m[2].lower(), bool(m[1]), html[m.end() : after], after + 1
+        at = begin = (yield html[begin:place], place, tag, closes, attributes, after) or after
+
+
+def _parsed(html: str, opened: frozenset[int]) -> _Page:
+    """Reads a page; words do not bar the elements at the places ``opened``."""
+    page = _Page()
+    lines = page.lines
     text: list[str] = []
-    state = {"linked": 0}
+    linked = 0
     stack: list[tuple[str, int]] = []
+    blocks: list[int] = []  # places in the stack of block elements
+    open_tags: Counter[str] = Counter()
     places: list[tuple[int, int]] = []  # (place, kind) of the open barred elements
-    mains: list[tuple[int, ...]] = []
-    articles: list[tuple[int, ...]] = []
-    barred = article = main = links = 0
-    at = 0
+    kinds: Counter[int] = Counter()
+    article = main = links = 0
 
     def flush() -> None:
+        nonlocal linked
         if text:
             words = " ".join(unescape("".join(text)).split())
-            lines.append((words, max(0, len(words) - state["linked"]), article, main))
+            lines.append((words, max(0, len(words) - linked), article, main))
             text.clear()
-            state["linked"] = 0
+            linked = 0
 
-    def leave(tag: str, bar: int) -> None:
-        nonlocal barred, article, main, links
+    def leave() -> str:
+        nonlocal article, main, links
+        tag, bar = stack.pop()
+        open_tags[tag] -= 1
+        if blocks and blocks[-1] == len(stack):
+            blocks.pop()
         if bar:
-            barred -= 1
-            places.pop()
+            kinds[places.pop()[1]] -= 1
         article -= tag == "article"
         main -= tag == "main"
         links -= tag == "a"
+        return tag
 
     def say(piece: str) -> None:
-        if piece and not barred:
+        nonlocal linked
+        if not piece:
+            return
+        if not places:
             text.append(piece)
             if links:
-                state["linked"] += len(piece.strip())
-
-    size = len(html)
-    while at < size:
-        m = _TOKEN.search(html, at)
-        if m is None:
-            say(html[at:])
-            break
-        say(html[at : m.start()])
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            if m[0].startswith("<![CDATA["):
-                say(m[0][9:-3])
-            continue
-        tag = tag.lower()
-        if not m[1]:
+                linked += len(piece.strip())
+        elif not kinds[1] and not kinds[4] and not links:
+            page.barred_mass[places[0][0]] = page.barred_mass.get(places[0][0], 0) + len(piece.strip())
+
+    tags = _tags(html)
+    found = next(tags, None)
+    while found is not None:
+        before, place, tag, closes, attributes, after = found
+        say(before)
+        go_on = None
+        if tag == "":  # character data
+            say(attributes)
+        elif tag is not None and not closes:
             if tag in _BLOCKS:
                 flush()
                 while stack and tag in _CLOSED_BY.get(stack[-1][0], ()):
-                    leave(*stack.pop())
-                if stack and stack[-1][0] not in _BLOCKS and tag in _BLOCKS:  # an open inline element in an open paragraph
-                    depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _BLOCKS), None)
-                    if depth is not None and tag in _CLOSED_BY.get(stack[depth][0], ()):
-                        while len(stack) > depth:
-                            leave(*stack.pop())
+                    leave()
+                if blocks and blocks[-1] < len(stack) - 1 and tag in _CLOSED_BY.get(stack[blocks[-1]][0], ()):
+                    depth = blocks[-1]  # open inline elements in an open paragraph
+                    while len(stack) > depth:
+                        leave()
             elif tag == "br":
                 say(" ")
-            if tag in _VOID:
-                continue
-            if barred and tag in ("article", "main") and all(kind > 1 for _, kind in places):
-                if tag == "main":
-                    mains.append(tuple(place for place, _ in places))
-                elif all(kind == 2 for _, kind in places):
-                    articles.append(tuple(place for place, _ in places))
-            bar = _barred(tag, m[3], article > 0)
-            if bar > 1 and at in opened:
-                bar = 0
-            if bar and not barred:
-                if tag not in _BLOCKS:
-                    say(" ")
-                else:
-                    lines.append(("", 0, article, main))
-            stack.append((tag, bar))
-            if bar:
-                barred += 1
-                places.append((at, bar))
-            article += tag == "article"
-            main += tag == "main"
-            links += tag == "a"
-            if tag in _RAW:
-                close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-                inner = html[at : close.start() if close else size]
-                if tag not in _BARRED and tag != "title":
-                    say(inner)
-                at = close.end() if close else size
-                leave(*stack.pop())
-        else:
+            if tag not in _VOID:
+                if places and tag in ("article", "main") and not kinds[1]:
+                    if tag == "main":
+                        page.mains.append(tuple(p for p, _ in places))
+                    elif not kinds[3] and not kinds[4]:
+                        page.articles.append(tuple(p for p, _ in places))
+                bar = _barred(tag, attributes, article > 0)
+                if bar > 1 and place in opened:
+                    bar = 0
+                if bar and not places:
+                    if tag not in _BLOCKS:
+                        say(" ")
+                    else:
+                        lines.append(("", 0, article, main))
+                if tag in _BLOCKS:
+                    blocks.append(len(stack))
+                stack.append((tag, bar))
+                open_tags[tag] += 1
+                if bar:
+                    places.append((place, bar))
+                    kinds[bar] += 1
+                article += tag == "article"
+                main += tag == "main"
+                links += tag == "a"
+                if tag in _RAW:
+                    close = _RAW_END[tag].search(html, after)
+                    if tag not in _BARRED and tag != "title":
+                        say(html[after : close.start() if close else len(html)])
+                    go_on = close.end() if close else len(html)
+                    leave()
+        elif tag is not None:
             if tag in _BLOCKS:
                 flush()
-            if any(tag == t for t, _ in stack):
-                while True:
-                    t, bar = stack.pop()
-                    leave(t, bar)
-                    if t == tag:
-                        break
+            if open_tags[tag]:
+                while leave() != tag:
+                    pass
+        try:
+            found = tags.send(go_on)
+        except StopIteration:
+            found = None
     flush()
-    return lines, mains, articles
+    return page
 
 
 def main_lines(lines: list[tuple[str, int, int, int]]) -> list[int]:
     """Indices of the lines between surge and dive points."""
-    masses = [sum(n for _, n, *marks in lines if marks[i]) for i in (0, 1)]
-    if masses[0] and masses[0] * 2 >= masses[1]:
-        mass, least = [len(words) if a else 0 for words, _, a, _ in lines], 0
-        inside = [bool(a) for _, _, a, _ in lines]
-    elif masses[1]:
-        mass, least = [len(words) if m else 0 for words, _, _, m in lines], 0
-        inside = [bool(m) for *_, m in lines]
-    else:
-        mass, inside = [n for _, n, *_ in lines], [True] * len(lines)
-        least = -1
+    articles, mains = (sum(n for _, n, *marks in lines if marks[i]) for i in (0, 1))
+    mark = 2 if articles and articles * 2 >= mains else 3 if mains else None
+    inside = [mark is None or bool(line[mark]) for line in lines]
+    mass = [0 if not here or not line[0] else line[1] if mark is None else len(line[0]) + MARKED for line, here in zip(lines, inside)]
     sums, total = [0] * len(mass), 0
     for i in range(len(mass) - 1, -1, -1):
         total += mass[i] - (mass[i + WINDOW] if i + WINDOW < len(mass) else 0)
         sums[i] = total
-    if least < 0:
-        least = min(SURGE_CHARS, SURGE_SHARE * max(sums, default=0))
+    least = min(SURGE_CHARS, SURGE_SHARE * max(sums, default=0))
     kept, i = [], 0
     while i < len(sums):
         if sums[i] > least and mass[i]:  # surge
