@@ -226,12 +226,92 @@ def test_runs_are_even(spark):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    sf_dir = "/root/testdata/sf0.01"
-    labels = shared.table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    rows = QUERIES["op6_toxicity"](spark, sf_dir).join(labels, "doc_id").filter("held_out").collect()
-    toxic = [r.predicted for r in rows if r.toxic == 1]
-    clean = [r.predicted for r in rows if r.toxic == 0]
-    assert np.mean(clean) < 0.05 and np.mean(toxic) > 0.6
+    """Toxic texts show words of the lexicon, or invented ones that only the labelled rows tell of."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), rng.integers(3, 9)))
+    bad = [*toxicity.LEXICON["insult"][:4], "zwarkel", "zwarkels", "quomphy", "vlistren"]
+    rows, labels = [], []
+    for i in range(1200):
+        words, toxic = [word() for _ in range(40)], i % 8 == 0
+        for _ in range(3 * toxic):
+            words[int(rng.integers(0, 40))] = str(rng.choice(bad))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic) if i % 3 else None))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels + labels[:5], "doc_id long, toxic int")
+    out = {r.doc_id: r for r in toxicity.score(docs, toxicity.train(docs, known)).collect()}
+    import zlib
+
+    assert all(out[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, _ in rows)
+    held = [r for r in out.values() if r.held_out]
+    assert np.mean([r.predicted for r in held if r.doc_id % 8 == 0]) >= 0.95
+    assert np.mean([r.predicted for r in held if r.doc_id % 8]) <= 0.02
+    assert all(r.predicted == (r.score >= 0.3) for r in out.values())
+    changed = [(i, 1 - y if out[i].held_out and y is not None else y) for i, y in labels]  # held-out labels are not learned from
+    again = toxicity.score(docs, toxicity.train(docs, spark.createDataFrame(changed, "doc_id long, toxic int"))).collect()
+    assert all(abs(r.score - out[r.doc_id].score) < 1e-9 for r in again)
+
+
+def test_label_model_by_brute_force():
+    """EM in plain loops over rows gives the same rates, weights and posteriors as sums over counted votes."""
+    import math
+    from collections import Counter
+
+    rng = np.random.default_rng(4)
+    v, anchors, corpus = 4, 40, 300
+    votes = (rng.random((anchors, v)) < 0.3).astype(np.uint8)
+    gold = rng.integers(-1, 2, anchors)
+    others = (rng.random((corpus, v)) < 0.25).astype(np.uint8)
+    counted = Counter(map(tuple, others.tolist()))
+    kinds, n = np.array(list(counted), float), np.array(list(counted.values()), float)
+    found = toxicity.label_model(votes, gold, lambda m: m.sums(kinds, n), rounds=3)
+
+    first = toxicity.first_model(votes.astype(float), gold)
+    prior, rates, weight = first.prior, first.rates.tolist(), first.weight.tolist()
+
+    def posterior(row, g):
+        logit = math.log(prior / (1 - prior)) + (0 if g < 0 else toxicity.ANCHOR if g == 1 else -toxicity.ANCHOR)
+        for j in range(v):
+            a, b = (rates[1][j], rates[0][j]) if row[j] else (1 - rates[1][j], 1 - rates[0][j])
+            logit += weight[j] * math.log(a / b)
+        return 1 / (1 + math.exp(-max(-30, min(30, logit))))
+
+    rows = [(r, g, 1.0) for r, g in zip(votes.tolist(), gold.tolist())] + [(r, -1, anchors / corpus) for r in others.tolist()]
+    for _ in range(3):
+        toxic = [posterior(r, g) for r, g, _ in rows]
+        size = [sum(w * (q if y else 1 - q) for q, (_, _, w) in zip(toxic, rows)) for y in (0, 1)]
+        fired = [[sum(w * (q if y else 1 - q) * r[j] for q, (r, _, w) in zip(toxic, rows)) for j in range(v)] for y in (0, 1)]
+        residual = [[r[j] - q * rates[1][j] - (1 - q) * rates[0][j] for j in range(v)] for q, (r, _, _) in zip(toxic, rows)]
+        product = [[sum(w * e[i] * e[j] for e, (_, _, w) in zip(residual, rows)) / sum(size) for j in range(v)] for i in range(v)]
+        rates = [[(fired[y][j] + (0.5 if y else 0.05)) / (size[y] + 1) for j in range(v)] for y in (0, 1)]
+        weight = [1 / max(1, sum(abs(product[i][j]) / math.sqrt(product[i][i] * product[j][j]) for j in range(v))) for i in range(v)]
+        prior = min(0.5, max(0.005, size[1] / sum(size)))
+    assert np.allclose(found.rates, rates, atol=1e-6) and np.allclose(found.weight, weight, atol=1e-5) and abs(found.prior - prior) < 1e-9
+    assert np.allclose(found.posterior(votes.astype(float), gold), [posterior(r, g) for r, g in zip(votes.tolist(), gold.tolist())], atol=1e-5)
+
+
+def test_features_by_brute_force():
+    names = ["idiot", "trash", "zork*", "zo*", "ab"]
+    text = "Idiot idiots, zorkling zork TRASH zoo ab abc; you idiot! Shut up"
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    counts = [sum(w == n if not n.endswith("*") else w.startswith(n[:-1]) and len(w) >= len(n) for w in words) for n in names]
+    x = toxicity.row_of(text, toxicity.Patterns(names))
+    assert x[: len(names)].tolist() == [min(3, c) / 3 for c in counts]
+    sentences = [bool(p.search(text)) for p in toxicity.SENTENCES.values()]
+    assert x[len(names) : -2].tolist() == sentences and any(sentences)
+    assert x[-2] == pytest.approx(min(1, np.log1p(sum(counts)) / 3)) and x[-1] == pytest.approx(min(1, 400 * sum(counts) / (len(text) + 200) / 8))
+    assert not toxicity.row_of("", toxicity.Patterns(names)).any()
+
+
+def test_votes_are_counted_over_all_documents(spark):
+    rows = [(i, t) for i, t in enumerate(["an idiot", "an idiot", "trash", "plain", None, "", "you are an idiot"])]
+    names = [w for words in toxicity.LEXICON.values() for w in words]
+    counted = toxicity.count_votes(spark.createDataFrame(rows, "doc_id long, text string"), names).collect()
+    patterns = toxicity.Patterns(names)
+    wanted = {}
+    for _, t in rows:
+        key = np.packbits(toxicity.votes_of(toxicity.row_of(t or "", patterns)[None, :])[0]).tobytes()
+        wanted[key] = wanted.get(key, 0) + 1
+    assert {bytes(r.votes): r.n for r in counted} == wanted
 
 
 def test_label_model_weighs_correlated_voters_down():
@@ -239,9 +319,10 @@ def test_label_model_weighs_correlated_voters_down():
     y = rng.random(2000) < 0.3
     one = rng.random((2000, 2)) < np.where(y[:, None], 0.8, 0.05)
     votes = np.hstack([one, one[:, :1], one[:, :1]])
-    posterior, found = toxicity.label_model(votes, np.where(rng.random(2000) < 0.2, y, -1))
-    assert found["weight"][0] < 0.5 < found["weight"][1]
-    assert ((posterior > 0.5) == y).mean() > 0.85
+    gold = np.where(rng.random(2000) < 0.2, y, -1)
+    model = toxicity.label_model(votes, gold)
+    assert model.weight[0] < 0.5 < model.weight[1]
+    assert ((model.posterior(votes.astype(float), gold) > 0.5) == y).mean() > 0.85
 
 
 def test_toxicity_of_odd_rows(spark):

@@ -1,22 +1,28 @@
 """Toxicity by weak supervision (operator 6).
 
 Voters are a fixed lexicon in groups, sentence patterns, and word stems that a bounded sample of labelled rows
-shows to be rare in clean texts; the sample's labels vote too. A generative label model estimates by EM how often each
-voter fires in either class, measures the voters' correlations given the class and counts a bundle of correlated voters
-less, and gives each sampled row a posterior. A linear classifier over pattern counts is trained on the posteriors and
-scores every whole text. Scores use the text alone.
+shows to be rare in clean texts. A generative label model learns from all documents, labelled or not, how often each
+voter fires in either class: documents are counted by which voters fire on them, and EM alternates their posteriors
+with the voters' rates. The sampled labels are anchors, votes of a known accuracy on their rows, and all documents
+together weigh as much as the anchors, so that no corpus is large enough to carry the classes off. The model measures
+the voters' correlations given the class, and counts a bundle of correlated voters less. A linear classifier over
+pattern counts is trained on the posteriors of the sampled rows and scores every whole text by the text alone.
 
 Bounds (parameters): ``SAMPLE_ROWS`` labelled rows, taken by the hash of their identifier, and ``MAX_PATTERNS`` patterns;
-the model sent to executors has so many numbers at most. Scoring is one pass without a shuffle.
+the model sent to executors has so many numbers at most, and a task sends sums of so many voters (squared) back. Votes
+and scores are a pass over all texts each; the votes are shuffled as counts.
 
 Defined results: a null or empty text gets the score of a text without any pattern; labels that are null, missing or
-of held-out rows are not learned from; a row labelled twice counts as toxic if any label says so; without usable labels
-the lexicon votes alone; columns named ``held_out``, ``score`` or ``predicted`` are replaced.
+of held-out rows are not learned from; a row labelled twice counts as toxic if any label says so; repeated rows are
+documents of their own; without usable labels the lexicon votes alone; columns named ``held_out``, ``score`` or
+``predicted`` are replaced; of empty tables no rows come.
 """
 
+from __future__ import annotations
+
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,6 +35,8 @@ from threshmill.llm import shared
 SAMPLE_ROWS = 8_000
 MAX_PATTERNS = 500
 THRESHOLD = 0.3
+#: Rounds of EM, the log odds of an anchor's vote, and tasks that sum a round over the counted votes.
+ROUNDS, ANCHOR, CORPUS_TASKS = 8, float(np.log(0.98 / 0.02)), 16
 STEM_LENGTHS = (4, 5, 6)
 #: Voters that hold whatever the sample shows: words by group (fixed values).
 LEXICON = {
@@ -108,29 +116,63 @@ def row_of(text: str, patterns: Patterns) -> np.ndarray:
     return x
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Posterior of the positive class for each row.
-
-    votes: 0/1, a voter fired or abstained; gold: 0/1, or -1 for unknown. A voter's rates in either class are estimated
-    by EM; its weight is one over the sum of its absolute correlations with all voters, given the class.
-    """
-    fired = votes.astype(float)
-    prior = float(np.clip(np.mean(gold == 1) if (gold >= 0).any() else 0.1, 0.01, 0.5))
-    gold_voice = np.where(gold < 0, 0.0, np.where(gold == 1, 1.0, -1.0)) * np.log(0.98 / 0.02)
-    posterior = np.where(gold < 0, np.clip(prior + 0.8 * fired.any(1), 0, 0.9), np.where(gold == 1, 0.95, 0.05))
-    weight = np.ones(fired.shape[1])
-    rates = np.zeros((2, fired.shape[1]))
+def votes_of(x: np.ndarray) -> np.ndarray:
+    """Which voters fire, from rows of features: the lexicon's groups, mined patterns, sentences."""
+    groups = np.cumsum([0, *(len(w) for w in LEXICON.values())])
+    return np.hstack([*((x[:, a:b] > 0).any(1)[:, None] for a, b in zip(groups, groups[1:])), x[:, groups[-1] : -2] > 0]).astype(np.uint8)
+
+
+class LabelModel:
+    """Naive Bayes over voters that fire or abstain, whose weights make up for correlations."""
+
+    def __init__(self, prior: float, rates: np.ndarray, weight: np.ndarray):
+        self.prior, self.rates, self.weight = prior, rates, weight  # rates: of firing in the clean and the toxic class
+
+    def posterior(self, votes: np.ndarray, gold: np.ndarray | None = None) -> np.ndarray:
+        """Of the toxic class, for each row of votes (0/1); gold: 0/1, or -1 for unknown."""
+        on, off = np.log(self.rates[1] / self.rates[0]), np.log((1 - self.rates[1]) / (1 - self.rates[0]))
+        logit = np.log(self.prior / (1 - self.prior)) + votes @ (self.weight * (on - off)) + (self.weight * off).sum()
+        if gold is not None:
+            logit = logit + np.where(gold < 0, 0.0, np.where(gold == 1, 1.0, -1.0)) * ANCHOR
+        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+    def sums(self, votes: np.ndarray, count: np.ndarray, gold: np.ndarray | None = None) -> np.ndarray:
+        """What EM needs of rows that stand for ``count`` documents each: per class documents and firings, and the residuals' products."""
+        toxic = self.posterior(votes, gold)
+        residual = votes - toxic[:, None] * self.rates[1] - (1 - toxic)[:, None] * self.rates[0]
+        shares = [np.concatenate([[s.sum()], s @ votes]) for s in (count * (1 - toxic), count * toxic)]
+        return np.vstack([*shares, np.hstack([np.zeros((votes.shape[1], 1)), (residual * count[:, None]).T @ residual])])
+
+    @staticmethod
+    def of(sums: np.ndarray) -> LabelModel:
+        clean, toxic, products = sums[0], sums[1], sums[2:, 1:]
+        total = clean[0] + toxic[0]
+        rates = np.stack([(clean[1:] + 0.05) / (clean[0] + 1), (toxic[1:] + 0.5) / (toxic[0] + 1)])
+        spread = np.sqrt(np.diag(products) / total) + 1e-9
+        weight = 1 / np.maximum(1, np.abs(products / total / spread[:, None] / spread).sum(1))
+        return LabelModel(float(np.clip(toxic[0] / total, 0.005, 0.5)), np.clip(rates, 1e-9, 1 - 1e-9), weight)
+
+
+def first_model(votes: np.ndarray, gold: np.ndarray) -> LabelModel:
+    """From the anchors alone; without any, voters are taken to be right."""
+    prior = float(np.clip(np.mean(gold[gold >= 0] == 1) if (gold >= 0).any() else 0.1, 0.01, 0.5))
+    toxic = np.where(gold < 0, np.clip(prior + 0.8 * votes.any(1), 0, 0.9), np.where(gold == 1, 0.95, 0.05))
+    rates = np.stack([((1 - toxic) @ votes + 0.05) / ((1 - toxic).sum() + 1), (toxic @ votes + 0.5) / (toxic.sum() + 1)])
+    return LabelModel(prior, np.clip(rates, 1e-9, 1 - 1e-9), np.ones(votes.shape[1]))
+
+
+def label_model(votes: np.ndarray, gold: np.ndarray, corpus: Callable[[LabelModel], np.ndarray] | None = None, rounds: int = ROUNDS) -> LabelModel:
+    """EM over the anchors' rows and a corpus, given as a function from a model to its sums over all documents."""
+    votes = votes.astype(float)
+    model = first_model(votes, gold)
     for _ in range(rounds):
-        for y, share in ((1, posterior), (0, 1 - posterior)):
-            rates[y] = (share @ fired + (0.5 if y else 0.05)) / (share.sum() + 1)
-        residual = fired - posterior[:, None] * rates[1] - (1 - posterior)[:, None] * rates[0]
-        spread = np.sqrt((residual**2).mean(0)) + 1e-9
-        weight = 1 / np.maximum(1, np.abs(residual.T @ residual / len(fired) / spread[:, None] / spread).sum(1))
-        on, off = np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))
-        logit = np.log(prior / (1 - prior)) + gold_voice + fired @ (weight * (on - off)) + (weight * off).sum()
-        posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        prior = float(np.clip(posterior.mean(), 0.005, 0.5))
-    return posterior, {"fires_toxic": rates[1], "fires_clean": rates[0], "weight": weight}
+        sums = model.sums(votes, np.ones(len(votes)), gold)
+        if corpus is not None:
+            more = corpus(model)
+            documents = more[:2, 0].sum()
+            sums = sums + more * min(1.0, len(votes) / max(1.0, documents))
+        model = LabelModel.of(sums)
+    return model
 
 
 def fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 0.5, rounds: int = 30) -> np.ndarray:
@@ -201,10 +243,40 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             known_words[i, len(names) + i - len(fixed)] = 1
     x = np.vstack([x, known_words])
     gold = np.concatenate([gold, np.full(voters, 1), np.zeros(blank, int)])
-    groups = np.cumsum([0, *(len(w) for w in LEXICON.values())])
-    votes = np.hstack([*(x[:, a:b].any(1)[:, None] for a, b in zip(groups, groups[1:])), x[:, len(fixed) : -2] > 0])
-    posterior, _ = label_model(votes, gold)
-    return names, fit_linear(x, posterior)
+    counted = count_votes(docs, names, text_col)
+
+    def corpus(model: LabelModel) -> np.ndarray:
+        def run(batches):
+            total = None
+            for batch in batches:
+                votes = np.unpackbits(np.frombuffer(b"".join(batch.column("votes").to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, : len(model.weight)].astype(float)
+                own = model.sums(votes, batch.column("n").to_numpy().astype(float))
+                total = own if total is None else total + own
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        width = len(model.weight)
+        found = counted.coalesce(CORPUS_TASKS).mapInArrow(run, "sums binary").collect()
+        return sum((np.frombuffer(r.sums, np.float64).reshape(width + 2, width + 1) for r in found), np.zeros((width + 2, width + 1)))
+
+    votes = votes_of(x)
+    model = label_model(votes, gold, corpus)
+    return names, fit_linear(x, model.posterior(votes.astype(float), gold))
+
+
+def count_votes(docs: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
+    """How many documents (n) each set of voters (votes, packed bits) fires on: all documents, in one pass."""
+    spark = docs.sparkSession
+
+    def run(batches):
+        patterns = Patterns(names)
+        for batch in batches:
+            rows = [row_of(t, patterns) for t in batch.column("text").to_pylist()]
+            found = Counter(map(bytes, np.packbits(votes_of(np.array(rows)), axis=1))) if rows else {}
+            yield pa.RecordBatch.from_arrays([pa.array([*found.keys()], pa.binary()), pa.array([*found.values()], pa.int64())], ["votes", "n"])
+
+    counted = docs.select(shared.text_or_empty(text_col).alias("text")).mapInArrow(run, "votes binary, n long")
+    return shared.staged(spark, counted.groupBy("votes").agg(F.sum("n").alias("n")), shared.work_dir(spark, "toxicity-votes"))
 
 
 def score(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
