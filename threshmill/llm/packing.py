@@ -1,10 +1,12 @@
 """Harmonic packing of documents into sequences (operator 10).
 
-A capacity C has classes of reciprocals: class k takes pieces of at most floor(C/k) ids, and a bin of class k holds
-exactly k pieces. Each worker fills the bins of its own documents, so nothing is shuffled. A document gives whole
-sequences first. Its rest goes to the class in whose slot it fits if that wastes at most ``slack`` of the slot; else
-the largest slot that it fills is cut off and the remainder goes on. What is left in half-filled bins at the end of
-a worker's documents is cut anew, into whole sequences and at last into powers of two, which need no padding.
+Lengths are partitioned into classes of reciprocals of the capacity C: class k has those above C/(k+1) up to C/k, and a
+bin of class k holds exactly k of them. Each worker fills the bins of its own documents, so nothing is shuffled. A
+document of C ids or more gives whole sequences first; what is left of it, its rest, goes whole to its class. A full bin
+still has a gap of less than C/(k+1) ids and some; it is filled by fillers: rests of more classes than ``CLASSES``, and
+whole documents that are set aside whenever fewer than C ids of fillers are in stock, which alone are cut. So a full bin
+has no padding, and a worker holds a bin of each class and the stock. What stands in half-filled bins at the end of a
+worker's documents is cut into whole sequences and at last into powers of two, which need no padding.
 
 Defined results: a null or empty text has the end id alone; rows with one identifier are documents of their own;
 other columns are ignored; of an empty table there are no pieces.
@@ -13,6 +15,7 @@ other columns are ignored; of an empty table there are no pieces.
 from __future__ import annotations
 
 import zlib
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -24,34 +27,20 @@ from threshmill.llm import shared
 from threshmill.llm.tokens import default_tokenizer, encoder, utf8
 
 CAPACITY = 2048
-#: Reciprocal classes in use; smaller rests share the last one's slots.
-CLASSES = (1, 2, 3, 4, 5, 6, 8, 12, 16, 24, 32, 64)
-SLACK = 0.02
+#: Reciprocal classes; smaller rests are fillers.
+CLASSES = 64
 _SCHEMA = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-def cut(rest: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tuple[int, int]]:
-    """(class, length) of the pieces of a rest shorter than the capacity."""
-    pieces = []
-    while rest:
-        k = next((k for k in reversed(CLASSES) if rest <= capacity // k), 1)
-        slot = capacity // k
-        if slot - rest <= slack * slot or k == CLASSES[-1]:
-            pieces.append((k, rest))
-            break
-        k = next(k for k in CLASSES if capacity // k <= rest)  # the largest slot that the rest fills
-        pieces.append((k, capacity // k))
-        rest -= capacity // k
-    return pieces
-
-
 class Packer:
     """One worker's bins. A piece is (doc_id, start, ids, doc_tokens); ``rows`` are those of filled sequences."""
 
-    def __init__(self, worker: int, capacity: int = CAPACITY, slack: float = SLACK):
-        self.capacity, self.slack = capacity, slack
+    def __init__(self, worker: int, capacity: int = CAPACITY):
+        self.capacity = capacity
         self.next_id = worker << 36
         self.bins: dict[int, list[tuple]] = {}
+        self.fillers: deque[tuple] = deque()
+        self.stock = 0
         self.rows: list[tuple] = []
 
     def _sequence(self, pieces: list[tuple]) -> None:
@@ -66,17 +55,36 @@ class Packer:
         while total - at >= self.capacity:
             self._sequence([(doc, at, ids[at : at + self.capacity], total)])
             at += self.capacity
-        for k, length in cut(total - at, self.capacity, self.slack):
-            own = self.bins.setdefault(k, [])
-            own.append((doc, at, ids[at : at + length].copy(), total))
-            at += length
-            if len(own) == k:
-                self._sequence(self.bins.pop(k))
+        rest = total - at
+        if not rest:
+            return
+        piece, k = (doc, at, ids[at:].copy(), total), self.capacity // rest
+        if k > CLASSES or self.stock < self.capacity:
+            self.fillers.append(piece)
+            self.stock += rest
+            return
+        own = self.bins.setdefault(k, [])
+        own.append(piece)
+        if len(own) == k:
+            self._sequence(own + self._fill(self.capacity - sum(len(p[2]) for p in own)))
+            del self.bins[k]
+
+    def _fill(self, gap: int) -> list[tuple]:
+        """Pieces of fillers of ``gap`` ids together; there are as many in stock."""
+        out = []
+        self.stock -= gap
+        while gap:
+            doc, start, ids, total = self.fillers.popleft()
+            out.append((doc, start, ids[:gap], total))
+            if len(ids) > gap:
+                self.fillers.appendleft((doc, start + gap, ids[gap:], total))
+            gap -= len(out[-1][2])
+        return out
 
     def finish(self) -> None:
         """Cut what is left over into whole sequences and powers of two."""
-        left = [p for k in sorted(self.bins) for p in self.bins[k]]
-        self.bins = {}
+        left = [p for k in sorted(self.bins) for p in self.bins[k]] + [*self.fillers]
+        self.bins, self.fillers, self.stock = {}, deque(), 0
         ids_left = sum(len(p[2]) for p in left)
         while left:
             room = min(self.capacity, 1 << ids_left.bit_length() - 1)
@@ -91,13 +99,13 @@ class Packer:
             self._sequence(own)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their place in a sequence; memory holds one batch and a bin of each class."""
     shared.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), shared.text_or_empty(text_col).alias("text"))
 
     def run(batches):
-        packer = Packer(TaskContext.get().partitionId(), capacity, slack)
+        packer = Packer(TaskContext.get().partitionId(), capacity)
         encode = encoder(tokenizer_path).encode
         for batch in batches:
             ids, edges = encode(*utf8(batch.column("text")))
