@@ -17,6 +17,7 @@ names a component; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ THRESHOLD = 0.9
 TILE = 2048
 #: Leading coordinates in a tile's box and in each step of a product.
 BOX_AXES, STEP = 8, 16
+#: Axes of the grid whose cells bring tiles together.
+GRID_AXES = 3
 #: Rows in the bounded sample whose medians place the cuts of the tree.
 CUT_SAMPLE = 10_000
 #: A product in another order of axes differs from the plain one by less than this.
@@ -188,6 +191,26 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id").eqNullSafe(component)).alias("kept"))
 
 
+def tile_pairs(tiles: DataFrame, axes: int, reach: float) -> DataFrame:
+    """Pairs (a, b), a <= b, of the tiles whose boxes of leading coordinates are no farther apart than ``reach``.
+
+    Boxes meet in the cells of a grid over the first axes, as wide as the reach, that they touch when widened by half of
+    it; a pair is made in the last of the cells that both touch.
+    """
+    box = tiles.groupBy("tile").agg(*(f(F.element_at("lead", i + 1)).alias(f"{name}{i}") for i in range(axes) for name, f in (("lo", F.min), ("hi", F.max))))
+    grid = min(GRID_AXES, axes)
+    cell = lambda x: F.floor(x / F.lit(reach))
+    for i in range(grid):
+        first = cell(F.col(f"lo{i}") - F.lit(reach / 2))
+        box = box.withColumn(f"first{i}", first).withColumn(f"cell{i}", F.explode(F.sequence(first, cell(F.col(f"hi{i}") + F.lit(reach / 2)))))
+    a, b = box.alias("a"), box.alias("b")
+    apart = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"a.lo{i}") - F.col(f"b.hi{i}"), F.col(f"b.lo{i}") - F.col(f"a.hi{i}")), F.lit(2.0)) for i in range(axes)), F.lit(0.0))
+    same = [F.col(f"a.cell{i}") == F.col(f"b.cell{i}") for i in range(grid)]
+    last = [F.col(f"a.cell{i}") == F.greatest(f"a.first{i}", f"b.first{i}") for i in range(grid)]
+    near = (F.col("a.tile") <= F.col("b.tile")) & (apart <= F.lit(reach * reach + SLACK))
+    return a.join(b, reduce(lambda x, y: x & y, [*same, *last, near])).select(F.col("a.tile").alias("a"), F.col("b.tile").alias("b"))
+
+
 def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: float, folder: str) -> tuple[DataFrame, DataFrame]:
     n = classes.count()
     axes = principal_axes(classes, dimension)
@@ -205,20 +228,12 @@ def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: f
     placed = classes.select("rep", "size", "unit").mapInArrow(place, "leaf long, rep long, size long, unit binary, lead array<double>")
     # A leaf may hold more than a tile; its rows are dealt over as many tiles by hash.
     in_leaf = placed.groupBy("leaf").agg(F.ceil(F.count("*") / TILE).cast("long").alias("cells"))
-    tiles = placed.join(in_leaf, "leaf").withColumn("tile", F.col("leaf") * 4096 + F.pmod(F.xxhash64("rep"), F.col("cells")))
+    tiles = placed.join(in_leaf, "leaf").withColumn("tile", F.col("leaf") * F.lit(1 << 32) + F.pmod(F.xxhash64("rep"), F.col("cells")))
     tiles = shared.staged(spark, tiles.drop("cells"), f"{folder}-tiles")
     axes_used = min(BOX_AXES, dimension)
-    box = tiles.groupBy("tile").agg(*(f(F.element_at("lead", i + 1)).alias(f"{name}{i}") for i in range(axes_used) for name, f in (("lo", F.min), ("hi", F.max))))
-    boxes = [(r.tile, np.array([r[f"lo{i}"] for i in range(axes_used)]), np.array([r[f"hi{i}"] for i in range(axes_used)])) for r in box.orderBy("tile").collect()]  # a row for each ``TILE`` vectors
-    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
-    lows, highs = np.array([b[1] for b in boxes]), np.array([b[2] for b in boxes])
-    pairs = []
-    for i, (tile, lo, hi) in enumerate(boxes):
-        gap = np.maximum(0, np.maximum(lows[i:] - hi, lo - highs[i:]))
-        pairs += [(tile, boxes[i + j][0]) for j in np.flatnonzero((gap**2).sum(1) <= reach**2)]
+    meet = tile_pairs(tiles, min(BOX_AXES, dimension), float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK)
     packed = tiles.groupBy("tile").agg(F.sort_array(F.collect_list(F.struct("rep", "size", "unit"))).alias("rows"))
     packed = shared.staged(spark, packed, f"{folder}-packed")
-    meet = spark.createDataFrame(pairs, "a long, b long").repartition(shared.parallelism(spark) * 2)
     left = packed.select(F.col("tile").alias("a"), F.col("rows").alias("rows_a"))
     right = packed.select(F.col("tile").alias("b"), F.col("rows").alias("rows_b"))
     both = meet.join(left, "a").join(right, "b").repartition(shared.parallelism(spark) * 2, "a", "b")
@@ -238,6 +253,8 @@ def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: f
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["rep", "n", "other"])
 
     found = shared.staged(spark, both.mapInArrow(run, "rep long, n long, other long"), f"{folder}-links")
+    shared.remove(spark, f"{folder}-tiles")
+    shared.remove(spark, f"{folder}-packed")
     return found.filter("n > 0").select("rep", "n"), found.filter("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
 
