@@ -18,6 +18,7 @@ empty table there are no shards.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from bisect import bisect_right
@@ -36,6 +37,8 @@ from threshmill.llm.tokens import default_tokenizer, encoder, utf8
 MAGIC = b"TMSST001"
 FOOTER = struct.Struct("<QQQQIII8s")
 BLOCK_TARGET = 256 << 10
+#: Bytes of text in a shard, whose index and filter stay in proportion; with little text, there are as many shards as tasks.
+SHARD_TEXT = 256 << 20
 BITS_PER_KEY = 10
 FILTER_HASHES = 7
 
@@ -70,9 +73,8 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
 
 
 def _filter_bits(key: bytes, size: int) -> list[int]:
-    """Double hashing from two CRCs of the key."""
-    a = zlib.crc32(key)
-    b = zlib.crc32(key, 0x9E3779B9) | 1
+    """Double hashing from the two halves of a digest of the key."""
+    a, b = struct.unpack("<QQ", hashlib.blake2b(key, digest_size=16).digest())
     return [(a + i * b) % size for i in range(FILTER_HASHES)]
 
 
@@ -199,7 +201,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """
     spark = docs.sparkSession
     shared.small_batches(spark)
-    parts = shards or shared.parallelism(spark)
+    size = 0 if shards else docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    parts = shards or max(shared.parallelism(spark), -(-size // SHARD_TEXT))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), shared.text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
