@@ -5,8 +5,11 @@ if each output begins with the one before, what it adds is the span of the new t
 history, and the conversation is marked so and has no spans. Rendering a turn once more with a probe in place of
 its text shows where in the span the text stands, so the loss mask covers the assistants' texts and nothing else.
 
-A conversation of more than ``block_turns`` turns is rendered in blocks of that many, each continuing after
-``template([])``; a block is one row of output, so neither rows nor work grow with the square of a conversation.
+A conversation of more than ``block_turns`` turns is rendered in blocks of that many, each continuing after the last
+``OVERLAP`` turns of the block before: a template that rewrites any of these is seen across the border too. A template
+that first touches a turn more than ``OVERLAP`` turns and a block later is beyond what blocks can show; ``block_turns``
+may be as large as the longest conversation to rule that out. A block is one row of output, so neither rows nor work grow
+with the square of a conversation.
 Rows are dealt by conversation and read in the order of their turns, one block in memory at a time.
 
 Defined results: a null text or role is empty; rows with a null conversation form one; ties in a conversation's turns
@@ -27,7 +30,7 @@ from threshmill.llm import shared
 
 Turns = list[tuple[str, str]]
 PROBE = "\ue000"
-BLOCK_TURNS = 256
+BLOCK_TURNS, OVERLAP = 256, 16
 
 _ESCAPE = re.compile(r"[\\#<]")
 _UNESCAPE = re.compile(r"\\(.)", re.S)
@@ -61,8 +64,15 @@ def parse_turns(formatted: str) -> Turns:
     return turns
 
 
-def render(turns: Turns, template: Callable[[Turns], str], loss_role: str = "assistant") -> tuple[str, bool, list[tuple[int, int]], list[tuple[int, int]]]:
-    """(output, rewrites history, span of each turn, spans of the loss mask), spans as (start, length) in characters."""
+def render(turns: Turns, template: Callable[[Turns], str], loss_role: str = "assistant", history: Turns | None = None) -> tuple[str, bool, list[tuple[int, int]], list[tuple[int, int]]]:
+    """(output, rewrites history, span of each turn, spans of the loss mask), spans as (start, length) in characters.
+
+    With a history, the output and its spans begin after what the template says of it alone.
+    """
+    if history:
+        head = len(template(history))
+        output, rewrites, spans, loss = render(turns, lambda own: template([*history, *own]), loss_role)
+        return (output if rewrites else output[head:]), rewrites, [(a - head, n) for a, n in spans], [(a - head, n) for a, n in loss]
     before, spans, loss = template([]), [], []
     for k in range(1, len(turns) + 1):
         output = template(turns[:k])
@@ -93,29 +103,26 @@ def format_conversations(turns: DataFrame, template: Callable[[Turns], str] = tu
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), shared.text_or_empty("role").alias("role"), shared.text_or_empty("text").alias("text"))
     rows = rows.repartition(shared.parallelism(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
-    def row(conv: int | None, block: int, own: Turns) -> tuple:
-        output, rewrites, spans, loss = render(own, template, loss_role)
-        if block and not rewrites:  # the head before the first turn stands in the first block only
-            head = len(template([]))
-            output, spans, loss = output[head:], [(a - head, n) for a, n in spans], [(a - head, n) for a, n in loss]
+    def row(conv: int | None, block: int, own: Turns, history: Turns) -> tuple:
+        output, rewrites, spans, loss = render(own, template, loss_role, history)
         pairs = lambda x: [{"start": a, "length": n} for a, n in x]
         return conv, block, output, rewrites, pairs(spans), pairs(loss)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        conv, block, own, out, size = None, 0, [], [], 0
+        conv, block, own, history, out, size = None, 0, [], [], [], 0
         for batch in batches:
             for c, r, t in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text"))):
                 if own and (c != conv or len(own) == block_turns):
-                    out.append(row(conv, block, own))
+                    out.append(row(conv, block, own, history))
                     size += len(out[-1][2])
-                    block, own = (0 if c != conv else block + 1), []
+                    block, own, history = (0, [], []) if c != conv else (block + 1, [], own[-OVERLAP:])
                 conv = c
                 own.append((r, t))
                 if size > 4 << 20:
                     yield _batch(out, _FORMATTED)
                     out, size = [], 0
         if own:
-            out.append(row(conv, block, own))
+            out.append(row(conv, block, own, history))
         if out:
             yield _batch(out, _FORMATTED)
 
