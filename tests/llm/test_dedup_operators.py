@@ -63,6 +63,24 @@ def test_vectors(spark, monkeypatch):
     assert embeddings.near_duplicates(df.filter("false")).count() == 0
 
 
+def test_tile_pairs_by_brute_force(spark):
+    rng = np.random.default_rng(14)
+    low = rng.uniform(-1, 1, (60, 4))
+    boxes = np.stack([low, low + rng.uniform(0, 0.7, low.shape) * (rng.random((60, 1)) < 0.5)], 1)
+    rows = [(t, corner.tolist()) for t, corners in enumerate(boxes) for corner in corners]
+    tiles = spark.createDataFrame(rows, "tile long, lead array<double>")
+    for axes in (1, 2, 4):
+        gap = lambda a, b: np.maximum(0, np.maximum(a[0] - b[1], b[0] - a[1]))[:axes]
+        wanted = [(i, j) for i in range(60) for j in range(i, 60) if (gap(boxes[i], boxes[j]) ** 2).sum() <= 0.45**2]
+        assert sorted(map(tuple, embeddings.tile_pairs(tiles, axes, 0.45).collect())) == wanted
+
+
+def test_null_vector_identifiers(spark):
+    rows = [(None, [1.0, 0.0]), (4, [1.0, 0.01]), (4, [1.0, 0.01]), (None, None)]
+    got = sorted(((r.vec_id or -1), r.n_links) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert len(got) == 4 and got[-1][0] == 4
+
+
 # --- 8
 
 

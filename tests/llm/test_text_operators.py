@@ -161,6 +161,22 @@ def test_long_and_odd_conversations(spark):
     assert chat.digests(chat.format_conversations(turns.filter("false"))).count() == 0
 
 
+def test_rewriting_across_a_block_border_is_seen(spark):
+    def last_marked(turns):  # the turn before the last loses its mark
+        return "".join(f"{'*' if i == len(turns) - 1 else ''}{t}|" for i, (_, t) in enumerate(turns))
+
+    def every_eighth(turns):  # each eighth turn takes a character from the one before
+        return "".join(t[:-1] if (i + 2) % 8 == 0 and i + 1 < len(turns) else t for i, (_, t) in enumerate(turns))
+
+    turns = spark.createDataFrame([(1, i, "user", f"turn {i:02d}") for i in range(40)], "conv_id long, turn long, role string, text string")
+    for template in (last_marked, every_eighth):
+        assert all(r.rewrites for r in chat.format_conversations(turns, template, block_turns=20).collect())
+    own = [("user", f"turn {i}") for i in range(9)]
+    output, rewrites, spans, _ = chat.render(own[8:], every_eighth, history=own[:8])
+    assert not rewrites and output == "turn 8" and spans == [(0, 6)]
+    assert chat.render(own[7:8], every_eighth, history=own[:7])[1]  # the border's own turn is rewritten
+
+
 # --- 4
 
 
@@ -386,12 +402,57 @@ def test_tokens_and_topics(spark):
     assert [tuple(r) for r in got] == rows
 
 
-def test_mixing_query(spark, sf_dir):
-    rows = QUERIES["op7_mixing"](spark, sf_dir).collect()
-    total = sum(r.n_tokens for r in rows)
-    assert len(rows) == shared.table(spark, sf_dir, "documents").count()
-    assert sum(r.n_tokens * r.probability for r in rows) == pytest.approx(mixing.KEEP_SHARE * total, rel=1e-3)
-    assert {r.kept for r in rows} == {True, False}
+def test_mixing_query_by_brute_force(spark, sf_dir):
+    """Topics, tokens, raking, calibration and sampling of the whole query, in plain loops."""
+    docs = shared.table(spark, sf_dir, "documents").collect()
+    low = lambda t: t.lower()
+
+    def topic(t):
+        for name, (pattern, strings) in mixing.TOPICS.items():
+            if any(x in low(t) for x in strings) and re.search(pattern, t):
+                return name
+        return "prose"
+
+    own = {r.doc_id: (r.source, r.lang, topic(r.text or ""), len(re.findall(r"[^ \t\n\x0B\f\r]+", r.text or ""))) for r in docs}
+    tokens = {}
+    for *cell, n in own.values():
+        tokens[tuple(cell)] = tokens.get(tuple(cell), 0) + n
+    total, raked = sum(tokens.values()), {c: float(n) for c, n in tokens.items()}
+    shares = []
+    for axis, d in enumerate(mixing.DIMENSIONS):
+        part = {}
+        for c, n in tokens.items():
+            part[c[axis]] = part.get(c[axis], 0) + n
+        power = {v: (n / total) ** mixing.POWERS[d] for v, n in part.items() if n}
+        shares.append({v: p / sum(power.values()) * total for v, p in power.items()})
+    for _ in range(300):
+        for axis, wanted in enumerate(shares):
+            sums = {}
+            for c, w in raked.items():
+                sums[c[axis]] = sums.get(c[axis], 0) + w
+            raked = {c: w * wanted[c[axis]] / sums[c[axis]] if w else w for c, w in raked.items()}
+    factor = {c: raked[c] / n if n else 1.0 for c, n in tokens.items()}
+    at, upto = 0.0, 1e6  # the scale by bisection
+    for _ in range(200):
+        scale = (at + upto) / 2
+        expected = sum(n * min(1.0, scale * factor[c]) for c, n in tokens.items())
+        at, upto = (scale, upto) if expected < mixing.KEEP_SHARE * total else (at, scale)
+    got = {r.doc_id: r for r in QUERIES["op7_mixing"](spark, sf_dir).collect()}
+    assert set(got) == set(own) and {r.kept for r in got.values()} == {True, False}
+    for i, (*cell, n) in own.items():
+        probability = min(1.0, scale * factor[tuple(cell)])
+        number = int(hashlib.md5(f"{mixing.SEED}/{i}".encode()).hexdigest()[:13], 16) / 2**52
+        r = got[i]
+        assert (r.source, r.lang, r.topic, r.n_tokens) == (*cell, n)
+        assert r.factor == pytest.approx(factor[tuple(cell)], abs=2e-5) and r.probability == pytest.approx(probability, abs=2e-5)
+        assert abs(number - probability) < 1e-4 or r.kept == (number < probability)
+
+
+def test_raking_warns_of_contradicting_targets(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("b", "y", "t", 10)], "source string, lang string, topic string, tokens long")
+    targets = {d: spark.createDataFrame(rows, "value string, share double") for d, rows in (("source", [("a", 0.9), ("b", 0.1)]), ("lang", [("x", 0.1), ("y", 0.9)]))}
+    with pytest.warns(UserWarning, match="marginals off"):
+        assert mixing.rake(cells, targets, rounds=3).count() == 2
 
 
 def test_mixing_odd_rows(spark):

@@ -455,6 +455,7 @@ def repeat_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = shared.staged(spark, anchor_table(rows, max(1, n_rows // 8_000), length), f"{folder}/runs")
     shards = shared.staged(spark, shard_transforms(runs, rows, length), f"{folder}/shards")
     found = shared.staged(spark, compare(shards, length), f"{folder}/found")
+    shared.remove(spark, f"{folder}/shards")
     spans = runs.filter(F.col("kind") == REPEAT).select(*_KEYS, "lo", "hi").unionByName(found).distinct()
     # Both lists are collected in one aggregate, so they stand in one order.
     spans = spans.groupBy(F.col("row_key").alias(KEY), F.col("row_key2").alias(KEY2)).agg(F.collect_list("lo").alias(LOWS), F.collect_list("hi").alias(HIGHS))

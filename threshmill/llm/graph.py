@@ -32,6 +32,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         small = large.join(least, "u")
         small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         pairs = shared.staged(spark, small, f"{folder}/{i}")
+        shared.remove(spark, f"{folder}/{i - 1}")
         now = _state(pairs)
         if now == state:
             break

@@ -12,11 +12,13 @@ that splits large keys.
 
 Defined results: a null source or language is a value of its own; a null or empty text has no tokens, weighs nothing
 and has its cell's probability (the scale alone where a cell has no tokens); targets for values that do not occur are
-left out and the others scaled up; of an empty table no rows come.
+left out and the others scaled up; targets that the cells cannot meet together are met as far as ``ROUNDS`` go, with a
+warning; rows with one identifier share their fate; of an empty table no rows come.
 """
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,10 +100,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, powers:
             cells = cells.join(sums, F.col(d) == F.col("value"), "left").withColumn("ratio", F.coalesce(ratio, F.lit(1.0)))
             cells = cells.withColumn("raked", F.col("raked") * F.col("ratio")).withColumn(f"off_{d}", F.abs(F.col("ratio") - 1)).drop("ratio", "value", "sum")
         cells = written(cells, str(i))
+        shared.remove(spark, f"{folder}/{i - 1}")
         worst = cells.filter("raked > 0").agg(F.max(F.greatest(*(f"off_{d}" for d in DIMENSIONS)))).first()[0]
         cells = cells.drop(*(f"off_{d}" for d in DIMENSIONS))
         if worst is None or worst < tolerance:
             break
+    else:
+        warnings.warn(f"raking ended after {rounds} rounds with marginals off by {worst:.3g}, more than {tolerance:.3g}: the targets contradict the cells", stacklevel=2)
     return cells.drop(*(f"target_{d}" for d in DIMENSIONS))
 
 

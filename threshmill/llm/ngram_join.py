@@ -467,6 +467,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = max(1, n_rows // 8_000)
     lists = shared.staged(spark, holder_lists(chosen, buckets), f"{folder}/lists")
     coarse = components(spark, candidate_edges(lists, chosen.select("doc_id", "n", "bitmap")))
+    shared.remove(spark, f"{folder}/lists")
     clusters = chosen.select("doc_id", "n").join(coarse.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster")), "doc_id")
     links = shared.staged(spark, exact_edges(clusters, rows), f"{folder}/links")
     joined = components(spark, links)

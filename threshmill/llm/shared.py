@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 import tempfile
 import uuid
 
@@ -14,12 +15,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; set here only where it is unset, as in tests."""
+    """The folder all executors share, as the cluster names it; set here only where it is unset and all run on one machine."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             return posixpath.dirname(jvm_dir.get())
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} names no folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="threshmill-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -47,11 +50,10 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def remove(uri: str) -> None:
-    """Delete a run's folder, if it is there."""
-    system, path = filesystem(uri)
-    if system.get_file_info(path).type == pafs.FileType.Directory:
-        system.delete_dir(path)
+def remove(spark: SparkSession, uri: str) -> None:
+    """Delete a folder of the run that nothing reads any more, if it is there, in whatever store Spark has it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
