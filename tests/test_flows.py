@@ -3,7 +3,7 @@ import json
 import pytest
 
 from threshmill.operators import registry
-from threshmill.plans.ingest import Registry, ingest
+from threshmill.plans.ingest import ConcurrentCommit, Registry, bootstrap, ingest, review
 from threshmill.sources import json_lines, sinks
 from threshmill.streaming import idempotent_sink, run_available, segment_stream, stream, windowed_counts
 
@@ -97,3 +97,64 @@ def test_stateful_segments(spark, tmp_path):
     run_available(segment_stream(source), idempotent_sink(f"file://{tmp_path}/out"), f"file://{tmp_path}/c")
     got = spark.read.parquet(f"file://{tmp_path}/out").collect()
     assert [(r.segment, r.n, r.end_reason) for r in got] == [(0, 2, "time_gap_132m")]
+
+
+def test_review_evidence_and_revalidation(spark, tmp_path):
+    reg = Registry(spark, f"file://{tmp_path}/registry")
+    base = spark.createDataFrame([("KB-0001", "系统是否支持删除客户？", "系统支持删除客户。")], "kb_id string, question string, answer string")
+    assert bootstrap(reg, base, count=1) == 1 and bootstrap(reg, base) == 0
+    a = "\n".join([line(0, "客户", "怎么设置新的业务标签？"), line(1, "客服", "进入标签设置页面后新建标签并保存。")])
+    b = "\n".join([line(0, "客户", "系统是否支持删除客户？"), line(1, "客服", "系统不支持删除客户。")])
+    counts = ingest(reg, files(spark, a=a, b=b))
+    assert counts == {"files_new": 2, "knowledge_new": 1, "knowledge_conflict": 1}
+    reviews = {r.relation: r.review_id for r in reg.table("reviews").collect()}
+    assert review(reg, {reviews["new"]: "approved"}, "fixture") == {reviews["new"]: "review_approved"}
+    assert review(reg, {reviews["new"]: "approved"}) == {reviews["new"]: "refused_already_decided"}
+    assert [(r.kb_id, r.status) for r in reg.table("evidence").collect()] == [("KB-0646", "active")]
+    assert {(r.source, r.message_watermark, r.last_message_time) for r in reg.table("sources").collect()} == {("a", 2, "2026-09-15 10:01"), ("b", 2, "2026-09-15 10:01")}
+    changed = a.replace("标签设置页面", "其他设置页面")
+    assert ingest(reg, files(spark, a=changed, b=b))["files_modified"] == 1
+    assert [r.status for r in reg.table("evidence").collect()] == ["invalidated"]
+    again = [r for r in reg.table("reviews").filter("status = 'pending'").collect() if r.relation == "revalidation_required"]
+    assert [(r.target_kb_id, r.proposed_question) for r in again] == [("KB-0646", "怎么设置新的业务标签？")]
+    assert review(reg, {again[0].review_id: "approved"}) == {again[0].review_id: "revalidation_acknowledged"}
+    assert {"baseline_imported", "review_approved", "revalidation_acknowledged"} <= {r.event for r in reg.table("audit").collect()}
+
+
+def test_renamed_and_changed_file_keeps_its_source(spark, tmp_path):
+    reg = Registry(spark, f"file://{tmp_path}/registry")
+    a = "\n".join([line(0, "客户", "如何新增客户？"), line(1, "客服", "点击新增客户并保存。")])
+    ingest(reg, files(spark, old=a))
+    counts = ingest(reg, files(spark, new=a.replace("点击", "先选择门店，再点击")), authoritative=False, source_ids={"new": "old"})
+    assert counts["files_modified"] == 1 and {r.source for r in reg.table("sources").collect()} == {"old"}
+
+
+def test_of_two_committers_one_fails(spark, tmp_path):
+    reg = Registry(spark, f"file://{tmp_path}/registry")
+    audit = spark.createDataFrame([("e", "x", "{}")], "event string, entity string, detail string")
+    at = reg.version()
+    assert reg.commit(at, audit=audit) == 1
+    with pytest.raises(ConcurrentCommit):
+        reg.commit(at, audit=audit.filter("false"))
+    assert reg.version() == 1 and reg.table("audit").count() == 1
+    assert reg.commit(audit=audit.union(audit)) == 2 and reg.tables(1)["audit"].count() == 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from threshmill.__main__ import main
+
+    (tmp_path / "chats").mkdir()
+    (tmp_path / "chats/a.md").write_text("\n".join([line(0, "客户", "怎么设置新的业务标签？"), line(1, "客服", "进入标签设置页面后新建标签并保存。")]))
+    (tmp_path / "base.jsonl").write_text(json.dumps({"kb_id": "KB-0001", "question": "问", "answer": "答案"}) + "\n")
+    state = ["--registry", f"file://{tmp_path}/registry"]
+    assert main(["init", f"file://{tmp_path}/base.jsonl", "--count", "2", *state]) == 2
+    assert main(["init", f"file://{tmp_path}/base.jsonl", "--count", "1", *state]) == 0
+    assert main(["ingest", f"file://{tmp_path}/chats", "--analyze", "--dry-run", *state]) == 0
+    assert main(["ingest", f"file://{tmp_path}/chats", "--analyze", *state]) == 0
+    capsys.readouterr()
+    assert main(["review", *state]) == 0
+    found = json.loads(capsys.readouterr().out.strip())
+    assert main(["review", "--approve", found["review_id"], *state]) == 0 and main(["review", "--reject", found["review_id"], *state]) == 1
+    assert main(["publish", str(tmp_path / "releases"), "--version", "1.0.0", *state]) == 0
+    assert main(["publish", str(tmp_path / "releases"), "--version", "1.0.0", *state]) == 2
+    assert main(["validate-release", str(tmp_path / "releases/1.0.0")]) == 0

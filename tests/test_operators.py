@@ -3,8 +3,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from threshmill.operators import clusters, guards, messages, registry, segments, similarity
-from threshmill.sources import subtitles
+from threshmill.operators import clusters, guards, incremental, messages, registry, segments, similarity
+from threshmill.sources import file_inventory, json_lines_numbered, subtitles
 
 START = datetime(2026, 1, 1)
 
@@ -148,3 +148,77 @@ def test_subtitles(spark):
     text = "1\r\n00:00:01,500 --> 00:00:02,000\r\nhello\r\nworld\r\n\r\n2\n00:01:00,000 --> 00:01:01,250\nend"
     got = subtitles(spark.createDataFrame([("v", text)], "path string, text string")).orderBy("index").collect()
     assert [(r["index"], r.start_seconds, r.end_seconds, r.text) for r in got] == [(1, 1.5, 2.0, "hello world"), (2, 60.0, 61.25, "end")]
+
+
+def test_several_reviews_of_one_target(spark):
+    revisions = spark.createDataFrame([("KB-0001", 1, "active", "q", "a", None), ("KB-0002", 1, "active", "q2", "b", None)], REVISIONS)
+    rows = [("r2", "i2", "conflict", "KB-0001", "q", "second"), ("r1", "i1", "answer_supplement", "KB-0001", "q", "first"), ("r3", "i3", "new", None, "q3", "c"), ("r4", "i4", "new", None, "q4", "d")]
+    reviews = spark.createDataFrame([(*r, 0.9, "approved") for r in rows], REVIEWS)
+    after = registry.approve(reviews, revisions)
+    got = sorted((r.kb_id, r.revision, r.status, r.answer, r.supersedes) for r in after.collect())
+    assert got == [("KB-0001", 1, "superseded", "a", None), ("KB-0001", 2, "superseded", "first", "KB-0001@r1"), ("KB-0001", 3, "active", "second", "KB-0001@r2"), ("KB-0002", 1, "active", "b", None), ("KB-0646", 1, "active", "c", None), ("KB-0647", 1, "active", "d", None)]
+    assert registry.chain_violations(after).count() == 0
+
+
+REVIEWS = "review_id string, issue_id string, relation string, target_kb_id string, proposed_question string, proposed_answer string, confidence double, status string"
+
+
+def test_decisions(spark):
+    revisions = spark.createDataFrame([("KB-0001", 1, "active", "q", "a", None)], REVISIONS)
+    issues = spark.createDataFrame([("i1", "s1", "active"), ("i2", "s1", "invalidated"), ("i3", "s2", "active")], "issue_id string, source string, status string")
+    reviews = spark.createDataFrame(
+        [("a", "i1", "conflict", "KB-0001", "q", "b", 0.9, "pending"), ("b", "i2", "new", None, "x", "y", 0.8, "pending"), ("c", "i3", "new", None, "x", "y", 0.8, "pending"), ("d", "i2", "revalidation_required", "KB-0001", "q", "a", 1.0, "pending"), ("e", "i1", "new", None, "x", "y", 0.8, "rejected"), ("f", "i9", "new", None, "x", "y", 0.8, "pending")],
+        REVIEWS,
+    )
+    decisions = spark.createDataFrame([("a", "approved", "fine"), ("b", "approved", ""), ("c", "rejected", ""), ("d", "approved", ""), ("e", "approved", ""), ("f", "approved", ""), ("zz", "approved", "")], "review_id string, decision string, note string")
+    after = registry.decide(reviews, issues, revisions, decisions)
+    assert {r.entity: r.event for r in after["audit"].collect()} == {"a": "review_approved", "b": "refused_inactive_issue", "c": "review_rejected", "d": "revalidation_acknowledged", "e": "refused_already_decided", "f": "refused_inactive_issue", "zz": "refused_unknown_review"}
+    assert {r.review_id: r.status for r in after["reviews"].collect()} == {"a": "approved", "b": "pending", "c": "rejected", "d": "approved", "e": "rejected", "f": "pending"}
+    assert [tuple(r) for r in after["evidence"].collect()] == [("KB-0001", 2, "i1", "s1", "active")]
+    assert {(r.kb_id, r.revision, r.status) for r in after["revisions"].collect()} == {("KB-0001", 1, "superseded"), ("KB-0001", 2, "active")}
+
+
+def test_revise_and_rebaseline(spark):
+    revisions = spark.createDataFrame([("KB-0001", 1, "active", "q", "a", None), ("KB-0002", 1, "retired", "q", "b", None), ("KB-0003", 1, "active", "q3", "c", None)], REVISIONS)
+    long = "an answer of more than twenty characters"
+    proposed = [("KB-0001", " q ", long), ("KB-0002", "q", long), ("KB-0009", "q", long), ("KB-0003", "q", "short")]
+    after, refused = registry.revise(revisions, spark.createDataFrame(proposed, "kb_id string, question string, answer string"))
+    assert {r.kb_id: r.reasons for r in refused.collect()} == {"KB-0002": ["not_active"], "KB-0009": ["unknown_entry"], "KB-0003": ["answer_too_short"]}
+    assert [(r.revision, r.question, r.supersedes) for r in registry.active(after).filter("kb_id = 'KB-0001'").collect()] == [(2, "q", "KB-0001@r1")]
+    base = spark.createDataFrame([("KB-0001", "q", "changed"), ("KB-0005", "new", "e")], "kb_id string, question string, answer string")
+    got = sorted((r.kb_id, r.revision, r.status) for r in registry.rebaseline(revisions, base).collect())
+    assert got == [("KB-0001", 1, "superseded"), ("KB-0001", 2, "active"), ("KB-0002", 1, "retired"), ("KB-0003", 1, "retired"), ("KB-0005", 1, "active")]
+
+
+def test_guards_fail_on_what_is_not_known(spark):
+    names = ["supported", "answers_question", "is_real_cause", "action_supported", "in_scope", "reusable", "stable", "stable_limitation", "annotated"]
+    row = spark.createDataFrame([(None,) * len(names)], ", ".join(f"{n} boolean" for n in names))
+    row = row.selectExpr("*", "'publish' AS verdict", "cast(null AS string) AS qa_aligned", "'how_to' AS problem_type", "'candidate' AS decision", "cast(null AS array<struct<flag: string, severity: string>>) AS flags", "cast(null AS int) AS n_recent", "0 AS n_recent_sound", "0 AS n_cited", "0 AS n_cited_temporary", "0 AS n_members", "0 AS span_days")
+    got = row.select(guards.cause_verdict().alias("a"), guards.regenerated_verdict().alias("b"), guards.build_verdict(F.col("flags")).alias("c"), guards.admission().alias("d")).first()
+    assert tuple(got) == ("insufficient_evidence", "insufficient_evidence", "manual_review", "reject")
+    gates = [row.withColumn("decision", F.lit(d)).select(guards.temporal_gate()).first()[0] for d in ("CURRENT_CONFIRMED", "STALE", "UNKNOWN", None)]
+    assert gates == ["GATE_FAILED_KEEP_BLOCKED", "GATE_FAILED_KEEP_BLOCKED", "UNKNOWN", "GATE_FAILED_KEEP_BLOCKED"]
+
+
+def test_changed_interval(spark):
+    rows = [("abcdef", "abXdef"), ("abc", "abc"), ("abc", "abcde"), ("abcd", "ad"), ("", "ab"), ("aa", "aaa"), ("ab", "")]
+    df = spark.createDataFrame([(list(a), list(b)) for a, b in rows], "a array<string>, b array<string>")
+    got = [tuple(r.c) for r in df.select(incremental.changed_interval(F.col("a"), F.col("b")).alias("c")).collect()]
+    assert got == [(2, 3), (3, 3), (3, 5), (1, 1), (0, 2), (2, 3), (0, 0)]
+
+
+def test_numbering_and_files(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{i % 40:02d}", i) for i in range(100)], "k string, v int")
+    got = clusters.exact_groups(rows, F.col("k"), "v").collect()
+    assert {r.group_no for r in got} == set(range(1, 41)) and all(r.group_no == int(r.k[1:]) + 1 for r in got)
+    for name in ("b.md", "a.md", "c.md"):
+        (tmp_path / name).write_text(f"# Title {name}\nwords here")
+    files = file_inventory(spark, f"file://{tmp_path}").orderBy("path").collect()
+    assert [(r.document_id, r.title) for r in files] == [("D0001", "Title a.md"), ("D0002", "Title b.md"), ("D0003", "Title c.md")]
+    (tmp_path / "x.jsonl").write_text("".join('{"a": %d}\n\n' % i for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = json_lines_numbered(spark, f"file://{tmp_path}/x.jsonl", "a int").filter("a is not null").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(lines) == 2000 and all(r.line_number == 2 * r.a + 1 for r in lines)

@@ -3,20 +3,42 @@
 from __future__ import annotations
 
 import heapq
+import re
+import tempfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """The folder that the session names; one of this machine's only where all run on it, as in tests."""
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="threshmill-")
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def number_by_range(rows: DataFrame, *order: str, name: str = "row_no") -> DataFrame:
+    """Adds 1, 2, 3 ... in the given order: rows are dealt by range and each range counted, so no task has all rows."""
+    dealt = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = dealt.join(F.broadcast(sizes.select("_p", before.alias("_b"))), "_p")  # a row for each range
+    return placed.withColumn(name, F.col("_b") + F.row_number().over(Window.partitionBy("_p").orderBy(*order))).drop("_p", "_b")
+
+
 def exact_groups(rows: DataFrame, key: Column, order: str, name: str = "group_no") -> DataFrame:
     """Rows whose key occurs more than once, numbered by the key's order.
 
-    Groups are counted and numbered as groups, so a window over all rows is not needed.
+    Groups are counted and numbered by ranges, so no task numbers all; a group's own rows are ranked together.
     """
     keyed = rows.withColumn("_key", key)
     groups = keyed.groupBy("_key").agg(F.count("*").alias("group_size")).filter("group_size > 1")
-    numbered = groups.withColumn(name, F.row_number().over(Window.orderBy("_key")))
+    numbered = number_by_range(groups, "_key", name=name)
     return keyed.join(numbered, "_key").drop("_key").withColumn("group_rank", F.row_number().over(Window.partitionBy(name).orderBy(order)))
 
 
@@ -27,10 +49,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
     time. Rounds are cut by a reliable checkpoint.
     """
     spark = edges.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="threshmill-"))
+    set_checkpoint_dir(spark)
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct().checkpoint()
     ids = both.select(F.col("a").alias("node"))
     ids = (ids.unionByName(nodes.toDF("node")) if nodes is not None else ids).distinct()

@@ -31,14 +31,20 @@ def source_quality() -> Column:
 
 
 def final_status() -> Column:
+    """What is not known of an entry needs a person."""
     quality, verdict, grounding, temporal = (F.col(x) for x in ("source_quality", "verdict", "grounding", "temporal_risk"))
-    manual = quality.isin("missing_source_keys", "source_not_found", "usable_with_caution") | (verdict != "pass") | ~grounding.isin("fully_grounded", "mostly_grounded") | (temporal == "high")
+    manual = quality.isNull() | fails(grounding.isNotNull()) | verdict.isNull() | temporal.isNull() | quality.isin("missing_source_keys", "source_not_found", "usable_with_caution") | (verdict != "pass") | ~grounding.isin("fully_grounded", "mostly_grounded") | (temporal == "high")
     return P.ladder((quality.isin("contaminated", "weak_source_used"), "REGENERATE"), (manual, "MANUAL_REVIEW"), otherwise="APPROVED")
 
 
+def fails(facet: str | Column) -> Column:
+    """Whether a facet is not known to hold: what is null fails."""
+    return ~F.coalesce(F.col(facet) if isinstance(facet, str) else facet, F.lit(False))
+
+
 def cause_verdict() -> Column:
     """The first failing facet of a cause decides."""
-    return P.ladder((~F.col("supported"), "insufficient_evidence"), (~F.col("answers_question"), "irrelevant"), (~F.col("is_real_cause"), "not_a_cause"), (~F.col("action_supported"), "action_unsupported"), otherwise="valid")
+    return P.ladder((fails("supported"), "insufficient_evidence"), (fails("answers_question"), "irrelevant"), (fails("is_real_cause"), "not_a_cause"), (fails("action_supported"), "action_unsupported"), otherwise="valid")
 
 
 def cluster_status() -> Column:
@@ -55,16 +61,19 @@ def publishability(*facets: Column) -> Column:
 
 
 def regenerated_verdict() -> Column:
-    return P.ladder((~F.col("supported"), "insufficient_evidence"), (~F.col("in_scope"), "scope_mismatch"), ((F.col("verdict") == "publish") & ~(F.col("reusable") & F.col("stable")), "publish_with_caution"), otherwise=F.col("verdict"))
+    return P.ladder((fails("supported"), "insufficient_evidence"), (fails("in_scope"), "scope_mismatch"), ((F.col("verdict") == "publish") & (fails("reusable") | fails("stable")), "publish_with_caution"), otherwise=F.coalesce("verdict", F.lit("manual_review")))
 
 
 def build_verdict(flags: Column) -> Column:
-    """Of structs (flag, severity): any hard one needs a fix, any medium one a person."""
-    return P.ladder((F.exists(flags, lambda f: f["severity"] == "hard"), "needs_fix"), (F.exists(flags, lambda f: f["severity"] == "medium"), "manual_review"), otherwise="pass")
+    """Of structs (flag, severity): any hard one needs a fix, any medium one or one of unknown severity a person, as does a null list."""
+    unknown = F.exists(flags, lambda f: f.isNull() | ~F.coalesce(f["severity"].isin("hard", "medium", "info"), F.lit(False)))
+    return P.ladder((F.exists(flags, lambda f: F.coalesce(f["severity"] == "hard", F.lit(False))), "needs_fix"), (F.exists(flags, lambda f: F.coalesce(f["severity"] == "medium", F.lit(False))) | unknown | flags.isNull(), "manual_review"), otherwise="pass")
 
 
 def admission() -> Column:
-    return P.ladder((F.col("qa_aligned") == "no", "reject"), ((F.col("problem_type") == "feature_request") & ~F.coalesce("stable_limitation", F.lit(False)), "reject"), otherwise=F.col("decision"))
+    """A judgement without an alignment or a decision is rejected."""
+    unaligned = F.coalesce(F.col("qa_aligned") == "no", F.lit(True))
+    return P.ladder((unaligned, "reject"), (F.coalesce(F.col("problem_type") == "feature_request", F.lit(True)) & fails("stable_limitation"), "reject"), otherwise=F.coalesce("decision", F.lit("reject")))
 
 
 def candidate_flags(cluster: Column, threshold: float = 0.35) -> Column:
@@ -81,13 +90,13 @@ def verbatim_quotes(links: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def temporal_gate(recency_days: int = 365) -> Column:
-    """The decision, unless the facts speak against it: n_members, n_recent, n_recent_sound, n_cited, n_cited_temporary, span_days, annotated."""
+    """The decision, unless the facts speak against it or are not known: n_members, n_recent, n_recent_sound, n_cited, n_cited_temporary, span_days, annotated."""
     c = F.col
-    fails = P.ladder(
+    speaks_against = P.ladder(
         (c("decision") == "CURRENT_CONFIRMED", (c("n_recent") == 0) | (c("n_recent_sound") == 0) | ~c("annotated")), (c("decision") == "STALE", c("n_recent") > 0),
-        (c("decision") == "INCIDENT_TEMPORARY", c("n_cited_temporary") < c("n_cited")), (c("decision") == "HISTORICAL_SUPERSEDED", (c("n_members") < 2) | (c("span_days") < recency_days)), otherwise=F.lit(False),
+        (c("decision") == "INCIDENT_TEMPORARY", c("n_cited_temporary") < c("n_cited")), (c("decision") == "HISTORICAL_SUPERSEDED", (c("n_members") < 2) | (c("span_days") < recency_days)), (c("decision").isNotNull(), F.lit(False)), otherwise=F.lit(True),
     )
-    return F.when(fails, "GATE_FAILED_KEEP_BLOCKED").otherwise(c("decision"))
+    return F.when(F.coalesce(speaks_against, F.lit(True)), "GATE_FAILED_KEEP_BLOCKED").otherwise(c("decision"))
 
 
 def question_gate(pool: Column, refs: Column, question: Column, stop: str = "的了吗呢") -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threshmill.functions import text as T
+
 OVERLAP = 30
 
 
@@ -65,6 +67,42 @@ def obsolete_reviews(reviews: DataFrame, issues: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when((F.col("status") == "pending") & F.col("lost"), "obsolete").otherwise(F.col("status"))).drop("lost")
 
 
+def invalidated_links(evidence: DataFrame, issues: DataFrame) -> DataFrame:
+    """Evidence links with their status: those of invalidated issues are invalidated too."""
+    lost = issues.filter("status = 'invalidated'").select("issue_id", F.lit(True).alias("lost")).distinct()
+    out = evidence.join(lost, "issue_id", "left")
+    return out.withColumn("status", F.when(F.coalesce("lost", F.lit(False)), "invalidated").otherwise(F.col("status"))).select(*evidence.columns)
+
+
+def revalidations(before: DataFrame, after: DataFrame, revisions: DataFrame, reason: str = "source_changed") -> DataFrame:
+    """A pending review for each entry whose evidence link has been invalidated, with the entry's text of that revision."""
+    keys = ["kb_id", "revision", "issue_id"]
+    lost = before.filter("status = 'active'").select(*keys).join(after.filter("status = 'invalidated'").select(*keys), keys, "left_semi").distinct()
+    rows = lost.join(revisions.select("kb_id", "revision", "question", "answer"), ["kb_id", "revision"])
+    key = F.concat("issue_id", "kb_id", F.lit(reason))
+    return rows.select(F.concat(F.lit("REV-"), T.fingerprint(key, 20)).alias("review_id"), "issue_id", F.lit("revalidation_required").alias("relation"), F.col("kb_id").alias("target_kb_id"), F.col("question").alias("proposed_question"), F.col("answer").alias("proposed_answer"), F.lit(1.0).alias("confidence"), F.lit("pending").alias("status")).dropDuplicates(["review_id"])
+
+
+def watermarks(messages: DataFrame, gone: DataFrame) -> DataFrame:
+    """Of each source: the hash of its messages, how many there are, the time of the last, and whether it is still there."""
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("idx", "message_sha256"))), lambda x: x["message_sha256"])
+    rows = messages.groupBy("source").agg(F.sha2(F.array_join(listed, "\n"), 256).alias("content_sha256"), F.count("*").alias("message_watermark"), F.max_by("timestamp", "idx").alias("last_message_time"))
+    out = rows.join(gone.select("source", F.lit("deleted").alias("status")), "source", "left")
+    return out.withColumn("status", F.coalesce("status", F.lit("active")))
+
+
+def changed_interval(old: Column, new: Column) -> Column:
+    """struct<first, last>: positions of ``new`` outside the common beginning and end of two arrays; both its size if they are equal.
+
+    An interval with first = last is a place where rows of ``old`` are gone.
+    """
+    least = F.least(F.size(old), F.size(new))
+    head = F.coalesce(F.get(F.filter(F.sequence(F.lit(0), least), lambda i: (i == least) | ~F.get(old, i).eqNullSafe(F.get(new, i))), 0), F.lit(0))
+    tail = F.coalesce(F.get(F.filter(F.sequence(F.lit(0), least - head), lambda i: (i == least - head) | ~F.get(old, F.size(old) - 1 - i).eqNullSafe(F.get(new, F.size(new) - 1 - i))), 0), F.lit(0))
+    equal = (F.size(old) == F.size(new)) & (head == least)
+    return F.struct(F.when(equal, F.size(new)).otherwise(head).cast("int").alias("first"), F.when(equal, F.size(new)).otherwise(F.size(new) - tail).cast("int").alias("last"))
+
+
 def upsert(current: DataFrame, incoming: DataFrame, *keys: str) -> DataFrame:
     """Rows of both, the incoming one where a key is in both; a rewrite of the table, as plain files have no merge."""
     return current.join(incoming.select(*keys), list(keys), "left_anti").unionByName(incoming)

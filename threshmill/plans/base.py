@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from threshmill.operators.clusters import number_by_range
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,10 +28,4 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered(rows: DataFrame, *order: str, name: str = "row_no") -> DataFrame:
-    """Adds 1, 2, 3 ... in the given order: rows are dealt by range and each range counted, so no task has all rows."""
-    dealt = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = dealt.join(F.broadcast(sizes.select("_p", before.alias("_b"))), "_p")  # a row for each range
-    return placed.withColumn(name, F.col("_b") + F.row_number().over(Window.partitionBy("_p").orderBy(*order))).drop("_p", "_b")
+numbered = number_by_range

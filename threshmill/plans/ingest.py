@@ -2,63 +2,142 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threshmill.functions import patterns as P
+from threshmill.functions import text as T
 from threshmill.operators import incremental, messages, segments
 from threshmill.operators.analyzers import Analyzer, DeterministicAnalyzer
-from threshmill.operators.registry import review_rows
+from threshmill.operators.registry import active, decide, review_rows
 
 TABLES = {
+    "sources": "source string, content_sha256 string, message_watermark long, last_message_time string, status string",
     "messages": "source string, idx int, line_number int, timestamp string, speaker string, content string, message_sha256 string",
     "issues": "issue_id string, source string, start_index int, end_index int, question string, answer string, status string",
     "reviews": "review_id string, issue_id string, relation string, target_kb_id string, proposed_question string, proposed_answer string, confidence double, status string",
+    "revisions": "kb_id string, revision int, status string, question string, answer string, supersedes string",
+    "evidence": "kb_id string, revision int, issue_id string, source string, status string",
+    "audit": "event string, entity string, detail string",
 }
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another committer has written the version that this one was about to write."""
+
+
 class Registry:
-    """Tables as folders of whole versions; a step writes a new version of all and then names it in one small file."""
+    """Tables as folders, and a version as one small file that names the folder of each table.
+
+    A step reads the version once and commits the next one: tables that it does not give stay as they were. The file
+    of a version is created only if it is not there, so of two committers one fails and nothing of it is seen.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def version(self) -> int:
-        from pyspark.errors import AnalysisException
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
-        try:
-            return int(self.spark.read.text(f"{self.root}/_versions").agg(F.max(F.col("value").cast("int"))).first()[0] or 0)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+    def _files(self):
+        return self._path("_versions").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def version(self) -> int:
+        files, folder = self._files(), self._path("_versions")
+        if not files.exists(folder):
             return 0
+        return max((int(f.getPath().getName().removesuffix(".json")) for f in files.listStatus(folder) if f.getPath().getName().endswith(".json")), default=0)
+
+    def folders(self, version: int) -> dict[str, str]:
+        """The folder of each table of a version."""
+        if not version:
+            return {}
+        return json.loads("".join(r.value for r in self.spark.read.text(f"{self.root}/_versions/{version:08d}.json").collect()))
+
+    def tables(self, version: int | None = None) -> dict[str, DataFrame]:
+        """All tables as of one version, the last if none is named."""
+        there = self.folders(self.version() if version is None else version)
+        return {name: self.spark.read.schema(schema).parquet(f"{self.root}/{there[name]}") if name in there else self.spark.createDataFrame([], schema) for name, schema in TABLES.items()}
 
     def table(self, name: str) -> DataFrame:
-        n = self.version()
-        if not n:
-            return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/v{n}/{name}")
-
-    def commit(self, **tables: DataFrame) -> int:
-        """All tables of a new version, then its number; readers see the old version or the new one, never a mixture."""
-        n = self.version() + 1
+        return self.tables()[name]
+
+    def commit(self, after: int | None = None, **tables: DataFrame) -> int:
+        """The version that follows ``after``, the last if none is named; readers see the old version or the new one, never a mixture."""
+        before = self.version() if after is None else after
+        there, fresh = self.folders(before), uuid.uuid4().hex[:12]
         for name, df in tables.items():
-            df.select(*self.spark.createDataFrame([], TABLES[name]).columns).write.mode("overwrite").parquet(f"{self.root}/v{n}/{name}")
-        self.spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("append").text(f"{self.root}/_versions")
-        return n
+            there[name] = f"data/{before + 1:08d}-{fresh}/{name}"
+            df.select(*self.spark.createDataFrame([], TABLES[name]).columns).write.parquet(f"{self.root}/{there[name]}")
+        try:
+            out = self._files().create(self._path(f"_versions/{before + 1:08d}.json"), False)
+        except Py4JJavaError as refused:
+            if "FileAlreadyExists" not in str(refused.java_exception):
+                raise
+            raise ConcurrentCommit(f"version {before + 1} is there already") from None
+        out.write(bytearray(json.dumps(there).encode()))
+        out.close()
+        return before + 1
 
 
-def ingest(registry: Registry, files: DataFrame, entries: DataFrame, analyzer: Analyzer | None = None, authoritative: bool = True, dry_run: bool = False, overlap: int = incremental.OVERLAP) -> dict[str, int]:
-    """Take in files (path, text); returns how many files changed in which way and how many issues related in which way.
+def bootstrap(registry: Registry, entries: DataFrame, count: int | None = None, sha256: str | None = None) -> int:
+    """Import entries (kb_id, question, answer) as first revisions into an empty registry; returns how many.
 
-    With ``authoritative``, registered sources that are not among the files count as deleted. A dry run writes nothing.
+    With a count or the SHA-256 of their canonical JSON lines by kb_id, a baseline that differs is refused.
     """
-    from pyspark.sql import Window
+    if registry.version() and registry.table("revisions").limit(1).count():
+        return 0
+    line = T.canonical_json(kb_id=F.col("kb_id"), question=F.col("question"), answer=F.col("answer"))
+    n, repeated = entries.agg(F.count("*"), F.count("*") - F.countDistinct("kb_id")).first()
+    if repeated or count is not None and n != count:
+        raise ValueError(f"the baseline has {n} entries, {repeated} of them repeated, for {count}")
+    if sha256 is not None:
+        digest = hashlib.sha256()
+        for (own,) in entries.orderBy("kb_id").select(line).toLocalIterator():
+            digest.update(own.encode() + b"\n")
+        if digest.hexdigest() != sha256:
+            raise ValueError("the baseline's SHA-256 differs")
+    first = entries.select("kb_id", F.lit(1).alias("revision"), F.lit("active").alias("status"), "question", "answer", F.lit(None).cast("string").alias("supersedes"))
+    audit = registry.spark.createDataFrame([("baseline_imported", f"{n} entries", json.dumps({"count": n, "sha256": sha256}))], TABLES["audit"])
+    registry.commit(revisions=first, audit=registry.table("audit").unionByName(audit))
+    return n
+
+
+def review(registry: Registry, decisions: dict[str, str], note: str = "") -> dict[str, str]:
+    """Decide reviews by identifier, ``approved`` or ``rejected``; returns the event of each. Refused ones change nothing."""
+    now = registry.version()
+    there = registry.tables(now)
+    rows = registry.spark.createDataFrame([(i, d, note) for i, d in decisions.items()], "review_id string, decision string, note string")
+    after = decide(there["reviews"], there["issues"], there["revisions"], rows)
+    events = {r.entity: r.event for r in after["audit"].collect()}  # as many as decisions
+    if any(not e.startswith("refused") for e in events.values()):
+        registry.commit(now, **after | {"evidence": there["evidence"].unionByName(after["evidence"]), "audit": there["audit"].unionByName(after["audit"])})
+    return events
+
+
+def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = None, analyzer: Analyzer | None = None, authoritative: bool = True, dry_run: bool = False, overlap: int = incremental.OVERLAP, source_ids: dict[str, str] | None = None) -> dict[str, int]:
+    """Take in files (path, text); returns how many files changed in which way and how many issues related in which way.
 
+    Issues are related to ``entries``, by default to the registry's active revisions. With ``authoritative``, registered
+    sources that are not among the files count as deleted. ``source_ids`` names the registered source of files by path,
+    for files that were renamed and changed. A dry run writes nothing.
+    """
+    at = registry.version()
+    there = registry.tables(at)
+    if entries is None:
+        entries = active(there["revisions"]).select("kb_id", "question", "answer")
+    if source_ids:
+        named = registry.spark.createDataFrame(list(source_ids.items()), "path string, named string")
+        files = files.join(F.broadcast(named), "path", "left").withColumn("path", F.coalesce("named", "path")).drop("named")
     parsed = messages.parse_messages(files)
     place = F.row_number().over(Window.partitionBy("source").orderBy("line_number")) - 1
     new = parsed.withColumn("idx", place)
-    old, issues, reviews = (registry.table(n) for n in ("messages", "issues", "reviews"))
+    old, issues, reviews, revisions, evidence = (there[n] for n in ("messages", "issues", "reviews", "revisions", "evidence"))
     was, now = incremental.source_states(old), incremental.source_states(new)
     changes = incremental.affected_start(incremental.classify(was, now), issues, overlap).cache()
     gone = incremental.deleted(was, now, changes) if authoritative else was.select("source").filter("false")
@@ -72,7 +151,9 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame, analyzer: A
     fresh = shift.withColumn("status", F.lit("active"))
     all_issues = incremental.upsert(kept, fresh.select(*kept.columns), "issue_id")
     analyzed = (analyzer or DeterministicAnalyzer()).analyze(fresh, entries).cache()
-    all_reviews = incremental.insert_ignore(incremental.obsolete_reviews(reviews, all_issues), review_rows(analyzed), "review_id")
+    links = incremental.invalidated_links(evidence, all_issues)
+    pending = review_rows(analyzed).unionByName(incremental.revalidations(evidence, links, revisions))
+    all_reviews = incremental.insert_ignore(incremental.obsolete_reviews(reviews, all_issues), pending, "review_id")
     counts = {f"files_{r.change}": r["count"] for r in changes.groupBy("change").count().collect()}
     counts |= {f"knowledge_{r.relation}": r["count"] for r in analyzed.groupBy("relation").count().collect()}
     if n := gone.count():
@@ -80,9 +161,8 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame, analyzer: A
     if not dry_run:
         absent = old.select("source").distinct().join(now.select("source"), "source", "left_anti") if not authoritative else old.select("source").filter("false")
         still = old.join(absent, "source", "left_semi").join(moved.select("source"), "source", "left_anti")
-        registry.commit(messages=new.select(*old.columns).unionByName(still), issues=all_issues, reviews=all_reviews)
+        all_messages = new.select(*old.columns).unionByName(still)
+        registry.commit(at, messages=all_messages, issues=all_issues, reviews=all_reviews, evidence=links, sources=incremental.watermarks(all_messages, gone))
     changes.unpersist()
     analyzed.unpersist()
     return counts
-
-

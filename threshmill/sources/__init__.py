@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from threshmill.functions import text as T
+from threshmill.operators.clusters import number_by_range
 
 
 def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
@@ -15,7 +16,7 @@ def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.md") -> D
     text = F.decode("content", "utf-8")
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]+$", "")
     rows = files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), T.extract_title(text, name).alias("title"), T.count_words(text).alias("word_count"))
-    return rows.withColumn("document_id", F.format_string("D%04d", F.row_number().over(Window.orderBy("path"))))
+    return number_by_range(rows, "path").withColumn("document_id", F.format_string("D%04d", "row_no")).drop("row_no")
 
 
 def text_files(spark: SparkSession, folder: str, pattern: str = "*.md") -> DataFrame:
@@ -35,9 +36,20 @@ def json_lines(spark: SparkSession, path: str, schema: t.StructType | str, stric
 
 
 def json_lines_numbered(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with their physical 1-based line, blank lines counted; unreadable lines are left out."""
-    lines = text_files(spark, path, "*").select("path", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    rows = lines.select("path", (F.col("at") + 1).alias("line_number"), F.from_json("line", schema).alias("r"))
+    """JSON lines with their physical 1-based line, blank lines counted; unreadable lines are left out.
+
+    Files are split as Spark splits text, so none has to fit in a row: lines are counted by split, and a split's lines
+    are numbered from the count of those before it in its file.
+    """
+    rows = spark.read.option("recursiveFileLookup", True).text(path)
+    at = rows.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    sizes = at.groupBy("path", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = at.groupBy("path", "block").agg(F.min("place").alias("first"))
+    starts = sizes.select("path", "block", before.alias("before")).join(first, ["path", "block"])
+    placed = at.join(starts, ["path", "block"])
+    line = F.col("before") + F.col("place") - F.col("first") + 1  # a split is read by one task, so its places follow each other
+    rows = placed.select("path", line.cast("int").alias("line_number"), F.from_json("line", schema).alias("r"))
     return rows.filter("r is not null").select("path", "line_number", "r.*")
 
 
