@@ -180,6 +180,30 @@ def text_similarity(a: Column | str, b: Column | str) -> Column:
     return 0.65 * sequence_similarity(a, b) + 0.35 * bigram_jaccard(a, b)
 
 
+def issue_similarity(normalized: tuple, question: tuple, description: tuple) -> Column:
+    """Of two issues, each given as pairs of columns: their normalized questions above all, then questions and descriptions."""
+    return 0.6 * text_similarity(*normalized) + 0.3 * text_similarity(*question) + 0.1 * text_similarity(*description)
+
+
+def summary_clauses(c: Column | str) -> Column:
+    """Clauses of a summary after its first colon, without their numbers (fixed values: the full-width marks)."""
+    text = clean_text(c)
+    at = F.instr(text, "：")
+    body = F.regexp_replace(F.trim(F.when(at > 0, F.substring(text, at + 1, F.length(text))).otherwise(text)), "。+$", "")
+    plain = F.transform(F.split(body, "；"), lambda x: F.regexp_replace(F.regexp_replace(F.trim(x), r"^[0-9]+\.\s*", ""), r"^原因[一二三四五六七八九十]+[:：]\s*", ""))
+    return F.filter(plain, lambda x: x != "")
+
+
+def preview(c: Column | str, characters: int) -> Column:
+    return F.substring(_col(c), 1, characters)
+
+
+def mention_lines(c: Column | str, pattern: str, characters: int = 120) -> Column:
+    """array<struct<line, found, context>>: each mention with its 1-based line and that line's first characters."""
+    marked = F.transform(lines(c), lambda line, i: F.transform(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)), lambda m: F.struct((i + 1).alias("line"), m.alias("found"), F.substring(line, 1, characters).alias("context"))))
+    return F.flatten(marked)
+
+
 def pair_key(a: Column | str, b: Column | str) -> Column:
     return F.concat_ws("||", F.least(_col(a), _col(b)), F.greatest(_col(a), _col(b)))
 

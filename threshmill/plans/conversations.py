@@ -117,7 +117,14 @@ def asked_and_answered(spark, sf):
 
 
 @query()
-def bigram_grounding_all(spark, sf):
+def title_similarity(spark, sf):
+    """Ratcliff-Obershelp and bigram similarity of each answer with its question, whole text against whole text."""
+    rows = asked_and_answered(spark, sf).filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("a"), F.coalesce("question", F.lit("")).alias("b"))
+    return rows.select("conv_id", "turn", F.round(T.sequence_similarity("a", "b"), 6).alias("sequence"), F.round(T.text_similarity("a", "b"), 6).alias("similarity"))
+
+
+@query()
+def bigram_grounding(spark, sf):
     """Share of each answer's bigrams that its question has, whole text against whole text."""
     rows = asked_and_answered(spark, sf).filter("role = 'assistant'")
     whole = lambda c: T.normalize(F.coalesce(c, F.lit("")))
@@ -249,18 +256,11 @@ def funnel_counts(spark, sf):
     return rows.select(F.explode(guards.layer_a_flags("2025-08-06", missing_is_stale=True)).alias("reason")).groupBy("reason").agg(F.count("*").alias("rows"))
 
 
-@query("""
-SELECT conv_id || '@r' || turn AS chunk_id, '问题：' || role || chr(10) || '答案：' || text AS text, length('问题：' || role || chr(10) || '答案：' || text)::INT AS chars FROM conversations WHERE turn > 0
-""")
-def rag_chunks(spark, sf):
-    return chunks(read(spark, sf, "conversations").filter("turn > 0"))
-
-
 @query("""
 SELECT conv_id || '@r' || turn AS chunk_id, '问题：' || role || chr(10) || '答案：' || text AS text, length('问题：' || role || chr(10) || '答案：' || text)::INT AS chars FROM conversations
 """)
-def rag_chunks_all(spark, sf):
-    """The same of all turns, the first too."""
+def rag_chunks(spark, sf):
+    """A chunk of every turn."""
     return chunks(read(spark, sf, "conversations"))
 
 

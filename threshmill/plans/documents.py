@@ -112,19 +112,6 @@ def benchmark_containment(spark, sf):
     return whole.filter(F.contains("text", F.col("item"))).select("item_id", "doc_id")
 
 
-_SHINGLE_SQL = "list_distinct([substring({c}, i, 2) FOR i IN range(1, greatest(length({c}), 2))])"
-
-
-@query(f"""
-WITH p AS (SELECT doc_id, text, lower(regexp_replace(split_part(text, chr(10), 1), '[^\\p{{L}}\\p{{N}}]+', '', 'g')) AS a, lower(regexp_replace(source || lang || split_part(text, chr(10), 2), '[^\\p{{L}}\\p{{N}}]+', '', 'g')) AS b FROM documents)
-SELECT doc_id, CASE WHEN length(a) = 0 THEN 0.0 ELSE round(len(list_intersect({_SHINGLE_SQL.format(c='a')}, {_SHINGLE_SQL.format(c='b')})) / len({_SHINGLE_SQL.format(c='a')}), 6) END AS grounded FROM p
-""")
-def bigram_grounding(spark, sf):
-    line = lambda i: F.coalesce(F.get(F.split("text", "\n"), i), F.lit(""))
-    p = read(spark, sf, "documents").select("doc_id", T.normalize(line(0)).alias("a"), T.normalize(F.concat("source", "lang", line(1))).alias("b"))
-    return p.select("doc_id", F.round(T.grounded_ratio("a", "b"), 6).alias("grounded"))
-
-
 @query(r"""
 SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''), url) AS title, starts_with(url, 'https://') AS is_https,
  regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host FROM pages
@@ -171,14 +158,6 @@ def paragraph_chunks(spark, sf):
     return segments.chunk_paragraphs(lines).select("document_id", "chunk", "para_start", "para_end", F.length("text").alias("chars"), T.sha256("text").alias("sha256"))
 
 
-@query()
-def title_similarity(spark, sf):
-    """Ratcliff-Obershelp and bigram similarity of each document's first two lines."""
-    line = lambda i: F.coalesce(F.get(F.split("text", "\n"), i), F.lit(""))
-    p = read(spark, sf, "documents").select("doc_id", line(0).alias("a"), line(1).alias("b"))
-    return p.select("doc_id", F.round(T.sequence_similarity("a", "b"), 6).alias("sequence"), F.round(T.text_similarity("a", "b"), 6).alias("similarity"))
-
-
 @query("""
 SELECT doc_id, json_extract_string(j, '$.a') AS a, json_extract_string(j, '$.b') AS b FROM (SELECT doc_id, '{"a":"' || lang || '","b":"' || source || '"}' AS j FROM documents)
 """)

@@ -76,18 +76,9 @@ def ready_blocked_split(spark, sf):
     return labels(spark, sf).select("doc_id", ready.alias("ready"), F.when(ready, "generate").otherwise("do_not_generate").alias("mode"))
 
 
-@query("""WITH q AS (SELECT conv_id, turn, text, string_split(text, '.')[1] AS quote FROM conversations) SELECT conv_id, turn, quote FROM q WHERE length(quote) > 0 AND turn % 2 = 0 AND contains(text, quote)""")
-def verbatim_evidence(spark, sf):
-    return evidence(spark, sf, "turn % 2 = 0")
-
-
 @query("""WITH q AS (SELECT conv_id, turn, text, string_split(text, '.')[1] AS quote FROM conversations) SELECT conv_id, turn, quote FROM q WHERE length(quote) > 0 AND contains(text, quote)""")
-def verbatim_evidence_all(spark, sf):
-    """The same with links of all turns."""
-    return evidence(spark, sf, "true")
-
-
-def evidence(spark, sf, linked):
+def verbatim_evidence(spark, sf):
+    """Links of every turn, of which the quotes that stand in the text remain."""
     c = read(spark, sf, "conversations").select("conv_id", "turn", F.col("conv_id").alias("cluster_id"), F.concat_ws("-", "conv_id", "turn").alias("chunk_id"), "text")
-    links = c.filter(linked).select("conv_id", "turn", "cluster_id", "chunk_id", F.array(F.get(F.split("text", r"\."), 0), F.lit("not there")).alias("quotes"))
+    links = c.select("conv_id", "turn", "cluster_id", "chunk_id", F.array(F.get(F.split("text", r"\."), 0), F.lit("not there")).alias("quotes"))
     return guards.verbatim_quotes(links, c.select("chunk_id", "text")).select("conv_id", "turn", F.get("quotes", 0).alias("quote"))

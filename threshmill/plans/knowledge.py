@@ -146,10 +146,16 @@ def import_split(spark, sf):
     return a.withColumn("sheet", F.lit("approved")).unionByName(e.select("doc_id").join(a, "doc_id", "left_anti").withColumn("sheet", F.lit("review")))
 
 
-@query("""SELECT item_id, CASE WHEN length(q) < 4 THEN 'low_value' WHEN k IS NULL THEN 'new' ELSE 'duplicate_evidence' END AS relation FROM (
- SELECT b.item_id, lower(regexp_replace(b.text, '[^\\p{L}\\p{N}]+', '', 'g')) AS q, CASE WHEN b.item_id % 2 = 0 THEN 'x' END AS k FROM benchmark b)""")
+_PLAIN = "lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
+
+
+@query(f"""WITH i AS (SELECT item_id, CASE WHEN item_id % 7 = 0 THEN 'ab?' ELSE text END AS q, CASE WHEN item_id % 8 = 2 THEN '不支持' || text WHEN item_id % 8 = 4 THEN text || ' and more' ELSE text END AS a FROM benchmark),
+e AS (SELECT {_PLAIN.format('text')} AS nq, min_by(text, printf('KB-%04d', item_id)) AS ka FROM benchmark WHERE item_id % 2 = 0 GROUP BY 1), j AS (SELECT i.*, {_PLAIN.format('i.q')} AS nq, {_PLAIN.format('i.a')} AS na, e.ka FROM i LEFT JOIN e ON e.nq = {_PLAIN.format('i.q')})
+SELECT item_id, CASE WHEN length(nq) < 4 OR length(na) < 4 THEN 'low_value' WHEN ka IS NULL THEN 'new' WHEN na = {_PLAIN.format('ka')} THEN 'duplicate_evidence' WHEN contains(a, '不支持') <> contains(ka, '不支持') THEN 'conflict' ELSE 'answer_supplement' END AS relation FROM j""")
 def deterministic_relations(spark, sf):
     b = read(spark, sf, "benchmark")
-    issues = b.select("item_id", F.col("text").alias("question"), F.col("text").alias("answer"))
+    i, text = F.col("item_id"), F.col("text")
+    answer = F.when(i % 8 == 2, F.concat(F.lit("不支持"), text)).when(i % 8 == 4, F.concat(text, F.lit(" and more"))).otherwise(text)
+    issues = b.select("item_id", F.when(i % 7 == 0, "ab?").otherwise(text).alias("question"), answer.alias("answer"))
     entries = b.filter("item_id % 2 = 0").select(F.format_string("KB-%04d", "item_id").alias("kb_id"), F.col("text").alias("question"), F.col("text").alias("answer"))
     return registry.analyze(issues, entries).select("item_id", "relation")

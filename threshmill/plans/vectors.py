@@ -39,10 +39,10 @@ def retrieval_top5(spark, sf):
     return nearest(spark, sf).withColumn("similarity", F.round("similarity", 4)).withColumn("rank", F.col("rank").cast("long"))
 
 
-@query(f"WITH {_TOP} SELECT query_id AS id_a, id AS id_b, round(similarity, 4) AS similarity FROM t WHERE query_id < id AND similarity >= 0.2")
+@query(f"WITH {_TOP.replace('rank <= 5', 'rank <= 20')} SELECT query_id AS id_a, id AS id_b, round(similarity, 4) AS similarity FROM t WHERE query_id < id AND similarity >= 0.2")
 def similar_pairs_topk(spark, sf):
-    """A pair comes only from the side with the smaller id, if the other is among its nearest."""
-    found = nearest(spark, sf).filter((F.col("query_id") < F.col("id")) & (F.col("similarity") >= 0.2))
+    """A pair comes only from the side with the smaller id, if the other is among its twenty nearest."""
+    found = nearest(spark, sf, 20).filter((F.col("query_id") < F.col("id")) & (F.col("similarity") >= 0.2))
     return found.select(F.col("query_id").alias("id_a"), F.col("id").alias("id_b"), F.round("similarity", 4).alias("similarity"))
 
 
@@ -151,7 +151,7 @@ def greedy_dedup(spark, sf):
 def issue_matching(spark, sf):
     """The best matching of the even with the odd vectors of each label, among similar pairs."""
     e = read(spark, sf, "embeddings").select("vec_id", "label")
-    p = pairs(spark, sf, 0.36).join(e.select(F.col("vec_id").alias("id_a"), F.col("label").alias("key")), "id_a").join(e.select(F.col("vec_id").alias("id_b"), F.col("label").alias("lb")), "id_b").filter("key = lb and id_a % 2 <> id_b % 2")
+    p = pairs(spark, sf, 0.3).join(e.select(F.col("vec_id").alias("id_a"), F.col("label").alias("key")), "id_a").join(e.select(F.col("vec_id").alias("id_b"), F.col("label").alias("lb")), "id_b").filter("key = lb and id_a % 2 <> id_b % 2")
     even = F.col("id_a") % 2 == 0
     rows = p.select("key", F.when(even, F.col("id_a")).otherwise(F.col("id_b")).alias("left_id"), F.when(even, F.col("id_b")).otherwise(F.col("id_a")).alias("right_id"), F.col("similarity").alias("score"))
     return clusters.bipartite_match(rows, "key")
