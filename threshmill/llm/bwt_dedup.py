@@ -49,7 +49,7 @@ PART = 1 << 19
 #: Distinct contexts of an anchor merged at once, and those in a shard of theirs.
 BLOCK, SHARD_CONTEXTS = 1024, 256
 #: Bytes of contexts in a shard, and in a slot of shards that are merged together.
-SHARD_BYTES, SLOT_BYTES = 1 << 17, 1 << 22
+SHARD_BYTES, SLOT_BYTES = 1 << 17, 1 << 21
 #: Rounds of a merge after which suffixes that are alone in their interval go.
 DROP_EVERY = 4
 _U = np.uint64
@@ -287,11 +287,11 @@ def anchor_table(rows: DataFrame, buckets: int, length: int = LENGTH) -> DataFra
         if held:
             yield from _compared(np.concatenate(held))
 
-    dealt = rows.select(*_KEYS, "text").mapInArrow(deal, "bucket long, runs binary")
+    dealt = rows.select(*_KEYS, "text").mapInArrow(shared.frugal(deal), "bucket long, runs binary")
     # Runs that repeat already have any bucket: they are spread evenly.
     spread = F.when(F.col("bucket") < 0, F.xxhash64("runs")).otherwise(F.col("bucket"))
     dealt = dealt.repartition(min(buckets, shared.parallelism(spark) * 4), spread).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(gather, _RUNS)
+    return dealt.mapInArrow(shared.frugal(gather), _RUNS)
 
 
 def _joined(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -377,7 +377,7 @@ def shard_transforms(runs: DataFrame, rows: DataFrame, length: int = LENGTH) ->
         if held:
             yield shard_row(held)
 
-    return cut.mapInArrow(build, _SHARDS)
+    return cut.mapInArrow(shared.frugal(build), _SHARDS)
 
 
 def compare(shards: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -401,7 +401,7 @@ def compare(shards: DataFrame, length: int = LENGTH) -> DataFrame:
         if held:
             yield _merged(held, length)
 
-    return paired.mapInArrow(merge, "row_key long, row_key2 long, lo int, hi int")
+    return paired.mapInArrow(shared.frugal(merge), "row_key long, row_key2 long, lo int, hi int")
 
 
 def _merged(held: list[tuple[bytes, bytes]], length: int) -> pa.RecordBatch:
@@ -477,7 +477,7 @@ def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return marked.mapInArrow(shared.frugal(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, least_words: int = 0) -> DataFrame:

@@ -126,7 +126,7 @@ def format_conversations(turns: DataFrame, template: Callable[[Turns], str] = tu
         if out:
             yield _batch(out, _FORMATTED)
 
-    return rows.mapInArrow(run, FORMATTED)
+    return rows.mapInArrow(shared.frugal(run), FORMATTED)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -168,7 +168,7 @@ def digests(formatted: DataFrame) -> DataFrame:
         if state is not None:
             yield _batch([closed()], _DIGEST)
 
-    return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return rows.mapInArrow(shared.frugal(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 #: A conversation that holds the template's own control strings.

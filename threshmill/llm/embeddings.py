@@ -60,7 +60,7 @@ def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(out, pa.binary())], ["vec_id", "unit"])
 
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    return rows.mapInArrow(run, "vec_id long, unit binary")
+    return rows.mapInArrow(shared.frugal(run), "vec_id long, unit binary")
 
 
 def principal_axes(units: DataFrame, dimension: int) -> np.ndarray:
@@ -73,7 +73,7 @@ def principal_axes(units: DataFrame, dimension: int) -> np.ndarray:
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
 
-    sums = [np.frombuffer(r.s, np.float64).reshape(dimension, dimension) for r in units.select("unit").coalesce(32).mapInArrow(run, "s binary").collect()]
+    sums = [np.frombuffer(r.s, np.float64).reshape(dimension, dimension) for r in units.select("unit").coalesce(32).mapInArrow(shared.frugal(run), "s binary").collect()]
     _, axes = np.linalg.eigh(sum(sums, np.zeros((dimension, dimension))))
     return axes.T[::-1].copy()
 
@@ -225,7 +225,7 @@ def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: f
             x = np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(-1, dimension) @ axes[:BOX_AXES].T
             yield pa.RecordBatch.from_arrays([pa.array(_leaf(x, cuts)), *(batch.column(c) for c in ("rep", "size", "unit")), pa.array(list(x), pa.list_(pa.float64()))], ["leaf", "rep", "size", "unit", "lead"])
 
-    placed = classes.select("rep", "size", "unit").mapInArrow(place, "leaf long, rep long, size long, unit binary, lead array<double>")
+    placed = classes.select("rep", "size", "unit").mapInArrow(shared.frugal(place), "leaf long, rep long, size long, unit binary, lead array<double>")
     # A leaf may hold more than a tile; its rows are dealt over as many tiles by hash.
     in_leaf = placed.groupBy("leaf").agg(F.ceil(F.count("*") / TILE).cast("long").alias("cells"))
     tiles = placed.join(in_leaf, "leaf").withColumn("tile", F.col("leaf") * F.lit(1 << 32) + F.pmod(F.xxhash64("rep"), F.col("cells")))
@@ -252,7 +252,7 @@ def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: f
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["rep", "n", "other"])
 
-    found = shared.staged(spark, both.mapInArrow(run, "rep long, n long, other long"), f"{folder}-links")
+    found = shared.staged(spark, both.mapInArrow(shared.frugal(run), "rep long, n long, other long"), f"{folder}-links")
     shared.remove(spark, f"{folder}-tiles")
     shared.remove(spark, f"{folder}-packed")
     return found.filter("n > 0").select("rep", "n"), found.filter("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))

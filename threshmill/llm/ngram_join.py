@@ -280,7 +280,7 @@ def frequent_shingles(rows: DataFrame, n_rows: int) -> np.ndarray:
             kinds, counts = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "n"])
 
-    counted = sample.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
+    counted = sample.mapInArrow(shared.frugal(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
     found = np.array([r.h for r in counted.orderBy(F.desc("n"), "h").limit(FREQUENT_SENT).select("h").collect()], np.int64).view(np.uint64)
     return np.sort(found)
 
@@ -308,7 +308,7 @@ def signed_sets(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 prefixes.append((rare if len(rare) >= k else np.concatenate([rare, own[late[a:b]][: k - len(rare)]])).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(keys[0]), pa.array(keys[1]), pa.array(maps, pa.binary()), pa.array(prefixes, pa.binary())], ["doc_id", "n", "k1", "k2", "bitmap", "prefix"])
 
-    return rows.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bitmap binary, prefix binary")
+    return rows.mapInArrow(shared.frugal(run), "doc_id long, n long, k1 long, k2 long, bitmap binary, prefix binary")
 
 
 def holder_lists(signed: DataFrame, buckets: int) -> DataFrame:
@@ -345,9 +345,9 @@ def holder_lists(signed: DataFrame, buckets: int) -> DataFrame:
         if tokens:
             yield from _lists(tokens, owners)
 
-    dealt = signed.select("doc_id", "prefix").mapInArrow(deal, "bucket long, tokens binary, owners binary")
+    dealt = signed.select("doc_id", "prefix").mapInArrow(shared.frugal(deal), "bucket long, tokens binary, owners binary")
     dealt = dealt.repartition(min(buckets, shared.parallelism(spark) * 4), "bucket").sortWithinPartitions("bucket")
-    lists = dealt.mapInArrow(gather, "k1 long, k2 long, ids array<long>")
+    lists = dealt.mapInArrow(shared.frugal(gather), "k1 long, k2 long, ids array<long>")
     return lists.groupBy("k1", "k2").agg(F.first("ids").alias("ids"))
 
 
@@ -414,7 +414,7 @@ def candidate_edges(lists: DataFrame, signed: DataFrame) -> DataFrame:
         if out:
             yield _edges(out)
 
-    return held.mapInArrow(run, "a long, b long")
+    return held.mapInArrow(shared.frugal(run), "a long, b long")
 
 
 def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
@@ -448,7 +448,7 @@ def exact_edges(clusters: DataFrame, rows: DataFrame) -> DataFrame:
         if out:
             yield _edges(out)
 
-    return placed.mapInArrow(run, "a long, b long")
+    return placed.mapInArrow(shared.frugal(run), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

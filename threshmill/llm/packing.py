@@ -118,7 +118,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "d
         if packer.rows:
             yield _batch(packer.rows)
 
-    return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return rows.mapInArrow(shared.frugal(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

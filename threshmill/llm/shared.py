@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import posixpath
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +71,23 @@ def parallelism(spark: SparkSession) -> int:
 
 
 #: Bytes of an Arrow batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
+
+
+def frugal(run):
+    """A task's generator that gives what it has freed back to the system, so that Python workers, which Spark keeps, stay small."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -226,7 +226,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             system.move(f"{path}/_{name}.{attempt}", f"{path}/{name}")
             yield pa.RecordBatch.from_pylist([{"shard": part, "path": f"{folder}/{name}", "n_docs": writer.documents, "n_tokens": writer.ids, "first_key": first, "last_key": writer.last_key}], schema=_MANIFEST)
 
-    manifest = rows.mapInArrow(write, "shard int, path string, n_docs long, n_tokens long, first_key binary, last_key binary")
+    manifest = rows.mapInArrow(shared.frugal(write), "shard int, path string, n_docs long, n_tokens long, first_key binary, last_key binary")
     return shared.staged(spark, manifest, f"{folder}-manifest")
 
 
@@ -254,7 +254,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return placed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(shared.frugal(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def lookup(manifest: DataFrame, doc_id: int | None) -> list[np.ndarray]:

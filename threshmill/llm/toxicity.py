@@ -214,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found: list[str] = []
     if n_toxic:
         rate = lambda c, n: (F.col(c) + 0.5) / F.lit(float(n + 1))
-        stats = rows.mapInArrow(count, "name string, toxic long, clean long").groupBy("name").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        stats = rows.mapInArrow(shared.frugal(count), "name string, toxic long, clean long").groupBy("name").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         odds = F.log(rate("toxic", n_toxic) / rate("clean", n_clean))
         stats = stats.filter((F.col("toxic") >= max(4, round(0.01 * n_toxic))) & (odds > float(np.log(8))))
         found = [r.name for r in stats.orderBy((odds * F.col("toxic")).desc(), "name").limit(MAX_PATTERNS - len(fixed)).collect()]
@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             texts = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([row_of(t, patterns).astype(np.float32).tobytes() for t in texts], pa.binary()), batch.column("toxic").cast(pa.int32())], ["x", "toxic"])
 
-    sample = rows.mapInArrow(vectors, "x binary, toxic int").collect()  # ``sample_rows`` rows of bounded length
+    sample = rows.mapInArrow(shared.frugal(vectors), "x binary, toxic int").collect()  # ``sample_rows`` rows of bounded length
     width = len(names) + len(SENTENCES) + 2
     x = np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float32).reshape(-1, width).astype(float)
     gold = np.array([r.toxic for r in sample], int)
@@ -256,7 +256,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
         width = len(model.weight)
-        found = counted.coalesce(CORPUS_TASKS).mapInArrow(run, "sums binary").collect()
+        found = counted.coalesce(CORPUS_TASKS).mapInArrow(shared.frugal(run), "sums binary").collect()
         return sum((np.frombuffer(r.sums, np.float64).reshape(width + 2, width + 1) for r in found), np.zeros((width + 2, width + 1)))
 
     votes = votes_of(x)
@@ -271,11 +271,13 @@ def count_votes(docs: DataFrame, names: list[str], text_col: str = "text") -> Da
     def run(batches):
         patterns = Patterns(names)
         for batch in batches:
-            rows = [row_of(t, patterns) for t in batch.column("text").to_pylist()]
-            found = Counter(map(bytes, np.packbits(votes_of(np.array(rows)), axis=1))) if rows else {}
+            found: Counter[bytes] = Counter()
+            for a in range(0, batch.num_rows, 128):
+                rows = np.array([row_of(t, patterns) for t in batch.column("text")[a : a + 128].to_pylist()])
+                found.update(map(bytes, np.packbits(votes_of(rows), axis=1)))
             yield pa.RecordBatch.from_arrays([pa.array([*found.keys()], pa.binary()), pa.array([*found.values()], pa.int64())], ["votes", "n"])
 
-    counted = docs.select(shared.text_or_empty(text_col).alias("text")).mapInArrow(run, "votes binary, n long")
+    counted = docs.select(shared.text_or_empty(text_col).alias("text")).mapInArrow(shared.frugal(run), "votes binary, n long")
     return shared.staged(spark, counted.groupBy("votes").agg(F.sum("n").alias("n")), shared.work_dir(spark, "toxicity-votes"))
 
 
