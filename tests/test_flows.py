@@ -3,8 +3,9 @@ import json
 import pytest
 
 from threshmill.operators import registry
-from threshmill.plans.ingest import ConcurrentCommit, Registry, bootstrap, ingest, review
-from threshmill.sources import json_lines, sinks
+from threshmill.plans.ingest import ConcurrentCommit, Registry, bootstrap, ingest, prune, review
+from threshmill.operators import layers
+from threshmill.sources import json_lines, sinks, tables
 from threshmill.streaming import idempotent_sink, run_available, segment_stream, stream, windowed_counts
 
 REVISIONS = "kb_id string, revision int, status string, question string, answer string, supersedes string"
@@ -158,3 +159,32 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["publish", str(tmp_path / "releases"), "--version", "1.0.0", *state]) == 0
     assert main(["publish", str(tmp_path / "releases"), "--version", "1.0.0", *state]) == 2
     assert main(["validate-release", str(tmp_path / "releases/1.0.0")]) == 0
+
+
+def test_prune_export_and_tables(spark, tmp_path):
+    reg = Registry(spark, f"file://{tmp_path}/registry")
+    bootstrap(reg, spark.createDataFrame([("KB-0002", "q", "a"), ("KB-0001", "q", "a")], "kb_id string, question string, answer string"))
+    sinks.export_registry(reg.table("revisions"), f"file://{tmp_path}/export")
+    assert [json.loads(r.value)["kb_id"] for r in spark.read.text(f"file://{tmp_path}/export").collect()] == ["KB-0001", "KB-0002"]
+    assert prune(reg, "revisions", "kb_id", spark.createDataFrame([("KB-0001",), ("KB-0009",)], "kb_id string")) == 1
+    assert [r.kb_id for r in reg.table("revisions").collect()] == ["KB-0002"] and reg.tables(1)["revisions"].count() == 2
+    sinks.write_tables({"one": reg.table("revisions"), "two": reg.table("audit")}, f"file://{tmp_path}/book")
+    assert {n: t.count() for n, t in tables(spark, f"file://{tmp_path}/book", "one", "two").items()} == {"one": 1, "two": 1}
+
+
+def test_missing_vectors_go_to_the_supplement(spark, tmp_path):
+    chunks = spark.createDataFrame([("a",), ("b",), ("c",)], "chunk_id string")
+    vectors = spark.createDataFrame([("a", [1.0, 2.0])], "chunk_id string, embedding array<double>")
+    path = f"file://{tmp_path}/supplement"
+    embedded = lambda df: df.selectExpr("chunk_id", "array(0.5D, 0.5D) AS embedding")
+    none = vectors.filter("false")
+    assert sinks.append_new(embedded(layers.missing_vectors(chunks, vectors, none)), path, "chunk_id") == 2
+    assert layers.missing_vectors(chunks, vectors, spark.read.parquet(path)).count() == 0
+    whole = vectors.unionByName(spark.read.parquet(path))
+    assert layers.embedding_violations(chunks, whole, 2).count() == 0
+    bad = whole.unionByName(spark.createDataFrame([("z", [float("nan"), 1.0]), ("a", None)], whole.schema))
+    assert {tuple(r) for r in layers.embedding_violations(chunks, bad, 2).collect()} == {("foreign_vector", "z"), ("not_finite", "z"), ("repeated_vector", "a"), ("wrong_dimension", "a")}
+    links = spark.createDataFrame([], "video_id string, kb_id string")
+    routes = spark.createDataFrame([("v", "https://x", "m", [1.0])], "video_id string, video_url string, model string, embedding array<double>")
+    active = spark.createDataFrame([("KB-0001",)], "kb_id string")
+    assert [tuple(r) for r in layers.route_violations(routes, links, active, "m").collect()] == [("one_without_the_other", "links")]

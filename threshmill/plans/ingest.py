@@ -108,6 +108,16 @@ def bootstrap(registry: Registry, entries: DataFrame, count: int | None = None,
     return n
 
 
+def prune(registry: Registry, table: str, key: str, gone: DataFrame) -> int:
+    """A new version without the rows whose key is in ``gone``; the version before it remains as a copy. Returns how many went."""
+    now = registry.version()
+    rows = registry.tables(now)[table]
+    lost = rows.join(gone.select(key), key, "left_semi").count()
+    if lost:
+        registry.commit(now, **{table: rows.join(gone.select(key), key, "left_anti")})
+    return lost
+
+
 def review(registry: Registry, decisions: dict[str, str], note: str = "") -> dict[str, str]:
     """Decide reviews by identifier, ``approved`` or ``rejected``; returns the event of each. Refused ones change nothing."""
     now = registry.version()

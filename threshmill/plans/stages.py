@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threshmill.functions import patterns as P
 from threshmill.functions import text as T
-from threshmill.operators import registry, stages
+from threshmill.operators import layers, registry, stages
 from threshmill.plans.base import query, read
 from threshmill.plans.vectors import pairs
 
@@ -247,3 +247,33 @@ def extracted_rows(spark, sf):
     """Extracted rows with a question and an answer, their kinds clamped."""
     rows = judged(spark, sf).withColumns({"answer": F.when(c("quality") == 0, " ").otherwise("a"), "kind": F.when(c("toxic") == 1, "strange").otherwise("how_to")})
     return rows.filter(F.length(F.trim("answer")) > 0).select("doc_id", "answer", P.clamp_enum(c("kind"), ("how_to", "bug"), "other").alias("kind"))
+
+
+@query("""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN embedding[1:3] ELSE embedding END AS e FROM embeddings UNION ALL SELECT vec_id, embedding FROM embeddings WHERE vec_id % 11 = 0)
+SELECT 'missing_vector' AS gate, doc_id::VARCHAR AS entity FROM documents WHERE doc_id * 2 NOT IN (SELECT vec_id FROM v) UNION ALL SELECT 'foreign_vector', vec_id::VARCHAR FROM v WHERE vec_id NOT IN (SELECT doc_id * 2 FROM documents)
+UNION ALL SELECT 'repeated_vector', vec_id::VARCHAR FROM v GROUP BY vec_id HAVING count(*) > 1 UNION ALL SELECT 'wrong_dimension', vec_id::VARCHAR FROM v WHERE len(e) <> 64""")
+def embedding_coverage(spark, sf):
+    """Vectors of a release against its chunks; documents play chunks with every second identifier."""
+    e = read(spark, sf, "embeddings").select(c("vec_id").alias("chunk_id"), "embedding")
+    v = e.withColumn("embedding", F.when(c("chunk_id") % 7 == 0, F.slice("embedding", 1, 3)).otherwise(c("embedding"))).unionByName(e.filter("chunk_id % 11 = 0"))
+    found = layers.embedding_violations(read(spark, sf, "documents").select(c("doc_id").alias("id")).withColumn("chunk_id", c("id") * 2), v, 64)
+    return found.withColumn("entity", F.when(c("gate") == "missing_vector", (c("entity").cast("long") / 2).cast("long").cast("string")).otherwise(c("entity")))
+
+
+@query("""SELECT 'unlike_dimensions' AS gate, '63 to 64' AS entity UNION ALL SELECT 'not_https', page_id::VARCHAR FROM pages WHERE page_id % 5 = 0 UNION ALL SELECT 'another_model', page_id::VARCHAR FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT DISTINCT 'dangling_link', 'KB-' || (page_id % 50) FROM pages WHERE page_id % 50 % 2 = 0""")
+def route_layer(spark, sf):
+    """Pages as routes, linked with entries of which every second is active."""
+    i = c("page_id")
+    p = read(spark, sf, "pages").select(i.alias("video_id"), F.when(i % 5 == 0, "http://x").otherwise("https://x").alias("video_url"), F.when(i % 3 == 0, "old").otherwise("new").alias("model"), F.sequence(F.lit(1), F.when(i % 2 == 0, 63).otherwise(64)).alias("embedding"), F.concat(F.lit("KB-"), (i % 50).cast("string")).alias("kb_id"))
+    active = spark.range(1, 50, 2).select(F.concat(F.lit("KB-"), c("id").cast("string")).alias("kb_id"))
+    return layers.route_violations(p.drop("kb_id"), p.select("video_id", "kb_id"), active, "new")
+
+
+@query("""SELECT doc_id, length(text) > 0 AS has_text, true AS verbatim, len(string_split(text, chr(10)))::BIGINT AS paragraphs FROM documents""")
+def paragraph_reconstruction(spark, sf):
+    """A document's lines as rows, put together again and compared with its hash."""
+    d = read(spark, sf, "documents").select("doc_id", "text")
+    rows = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    again = rows.groupBy("doc_id").agg(F.count("*").alias("paragraphs"), T.sha256(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\n")).alias("sha"))
+    return d.select("doc_id", (F.length("text") > 0).alias("has_text"), T.sha256("text").alias("own")).join(again, "doc_id").select("doc_id", "has_text", (c("own") == c("sha")).alias("verbatim"), "paragraphs")

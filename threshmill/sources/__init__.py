@@ -74,6 +74,11 @@ def subtitles(files: DataFrame) -> DataFrame:
     return parsed.filter(F.col("block").rlike(grammar)).select("path", part(1).cast("int").alias("index"), seconds(2).alias("start_seconds"), seconds(6).alias("end_seconds"), F.regexp_replace(F.trim(part(10)), r"\s*\n\s*", " ").alias("text"))
 
 
+def tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """Tables of a folder that holds several, by name."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+
 def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table, or an empty one if it is not there."""
     from pyspark.errors import AnalysisException

@@ -183,6 +183,18 @@ def rollback(spark: SparkSession, root: str, version: str | None = None) -> str:
     return version
 
 
+def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Several tables as folders of one, each with its schema: what a workbook with sheets holds."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def export_registry(revisions: DataFrame, path: str) -> None:
+    """Revisions without their texts as JSON lines with sorted keys, in the order of entries and revisions over the part files."""
+    row = T.canonical_json(kb_id=F.col("kb_id"), revision=F.col("revision"), status=F.col("status"), supersedes=F.col("supersedes"))
+    revisions.orderBy("kb_id", "revision").select(row.alias("value")).write.mode("overwrite").text(path)
+
+
 def write_embeddings(vectors: DataFrame, path: str) -> None:
     """Once only: an artifact that is there is never replaced."""
     vectors.write.mode("errorifexists").parquet(path)
