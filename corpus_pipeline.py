@@ -27,11 +27,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; returns the packed pieces."""
+    """All stages over ``documents``; returns the packed pieces. What a stage has written goes when the next one has.
+
+    Defined results: a null text counts as empty and stays one through all stages; of repeated rows one stays; other
+    columns go along; of an empty table, or one from which all rows go, no pieces come.
+    """
     docs = shared.table(spark, sf_dir, "documents")
     folder = shared.work_dir(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = shared.staged(spark, docs, f"{folder}/{i}-{name}")
+            if i:
+                shared.remove(spark, f"{folder}/{i - 1}-{STAGES[i - 1][0]}")
     return docs
