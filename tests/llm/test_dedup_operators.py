@@ -327,3 +327,29 @@ def test_pipeline_keeps_one_of_repeated_rows(spark, sf_dir):
     wanted = sorted([(1, a), (3, b), (3, c), (None, d), (5, "short"), (5, ""), (None, ""), (None, None), (None, None)], key=repr)
     assert once.columns == docs.columns and key(once) == wanted
     assert key(bwt_dedup.stage(spark, shared.staged(spark, once, shared.work_dir(spark, "t")), sf_dir)) == wanted
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null and empty texts, repeated rows, null identifiers, extra columns that clash, and empty tables."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(15)
+    texts = [prose(rng, 120) for _ in range(30)]
+    rows = [(i, t, "en", "s1", len(t), "x") for i, t in enumerate(texts)] + [(0, texts[0], "en", "s1", 1, "x")] * 3
+    rows += [(100, None, None, None, None, None), (101, "", "en", "s2", 0, "x"), (None, texts[5], "en", "s1", 1, "x"), (None, prose(rng, 60), None, "s1", 1, "x")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_key string"
+    for name, own in (("some", rows), ("none", [])):
+        spark.createDataFrame(own, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    docs = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = shared.staged(spark, stage(spark, docs, f"{tmp_path}/some"), shared.work_dir(spark, "t"))
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        kept = [(r.doc_id, r.text) for r in docs.collect()]
+        if name == "toxicity":
+            assert len(kept) == len(rows)
+        elif name != "mixing":  # one of the repeated rows, and one text for the null identifier's copy of text 5
+            assert len(kept) == 30 + 2 + 1 and len(set(kept)) == len(kept)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()}
