@@ -47,7 +47,8 @@ def test_grounding_of_whole_answers(spark, tmp_path):
 def test_groups_of_equal_questions(spark, tmp_path):
     rows = [(2, 0, "user", "How to?"), (2, 1, "assistant", "so"), (2, 2, "user", "how TO"), (2, 3, "assistant", "so"), (3, 0, "user", "a"), (3, 1, "assistant", "one"), (4, 0, "user", "A!"), (4, 1, "assistant", "two"), (5, 0, "user", "?!"), (5, 1, "user", "..."), (7, 0, "user", "once")]
     write(spark, tmp_path, "conversations", rows, TURNS)
-    got = {r.question_normalized: r for r in plans().QUERIES["equal_question_groups"](spark, str(tmp_path)).collect()}
+    write(spark, tmp_path, "documents", [], "doc_id long, text string, source string")
+    got = {r.question_normalized: r for r in plans().QUERIES["exact_question_groups"](spark, str(tmp_path)).collect()}
     assert set(got) == {"howto", "a"}
     same, differ = got["howto"], got["a"]
     assert (same.exact_group_id, same.member_count, same.answer_unique_count, same.group_type, same.needs_review, same.review_reasons) == ("GROUP-EXACT-0002", 2, 1, "same_question_same_answer", False, "")

@@ -102,7 +102,7 @@ def message_predicates(spark, sf):
 WITH q AS (SELECT conv_id, turn, role, length(text) AS n FROM conversations)
 SELECT conv_id, count(*) AS turns, string_agg(DISTINCT role, ' | ' ORDER BY role) AS roles, min(n)::INT AS shortest, max(n)::INT AS longest, round(avg(n), 6) AS mean FROM q GROUP BY conv_id
 """)
-def exact_question_groups(spark, sf):
+def conversation_summaries(spark, sf):
     """Group summary with distinct values joined, and numeric statistics."""
     q = read(spark, sf, "conversations").select("conv_id", "role", F.length("text").alias("n"))
     return q.groupBy("conv_id").agg(F.count("*").alias("turns"), F.array_join(F.array_sort(F.collect_set("role")), " | ").alias("roles"), F.min("n").alias("shortest"), F.max("n").alias("longest"), F.round(F.avg("n"), 6).alias("mean"))
@@ -123,7 +123,13 @@ def title_similarity(spark, sf):
     return rows.select("conv_id", "turn", F.round(T.sequence_similarity("a", "b"), 6).alias("sequence"), F.round(T.text_similarity("a", "b"), 6).alias("similarity"))
 
 
-@query()
+_NORMAL = "lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
+_BIGRAMS = "list_distinct([substring({c}, i, 2) FOR i IN range(1, greatest(length({c}), 2))])"
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, role, text, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS question FROM conversations),
+p AS (SELECT conv_id, turn, {_NORMAL.format("coalesce(text, '')")} AS a, {_NORMAL.format("coalesce(question, '')")} AS b FROM t WHERE role = 'assistant')
+SELECT conv_id, turn, CASE WHEN length(a) = 0 THEN 0.0 ELSE round(len(list_intersect({_BIGRAMS.format(c='a')}, {_BIGRAMS.format(c='b')})) / len({_BIGRAMS.format(c='a')}), 6) END::DOUBLE AS grounded FROM p""")
 def bigram_grounding(spark, sf):
     """Share of each answer's bigrams that its question has, whole text against whole text."""
     rows = asked_and_answered(spark, sf).filter("role = 'assistant'")
@@ -132,19 +138,29 @@ def bigram_grounding(spark, sf):
     return rows.select("conv_id", "turn", F.round(T.grounded_ratio("a", "b"), 6).alias("grounded"))
 
 
-@query()
-def equal_question_groups(spark, sf):
-    """Groups of user turns with equal normalised text: unique values, type and reasons for a review.
+_DIFFS = ("resolution", "temporal_status", "knowledge_value", "crm_module", "needs_followup")
+
+
+@query(f"""WITH c AS (SELECT conv_id, role, text, CASE WHEN lead(role) OVER w = 'assistant' THEN lead(text) OVER w END AS answer FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+t AS (SELECT * FROM c UNION ALL SELECT doc_id, 'user', text, source FROM documents), r AS (SELECT {_NORMAL.format('text')} AS q, trim(answer, ' ' || chr(9) || chr(10) || chr(13)) AS answer, CASE WHEN answer IS NOT NULL THEN 'answered' ELSE 'open' END AS resolution, CASE WHEN conv_id % 6 = 0 THEN 'low' ELSE 'high' END AS knowledge_value,
+ CASE WHEN conv_id % 8 = 0 THEN 'future_plan' WHEN conv_id % 8 = 1 THEN 'historical' ELSE 'stable' END AS temporal_status, (conv_id % 5 = 0)::VARCHAR AS needs_followup, 'm' || (conv_id % 3) AS crm_module FROM t WHERE role = 'user'),
+g AS (SELECT q, count(*) AS member_count, count(DISTINCT nullif(answer, ''))::INT AS answers, {', '.join(f"string_agg(DISTINCT {d}, ' | ' ORDER BY {d}) AS {d}_set, count(DISTINCT {d}) AS {d}_n" for d in _DIFFS)} FROM r WHERE q <> '' GROUP BY q HAVING count(*) > 1),
+x AS (SELECT *, list_filter([CASE WHEN answers > 1 THEN 'multiple_answers' END, {', '.join(f"CASE WHEN {d}_n > 1 THEN '{d}_diff' END" for d in _DIFFS)}], lambda z: z IS NOT NULL) AS reasons FROM g)
+SELECT printf('GROUP-EXACT-%04d', row_number() OVER (ORDER BY q)) AS exact_group_id, q AS question_normalized, member_count, answers AS answer_unique_count, CASE WHEN answers = 1 THEN 'same_question_same_answer' WHEN answers > 1 THEN 'same_question_different_answer' ELSE 'same_question_mixed' END AS group_type,
+ len(reasons) > 0 AS needs_review, array_to_string(reasons, ' | ') AS review_reasons, {', '.join(f'{d}_set' for d in _DIFFS)} FROM x""")
+def exact_question_groups(spark, sf):
+    """Groups of user turns and documents with equal normalised text: unique values, type and reasons for a review.
 
     Solution, resolution and the like are judgements that the conversations do not have; some stand in by conv_id.
     """
     c = F.col("conv_id")
-    rows = asked_and_answered(spark, sf).filter("role = 'user'").withColumn("question_normalized", T.normalize("text")).filter("question_normalized <> ''")
+    imported = read(spark, sf, "documents").select(F.col("doc_id").alias("conv_id"), "text", F.col("source").alias("answer"))
+    rows = asked_and_answered(spark, sf).filter("role = 'user'").select("conv_id", "text", "answer").unionByName(imported).withColumn("question_normalized", T.normalize("text")).filter("question_normalized <> ''")
     rows = rows.withColumns({
         "resolution": F.when(F.col("answer").isNotNull(), "answered").otherwise("open"), "knowledge_value": F.when(c % 6 == 0, "low").otherwise("high"),
         "temporal_status": F.when(c % 8 == 0, "future_plan").when(c % 8 == 1, "historical").otherwise("stable"), "needs_followup": (c % 5 == 0).cast("string"), "crm_module": F.concat(F.lit("m"), (c % 3).cast("string")),
     })
-    diffs = ("resolution", "temporal_status", "knowledge_value", "crm_module", "needs_followup")
+    diffs = _DIFFS
     uniques = (F.array_sort(F.filter(F.collect_set(T.clean_text(x)), lambda v: v != "")).alias(f"{x}_set") for x in ("answer", *diffs))
     g = rows.groupBy("question_normalized").agg(F.count("*").alias("member_count"), *uniques).filter("member_count > 1")
     many = {"multiple_answers": F.size("answer_set") > 1} | {f"{x}_diff": F.size(f"{x}_set") > 1 for x in diffs}

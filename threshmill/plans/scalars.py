@@ -115,10 +115,10 @@ def summary_clauses(spark, sf):
     return read(spark, sf, "benchmark").select("item_id", T.summary_clauses(x).alias("clauses"), T.preview(x, 30).alias("preview"))
 
 
-@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1)::INT AS n FROM documents), m AS (SELECT doc_id, n AS line, unnest(regexp_extract_all(line, '\d{4}-\d{2}(?:-\d{2})?')) AS found, substring(line, 1, 120) AS context FROM l) SELECT * FROM m""")
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1)::INT AS n FROM documents), m AS (SELECT doc_id, n AS line, unnest(regexp_extract_all(line, '\d{4,}|\d{4}-\d{2}(?:-\d{2})?')) AS found, substring(line, 1, 120) AS context FROM l) SELECT * FROM m""")
 def mention_lines(spark, sf):
-    """Each date in a text with its line."""
-    found = read(spark, sf, "documents").select("doc_id", F.explode(T.mention_lines("text", T.DATE_MENTION)).alias("m"))
+    """Each date or long number in a text with its line."""
+    found = read(spark, sf, "documents").select("doc_id", F.explode(T.mention_lines("text", r"\d{4,}|" + T.DATE_MENTION)).alias("m"))
     return found.select("doc_id", "m.line", "m.found", "m.context")
 
 

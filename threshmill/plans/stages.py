@@ -135,12 +135,12 @@ def allowed_keys(spark, sf):
     return rows.select("doc_id", F.array_sort(stages.kept_keys("given", "allowed")).alias("keys"), stages.risky_source().alias("risky"))
 
 
-@query("""SELECT o_custkey, arg_max(o_orderkey, [o_totalprice, -o_orderkey]) AS survivor, count(*) AS members, round(sum(o_totalprice * (o_orderkey % 3)) / nullif(sum(o_orderkey % 3), 0), 4) AS grounding FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, arg_max(o_orderkey, [o_totalprice, -o_orderkey]) AS survivor, count(*) AS members, floor(sum(round(o_totalprice * 100)::BIGINT * (o_orderkey % 3)) / nullif(sum(o_orderkey % 3), 0))::BIGINT AS grounding FROM orders GROUP BY 1""")
 def survivor_choice(spark, sf):
     """The best of each group stays, and the merged one has the weighted mean of their grounding."""
-    o = read(spark, sf, "orders").withColumn("weight", c("o_orderkey") % 3)
+    o = read(spark, sf, "orders").withColumns({"weight": c("o_orderkey") % 3, "cents": F.round(c("o_totalprice") * 100).cast("long")})
     best = stages.survivors(o, "o_custkey", "o_orderkey", "o_totalprice")
-    return best.join(o.groupBy("o_custkey").agg(F.round(stages.weighted_mean("o_totalprice", "weight"), 4).alias("grounding")), "o_custkey")
+    return best.join(o.groupBy("o_custkey").agg(F.floor(stages.weighted_mean("cents", "weight")).alias("grounding")), "o_custkey")
 
 
 @query("""WITH o AS (SELECT DISTINCT o_custkey AS node, o_orderpriority AS owner FROM orders), p AS (SELECT DISTINCT c_custkey AS a, c_custkey + 1 AS b FROM customer)
