@@ -67,10 +67,25 @@ def test_single_link_and_greedy_differ_on_a_chain(spark):
     linked = clusters.single_link(rows, chain, "id", F.col("rank"))
     decided = {r.id: r.decision for r in clusters.dedup_decisions(linked, rows.filter("id = 'a'").select("id"), "id").collect()}
     assert decided == {"a": "known", "b": "known", "c": "known", "z": "kept"}
-    greedy = clusters.greedy_keep(rows, chain, clusters.connected_components(chain), "id", "rank")
+    greedy = clusters.greedy_keep(rows, chain, "id", "rank")
     assert {r.id for r in greedy.filter("kept").collect()} == {"a", "c", "z"}
 
 
+def test_greedy_keep_by_brute_force(spark):
+    rng = random.Random(7)
+    n = 60
+    pairs = {(i, j) for i in range(n) for j in range(i) if rng.random() < 0.05} | {(i, i + 1) for i in range(30)}
+    rank = {i: rng.randrange(20) if i > 30 else i - 100 for i in range(n)}
+    stay = set()
+    for i in sorted(range(n), key=lambda i: (rank[i], i)):
+        if not any((i, j) in pairs or (j, i) in pairs for j in stay):
+            stay.add(i)
+    rows = spark.createDataFrame(list(rank.items()), "id long, rank int")
+    edges = spark.createDataFrame(sorted(pairs), "a long, b long")
+    for rounds in (1, 3, 60):
+        assert {r.id for r in clusters.greedy_keep(rows, edges, "id", "rank", rounds).filter("kept").collect()} == stay
+
+
 def test_bipartite_match(spark):
     rows = spark.createDataFrame([("k", "a", "x", 0.9), ("k", "a", "y", 0.8), ("k", "b", "x", 0.8), ("k", "b", "y", 0.2)], "key string, left_id string, right_id string, score double")
     assert {(r.left_id, r.right_id) for r in clusters.bipartite_match(rows, "key").collect()} == {("a", "y"), ("b", "x")}

@@ -106,31 +106,57 @@ def complete_link(edges: DataFrame, components: DataFrame) -> DataFrame:
     return rows.groupBy("component").applyInPandas(run, f"node {kind}, cluster {kind}, size long")
 
 
-def greedy_keep(rows: DataFrame, edges: DataFrame, components: DataFrame, id_col: str, order_col: str) -> DataFrame:
+def greedy_keep(rows: DataFrame, edges: DataFrame, id_col: str, order_col: str, rounds: int = 12) -> DataFrame:
     """Rows that stay if, in order, a row goes when it is linked with one that stays: (id, kept).
 
-    That set is decided within components; a component's edges are worked on in one task, lone rows stay as they are.
+    Decided by rounds over all edges from earlier to later rows: a row goes as soon as an earlier neighbour is known to
+    stay, and stays once all earlier ones are known to go; edges from rows that go, and to rows that are decided, fall out.
+    Long chains take many rounds, so what ``rounds`` leave undecided is settled component by component; an edge from a
+    row that stays has been used by then, so only undecided rows meet in a task. Rounds are cut by reliable checkpoints.
     """
-    ranked = rows.select(F.col(id_col).alias("node"), F.col(order_col).alias("rank"))
-    own = ranked.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    links = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = links.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("near"))
-    full = own.join(near, "node", "left")
-    lone = full.filter("near is null").select(F.col("node").alias(id_col), F.lit(True).alias("kept"))
+    set_checkpoint_dir(rows.sparkSession)
     kind = dict(rows.dtypes)[id_col]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        stay: set = set()
-        out = []
-        for node, near in pdf.sort_values(["rank", "node"])[["node", "near"]].itertuples(index=False):
-            kept = stay.isdisjoint(near)
-            if kept:
-                stay.add(node)
-            out.append((node, kept))
-        return pd.DataFrame(out, columns=[id_col, "kept"])
-
-    grouped = full.filter("near is not null").groupBy("component").applyInPandas(run, f"{id_col} {kind}, kept boolean")
-    return grouped.unionByName(lone)
+    ranked = rows.select(F.col(id_col).alias("node"), F.struct(F.col(order_col).alias("rank"), F.col(id_col).alias("id")).alias("place"))
+    both = edges.select("a", "b").filter("a <> b").distinct()
+    placed = both.join(ranked.select(F.col("node").alias("a"), F.col("place").alias("pa")), "a").join(ranked.select(F.col("node").alias("b"), F.col("place").alias("pb")), "b")
+    first = F.col("pa") < F.col("pb")
+    ahead = placed.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")).distinct().checkpoint()
+    linked = ahead.select(F.col("a").alias("node")).unionByName(ahead.select(F.col("b").alias("node"))).distinct()
+    state = linked.withColumn("kept", F.lit(None).cast("boolean")).checkpoint()
+    for _ in range(rounds):
+        facts = ahead.join(state.select(F.col("node").alias("a"), "kept"), "a").groupBy(F.col("b").alias("node"))
+        facts = facts.agg(F.coalesce(F.bool_or("kept"), F.lit(False)).alias("some_kept"), F.count_if(F.col("kept").isNull()).alias("open"))
+        now = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("some_kept", F.lit(False)), False).when(F.coalesce("open", F.lit(0)) == 0, True)
+        state = state.join(facts, "node", "left").select("node", now.alias("kept")).checkpoint()
+        waiting = state.filter("kept is null").select(F.col("node").alias("b"))
+        gone = state.filter("not kept").select(F.col("node").alias("a"))
+        ahead = ahead.join(waiting, "b", "left_semi").join(gone, "a", "left_anti").checkpoint()
+        if not ahead.limit(1).count():
+            break
+    hit = ahead.join(state.filter("kept").select(F.col("node").alias("a")), "a", "left_semi").select(F.col("b").alias("node"), F.lit(True).alias("hit")).distinct()
+    state = state.join(hit, "node", "left").select("node", F.when(F.col("hit"), False).otherwise(F.col("kept")).alias("kept")).checkpoint()
+    open_nodes = state.filter("kept is null").select("node")
+    ahead = ahead.join(open_nodes.withColumnRenamed("node", "a"), "a", "left_semi").join(open_nodes.withColumnRenamed("node", "b"), "b", "left_semi").checkpoint()
+    rest = state.filter("kept is null").select("node")
+    decided = state.filter("kept is not null")
+    if rest.limit(1).count():
+        parts = connected_components(ahead, rest)
+        near = ahead.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("near"))
+        full = rest.join(parts, "node").join(near, "node", "left").join(ranked, "node").select("component", "node", "near", F.col("place.rank").alias("rank"))
+
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            stay: set = set()
+            out = []
+            for node, own in pdf.sort_values(["rank", "node"])[["node", "near"]].itertuples(index=False):
+                kept = own is None or stay.isdisjoint(own)
+                if kept:
+                    stay.add(node)
+                out.append((node, kept))
+            return pd.DataFrame(out, columns=["node", "kept"])
+
+        decided = decided.unionByName(full.groupBy("component").applyInPandas(run, f"node {kind}, kept boolean"))
+    out = rows.select(id_col).join(decided.withColumnRenamed("node", id_col), id_col, "left")
+    return out.select(id_col, F.coalesce("kept", F.lit(True)).alias("kept"))
 
 
 def best_matching(pairs: list[tuple]) -> list[tuple]:

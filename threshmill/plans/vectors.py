@@ -144,7 +144,7 @@ def greedy_dedup(spark, sf):
     """First kept wins, in the order of the identifiers."""
     e = read(spark, sf, "embeddings").select("vec_id")
     edges = pairs(spark, sf, 0.3).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    return clusters.greedy_keep(e.withColumn("rank", F.col("vec_id")), edges, clusters.connected_components(edges), "vec_id", "rank")
+    return clusters.greedy_keep(e.withColumn("rank", F.col("vec_id")), edges, "vec_id", "rank")
 
 
 @query()
