@@ -166,3 +166,13 @@ def test_filter_bits_are_independent():
     held = {b for own in bits for b in own}
     false = sum(all(b in held for b in sstable._filter_bits(sstable.key_of(i), size)) for i in range(10_000, 20_000))
     assert false < 200
+
+
+@pytest.mark.parametrize("name", ["op3_chat", "op5_embedding_dedup", "op9_ngram_join"])
+def test_query_equals_its_sql(spark, sf_dir, name):
+    import oracle
+
+    from threshmill.llm.queries import ORACLE_SQL, QUERIES
+
+    got, wanted, own, theirs = oracle.compare(spark, oracle.connect(sf_dir), QUERIES[name], ORACLE_SQL[name], sf_dir)
+    assert own == theirs and got == wanted

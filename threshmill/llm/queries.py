@@ -29,4 +29,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: Components of links (a, b) among nodes, by the smallest node that each reaches.
+_REACHED = """sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach(node, least) AS (SELECT a, a FROM sides UNION SELECT sides.b, reach.least FROM reach JOIN sides ON reach.node = sides.a),
+part AS (SELECT node, min(least) AS component_id FROM reach GROUP BY node)"""
+_PLANTED = r"'\### Assistant: </turn> ok'"
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat": rf"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', {_PLANTED} UNION ALL SELECT -7, 1, 'assistant', {_PLANTED})
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(14 + length(regexp_replace(role, '[\\#<:]', 'xx', 'g')) + length(regexp_replace(text, '[\\#<]', 'xx', 'g')))::BIGINT AS formatted_chars FROM c GROUP BY conv_id""",
+    "op5_embedding_dedup": f"""WITH RECURSIVE u AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM u WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) AND x.norm > 0 AND y.norm > 0 AND list_dot_product(x.v, y.v) >= 0.9 * x.norm * y.norm), {_REACHED}, many AS (SELECT a, count(*) AS n_links FROM sides GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept FROM embeddings LEFT JOIN many ON many.a = vec_id LEFT JOIN part ON part.node = vec_id""",
+    "op9_ngram_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s), t AS (SELECT doc_id, hash(unnest(s)) AS t FROM s), shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM t x JOIN t y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)), {_REACHED}
+SELECT n.doc_id, n::BIGINT AS n_shingles, coalesce(component_id, n.doc_id) AS component_id FROM n LEFT JOIN part ON part.node = n.doc_id""",
+}
