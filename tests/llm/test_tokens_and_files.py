@@ -168,7 +168,7 @@ def test_filter_bits_are_independent():
     assert false < 200
 
 
-@pytest.mark.parametrize("name", ["op3_chat", "op5_embedding_dedup", "op9_ngram_join"])
+@pytest.mark.parametrize("name", ["op3_chat", "op5_embedding_dedup", "op8_bwt_dedup", "op9_ngram_join"])
 def test_query_equals_its_sql(spark, sf_dir, name):
     import oracle
 

@@ -40,6 +40,12 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     "op5_embedding_dedup": f"""WITH RECURSIVE u AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM u WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) AND x.norm > 0 AND y.norm > 0 AND list_dot_product(x.v, y.v) >= 0.9 * x.norm * y.norm), {_REACHED}, many AS (SELECT a, count(*) AS n_links FROM sides GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept FROM embeddings LEFT JOIN many ON many.a = vec_id LEFT JOIN part ON part.node = vec_id""",
+    "op8_bwt_dedup": """WITH d AS (SELECT doc_id, row_number() OVER () AS k, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT k, i, md5(b[i : i + 399]) AS h FROM (SELECT k, b, unnest(range(1, n - 398)) AS i FROM d WHERE n >= 400)), r AS (SELECT k, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+m AS (SELECT k, i, coalesce(i > lag(i) OVER (PARTITION BY k ORDER BY i) + 400, true)::INT AS fresh FROM r), g AS (SELECT k, i, sum(fresh) OVER (PARTITION BY k ORDER BY i) AS span FROM m), s AS (SELECT k, span, min(i) AS lo, max(i) + 399 AS hi FROM g GROUP BY 1, 2),
+p AS (SELECT s.k, span, hi - lo + 1 AS gone, hex(b[coalesce(lag(hi) OVER o, 0) + 1 : lo - 1]) AS before, CASE WHEN lead(lo) OVER o IS NULL THEN hex(b[hi + 1 : n]) ELSE '' END AS rest FROM s JOIN d USING (k) WINDOW o AS (PARTITION BY s.k ORDER BY span)),
+a AS (SELECT k, sum(gone) AS gone, count(*) AS n_spans, string_agg(before || rest, '' ORDER BY span) AS kept FROM p GROUP BY k)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN gone IS NULL THEN b ELSE unhex(kept) END) AS kept_sha256 FROM d LEFT JOIN a USING (k)""",
     "op9_ngram_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
 n AS (SELECT doc_id, len(s) AS n FROM s), t AS (SELECT doc_id, hash(unnest(s)) AS t FROM s), shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM t x JOIN t y ON x.t = y.t AND x.doc_id < y.doc_id GROUP BY 1, 2),
