@@ -35,7 +35,7 @@ from threshmill.llm import shared
 SAMPLE_ROWS = 8_000
 MAX_PATTERNS = 500
 THRESHOLD = 0.3
-#: Rounds of EM, the log odds of an anchor's vote, and tasks that sum a round over the counted votes.
+#: Rounds of EM, the log odds of an anchor's vote, and tasks that sum a round over the counted votes; one more adds their sums.
 ROUNDS, ANCHOR, CORPUS_TASKS = 8, float(np.log(0.98 / 0.02)), 16
 STEM_LENGTHS = (4, 5, 6)
 #: Voters that hold whatever the sample shows: words by group (fixed values).
@@ -55,6 +55,8 @@ SENTENCES = {
 #: Whether any sentence pattern hits, in one scan that stops at the letters they start with.
 _ANY_SENTENCE = re.compile(r"\b(?=[yghpsn])(?:" + "|".join(p.pattern for p in SENTENCES.values()) + ")", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+#: Sampled rows that the driver works on at a time.
+PART_ROWS = 512
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
 
 
@@ -157,16 +159,16 @@ def first_model(votes: np.ndarray, gold: np.ndarray) -> LabelModel:
     """From the anchors alone; without any, voters are taken to be right."""
     prior = float(np.clip(np.mean(gold[gold >= 0] == 1) if (gold >= 0).any() else 0.1, 0.01, 0.5))
     toxic = np.where(gold < 0, np.clip(prior + 0.8 * votes.any(1), 0, 0.9), np.where(gold == 1, 0.95, 0.05))
-    rates = np.stack([((1 - toxic) @ votes + 0.05) / ((1 - toxic).sum() + 1), (toxic @ votes + 0.5) / (toxic.sum() + 1)])
+    share = lambda y: sum(y[a : a + PART_ROWS] @ votes[a : a + PART_ROWS].astype(float) for a in range(0, len(votes), PART_ROWS))
+    rates = np.stack([(share(1 - toxic) + 0.05) / ((1 - toxic).sum() + 1), (share(toxic) + 0.5) / (toxic.sum() + 1)])
     return LabelModel(prior, np.clip(rates, 1e-9, 1 - 1e-9), np.ones(votes.shape[1]))
 
 
 def label_model(votes: np.ndarray, gold: np.ndarray, corpus: Callable[[LabelModel], np.ndarray] | None = None, rounds: int = ROUNDS) -> LabelModel:
     """EM over the anchors' rows and a corpus, given as a function from a model to its sums over all documents."""
-    votes = votes.astype(float)
     model = first_model(votes, gold)
     for _ in range(rounds):
-        sums = model.sums(votes, np.ones(len(votes)), gold)
+        sums = sum(model.sums(votes[a : a + PART_ROWS].astype(float), np.ones(len(votes[a : a + PART_ROWS])), gold[a : a + PART_ROWS]) for a in range(0, len(votes), PART_ROWS))
         if corpus is not None:
             more = corpus(model)
             documents = more[:2, 0].sum()
@@ -177,14 +179,16 @@ def label_model(votes: np.ndarray, gold: np.ndarray, corpus: Callable[[LabelMode
 
 def fit_linear(x: np.ndarray, target: np.ndarray, ridge: float = 0.5, rounds: int = 30) -> np.ndarray:
     """Logistic regression on soft labels by Newton's method; the last weight is the intercept."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x1.shape[1])
-    penalty = np.full(x1.shape[1], ridge)
+    w = np.zeros(x.shape[1] + 1)
+    penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        slope = x1.T @ (p - target) + penalty * w
-        curve = (x1 * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ x1 + np.diag(penalty)
+        slope, curve = penalty * w, np.diag(penalty)
+        for a in range(0, len(x), PART_ROWS):
+            x1 = np.hstack([x[a : a + PART_ROWS].astype(float), np.ones((len(x[a : a + PART_ROWS]), 1))])
+            p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
+            slope = slope + x1.T @ (p - target[a : a + PART_ROWS])
+            curve = curve + (x1 * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ x1
         step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -228,13 +232,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sample = rows.mapInArrow(shared.frugal(vectors), "x binary, toxic int").collect()  # ``sample_rows`` rows of bounded length
     width = len(names) + len(SENTENCES) + 2
-    x = np.frombuffer(b"".join(bytes(r.x) for r in sample), np.float32).reshape(-1, width).astype(float)
+    x = np.zeros((len(sample), width), np.float32)
+    for row, r in zip(x, sample):
+        row[:] = np.frombuffer(r.x, np.float32)
     gold = np.array([r.toxic for r in sample], int)
+    del sample
     # Rows that show each fixed voter once keep it alive where the sample has no such word; where there is hardly a
     # sample, empty rows keep toxicity rare.
     blank = max(1, 10 * len(fixed) - int((gold == 0).sum()))
     voters = len(fixed) + len(SENTENCES)
-    known_words = np.zeros((voters + blank, width))
+    known_words = np.zeros((voters + blank, width), np.float32)
     for i in range(voters):
         known_words[i, -2] = known_words[i, -1] = 1 / 3
         if i < len(fixed):
@@ -255,13 +262,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-        width = len(model.weight)
-        found = counted.coalesce(CORPUS_TASKS).mapInArrow(shared.frugal(run), "sums binary").collect()
-        return sum((np.frombuffer(r.sums, np.float64).reshape(width + 2, width + 1) for r in found), np.zeros((width + 2, width + 1)))
+        def add(batches):
+            total = np.zeros(shape)
+            for batch in batches:
+                for own in batch.column("sums").to_pylist():
+                    total += np.frombuffer(own, np.float64).reshape(shape)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        shape = (len(model.weight) + 2, len(model.weight) + 1)
+        sums = counted.coalesce(CORPUS_TASKS).mapInArrow(shared.frugal(run), "sums binary").repartition(1)  # as many rows as tasks
+        found = sums.mapInArrow(shared.frugal(add), "sums binary").collect()
+        return np.frombuffer(found[0].sums, np.float64).reshape(shape) if found else np.zeros(shape)
 
     votes = votes_of(x)
     model = label_model(votes, gold, corpus)
-    return names, fit_linear(x, model.posterior(votes.astype(float), gold))
+    posterior = np.concatenate([model.posterior(votes[a : a + PART_ROWS].astype(float), gold[a : a + PART_ROWS]) for a in range(0, len(votes), PART_ROWS)])
+    return names, fit_linear(x, posterior)
 
 
 def count_votes(docs: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
