@@ -2,10 +2,12 @@
 
 import hashlib
 import zlib
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from threshmill.llm import branch_merge
+from threshmill.llm import branch_merge, vector_search
 from threshmill.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string"
@@ -94,3 +96,61 @@ def test_merge_query(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
     wanted = sorted(((*r[:3], r[3] if r[3] is None else sha(r[3]), *r[4:]) for r in merged_by_hand([tuple(r) for r in rows])), key=repr)
     assert sorted(map(tuple, QUERIES["op12_branch_merge"](spark, sf_dir).collect()), key=repr) == wanted
+
+
+# --- 13
+
+
+def nearest_by_hand(rows, k, asks):
+    ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for at, (q, x) in enumerate(ok):
+        if asks(q):
+            dots = [(reduce(lambda s, ab: s + ab[0] * ab[1], zip(x.tolist(), y.tolist()), 0.0), i) for j, (i, y) in enumerate(ok) if j != at and len(y) == len(x)]
+            best = sorted(((-np.inf if np.isnan(s) else s), i) for s, i in dots)
+            best = sorted(best, key=lambda p: (-p[0], p[1]))[:k]
+            out += [(q, r, i, s) for r, (s, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def test_search(spark, monkeypatch):
+    rng = np.random.default_rng(31)
+    rows = [(i, (rng.normal(size=12) * 10.0 ** rng.integers(-2, 3)).round(3).tolist()) for i in range(160)]
+    rows += [(200 + i, rows[3][1]) for i in range(30)] + [(400 + i, rows[5][1]) for i in range(3)]
+    rows += [(3, rows[3][1]), (5, rows[7][1]), (405, rows[9][1]), (405, rows[9][1]), (500, [1.0, 0.0]), (501, [0.5, 0.5]), (510, [2.0]), (None, rows[1][1])]
+    rows += [(600, None), (605, []), (610, [0.0] * 12), (615, [None, *rows[1][1][1:]]), (620, [float("nan"), *rows[1][1][1:]]), (625, [float("inf"), *rows[1][1][1:]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit("clash") for c in ("vector", "query", "own", "place")})
+    wanted = nearest_by_hand(rows, 6, lambda i: i % 5 == 0)
+    found = lambda d: sorted(map(tuple, d.collect()))
+    assert found(vector_search.nearest(df, F.col("vec_id") % 5 == 0, 6)) == wanted
+    monkeypatch.setattr(vector_search, "QUERY_BYTES", 1500)
+    monkeypatch.setattr(vector_search, "BASE_BYTES", 4000)
+    monkeypatch.setattr(vector_search, "TILE", 5)
+    monkeypatch.setattr(vector_search, "PAIRS", 7)
+    assert found(vector_search.nearest(df, F.col("vec_id") % 5 == 0, 6)) == wanted
+    assert vector_search.nearest(df.filter("false"), F.col("vec_id") % 5 == 0, 6).count() == 0
+
+
+def test_search_far_and_wide(spark):
+    rng = np.random.default_rng(32)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 2500)))] + [(100, [1e200] * 3), (101, [1e200, -1e200, 1.0]), (102, [1e-200] * 3), (103, [5e-324, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, vector_search.nearest(df, F.lit(True), 3).collect())) == nearest_by_hand(rows, 3, lambda i: True)
+
+
+def test_tile_bounds_hold_and_leave_little():
+    rng = np.random.default_rng(33)
+    x, y = rng.normal(size=(300, 64)), rng.normal(size=(3000, 64)) * rng.uniform(0.1, 3, (3000, 1))
+    a, b = vector_search.Tile(x), vector_search.Tile(y)
+    assert (vector_search.bounds(a, b, slice(0, 300)) >= x @ y.T).all()
+    heaps = vector_search.Heaps(300, 21)
+    done = sum(vector_search.search(a, heaps, vector_search.Tile(y[s : s + 300]), np.arange(s, s + 300), np.arange(301)) for s in range(0, 3000, 300))
+    assert [sorted(h) for h in heaps.id.tolist()] == [sorted(np.argsort(-d, kind="stable")[:21].tolist()) for d in x @ y.T]
+    assert done < 0.2 * x.shape[0] * y.shape[0]
+
+
+def test_search_query(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = sorted(map(tuple, QUERIES["op13_vector_search"](spark, sf_dir).collect()))
+    wanted = nearest_by_hand(rows, 20, lambda i: i % 20 == 0)
+    assert [r[:3] for r in got] == [r[:3] for r in wanted] and np.allclose([r[3] for r in got], [r[3] for r in wanted], rtol=0, atol=1e-12)

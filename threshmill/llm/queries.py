@@ -17,6 +17,7 @@ from threshmill.llm.packing import op10_packing
 from threshmill.llm.sstable import op2_sstable
 from threshmill.llm.syncmers import op4_syncmers
 from threshmill.llm.toxicity import op6_toxicity
+from threshmill.llm.vector_search import op13_vector_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
     "op12_branch_merge": op12_branch_merge,
+    "op13_vector_search": op13_vector_search,
 }
 #: Components of links (a, b) among nodes, by the smallest node that each reaches.
 _REACHED = """sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach(node, least) AS (SELECT a, a FROM sides UNION SELECT sides.b, reach.least FROM reach JOIN sides ON reach.node = sides.a),
@@ -82,4 +84,7 @@ g AS (SELECT *, fate = 0 OR (fate = 3 AND NOT gr) AS stays FROM f)
 SELECT doc_id, CASE WHEN stays THEN a.v END AS lang, CASE WHEN stays THEN b.v END AS source, CASE WHEN stays THEN sha256(coalesce(text, '')) END AS text_sha256, CASE WHEN fate = 0 THEN n1 ELSE (fate = 1)::BIGINT END AS n_clean, CASE WHEN fate = 0 THEN n2 ELSE 0 END AS n_edit_edit,
  CASE WHEN fate = 0 THEN n3 ELSE (fate = 3)::BIGINT END AS n_edit_delete, CASE WHEN fate = 0 THEN n4 ELSE 0 END AS n_insert_insert FROM d JOIN g USING (k) JOIN cols a ON a.k = d.k AND a.name = 'lang' JOIN cols b ON b.k = d.k AND b.name = 'source' LEFT JOIN texts ON texts.k = d.k
 UNION ALL SELECT -1 - doc_id, lang, source, sha256(added), (NOT (al AND ar AND NOT same))::BIGINT, 0, 0, (al AND ar AND NOT same)::BIGINT FROM d JOIN w USING (k) WHERE al OR ar""",
+    "op13_vector_search": """WITH n AS (SELECT row_number() OVER () AS k, vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+r AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score, row_number() OVER (PARTITION BY q.k ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank FROM n q JOIN n c ON q.k <> c.k AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
