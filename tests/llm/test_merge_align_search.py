@@ -1,13 +1,15 @@
 """Operators 11, 12 and 13 against brute force."""
 
 import hashlib
+import re
 import zlib
+from collections import Counter
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from threshmill.llm import branch_merge, vector_search
+from threshmill.llm import alignment, branch_merge, vector_search
 from threshmill.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string"
@@ -154,3 +156,68 @@ def test_search_query(spark, sf_dir):
     got = sorted(map(tuple, QUERIES["op13_vector_search"](spark, sf_dir).collect()))
     wanted = nearest_by_hand(rows, 20, lambda i: i % 20 == 0)
     assert [r[:3] for r in got] == [r[:3] for r in wanted] and np.allclose([r[3] for r in got], [r[3] for r in wanted], rtol=0, atol=1e-12)
+
+
+# --- 11
+
+
+def aligned_by_hand(rows):
+    """Rows (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, digest) from the libraries' own calls, token by token."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(x): x for x in shown} | {chr(256 + n): x for n, x in enumerate(x for x in range(256) if x not in shown)}
+
+    def spelled_b(i):
+        piece = b.id_to_piece(i)
+        byte = re.fullmatch("<0x(..)>", piece)
+        return bytes([int(byte[1], 16)]) if byte else piece.replace("\u2581", " ").encode()
+
+    found, counts = [], Counter()
+    for doc, text in rows:
+        ids_a, ids_b = a.encode(" " + (text or ""), add_special_tokens=False).ids, b.encode(text or "")
+        bytes_a, bytes_b = [bytes(letters[c] for c in a.id_to_token(i)) for i in ids_a], [spelled_b(i) for i in ids_b]
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+            found.append((doc, 0, 0, [], []))
+            continue
+        ends_a = {int(e): i for e, i in zip(np.cumsum([len(x) for x in bytes_a]), range(len(ids_a)))}
+        ends_b = {int(e): i for e, i in zip(np.cumsum([len(x) for x in bytes_b]), range(len(ids_b)))}
+        links, groups, i, j = [], [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            x, y = ends_a[end], ends_b[end]
+            links.append((ids_a[x], ids_b[y]))
+            groups.append(",".join(map(str, ids_a[i : x + 1])) + "|" + ",".join(map(str, ids_b[j : y + 1])))
+            i, j = x + 1, y + 1
+        counts.update(links)
+        found.append((doc, len(ids_a), len(ids_b), groups, links))
+    highest = {}
+    for (x, y), n in counts.items():
+        highest[y] = max(n, highest.get(y, 0))
+    return sorted(((doc, n_a, n_b, len(groups), len(links), sum(counts[p] == highest[p[1]] for p in links), sum(counts[p] for p in links), sha(";".join(groups)) if groups else "") for doc, n_a, n_b, groups, links in found), key=repr)
+
+
+ODD = ["", None, "a", " ", "  two  spaces ", "\n\n\ttabs\r\n", "<s> <unk> </s> <|endoftext|> <0x41>", "sign \u2581 of B", "\x00 zero", "e\u0301 \ufb01 \u00a0 \u3000", "日本語のテキスト", "🙂👍🏽 emoji", "x" * 3000, "na\u00efve caf\u00e9 \u2013 \u201cquoted\u201d", "\ufeff", "word " * 2000]
+
+
+def test_alignment(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(ODD * 2)] + [(None, "no identifier"), (3, "another row")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("row", "pairs", "times", "n_a")})
+    found = lambda: sorted(map(tuple, alignment.align_corpus(df, alignment.default_tokenizer(), alignment.default_pieces())[0].collect()), key=repr)
+    wanted = aligned_by_hand(rows)
+    assert found() == wanted and any(r[1] > r[3] for r in wanted) and any(r[5] < r[4] for r in wanted)
+    monkeypatch.setattr(alignment, "HOT_PAIRS", 5)
+    assert found() == wanted
+    none = alignment.align_corpus(df.filter("false"), alignment.default_tokenizer(), alignment.default_pieces())
+    assert none[0].count() == none[1].count() == 0
+
+
+def test_alignment_query(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op11_alignment"](spark, sf_dir)
+    assert sorted(map(tuple, got.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()), key=repr) == aligned_by_hand(rows)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from threshmill.llm.alignment import op11_alignment
 from threshmill.llm.branch_merge import op12_branch_merge
 from threshmill.llm.bwt_dedup import op8_bwt_dedup
 from threshmill.llm.chat import op3_chat
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bwt_dedup": op8_bwt_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
     "op12_branch_merge": op12_branch_merge,
     "op13_vector_search": op13_vector_search,
 }

@@ -40,16 +40,20 @@ def _byte_letters() -> dict[int, str]:
 
 
 class BatchEncoder:
-    """One tokenizer file; ``encode`` takes texts as UTF-8 in one buffer with offsets."""
+    """One tokenizer file; ``encode`` takes texts as UTF-8 in one buffer with offsets.
 
-    def __init__(self, tokenizer_path: str):
+    Without ``specials`` the strings of special tokens in a text are plain text.
+    """
+
+    def __init__(self, tokenizer_path: str, specials: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.tokenizer.encode_special_tokens = not specials
         with open(tokenizer_path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        self.added = [t["content"].encode() for t in spec.get("added_tokens", [])]
+        self.added = [t["content"].encode() for t in spec.get("added_tokens", []) if specials or not t["special"]]
         self.cacheable = (
             spec["model"]["type"] == "BPE"
             and not spec["model"].get("dropout")
@@ -196,14 +200,14 @@ class BatchEncoder:
         return ids, counts
 
 
-_ENCODERS: dict[str, BatchEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], BatchEncoder] = {}
 
 
-def encoder(tokenizer_path: str) -> BatchEncoder:
+def encoder(tokenizer_path: str, specials: bool = True) -> BatchEncoder:
     """This worker's encoder for a file, kept from task to task."""
-    if tokenizer_path not in _ENCODERS:
-        _ENCODERS[tokenizer_path] = BatchEncoder(tokenizer_path)
-    return _ENCODERS[tokenizer_path]
+    if (tokenizer_path, specials) not in _ENCODERS:
+        _ENCODERS[tokenizer_path, specials] = BatchEncoder(tokenizer_path, specials)
+    return _ENCODERS[tokenizer_path, specials]
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
