@@ -5,8 +5,8 @@
 2. Query classes are dealt over R blocks and base classes over C groups, and each of the R x C cells is one task. A
    task holds a block of queries with a heap each, and the group's base vectors stream through it in batches.
 3. A batch meets the queries in int8 product tiles. With x = s X + r (X int8, r the residual), the product x y differs
-   from s t X Y by at most |s X| |r'| + |r| |y|. What cannot reach the query's k-th best so far is left out; the
-   products of the others are recomputed in double precision, always in the order of the coordinates, so that equal
+   from s t X Y by at most |s X| |r'| + |r| |y|. What cannot reach the query's k-th best so far, or while there are
+   fewer than k the k-th best of what the tile's products are at least, is left out; the products of the others are recomputed in double precision, always in the order of the coordinates, so that equal
    vectors have equal scores in every tile. Nothing is approximate but the bound, so recall is 1.
 4. Heaps of the groups are merged by query class, and the answer goes to all queries of the class.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,51 +51,56 @@ def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ids, packed, own = [], [], []
-            for i, v in zip(batch.column("vec_id").to_pylist(), batch.column("v").cast(pa.large_list(pa.float64())).to_pylist()):
-                if i is None or not v or any(c is None for c in v):
-                    continue
-                x = np.array(v, np.float64) + 0.0
-                if np.isfinite(x).all() and x.any():
-                    ids.append(i)
-                    packed.append(x.tobytes())
-                    own.append(x)
-            if ids:
-                selves = np.array([product(x[:, None], x[:, None])[0] for x in own])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary()), pa.array(selves)], ["vec_id", "vector", "own"])
+            lists = batch.column("v").cast(pa.large_list(pa.float64()))
+            width = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            x = pc.fill_null(lists.flatten(), float("nan")).to_numpy() + 0.0
+            first = np.cumsum(width) - width
+            known = ~np.asarray(batch.column("vec_id").is_null())
+            for w in np.unique(width[(width > 0) & known]).tolist():
+                at = np.flatnonzero((width == w) & known)
+                own = x[first[at][:, None] + np.arange(w)]
+                ok = np.isfinite(own).all(1) & own.any(1)
+                at, own = at[ok], own[ok]
+                if len(at):
+                    packed = pa.array([v.tobytes() for v in own], pa.binary())
+                    yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(at)), packed, pa.array(product(own.T, own.T))], ["vec_id", "vector", "own"])
 
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
     return rows.mapInArrow(shared.frugal(run), "vec_id long, vector binary, own double")
 
 
 class Tile:
-    """Rows of vectors with their quantised form: x = scale * code + residual."""
+    """Rows of vectors with their quantised form: x = top * (code / 127 + residual), where top is the largest coordinate."""
 
     def __init__(self, x: np.ndarray):
         self.x = np.ascontiguousarray(x.T)
-        top = np.abs(x).max(1)
-        scale = np.maximum(top / 127, np.finfo(np.float64).tiny)
-        code = np.rint(x / scale[:, None]).astype(np.int8)
-        self.scale, self.code = scale, code
-        with np.errstate(over="ignore", invalid="ignore"):
-            # Lengths of scaled vectors, so that no square overflows.
-            self.norm = top * np.sqrt(((x / top[:, None]) ** 2).sum(1))
-            self.rest = top * np.sqrt((((x - scale[:, None] * code) / top[:, None]) ** 2).sum(1))
-            self.near = scale * np.sqrt((code.astype(np.float64) ** 2).sum(1))
-
-
-def bounds(a: Tile, b: Tile, rows: slice) -> np.ndarray:
-    """The most that each product of a's rows with b's rows can be."""
-    tile = np.zeros((len(a.scale[rows]), len(b.scale)))
-    for at in range(0, a.code.shape[1], EXACT_TERMS):
-        tile += a.code[rows, at : at + EXACT_TERMS].astype(np.float32) @ b.code[:, at : at + EXACT_TERMS].astype(np.float32).T
-    with np.errstate(over="ignore", invalid="ignore"):
-        tile *= a.scale[rows, None]
-        tile *= b.scale
-        room = b.rest + SLACK * b.norm
-        tile += a.near[rows, None] * room
-        tile += a.rest[rows, None] * b.norm
-    return tile
+        self.top = np.abs(x).max(1)
+        flat = x / self.top[:, None]
+        code = np.rint(flat * 127)
+        self.code = code.astype(np.int8)
+        room = SLACK * (1 + x.shape[1] / EXACT_TERMS)
+        self.norm = np.sqrt((flat**2).sum(1))
+        self.rest = np.sqrt(((flat - code / 127) ** 2).sum(1)) + room * self.norm
+        self.near = np.sqrt((code**2).sum(1)) / 127
+
+
+def quantised(a: Tile, b: Tile, rows: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(products, room, unit): each product of a's rows with b's rows is unit * (product +- room), the unit being a row's.
+
+    The products of the codes are whole numbers and exact; all else is rounding, for which the room has a share.
+    """
+    codes_a, codes_b = a.code[rows].astype(np.float32), b.code.astype(np.float32)
+    tile = codes_a[:, :EXACT_TERMS] @ codes_b[:, :EXACT_TERMS].T
+    for at in range(EXACT_TERMS, codes_a.shape[1], EXACT_TERMS):
+        tile += codes_a[:, at : at + EXACT_TERMS] @ codes_b[:, at : at + EXACT_TERMS].T
+    most = b.top.max()
+    share = b.top / most
+    tile *= (share / 127**2).astype(np.float32)
+    room = np.outer(a.near[rows].astype(np.float32), (b.rest * share).astype(np.float32))
+    room += np.outer(a.rest[rows].astype(np.float32), (b.norm * share).astype(np.float32))
+    room += np.float32(1e-30)
+    with np.errstate(over="ignore"):
+        return tile, room, a.top[rows] * most
 
 
 class Heaps:
@@ -118,11 +124,19 @@ class Heaps:
 
 def search(queries: Tile, heaps: Heaps, base: Tile, ids: np.ndarray, edges: np.ndarray) -> int:
     """Brings a batch of base rows, whose identifiers are ids[edges[j]:edges[j + 1]], into the heaps; returns how many pairs were recomputed."""
-    done = 0
-    for start in range(0, len(queries.scale), TILE):
+    done, k = 0, heaps.id.shape[1]
+    for start in range(0, len(queries.top), TILE):
         rows = slice(start, start + TILE)
-        reach = ~(bounds(queries, base, rows) < heaps.score[rows, -1:])
-        i, j = np.nonzero(reach)
+        tile, room, unit = quantised(queries, base, rows)
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            least = heaps.score[rows, -1] / unit
+            least = np.where(np.isfinite(unit) & (unit > 0) & ~np.isnan(least), least, -np.inf)
+        if tile.shape[1] > k and not (least > -np.inf).all():
+            # A heap is not full: the k-th best of what the products are at least.
+            least = np.maximum(least, np.partition(tile - room, -k, axis=1)[:, -k])
+        tile += room
+        # Rounded down, so that nothing at the border is lost.
+        i, j = np.nonzero(tile >= (least - np.abs(least) * 1e-6).astype(np.float32)[:, None])
         for s in range(0, len(i), PAIRS):
             p, q = i[s : s + PAIRS] + start, j[s : s + PAIRS]
             score = product(queries.x[:, p], base.x[:, q])
@@ -189,7 +203,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, id_col: str
                 elif asking:
                     if own is None:
                         own = Tile(np.concatenate([v for _, v in asking]))
-                        heaps = Heaps(len(own.scale), k + 1)
+                        heaps = Heaps(len(own.top), k + 1)
                     lists = part.column("ids")
                     edges = lists.offsets.to_numpy().astype(np.int64)
                     search(own, heaps, Tile(x), lists.flatten().to_numpy(), edges - edges[0])
