@@ -1,89 +1,123 @@
-"""Similarity joins and searches over vectors, in blocks of matrix products."""
+"""Similarity joins and searches over vectors, exact and pruned by a partition tree, in products of tiles."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block; a task multiplies two blocks at a time.
-BLOCK_ROWS = 2048
+from threshmill.operators import vector_tree as tree
+
+#: Pairs whose similarity is recomputed at a time.
+PAIRS = 1 << 16
 
 
-def blocks(vectors: DataFrame, id_col: str, vector_col: str, n_rows: int | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Vectors dealt by hash over blocks of about ``BLOCK_ROWS``; packed as (block, ids, matrix, extras)."""
-    n = n_rows or vectors.count()
-    count = max(1, -(-n // BLOCK_ROWS))
-    listed = F.struct(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"), *extra)
-    return vectors.groupBy(F.pmod(F.xxhash64(id_col), F.lit(count)).cast("int").alias("block")).agg(F.sort_array(F.collect_list(listed)).alias("rows"))
+def _products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of rows i of a with rows j of b, added up by coordinate: equal vectors score equally in every tile."""
+    out = []
+    for s in range(0, len(i), PAIRS):
+        x, y = a[i[s : s + PAIRS]].T, b[j[s : s + PAIRS]].T
+        total = np.zeros(x.shape[1])
+        for p, q in zip(x, y):
+            total += p * q
+        out.append(total)
+    return np.concatenate(out) if out else np.zeros(0)
 
 
-def _matrix(rows) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.array([r["id"] for r in rows], dtype=object)
-    v = np.array([r["v"] for r in rows], np.float64)
-    n = np.linalg.norm(v, axis=1, keepdims=True)
-    return ids, v / np.where(n == 0, 1, n)
+def _ids(listed) -> np.ndarray:
+    out = np.empty(len(listed), object)
+    out[:] = listed
+    return out
 
 
 def pairs_above(vectors: DataFrame, id_col: str, vector_col: str, threshold: float, group_col: str | None = None) -> DataFrame:
     """Pairs (id_a < id_b, similarity) with a cosine of at least ``threshold``; with a group, of different groups only.
 
-    Every block meets every later one once, by an equi-join on block numbers, and a task holds two blocks. Only what
-    reaches the threshold leaves a task.
+    Vectors are put in tiles by a partition tree, and only tiles meet whose balls are near enough; a task holds two
+    tiles, and only what reaches the threshold leaves it. Rows without an identifier and vectors that are null, empty or not finite take no part.
     """
-    packed = blocks(vectors, id_col, vector_col, extra=(group_col,) if group_col else ())
-    numbers = packed.select(F.col("block").alias("other"))
-    last = numbers.agg(F.max("other")).first()[0]
-    meet = packed.select("block", F.col("rows").alias("rows_a"), F.explode(F.sequence(F.col("block"), F.lit(last if last is not None else 0))).alias("other"))
-    both = meet.join(packed.select(F.col("block").alias("other"), F.col("rows").alias("rows_b")), "other")
-    kind = dict(vectors.dtypes)[id_col]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for other, block, rows_a, rows_b in batch[["other", "block", "rows_a", "rows_b"]].itertuples(index=False):
-                (ids_a, a), (ids_b, b) = _matrix(rows_a), _matrix(rows_b)
-                sims = a @ b.T
-                keep = sims >= threshold
-                if other == block:
-                    keep &= np.triu(np.ones_like(keep), 1)
-                if group_col:
-                    keep &= np.array([r[group_col] for r in rows_a])[:, None] != np.array([r[group_col] for r in rows_b])
-                i, j = np.nonzero(keep)
-                x, y = ids_a[i], ids_b[j]
-                yield pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "similarity": sims[i, j]})
-
-    return both.mapInPandas(run, f"id_a {kind}, id_b {kind}, similarity double")
+    extra = (group_col,) if group_col else ()
+    rows = tree.usable(vectors, id_col, vector_col, *extra)
+    n = rows.count()
+    tiles = tree.tiled(rows, n, tree.upper_cuts(rows, n), extra)
+    meet = tree.meeting(tiles, tiles, threshold, ordered=True)
+    columns = ["ids", "vectors", *extra]
+    side = lambda s: tiles.rows.select(F.col("tile").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in columns))
+    both = meet.join(side("a"), "a").join(side("b"), "b")
+    kind, width = dict(vectors.dtypes)[id_col], tiles.width
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), np.frombuffer(row[f"vectors_{s}"]).reshape(-1, width)) for s in "ab")
+        keep = a @ b.T >= threshold - tree.SLACK
+        if key[0] == key[1]:
+            keep &= np.triu(np.ones_like(keep), 1)
+        if group_col:
+            keep &= _ids(row[f"{group_col}_a"])[:, None] != _ids(row[f"{group_col}_b"])
+        i, j = np.nonzero(keep)
+        found = _products(a, b, i, j)
+        sure = found >= threshold
+        x, y = ids_a[i[sure]], ids_b[j[sure]]
+        return pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "similarity": found[sure]})
+
+    return both.groupBy("a", "b").applyInPandas(run, f"id_a {kind}, id_b {kind}, similarity double")
 
 
 def top_k(queries: DataFrame, base: DataFrame, id_col: str, vector_col: str, k: int, exclude_self: bool = True) -> DataFrame:
     """The ``k`` nearest of ``base`` for each query: query_id, id, similarity, rank; ties go to the smaller id.
 
-    Each pair of blocks returns its own k best for each query, so a shuffle carries k rows a query and block.
+    Both sides are put in tiles by one partition tree. First each tile of queries meets its nearest tiles, which gives
+    each query a similarity that its k-th best reaches at least. Then it meets all tiles whose balls allow so much, and
+    only candidates that reach the query's own bound leave a task, ``k`` for each query and pair of tiles at most.
+    Rows that take no part are those of ``pairs_above``.
     """
-    left, right = blocks(queries, id_col, vector_col), blocks(base, id_col, vector_col)
-    last = right.agg(F.max("block")).first()[0]
-    meet = left.select(F.col("rows").alias("rows_a"), F.explode(F.sequence(F.lit(0), F.lit(last if last is not None else 0))).alias("other"))
-    both = meet.join(right.select(F.col("block").alias("other"), F.col("rows").alias("rows_b")), "other")
-    kind = dict(base.dtypes)[id_col]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for rows_a, rows_b in batch[["rows_a", "rows_b"]].itertuples(index=False):
-                (ids_a, a), (ids_b, b) = _matrix(rows_a), _matrix(rows_b)
-                sims = a @ b.T
-                if exclude_self:
-                    sims[ids_a[:, None] == ids_b] = -np.inf
-                # ids ascend in a block, so a stable sort gives ties to the smaller id
-                order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                best = np.take_along_axis(sims, order, 1)
-                rows = np.repeat(np.arange(len(ids_a)), order.shape[1])
-                out = pd.DataFrame({"query_id": ids_a[rows], "id": ids_b[order.ravel()], "similarity": best.ravel()})
-                yield out[np.isfinite(out["similarity"])]
-
-    found = both.mapInPandas(run, f"query_id {kind}, id {kind}, similarity double")
+    asked, rows = tree.usable(queries, id_col, vector_col), tree.usable(base, id_col, vector_col)
+    n = rows.count()
+    cuts = tree.upper_cuts(rows, n)
+    right = tree.tiled(rows, n, cuts)
+    left = right if queries is base else tree.tiled(asked, asked.count(), cuts)
+    kind, width = dict(base.dtypes)[id_col], right.width
+    side = lambda t, s: t.rows.select(F.col("tile").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("vectors").alias(f"vectors_{s}"))
+
+    def products(row) -> tuple:
+        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), np.frombuffer(row[f"vectors_{s}"]).reshape(-1, width)) for s in "ab")
+        sims = a @ b.T
+        if exclude_self:
+            sims[ids_a[:, None] == ids_b] = -np.inf
+        return ids_a, a, ids_b, b, sims
+
+    def bound(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        sims = np.concatenate([products(row)[-1] for _, row in pdf.iterrows()], axis=1)
+        floor = np.partition(sims, -k, axis=1)[:, -k] if sims.shape[1] >= k else np.full(len(sims), -2.0)
+        floor = np.maximum(floor, -2.0) - tree.SLACK
+        return pd.DataFrame({"tile": [key[0]], "floor": [floor.min()], "floors": [floor.tolist()]})
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        ids_a, a, ids_b, b, sims = products(row)
+        floors = np.asarray(row["floors"])[:, None] if row["floors"] is not None else -2.0
+        if sims.shape[1] > k:  # what is behind k others of the tile is not needed, but for ties
+            floors = np.maximum(floors, np.partition(sims, -k, axis=1)[:, -k :][:, :1] - tree.SLACK)
+        i, j = np.nonzero(sims >= np.maximum(floors, -2.0))
+        score = _products(a, b, i, j)
+        # ids ascend in a tile, so a stable sort gives ties to the smaller id
+        order = np.lexsort((j, -score, i))
+        i, j, score = i[order], j[order], score[order]
+        own = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return pd.DataFrame({"query_id": ids_a[i[own]], "id": ids_b[j[own]], "similarity": score[own]})
+
+    if n > tree.TILE_ROWS:
+        pairs = tree.seeds(left, right, k + 1)
+        known = pairs.join(side(left, "a"), "a").join(side(right, "b"), "b").groupBy("a").applyInPandas(bound, "tile long, floor double, floors array<double>").checkpoint()
+        leaves = left.rows.select("tile", "leaf").join(known, "tile", "left").groupBy("leaf").agg(F.min(F.coalesce("floor", F.lit(-2.0))).alias("floor")).collect()
+        meet = tree.meeting(left, right, {r.leaf: r.floor for r in leaves}, known.select("tile", "floor"))
+        asking = side(left, "a").join(known.select(F.col("tile").alias("a"), "floors"), "a", "left")
+    else:
+        meet = tree.meeting(left, right, -2.0)
+        asking = side(left, "a").withColumn("floors", F.lit(None).cast("array<double>"))
+    both = meet.join(asking, "a").join(side(right, "b"), "b")
+    found = both.groupBy("a", "b").applyInPandas(run, f"query_id {kind}, id {kind}, similarity double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
