@@ -53,14 +53,6 @@ def edges(spark, *rows):
     return spark.createDataFrame(list(rows), "a string, b string, similarity double, confidence double, eligible boolean")
 
 
-def test_complete_link_needs_every_pair(spark):
-    path = edges(spark, ("a", "b", 0.9, 0.95, True), ("b", "c", 0.89, 0.95, True))
-    parts = clusters.connected_components(path.select("a", "b"))
-    assert {(r.node, r.cluster) for r in clusters.complete_link(path, parts).collect()} == {("a", "a"), ("b", "a"), ("c", "c")}
-    triangle = path.unionByName(edges(spark, ("a", "c", 0.88, 0.9, True)))
-    assert {r.cluster for r in clusters.complete_link(triangle, parts).collect()} == {"a"}
-
-
 def test_single_link_and_greedy_differ_on_a_chain(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("z", 4)], "id string, rank int")
     chain = spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string")

@@ -82,30 +82,6 @@ def dedup_decisions(linked: DataFrame, known_hits: DataFrame, id_col: str) -> Da
     return out.withColumn("decision", F.when(F.coalesce("known", "rep_known", F.lit(False)), "known").when(~F.col("is_representative"), "in_group").otherwise("kept"))
 
 
-def complete_link(edges: DataFrame, components: DataFrame) -> DataFrame:
-    """Conservative agglomeration: edges (a, b, similarity, confidence, eligible) from best to worst; two clusters merge only
-    if all pairs across them are eligible. Returns (node, cluster), a cluster named by its smallest member.
-
-    Clusters never cross a component of the eligible edges, so components are worked on apart, each in the global order.
-    """
-    node = components.select(F.col("node").alias("a"), "component")
-    rows = edges.join(node, "a").select("component", "a", "b", "similarity", "confidence", "eligible")
-    kind = dict(edges.dtypes)["a"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["confidence", "similarity", "a", "b"], ascending=[False, False, True, True], kind="stable")
-        good = {frozenset(x) for x in pdf.loc[pdf["eligible"], ["a", "b"]].itertuples(index=False)}
-        cluster = {n: frozenset([n]) for n in [*pdf["a"], *pdf["b"]]}
-        for a, b in pdf.loc[pdf["eligible"], ["a", "b"]].itertuples(index=False):
-            x, y = cluster[a], cluster[b]
-            if x != y and all(frozenset((i, j)) in good for i in x for j in y):
-                for n in x | y:
-                    cluster[n] = x | y
-        return pd.DataFrame([(n, min(c), len(c)) for n, c in cluster.items()], columns=["node", "cluster", "size"])
-
-    return rows.groupBy("component").applyInPandas(run, f"node {kind}, cluster {kind}, size long")
-
-
 def greedy_keep(rows: DataFrame, edges: DataFrame, id_col: str, order_col: str, rounds: int = 12) -> DataFrame:
     """Rows that stay if, in order, a row goes when it is linked with one that stays: (id, kept).
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threshmill.functions import vectors as V
-from threshmill.operators import clusters, similarity
+from threshmill.operators import clusters, complete_link, similarity
 from threshmill.plans.base import query, read
 
 LOW = 0.35
@@ -134,9 +134,26 @@ def labelled_edges(spark, sf):
 @query()
 def complete_link_clusters(spark, sf):
     """Clusters in which every pair is an eligible edge, from the best edge down."""
-    edges = labelled_edges(spark, sf)
-    parts = clusters.connected_components(edges.filter("eligible").select("a", "b"))
-    return clusters.complete_link(edges, parts)
+    return complete_link.complete_link(labelled_edges(spark, sf))
+
+
+@query()
+def canonical_questions(spark, sf):
+    """Clusters of two or more vectors with what is least similar inside, and the most frequent label of their pairs as canonical question."""
+    e = read(spark, sf, "embeddings")
+    asked = F.concat(F.lit("label "), F.greatest(*(F.col(c) for c in ("la", "lb"))))
+    labels = lambda s: e.select(F.col("vec_id").alias(s), F.col("label").alias(f"l{s}"))
+    edges = labelled_edges(spark, sf).join(labels("a"), "a").join(labels("b"), "b")
+    edges = edges.withColumn("canonical_question", F.when(F.col("la") == F.col("lb"), asked))
+    found = complete_link.complete_link(edges)
+    return complete_link.cluster_summary(edges, found, e.select(F.col("vec_id").alias("node"), F.concat(F.lit("label "), "label").alias("question")))
+
+
+@query()
+def blocked_merges(spark, sf):
+    """Clusters that an eligible edge joins and other pairs keep apart, with the reasons."""
+    edges = labelled_edges(spark, sf).withColumn("same_intent", (F.col("a") + F.col("b")) % 7 != 0).withColumn("eligible", F.expr("same_intent and confidence >= 0.9 and similarity >= 0.32"))
+    return complete_link.blocked_merges(edges, complete_link.complete_link(edges), 0.32, 0.9)
 
 
 @query()
