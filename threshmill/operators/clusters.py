@@ -23,8 +23,12 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def number_by_range(rows: DataFrame, *order: str, name: str = "row_no") -> DataFrame:
-    """Adds 1, 2, 3 ... in the given order: rows are dealt by range and each range counted, so no task has all rows."""
-    dealt = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    """Adds 1, 2, 3 ... in the given order: rows are dealt by range and each range counted, so no task has all rows.
+
+    The ranges come from a sample, so they are written (a reliable checkpoint) before they are counted and numbered.
+    """
+    set_checkpoint_dir(rows.sparkSession)
+    dealt = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).checkpoint()
     sizes = dealt.groupBy("_p").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = dealt.join(F.broadcast(sizes.select("_p", before.alias("_b"))), "_p")  # a row for each range

@@ -6,36 +6,81 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threshmill.functions import text as T
+from threshmill.operators.clusters import set_checkpoint_dir
 
 OVERLAP = 30
+#: Links between two that are compared first when a change is looked for.
+LINKS = 4096
 
 
-def source_states(messages: DataFrame) -> DataFrame:
-    """Of each source: its ordered message hashes and the hash of the whole. Needs source, idx, message_sha256."""
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("idx", "message_sha256"))), lambda x: x["message_sha256"])
-    out = messages.groupBy("source").agg(listed.alias("hashes"))
-    return out.withColumn("content_sha256", F.sha2(F.array_join("hashes", "\n"), 256))
+def chained(messages: DataFrame) -> DataFrame:
+    """Messages with their place in the source and the chained hash up to there. Needs source, idx, message_sha256.
+
+    A link is the exclusive or of 64-bit hashes of (place, message) up to a message, twice with different seeds, so two
+    sources have one link at a place if and only if they are equal up to there. Rows are dealt by ranges of source and
+    idx and links are made range by range, so a source of any length is spread over tasks; no array holds one. The links
+    are written once (a reliable checkpoint), for whoever compares them reads them more than once.
+    """
+    set_checkpoint_dir(messages.sparkSession)
+    dealt = messages.repartitionByRange("source", "idx", "message_sha256").withColumn("_p", F.spark_partition_id()).checkpoint()
+    before = Window.partitionBy("source").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_p", "source").orderBy("idx", "message_sha256")
+    sizes = dealt.groupBy("_p", "source").agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_p", "source", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_b"))
+    placed = dealt.join(sizes, ["_p", "source"]).withColumn("place", (F.col("_b") + F.row_number().over(inside) - 1).cast("int")).drop("_b")
+    hashed = placed.withColumns({f"_h{seed}": F.xxhash64("place", "message_sha256", F.lit(seed)) for seed in (1, 2)})
+    sums = hashed.groupBy("_p", "source").agg(*(F.bit_xor(f"_h{s}").alias(f"_x{s}") for s in (1, 2)))
+    sums = sums.select("_p", "source", *(F.coalesce(F.bit_xor(f"_x{s}").over(before), F.lit(0).cast("long")).alias(f"_x{s}") for s in (1, 2)))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    link = [F.hex(F.bit_xor(f"_h{s}").over(so_far).bitwiseXOR(F.col(f"_x{s}"))) for s in (1, 2)]
+    return hashed.join(sums, ["_p", "source"]).withColumn("chain", F.concat_ws(":", *link)).select(*messages.columns, "place", "chain").checkpoint()
+
+
+def source_heads(links: DataFrame) -> DataFrame:
+    """Of each source of ``chained`` messages: how many there are, and the hash of the whole."""
+    out = links.groupBy("source").agg(F.count("*").alias("n"), F.max_by("chain", "place").alias("head"))
+    return out.select("source", "n", F.sha2(F.concat_ws(":", "n", "head"), 256).alias("content_sha256"))
+
+
+def first_changes(old: DataFrame, new: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source, first_changed): the place after the last equal link of the named sources.
+
+    Links are compared at the ends of blocks first, and then within the one block where they part.
+    """
+    near = lambda df: df.join(sources.select("source"), "source", "left_semi").select("source", "place", "chain")
+    o, n = near(old), near(new)
+    end = F.col("place") % LINKS == LINKS - 1
+    keys = ["source", "place", "chain"]
+    equal = o.filter(end).join(n.filter(end), keys).groupBy("source").agg(F.max("place").alias("last"))
+    known = sources.select("source").distinct().join(equal, "source", "left").select("source", F.coalesce("last", F.lit(-1)).alias("last"))
+    block = F.floor(F.col("place") / LINKS) == F.floor((F.col("last") + 1) / LINKS)
+    inside = o.join(known, "source").filter(block).join(n, keys).groupBy("source").agg(F.max("place").alias("later"))
+    return known.join(inside, "source", "left").select("source", (F.coalesce("later", "last") + 1).cast("int").alias("first_changed"))
 
 
 def classify(old: DataFrame, new: DataFrame) -> DataFrame:
-    """unchanged, moved, appended, modified or new for each source of ``new``; both as of ``source_states``.
+    """unchanged, moved, appended, modified or new for each source of ``new``; both are messages as of ``chained``.
 
-    Adds old_count and first_changed, the first position at which the hashes differ.
+    Adds old_count, new_count and first_changed, the first place at which the messages differ. Sources that are equal as
+    wholes are known by their heads; only links of the others meet.
     """
-    o = old.select("source", F.col("hashes").alias("old_hashes"), F.col("content_sha256").alias("old_sha"))
-    elsewhere = old.groupBy(F.col("content_sha256")).agg(F.min("source").alias("moved_from"))
-    both = new.join(o, "source", "left").join(elsewhere, "content_sha256", "left")
-    n_old = F.coalesce(F.size("old_hashes"), F.lit(0))
-    prefix = F.slice("hashes", 1, F.greatest(n_old, F.lit(0))) == F.col("old_hashes")
-    differs = F.filter(F.sequence(F.lit(0), F.greatest(n_old, F.size("hashes"))), lambda i: ~F.get("hashes", i).eqNullSafe(F.get("old_hashes", i)))
+    was, now = source_heads(old), source_heads(new)
+    o = was.select("source", F.col("n").cast("int").alias("old_count"), F.col("content_sha256").alias("old_sha"))
+    elsewhere = was.groupBy("content_sha256").agg(F.min("source").alias("moved_from"))
+    both = now.join(o, "source", "left").join(elsewhere, "content_sha256", "left")
+    differing = both.filter("old_sha <> content_sha256").select("source")
+    both = both.join(first_changes(old, new, differing), "source", "left")
+    n_old = F.coalesce("old_count", F.lit(0))
     change = (
         F.when(F.col("old_sha") == F.col("content_sha256"), "unchanged")
         .when(F.col("old_sha").isNull() & F.col("moved_from").isNotNull(), "moved")
-        .when(F.col("old_sha").isNotNull() & prefix, "appended")
+        .when(F.col("old_sha").isNotNull() & (F.col("first_changed") == n_old), "appended")
         .when(F.col("old_sha").isNotNull(), "modified")
         .otherwise("new")
     )
-    return both.select("source", "moved_from", change.alias("change"), n_old.alias("old_count"), F.size("hashes").alias("new_count"), F.get(differs, 0).alias("first_changed")).withColumn("moved_from", F.when(F.col("change") == "moved", F.col("moved_from")))
+    first = F.when(F.col("old_sha").isNull(), 0).otherwise(F.col("first_changed"))
+    out = both.select("source", "moved_from", change.alias("change"), n_old.alias("old_count"), F.col("n").cast("int").alias("new_count"), first.alias("first_changed"))
+    return out.withColumn("moved_from", F.when(F.col("change") == "moved", F.col("moved_from")))
 
 
 def affected_start(changes: DataFrame, issues: DataFrame, overlap: int = OVERLAP) -> DataFrame:
@@ -84,9 +129,9 @@ def revalidations(before: DataFrame, after: DataFrame, revisions: DataFrame, rea
 
 
 def watermarks(messages: DataFrame, gone: DataFrame) -> DataFrame:
-    """Of each source: the hash of its messages, how many there are, the time of the last, and whether it is still there."""
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("idx", "message_sha256"))), lambda x: x["message_sha256"])
-    rows = messages.groupBy("source").agg(F.sha2(F.array_join(listed, "\n"), 256).alias("content_sha256"), F.count("*").alias("message_watermark"), F.max_by("timestamp", "idx").alias("last_message_time"))
+    """Of each source of ``chained`` messages: the hash of the whole, how many there are, the time of the last, and whether it is still there."""
+    times = messages.groupBy("source").agg(F.max_by("timestamp", "place").alias("last_message_time"))
+    rows = source_heads(messages).join(times, "source").select("source", "content_sha256", F.col("n").alias("message_watermark"), "last_message_time")
     out = rows.join(gone.select("source", F.lit("deleted").alias("status")), "source", "left")
     return out.withColumn("status", F.coalesce("status", F.lit("active")))
 

@@ -198,7 +198,7 @@ def versions(spark, sf):
     old = m.withColumn("last", last).filter((kind != 6) & ~((kind == 1) & (F.col("idx") == F.col("last")))).drop("last")
     new = m.filter(kind != 5).withColumn("source", F.when(kind == 3, F.concat("source", F.lit("-moved"))).otherwise(F.col("source")))
     new = new.withColumn("message_sha256", F.when((kind == 2) & (F.col("idx") == 1), F.lit("changed")).otherwise(F.col("message_sha256")))
-    return incremental.source_states(old), incremental.source_states(new)
+    return incremental.chained(old), incremental.chained(new)
 
 
 _VERSIONS_SQL = """
@@ -219,7 +219,7 @@ def change_classification(spark, sf):
 def change_counts(spark, sf):
     old, new = versions(spark, sf)
     changes = incremental.classify(old, new)
-    gone = incremental.deleted(old, new, changes).select(F.lit("deleted").alias("change"))
+    gone = incremental.deleted(incremental.source_heads(old), new, changes).select(F.lit("deleted").alias("change"))
     return changes.select("change").unionByName(gone).groupBy("change").agg(F.count("*").alias("files"))
 
 
@@ -230,7 +230,7 @@ def affected_suffix(spark, sf):
     """Where recomputing starts, with an overlap of 2 and issues of two messages."""
     old, new = versions(spark, sf)
     a = F.explode(F.array(F.lit(0), F.lit(2), F.lit(4)))
-    issues = old.select("source", F.size("hashes").alias("k"), a.alias("start_index")).filter("start_index < k").select("source", "start_index", F.least(F.col("start_index") + 1, F.col("k") - 1).alias("end_index"), F.lit("active").alias("status"))
+    issues = incremental.source_heads(old).select("source", F.col("n").alias("k"), a.alias("start_index")).filter("start_index < k").select("source", "start_index", F.least(F.col("start_index") + 1, F.col("k") - 1).alias("end_index"), F.lit("active").alias("status"))
     return incremental.affected_start(incremental.classify(old, new), issues, overlap=2).select("source", "change", "affected_start")
 
 

@@ -7,7 +7,7 @@ import json
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threshmill.functions import patterns as P
@@ -18,7 +18,7 @@ from threshmill.operators.registry import active, decide, review_rows
 
 TABLES = {
     "sources": "source string, content_sha256 string, message_watermark long, last_message_time string, status string",
-    "messages": "source string, idx int, line_number int, timestamp string, speaker string, content string, message_sha256 string",
+    "messages": "source string, idx int, line_number int, timestamp string, speaker string, content string, message_sha256 string, chain string",
     "issues": "issue_id string, source string, start_index int, end_index int, question string, answer string, status string",
     "reviews": "review_id string, issue_id string, relation string, target_kb_id string, proposed_question string, proposed_answer string, confidence double, status string",
     "revisions": "kb_id string, revision int, status string, question string, answer string, supersedes string",
@@ -145,11 +145,12 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = Non
         named = registry.spark.createDataFrame(list(source_ids.items()), "path string, named string")
         files = files.join(F.broadcast(named), "path", "left").withColumn("path", F.coalesce("named", "path")).drop("named")
     parsed = messages.parse_messages(files)
-    place = F.row_number().over(Window.partitionBy("source").orderBy("line_number")) - 1
-    new = parsed.withColumn("idx", place)
+    # The place in a source is the index; links are kept with the messages, so the next step compares them as they are.
+    new = incremental.chained(parsed.withColumn("idx", F.col("line_number"))).withColumn("idx", F.col("place"))
     old, issues, reviews, revisions, evidence = (there[n] for n in ("messages", "issues", "reviews", "revisions", "evidence"))
-    was, now = incremental.source_states(old), incremental.source_states(new)
-    changes = incremental.affected_start(incremental.classify(was, now), issues, overlap).cache()
+    old = old.withColumn("place", F.col("idx"))
+    was, now = incremental.source_heads(old), incremental.source_heads(new)
+    changes = incremental.affected_start(incremental.classify(old, new), issues, overlap).checkpoint()
     gone = incremental.deleted(was, now, changes) if authoritative else was.select("source").filter("false")
     moved = changes.filter("change = 'moved'").select(F.col("moved_from").alias("source"), F.col("source").alias("to"))
     issues = issues.join(moved, "source", "left").withColumn("source", F.coalesce("to", "source")).drop("to")
@@ -158,9 +159,9 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = Non
     touched = new.join(starts, "source").filter("idx >= from").withColumn("is_question", P.is_question(F.col("content"), "compact"))
     found = segments.fixed_blocks(touched, "source", "idx").drop("block")
     shift = found.join(starts, "source").withColumn("start_index", (F.col("start_index") + F.col("from")).cast("int")).withColumn("end_index", (F.col("end_index") + F.col("from")).cast("int")).drop("from")
-    fresh = shift.withColumn("status", F.lit("active"))
-    all_issues = incremental.upsert(kept, fresh.select(*kept.columns), "issue_id")
-    analyzed = (analyzer or DeterministicAnalyzer()).analyze(fresh, entries).cache()
+    fresh = shift.withColumn("status", F.lit("active")).checkpoint()
+    all_issues = incremental.upsert(kept, fresh.select(*kept.columns), "issue_id").checkpoint()
+    analyzed = (analyzer or DeterministicAnalyzer()).analyze(fresh, entries).checkpoint()
     links = incremental.invalidated_links(evidence, all_issues)
     pending = review_rows(analyzed).unionByName(incremental.revalidations(evidence, links, revisions))
     all_reviews = incremental.insert_ignore(incremental.obsolete_reviews(reviews, all_issues), pending, "review_id")
@@ -170,9 +171,7 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = Non
         counts["files_deleted"] = n
     if not dry_run:
         absent = old.select("source").distinct().join(now.select("source"), "source", "left_anti") if not authoritative else old.select("source").filter("false")
-        still = old.join(absent, "source", "left_semi").join(moved.select("source"), "source", "left_anti")
-        all_messages = new.select(*old.columns).unionByName(still)
-        registry.commit(at, messages=all_messages, issues=all_issues, reviews=all_reviews, evidence=links, sources=incremental.watermarks(all_messages, gone))
-    changes.unpersist()
-    analyzed.unpersist()
+        still = old.drop("place").join(absent, "source", "left_semi").join(moved.select("source"), "source", "left_anti")
+        all_messages = new.select(*still.columns).unionByName(still)
+        registry.commit(at, messages=all_messages, issues=all_issues, reviews=all_reviews, evidence=links, sources=incremental.watermarks(all_messages.withColumn("place", F.col("idx")), gone))
     return counts

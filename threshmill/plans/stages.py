@@ -228,7 +228,7 @@ def source_watermarks(spark, sf):
 
     m = read(spark, sf, "conversations").select(c("conv_id").alias("source"), c("turn").alias("idx"), c("turn").cast("string").alias("timestamp"), T.sha256("text").alias("message_sha256"))
     gone = m.filter("source % 5 = 0").select("source").distinct()
-    return incremental.watermarks(m, gone).select("source", "message_watermark", "last_message_time", "status")
+    return incremental.watermarks(incremental.chained(m), gone).select("source", "message_watermark", "last_message_time", "status")
 
 
 @query("""SELECT item_id, list_filter([CASE WHEN item_id % 4 = 0 THEN 'not_active' END, CASE WHEN length(trim(text)) = 0 OR item_id % 5 = 0 THEN 'empty' END, CASE WHEN item_id % 5 <> 0 AND item_id % 3 = 0 THEN 'answer_too_short' WHEN item_id % 5 = 0 THEN 'answer_too_short' END], lambda x: x IS NOT NULL) AS reasons FROM benchmark WHERE item_id % 4 = 0 OR item_id % 5 = 0 OR item_id % 3 = 0""")
