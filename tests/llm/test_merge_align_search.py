@@ -222,3 +222,48 @@ def test_alignment_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op11_alignment"](spark, sf_dir)
     assert sorted(map(tuple, got.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()), key=repr) == aligned_by_hand(rows)
+
+
+# --- 4: one kind of anchors for all lengths
+
+
+def test_fingerprints_change_little_with_a_word(spark):
+    from threshmill.llm import syncmers
+
+    rng = np.random.default_rng(44)
+    rows = []
+    for n in [*range(2, 61), 100, 300]:
+        words = ["".join(rng.choice(list("abcdefghijklmnop"), 3)) for _ in range(n)]
+        other = ["".join(rng.choice(list("qrstuvwxyz"), 3)) for _ in range(n)]
+        rows.append((n, " ".join(words), " ".join(words[:-1]), " ".join(words[: n // 2] + other[n // 2 :]), " ".join(other)))
+    df = spark.createDataFrame(rows, "n int, whole string, less string, half string, other string")
+    sketched = df.select("n", *(syncmers.sketch(F.col(c)).alias(c) for c in ("whole", "less", "half", "other")))
+    alike = lambda c: syncmers.likeness(F.col("whole"), F.col(c)).alias(c)
+    for r in sketched.select("n", alike("less"), alike("half"), alike("other")).collect():
+        assert r.less >= 0.5 and r.other == 0.0, r
+        assert r.half < r.less or r.n < 4
+        if r.n >= 60:
+            assert 0.15 < r.half < 0.55 and r.less > 0.8, r
+
+
+def test_fingerprints_by_hand(spark):
+    """Sketch and likeness of texts around the borders of k-mers against sets of hashes."""
+    from threshmill.llm import syncmers
+
+    rng = np.random.default_rng(45)
+    texts = [" ".join("".join(rng.choice(list("abcdef"), 3)) for _ in range(n)) for n in (0, 1, 2, 8, 9, 10, 32, 33, 34, 90)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", syncmers.anchors(F.col("t")).alias("a"), syncmers.sketch(F.col("t")).alias("s")).collect()
+    assert [len(r.a) > 0 for r in rows][:4] == [False] * 4
+    sketches = {}
+    for r in rows:
+        own = r.t.split()
+        hashed = spark.createDataFrame([(w,) for w in own] or [("",)], "w string").select(F.hash("w").alias("h"), F.xxhash64("w", F.lit(3)).alias("x")).collect() if own else []
+        sample = {h.h for h in hashed if (h.x / 2**64 + 0.5) * len(own) < syncmers.SHORT}
+        sketches[r.t] = sorted({a["hash"] for a in r.a} | sample)[: syncmers.SKETCH]
+        assert r.s == sketches[r.t]
+    pairs = [(a, b) for a in texts for b in texts]
+    sketched = spark.createDataFrame(pairs, "a string, b string").select("a", "b", syncmers.sketch(F.col("a")).alias("x"), syncmers.sketch(F.col("b")).alias("y"))
+    for a, b, value in sketched.select("a", "b", syncmers.likeness(F.col("x"), F.col("y"))).collect():
+        both = sorted({*sketches[a], *sketches[b]})[: syncmers.SKETCH]
+        wanted = sum(h in sketches[a] and h in sketches[b] for h in both) / len(both) if both else 1.0
+        assert abs(value - wanted) < 1e-12

@@ -3,9 +3,11 @@
 A text's tokens are pieces of up to ``PIECE`` characters of its words. An inner mer is a pair of neighbouring tokens; a
 k-mer has ``WINDOW`` inner mers, that is WINDOW + 1 tokens. A k-mer is a closed syncmer if the inner mer with the
 smallest hash stands at its first or last place: that depends on nothing outside it, so a stretch of text gives the
-same anchors wherever it stands, and anchors carry positions for matching. A text of at most ``SHORT`` tokens
-has too few of them, so each of its inner mers is an anchor, and each token if there are no more than ``WINDOW``. The fingerprint holds the ``SKETCH`` smallest distinct anchor hashes of the whole text in
-hex, and two fingerprints' likeness is the estimate of the Jaccard similarity of their texts' anchor sets.
+same anchors wherever it stands, and anchors carry positions for matching. Short texts have few of them or none, so single
+tokens stand beside them, those whose hash falls among the first ``SHORT / n`` of all hashes for a text of n tokens:
+every token of a short text and some ``SHORT`` of a longer one, wherever they stand. That is one rule for all lengths,
+and texts of nearly one length sample nearly the same tokens. The fingerprint holds the ``SKETCH`` smallest distinct
+hashes of the whole text in hex, and two fingerprints' likeness is the estimate of the Jaccard similarity of those sets.
 
 Defined results: a null or empty text has an empty fingerprint, and two empty ones are alike (1.0); of rows with
 one identifier, the order is that of their text's hash; a null identifier comes first; the only row is its own next.
@@ -22,6 +24,7 @@ from threshmill.llm import shared
 
 PIECE = 4
 WINDOW = 8
+#: Tokens that a fingerprint samples beside its anchors.
 SHORT = 4 * WINDOW
 SKETCH = 64
 #: Runs of the next-document step for each shuffle partition, and sampled identifiers for each run.
@@ -57,21 +60,24 @@ def _anchors(t: Column, position: bool) -> Column:
         eights = lambda of: F.transform(of, lambda x, i: pair_min(x, of, i, 4))
         return _let(twos(inner), lambda two: _let(fours(two), lambda four: _let(eights(four), chosen)))
 
-    def each(of: Column) -> Column:
-        return F.transform(of, lambda x, i: F.struct(i.cast("int").alias("position"), F.hash(x).alias("hash")) if position else F.hash(x))
-
     inner = F.slice(F.transform(t, lambda x, i: F.xxhash64(x, F.get(t, i + 1))), F.lit(1), F.greatest(F.size(t) - 1, F.lit(0)))
-    return F.when(F.size(t) <= WINDOW, each(t)).when(F.size(t) <= SHORT, each(inner)).otherwise(_let(inner, found))
+    return _let(inner, found)
 
 
 def anchors(text: Column) -> Column:
-    """array<struct<position, hash>>: the closed syncmers of a text by their first token's index."""
+    """array<struct<position, hash>>: the closed syncmers of a text by their first token's index; a text without a whole k-mer has none."""
     return _let(tokens(text), lambda t: _anchors(t, True))
 
 
+def sampled_tokens(t: Column) -> Column:
+    """Hashes of the tokens that fall among the first ``SHORT / n`` of all hashes, n being the tokens' number."""
+    share = lambda x: F.xxhash64(x, F.lit(3)).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    return F.transform(F.filter(t, lambda x: share(x) * F.size(t) < SHORT), lambda x: F.hash(x))
+
+
 def sketch(text: Column) -> Column:
-    """The smallest distinct anchor hashes, ascending."""
-    hashes = _let(tokens(text), lambda t: _anchors(t, False))
+    """The smallest distinct hashes of closed syncmers and sampled tokens, ascending."""
+    hashes = _let(tokens(text), lambda t: F.concat(_anchors(t, False), sampled_tokens(t)))
     return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
 
 
