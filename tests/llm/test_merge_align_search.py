@@ -267,3 +267,26 @@ def test_fingerprints_by_hand(spark):
         both = sorted({*sketches[a], *sketches[b]})[: syncmers.SKETCH]
         wanted = sum(h in sketches[a] and h in sketches[b] for h in both) / len(both) if both else 1.0
         assert abs(value - wanted) < 1e-12
+
+
+# --- 3: templates that depend on what came before
+
+
+def test_templates_that_count_turns(spark):
+    from threshmill.llm import chat
+
+    numbered = lambda turns: "".join(f"[{i}] {r}: {t}\n" for i, (r, t) in enumerate(turns))
+    late = lambda turns: ("long\n" if len(turns) > 600 else "short\n") + numbered(turns)
+
+    def two_back(turns):
+        return "".join(f"{r}({turns[i - 2][0] if i > 1 else '-'}): {t}\n" for i, (r, t) in enumerate(turns))
+
+    two_back.lookback = 2
+    turns = [("assistant" if i % 3 else "user", f"t{i}") for i in range(1000)]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)] + [(2, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    for template in (numbered, two_back):
+        rows = chat.format_conversations(df, template).filter("conv_id = 1").orderBy("block").collect()
+        assert "".join(r.formatted for r in rows) == template(turns) and not any(r.rewrites for r in rows) and len(rows) == 4
+        masked = [r.formatted[s.start : s.start + s.length] for r in rows for s in r.loss_spans]
+        assert masked == [t for r, t in turns if r == "assistant"]
+    assert [r.rewrites for r in chat.format_conversations(df, late).filter("conv_id = 1").orderBy("block").collect()] == [False, False, True, False]

@@ -5,12 +5,13 @@ if each output begins with the one before, what it adds is the span of the new t
 history, and the conversation is marked so and has no spans. Rendering a turn once more with a probe in place of
 its text shows where in the span the text stands, so the loss mask covers the assistants' texts and nothing else.
 
-A conversation of more than ``block_turns`` turns is rendered in blocks of that many, each continuing after the last
-``OVERLAP`` turns of the block before: a template that rewrites any of these is seen across the border too. A template
-that first touches a turn more than ``OVERLAP`` turns and a block later is beyond what blocks can show; ``block_turns``
-may be as large as the longest conversation to rule that out. A block is one row of output, so neither rows nor work grow
-with the square of a conversation.
-Rows are dealt by conversation and read in the order of their turns, one block in memory at a time.
+A conversation of more than ``block_turns`` turns is put out in blocks of that many. A template may say in its
+attribute ``lookback`` on how many turns before it the rendering of a turn can depend; then a block is rendered after
+that many turns (``OVERLAP`` at least, so that a rewrite near the border is seen too), and neither memory nor work grow
+with the square of a conversation. A template that says nothing may depend on all: each block is rendered after the
+whole conversation so far, so that its output is the template's own at any length, at the price of holding the
+conversation and rendering each of its prefixes.
+Rows are dealt by conversation and read in the order of their turns.
 
 Defined results: a null text or role is empty; rows with a null conversation form one; ties in a conversation's turns
 are ordered by role and text, and every row counts as a turn; other columns are ignored; of an empty table no rows come.
@@ -51,6 +52,9 @@ def turn_template(turns: Turns) -> str:
     return "".join(f"### {escape(role).replace(':', chr(92) + ':')}: {escape(text)}</turn>\n" for role, text in turns)
 
 
+turn_template.lookback = 0  # a turn is rendered the same wherever it stands
+
+
 def parse_turns(formatted: str) -> Turns:
     """The turns of a formatted text; raises if it is not the template's output."""
     turns, at = [], 0
@@ -99,6 +103,8 @@ _FORMATTED = pa.schema([("conv_id", pa.int64()), ("block", pa.int32()), ("format
 def format_conversations(turns: DataFrame, template: Callable[[Turns], str] = turn_template, loss_role: str = "assistant", block_turns: int = BLOCK_TURNS) -> DataFrame:
     """One row for each block of a conversation: the formatted text, the turns' spans and the loss mask."""
     spark = turns.sparkSession
+    lookback = getattr(template, "lookback", None)
+    keep = None if lookback is None else max(OVERLAP, lookback)
     shared.small_batches(spark)
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), shared.text_or_empty("role").alias("role"), shared.text_or_empty("text").alias("text"))
     rows = rows.repartition(shared.parallelism(spark), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
@@ -115,7 +121,8 @@ def format_conversations(turns: DataFrame, template: Callable[[Turns], str] = tu
                 if own and (c != conv or len(own) == block_turns):
                     out.append(row(conv, block, own, history))
                     size += len(out[-1][2])
-                    block, own, history = (0, [], []) if c != conv else (block + 1, [], own[-OVERLAP:])
+                    past = [*history, *own]
+                    block, own, history = (0, [], []) if c != conv else (block + 1, [], past if keep is None else past[-keep:])
                 conv = c
                 own.append((r, t))
                 if size > 4 << 20:
