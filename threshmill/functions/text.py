@@ -127,12 +127,20 @@ def clamp01(c: Column | str, default: float = 0.5) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(_col(c).try_cast("double"), F.lit(default))))
 
 
+def once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def shingles(c: Column | str, size: int = 2, stride: int = 1) -> Column:
-    """Distinct character n-grams at every ``stride``; a shorter text is its own only one."""
-    text = F.coalesce(_col(c), F.lit(""))
-    n = F.length(text)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1)), F.lit(stride)), lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+    """Distinct character n-grams at every ``stride``; a shorter text is its own only one.
+
+    The text is cut into characters once, for a place in UTF-8 is found by counting from the beginning.
+    """
+    characters = F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit("(?s)."), F.lit(0))
+    gram = lambda of, i: F.array_join(F.slice(of, i, size), "")
+    grams = once(characters, lambda of: F.transform(F.sequence(F.lit(1), F.greatest(F.size(of) - size + 1, F.lit(1)), F.lit(stride)), lambda i: gram(of, i)))
+    return F.array_distinct(F.filter(grams, lambda g: g != ""))
 
 
 def content_bigrams(c: Column | str, stop: str) -> Column:
@@ -143,13 +151,13 @@ def content_bigrams(c: Column | str, stop: str) -> Column:
 
 def grounded_ratio(content: Column | str, source: Column | str, size: int = 2) -> Column:
     """Share of the content's shingles that the source has."""
-    own = shingles(content, size)
-    return F.when(F.size(own) == 0, 0.0).otherwise(F.size(F.array_intersect(own, shingles(source, size))) / F.size(own))
+    shared = lambda own: F.size(F.array_intersect(own, shingles(source, size))) / F.size(own)
+    return once(shingles(content, size), lambda own: F.when(F.size(own) == 0, 0.0).otherwise(shared(own)))
 
 
 def coverage(source: Column | str, target: Column | str, size: int = 25, stride: int = 5) -> Column:
-    own = shingles(source, size, stride)
-    return F.when(F.size(own) == 0, 0.0).otherwise(F.size(F.array_intersect(own, shingles(target, size))) / F.size(own))
+    shared = lambda own: F.size(F.array_intersect(own, shingles(target, size))) / F.size(own)
+    return once(shingles(source, size, stride), lambda own: F.when(F.size(own) == 0, 0.0).otherwise(shared(own)))
 
 
 def grounded_phrase(phrase: Column | str, source: Column | str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threshmill.functions import patterns as P
 from threshmill.functions import text as T
 from threshmill.operators import clusters, segments
+from threshmill.operators.containment import contained
 from threshmill.plans.base import numbered, query, read
 
 WORD = r"[^ \t\n\x0B\f\r]+"
@@ -96,20 +97,9 @@ def pre_flag_counts(spark, sf):
 SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)
 """)
 def benchmark_containment(spark, sf):
-    """Verbatim containment: an item's words at its first places and its text's hash find it by equi-join, then the text decides.
-
-    An item of a document starts at one of the document's words, so the document's five-word shingles meet the
-    items' first five; only equal ones are compared whole. Items shorter than that or starting inside a word are
-    compared by their own first words in the same way.
-    """
-    words = lambda c: F.filter(F.split(c, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
-    first = lambda w: F.array_join(F.slice(w, 2, 3), " ")  # noqa: E731  whole words: those after the first, which may begin inside one
-    items = read(spark, sf, "benchmark").select("item_id", F.col("text").alias("item"), first(words("text")).alias("key"))
-    docs = read(spark, sf, "documents")
-    spread = docs.select("doc_id", words("text").alias("w")).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1))), lambda i: F.array_join(F.slice("w", i, 3), " ")))).alias("key"))
-    near = spread.join(items.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
-    whole = near.join(items.select("item_id", "item"), "item_id").join(docs.select("doc_id", "text"), "doc_id")
-    return whole.filter(F.contains("text", F.col("item"))).select("item_id", "doc_id")
+    """Items of which a document holds the whole text, verbatim."""
+    found = contained(read(spark, sf, "benchmark"), read(spark, sf, "documents"), "item_id", "text", "doc_id", "text")
+    return found.select(F.col("item").alias("item_id"), F.col("doc").alias("doc_id"))
 
 
 @query(r"""
