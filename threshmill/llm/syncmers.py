@@ -157,7 +157,8 @@ def with_next(docs: DataFrame, id_col: str, tie: str, columns: list[str], derive
         before[r] = there[i - 1]
     main = derive(docs.withColumn(RUN, run)).repartition(partitions, RUN)
     heads = main.groupBy(RUN).agg(F.min_by(F.struct(*main.columns), F.struct(id_col, tie)).alias(HEAD))
-    heads = heads.select(F.get(F.lit(before), F.col(RUN)).alias("_next_of"), HEAD)
+    # Never null, or else a filter for that would be pushed below the exchange, which could then not be shared.
+    heads = heads.select(F.coalesce(F.get(F.lit(before), F.col(RUN)), F.lit(0)).alias("_next_of"), HEAD)
     order = Window.partitionBy(RUN).orderBy(F.col(id_col).asc_nulls_first(), tie)
     led = main.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns), F.lead(F.lit(True)).over(order).alias(FOLLOWED))
     joined = led.join(heads.hint("shuffle_hash"), (F.col(RUN) == F.col("_next_of")) & F.col(FOLLOWED).isNull(), "left")
