@@ -188,6 +188,15 @@ def test_stage_removes_passages_of_over_50_words(spark):
     assert all(out[i] == t for i, t in rows[2 * len(passages) : -3])
 
 
+def test_repeats_of_scripts_without_spaces(spark):
+    passage = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(120))
+    docs = spark.createDataFrame([(i, f"document {i} " + passage + f" end {i}") for i in range(2)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in bwt_dedup.stage(spark, docs, "").collect()}
+    assert all(len(left[i]) < 30 and left[i].startswith(f"document {i}") for i in range(2))
+    short = spark.createDataFrame([(i, f"document {i} " + passage[:90] + f" end {i}") for i in range(2)], "doc_id long, text string")
+    assert {r.text for r in bwt_dedup.stage(spark, short, "").collect()} == {r.text for r in short.collect()}
+
+
 def test_remove_repeats_keeps_columns(spark):
     texts = repeats(np.random.default_rng(7))
     docs = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, lows string")

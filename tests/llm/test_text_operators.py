@@ -83,6 +83,33 @@ def test_page_without_marks(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><h1>T</h1><p>{PROSE}</p><ul>{LINKS}</ul></article>", f"T\n{PROSE.strip()}"),
+        (f"<article><ul>{LINKS}</ul><p>{PROSE}</p><p>{PROSE}</p><div>{LINKS}</div></article>", f"{PROSE.strip()}\n{PROSE.strip()}"),
+        (f"<main><p>{PROSE}</p><ul>{LINKS}</ul><p>short</p><ul>{LINKS}</ul></main>", "\n".join([PROSE.strip(), *(f"link {i}" for i in range(5)), "short"])),
+    ],
+)
+def test_link_blocks_of_marked_articles(page, text):
+    """The windows decide inside a mark too: all lines inside it are more than the text."""
+    assert html.extract(page) == text
+    inside = [line for line, _, *marks in html.lines_of(page) if line and any(marks)]
+    assert inside != text.split("\n")
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<p>{PROSE}</p><p>{PROSE}</p>" + "<div><a href=x>Read more on other sites</a></div>" * 4, f"{PROSE.strip()}\n{PROSE.strip()}"),
+        (f"<p>{PROSE}</p>" + "<div><a href=x>link</a></div>" * 3 + f"<p>{PROSE}</p>", f"{PROSE.strip()}\n{PROSE.strip()}"),
+        (f"<p>{PROSE}</p>" + "<div><a href=x>link</a></div>" * 2 + f"<p>{PROSE}</p>", f"{PROSE.strip()}\nlink\nlink\n{PROSE.strip()}"),
+    ],
+)
+def test_link_runs_stay_or_go_as_one(page, text):
+    assert html.extract(page) == text
+
+
 def test_distribution_finds_articles_without_marks(spark, sf_dir):
     """Pages whose articles are plain div elements give the same text, but for a few with hardly any."""
     pages = [r.html for r in shared.table(spark, sf_dir, "pages").collect()]

@@ -29,6 +29,7 @@ repeated rows remove each other; a null identifier is one like any other; other
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,8 @@ from threshmill.llm.tokens import utf8
 LENGTH = 400
 #: The pipeline's stage removes passages of so many words, found by repeats of so many bytes, which few of them fall short of.
 STAGE_LENGTH, STAGE_WORDS = 200, 51
+#: Letters of scripts without spaces between words (Thai to Khmer, kana, Han), of which two count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
 #: Bytes of text hashed together; longer texts are taken in overlapping parts of so many.
 PART = 1 << 19
 #: Distinct contexts of an anchor merged at once, and those in a shard of theirs.
@@ -425,6 +428,14 @@ def _merged(held: list[tuple[bytes, bytes]], length: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(own["row_key"]), pa.array(own["row_key2"]), pa.array(at[hit[first]].astype(np.int32)), pa.array(at[hit[last]].astype(np.int32))], ["row_key", "row_key2", "lo", "hi"])
 
 
+def _n_words(raw: bytes) -> int:
+    """Words by white space; letters of scripts that set none are counted apart."""
+    text, letters = raw.decode(errors="ignore"), 0
+    if not text.isascii():
+        text, letters = _UNSPACED.subn(" ", text)
+    return len(text.split()) + letters // 2
+
+
 def _kept(raw: bytes, lows: list[int], highs: list[int], length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
     """Bytes that no repeated string covers, and how many went in how many runs; runs of fewer words stay."""
     runs: list[list[int]] = []
@@ -434,7 +445,7 @@ def _kept(raw: bytes, lows: list[int], highs: list[int], length: int = LENGTH, l
         else:
             runs.append([lo, hi + length])
     if least_words:
-        runs = [r for r in runs if len(raw[r[0] : r[1]].split()) >= least_words]
+        runs = [r for r in runs if _n_words(raw[r[0] : r[1]]) >= least_words]
     kept, at = [], 0
     for lo, end in runs:
         kept.append(raw[at:lo])
@@ -483,7 +494,8 @@ def op8_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, least_words: int = 0) -> DataFrame:
     """The documents with the covered bytes gone from their text; bytes that no longer form a character go too.
 
-    With ``least_words``, only runs of covered bytes that hold or touch so many words go.
+    With ``least_words``, only runs of covered bytes that hold or touch so many words go; of scripts without spaces, two
+    letters are a word.
     """
 
     @F.pandas_udf("string")

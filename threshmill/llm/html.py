@@ -6,8 +6,11 @@ point and fall to nothing at a dive point; the lines between them are the text.
 is a line with mass whose window reaches ``SURGE_CHARS``, or ``SURGE_SHARE`` of the fullest window if that is less.
 Elements that cannot be article (menus, forms, scripts, adverts, notices, reader comments and the like, by their tag,
 role, class or id) leave lines without mass, so the distribution dives there. Where the page marks an article or main
-element, that is evidence of its own: a line in it weighs ``MARKED`` characters more, its links' text counts, and lines
-outside it have no mass.
+element, lines outside it have no mass, and a line in it that has text outside links weighs its whole text and ``MARKED``
+characters more. The windows decide there as elsewhere, but a dive that the article rises from again is part of it. So a
+run of ``WINDOW`` or more lines of links alone is left out as a whole before an article's text or after it, and stays as a
+whole within. Shorter runs weigh as text does. A mark without text
+outside links is none.
 
 A class or id does not bar by words that say what an element has or lacks (``has-sidebar``), nor an element round the
 main element. Where no article stands outside barred elements, those round the least deeply barred one are open too,
@@ -33,8 +36,10 @@ from pyspark.sql import functions as F
 from threshmill.llm import shared
 
 WINDOW = 3
-#: Characters in a window that make a surge, or share of the page's fullest window; characters that a marked line weighs more.
-SURGE_CHARS, SURGE_SHARE, MARKED = 80, 0.2, 80
+#: Characters in a window that make a surge, or share of the page's fullest window.
+SURGE_CHARS, SURGE_SHARE = 80, 0.2
+#: Characters that a line of a marked article weighs more if it has text outside links: a whole window of marks alone makes no surge.
+MARKED = 26
 
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -279,8 +284,16 @@ def main_lines(lines: list[tuple[str, int, int, int]]) -> list[int]:
     """Indices of the lines between surge and dive points."""
     articles, mains = (sum(n for _, n, *marks in lines if marks[i]) for i in (0, 1))
     mark = 2 if articles and articles * 2 >= mains else 3 if mains else None
-    inside = [mark is None or bool(line[mark]) for line in lines]
-    mass = [0 if not here or not line[0] else line[1] if mark is None else len(line[0]) + MARKED for line, here in zip(lines, inside)]
+    inside = [bool(line[0]) and (mark is None or bool(line[mark])) for line in lines]
+    mass = [line[1] if here else 0 for line, here in zip(lines, inside)]
+    if mark is not None:
+        texts = [i for i, own in enumerate(mass) if own]
+        for begin, end in zip([-1, *texts], [*texts, len(lines)]):  # runs of links between lines with text
+            links = [i for i in range(begin + 1, end) if inside[i]]
+            if len(links) < WINDOW:
+                for i in links:
+                    mass[i] = len(lines[i][0])
+        mass = [len(line[0]) + MARKED if own else 0 for line, own in zip(lines, mass)]
     sums, total = [0] * len(mass), 0
     for i in range(len(mass) - 1, -1, -1):
         total += mass[i] - (mass[i + WINDOW] if i + WINDOW < len(mass) else 0)
@@ -292,9 +305,11 @@ def main_lines(lines: list[tuple[str, int, int, int]]) -> list[int]:
             j = i
             while j < len(sums) and sums[j]:  # until the dive
                 j += 1
-            kept += [k for k in range(i, min(j + 1, len(sums))) if inside[k] and lines[k][0]]
+            kept += [k for k in range(i, j) if inside[k]]
             i = j
         i += 1
+    if mark is not None and kept:
+        kept = [k for k in range(kept[0], kept[-1] + 1) if inside[k]]
     return kept
 
 
