@@ -141,6 +141,31 @@ def test_of_two_committers_one_fails(spark, tmp_path):
     assert reg.commit(audit=audit.union(audit)) == 2 and reg.tables(1)["audit"].count() == 1
 
 
+def test_one_file_rewrites_its_buckets_only(spark, tmp_path):
+    reg = Registry(spark, f"file://{tmp_path}/registry", buckets=16)
+    text = lambda k: "\n".join([line(0, "客户", f"怎么设置第{k}个业务标签？"), line(1, "客服", f"进入第{k}个页面后新建标签并保存。")])
+    texts = {f"s{k}": text(k) for k in range(40)}
+    ingest(reg, files(spark, **texts))
+    first = reg.folders(1)
+    assert len(first["messages"]) > 8
+    bucket = str(spark.sql("SELECT pmod(xxhash64('s7'), 16) AS b").first().b)
+    changed = texts | {"s7": texts["s7"].replace("保存", "提交后保存")}
+    assert ingest(reg, files(spark, s7=changed["s7"]), authoritative=False)["files_modified"] == 1
+    second = Registry(spark, reg.root).folders(2)
+    for name in ("messages", "issues"):
+        assert {b for b in first[name] if first[name][b] != second[name][b]} == {bucket} and set(first[name]) == set(second[name])
+    assert sum(first["reviews"].get(b) != f for b, f in second["reviews"].items()) <= 2
+    whole = Registry(spark, f"file://{tmp_path}/whole", buckets=3)
+    ingest(whole, files(spark, **texts))
+    ingest(whole, files(spark, **changed))
+    for name in ("messages", "issues", "reviews", "sources"):
+        assert sorted(map(str, reg.table(name).collect())) == sorted(map(str, whole.table(name).collect()))
+    counts = ingest(reg, files(spark, **{k: t for k, t in changed.items() if k != "s3"}))
+    assert counts["files_deleted"] == 1 and reg.table("messages").count() == 78 and reg.tables(1)["messages"].count() == 80
+    part = reg.part("messages", spark.createDataFrame([("s7",)], "source string"))
+    assert {r.source for r in part.collect()} >= {"s7"} and part.count() < 78
+
+
 def test_command_line(spark, tmp_path, capsys):
     from threshmill.__main__ import main
 

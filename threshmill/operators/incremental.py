@@ -58,13 +58,14 @@ def first_changes(old: DataFrame, new: DataFrame, sources: DataFrame) -> DataFra
     return known.join(inside, "source", "left").select("source", (F.coalesce("later", "last") + 1).cast("int").alias("first_changed"))
 
 
-def classify(old: DataFrame, new: DataFrame) -> DataFrame:
+def classify(old: DataFrame, new: DataFrame, was: DataFrame | None = None, now: DataFrame | None = None) -> DataFrame:
     """unchanged, moved, appended, modified or new for each source of ``new``; both are messages as of ``chained``.
 
     Adds old_count, new_count and first_changed, the first place at which the messages differ. Sources that are equal as
-    wholes are known by their heads; only links of the others meet.
+    wholes are known by their heads; only links of the others meet. Where heads are at hand as ``was`` and ``now``, ``old``
+    may hold just the sources that differ.
     """
-    was, now = source_heads(old), source_heads(new)
+    was, now = was if was is not None else source_heads(old), now if now is not None else source_heads(new)
     o = was.select("source", F.col("n").cast("int").alias("old_count"), F.col("content_sha256").alias("old_sha"))
     elsewhere = was.groupBy("content_sha256").agg(F.min("source").alias("moved_from"))
     both = now.join(o, "source", "left").join(elsewhere, "content_sha256", "left")

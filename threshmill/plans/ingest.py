@@ -26,20 +26,26 @@ TABLES = {
     "audit": "event string, entity string, detail string",
 }
 
+#: Tables that are kept in buckets, by the hash of a column, and how many buckets a new registry has.
+BUCKETED, BUCKETS = {"messages": "source", "issues": "source", "evidence": "source", "reviews": "issue_id"}, 64
+
 
 class ConcurrentCommit(RuntimeError):
     """Another committer has written the version that this one was about to write."""
 
 
 class Registry:
-    """Tables as folders, and a version as one small file that names the folder of each table.
+    """Tables as folders, and a version as one small file that names the folders of each table.
 
-    A step reads the version once and commits the next one: tables that it does not give stay as they were. The file
-    of a version is created only if it is not there, so of two committers one fails and nothing of it is seen.
+    A step reads the version once and commits the next one: tables that it does not give stay as they were. Large
+    tables lie in buckets by the hash of their key, each in one folder; a step that says which keys it touched rewrites
+    their buckets alone, each as a whole, so no bucket gathers small files. The file of a version is created only if it
+    is not there, so of two committers one fails and nothing of it is seen.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        """``buckets`` holds for a new registry; one that is there keeps its own number."""
+        self.spark, self.root, self.new_buckets = spark, root.rstrip("/"), buckets
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -53,27 +59,61 @@ class Registry:
             return 0
         return max((int(f.getPath().getName().removesuffix(".json")) for f in files.listStatus(folder) if f.getPath().getName().endswith(".json")), default=0)
 
-    def folders(self, version: int) -> dict[str, str]:
-        """The folder of each table of a version."""
+    def folders(self, version: int) -> dict:
+        """The folder of each table of a version, of bucketed ones that of each bucket that has rows; and the number of ``buckets``."""
         if not version:
-            return {}
+            return {"buckets": self.new_buckets}
         return json.loads("".join(r.value for r in self.spark.read.text(f"{self.root}/_versions/{version:08d}.json").collect()))
 
+    def _read(self, name: str, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], TABLES[name])
+        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self.root}/{f}" for f in folders))
+
     def tables(self, version: int | None = None) -> dict[str, DataFrame]:
         """All tables as of one version, the last if none is named."""
         there = self.folders(self.version() if version is None else version)
-        return {name: self.spark.read.schema(schema).parquet(f"{self.root}/{there[name]}") if name in there else self.spark.createDataFrame([], schema) for name, schema in TABLES.items()}
+        listed = lambda own: [own] if isinstance(own, str) else list(own.values())
+        return {name: self._read(name, listed(there.get(name, {}))) for name in TABLES}
 
     def table(self, name: str) -> DataFrame:
         return self.tables()[name]
 
-    def commit(self, after: int | None = None, **tables: DataFrame) -> int:
-        """The version that follows ``after``, the last if none is named; readers see the old version or the new one, never a mixture."""
+    def _buckets(self, keys: DataFrame, key: str, n: int) -> list[int]:
+        return sorted(r[0] for r in keys.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).distinct().collect())  # at most n
+
+    def part(self, name: str, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The rows of the buckets of a table in which the keys lie; other buckets are not read."""
+        there = self.folders(self.version() if version is None else version)
+        own = there.get(name, {})
+        return self._read(name, [own[str(b)] for b in self._buckets(keys, BUCKETED[name], there["buckets"]) if str(b) in own])
+
+    def commit(self, after: int | None = None, touched: dict[str, DataFrame] | None = None, **tables: DataFrame) -> int:
+        """The version that follows ``after``, the last if none is named; readers see the old version or the new one, never a mixture.
+
+        ``touched`` holds, by table, the keys whose rows are not as before; rows in buckets of others are not written,
+        and need not be given. A bucketed table without an entry is written whole.
+        """
         before = self.version() if after is None else after
         there, fresh = self.folders(before), uuid.uuid4().hex[:12]
+        n = there["buckets"]
         for name, df in tables.items():
-            there[name] = f"data/{before + 1:08d}-{fresh}/{name}"
-            df.select(*self.spark.createDataFrame([], TABLES[name]).columns).write.parquet(f"{self.root}/{there[name]}")
+            folder = f"data/{before + 1:08d}-{fresh}/{name}"
+            rows = df.select(*self.spark.createDataFrame([], TABLES[name]).columns)
+            if name not in BUCKETED:
+                there[name] = folder
+                rows.write.parquet(f"{self.root}/{folder}")
+                continue
+            key = BUCKETED[name]
+            wanted = self._buckets(touched[name], key, n) if name in (touched or {}) else list(range(n))
+            kept = {b: f for b, f in there.get(name, {}).items() if int(b) not in wanted}
+            if wanted:
+                placed = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).filter(F.col("bucket").isin(wanted))
+                # by ranges, so that a bucket with a large source is written by many tasks
+                placed.repartitionByRange("bucket", key, *[c for c in ("idx", "start_index", "review_id", "kb_id") if c in rows.columns]).write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+                found = [f.getPath().getName() for f in self._files().listStatus(self._path(folder))]
+                kept |= {f.removeprefix("bucket="): f"{folder}/{f}" for f in found if f.startswith("bucket=")}
+            there[name] = kept
         try:
             out = self._files().create(self._path(f"_versions/{before + 1:08d}.json"), False)
         except Py4JJavaError as refused:
@@ -135,7 +175,8 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = Non
 
     Issues are related to ``entries``, by default to the registry's active revisions. With ``authoritative``, registered
     sources that are not among the files count as deleted. ``source_ids`` names the registered source of files by path,
-    for files that were renamed and changed. A dry run writes nothing.
+    for files that were renamed and changed. A dry run writes nothing. Which sources differ is known by the hashes kept
+    with the sources; messages are read and written only in the buckets of those, and an unchanged source stays as stored.
     """
     at = registry.version()
     there = registry.tables(at)
@@ -147,10 +188,11 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = Non
     parsed = messages.parse_messages(files)
     # The place in a source is the index; links are kept with the messages, so the next step compares them as they are.
     new = incremental.chained(parsed.withColumn("idx", F.col("line_number"))).withColumn("idx", F.col("place"))
-    old, issues, reviews, revisions, evidence = (there[n] for n in ("messages", "issues", "reviews", "revisions", "evidence"))
-    old = old.withColumn("place", F.col("idx"))
-    was, now = incremental.source_heads(old), incremental.source_heads(new)
-    changes = incremental.affected_start(incremental.classify(old, new), issues, overlap).checkpoint()
+    sources, issues, reviews, revisions, evidence = (there[n] for n in ("sources", "issues", "reviews", "revisions", "evidence"))
+    was, now = sources.select("source", F.col("message_watermark").alias("n"), "content_sha256"), incremental.source_heads(new).checkpoint()
+    heads = now.join(was.select("source", F.col("content_sha256").alias("was_sha")), "source")
+    old = registry.part("messages", heads.filter("was_sha <> content_sha256"), at).withColumn("place", F.col("idx"))
+    changes = incremental.affected_start(incremental.classify(old, new, was, now), issues, overlap).checkpoint()
     gone = incremental.deleted(was, now, changes) if authoritative else was.select("source").filter("false")
     moved = changes.filter("change = 'moved'").select(F.col("moved_from").alias("source"), F.col("source").alias("to"))
     issues = issues.join(moved, "source", "left").withColumn("source", F.coalesce("to", "source")).drop("to")
@@ -170,8 +212,14 @@ def ingest(registry: Registry, files: DataFrame, entries: DataFrame | None = Non
     if n := gone.count():
         counts["files_deleted"] = n
     if not dry_run:
-        absent = old.select("source").distinct().join(now.select("source"), "source", "left_anti") if not authoritative else old.select("source").filter("false")
-        still = old.drop("place").join(absent, "source", "left_semi").join(moved.select("source"), "source", "left_anti")
+        moved_away = moved.select("source")
+        touched = changes.filter("change <> 'unchanged'").select("source").unionByName(moved_away).unionByName(gone).distinct().checkpoint()
+        stays = sources.join(now.select("source"), "source", "left_anti").join(moved_away, "source", "left_anti").filter(F.lit(not authoritative))
+        still = registry.part("messages", touched, at).join(stays.select("source"), "source", "left_semi")
         all_messages = new.select(*still.columns).unionByName(still)
-        registry.commit(at, messages=all_messages, issues=all_issues, reviews=all_reviews, evidence=links, sources=incremental.watermarks(all_messages.withColumn("place", F.col("idx")), gone))
+        changed_links = links.join(evidence, links.columns, "left_anti")
+        changed_reviews = all_reviews.join(reviews, ["review_id", "status"], "left_anti")
+        keys = {"messages": touched, "issues": touched, "evidence": changed_links, "reviews": changed_reviews}
+        marks = incremental.watermarks(new, gone).unionByName(stays)
+        registry.commit(at, keys, messages=all_messages, issues=all_issues, reviews=all_reviews, evidence=links, sources=marks)
     return counts
