@@ -64,6 +64,32 @@ def pairs_above(vectors: DataFrame, id_col: str, vector_col: str, threshold: flo
     return both.groupBy("a", "b").applyInPandas(run, f"id_a {kind}, id_b {kind}, similarity double")
 
 
+def pairs_between(left: DataFrame, right: DataFrame, id_col: str, vector_col: str, threshold: float) -> DataFrame:
+    """Pairs (left_id, right_id, similarity) of two tables with a cosine of at least ``threshold``; as ``pairs_above``, but no pair within a table."""
+    asked, rows = tree.usable(left, id_col, vector_col), tree.usable(right, id_col, vector_col)
+    m, n = asked.count(), rows.count()
+    schema = f"left_id {dict(left.dtypes)[id_col]}, right_id {dict(right.dtypes)[id_col]}, similarity double"
+    if not m or not n:
+        return left.sparkSession.createDataFrame([], schema)
+    cuts = tree.upper_cuts(rows, n)
+    ours, theirs = tree.tiled(asked, m, cuts), tree.tiled(rows, n, cuts)
+    if ours.width != theirs.width:
+        raise ValueError("vectors of different lengths")
+    side = lambda t, s: t.rows.select(F.col("tile").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("vectors").alias(f"vectors_{s}"))
+    both = tree.meeting(ours, theirs, threshold).join(side(ours, "a"), "a").join(side(theirs, "b"), "b")
+    width = ours.width
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        row = pdf.iloc[0]
+        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), np.frombuffer(row[f"vectors_{s}"]).reshape(-1, width)) for s in "ab")
+        i, j = np.nonzero(a @ b.T >= threshold - tree.SLACK)
+        found = _products(a, b, i, j)
+        sure = found >= threshold
+        return pd.DataFrame({"left_id": ids_a[i[sure]], "right_id": ids_b[j[sure]], "similarity": found[sure]})
+
+    return both.groupBy("a", "b").applyInPandas(run, schema)
+
+
 def top_k(queries: DataFrame, base: DataFrame, id_col: str, vector_col: str, k: int, exclude_self: bool = True) -> DataFrame:
     """The ``k`` nearest of ``base`` for each query: query_id, id, similarity, rank; ties go to the smaller id.
 

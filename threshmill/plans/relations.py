@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from threshmill.operators import guards
+from threshmill.operators import guards, lineage
 from threshmill.plans.base import query, read
 
 
@@ -116,3 +116,25 @@ def duplicate_key_guard(spark, sf):
 def coverage_partition(spark, sf):
     o = read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return guards.coverage_partition(o.select("o_orderkey"), "o_orderkey", reused=o.filter("o_orderstatus = 'F'"), enrich=o.filter("o_orderpriority = '1-URGENT'"))
+
+
+_MERGED = "e AS (SELECT master_id AS parent, client_id AS child FROM clients WHERE master_id <> client_id), w AS (SELECT client_id AS root, client_id AS node, []::BIGINT[] AS path FROM clients UNION ALL SELECT root, child, list_append(path, child) FROM w JOIN e ON node = parent WHERE child <> root AND NOT list_contains(path, child)), c AS (SELECT root, node, min(path) AS path FROM w GROUP BY ALL)"
+
+
+def merged_clients(spark, sf):
+    clients = read(spark, sf, "clients").select("client_id", "master_id", "segment", "city")
+    merges = clients.filter("master_id <> client_id").select(F.col("master_id").alias("parent"), F.col("client_id").alias("child"), F.col("client_id").alias("place"))
+    return clients, lineage.merge_closure(clients, merges, "client_id")
+
+
+@query(f"WITH RECURSIVE {_MERGED}, y AS (SELECT DISTINCT root FROM w JOIN e ON node = parent AND child = root) SELECT root, node, len(path)::INT AS depth, root IN (SELECT root FROM y) AS in_cycle FROM c")
+def merge_lineage(spark, sf):
+    """Each client with all that were merged into it, directly or not."""
+    return merged_clients(spark, sf)[1].select("root", "node", "depth", "in_cycle")
+
+
+@query(f"WITH RECURSIVE {_MERGED}, f AS (SELECT root, segment, k.client_id, city, row_number() OVER (PARTITION BY root, segment ORDER BY path, k.client_id) AS r FROM c JOIN clients k ON k.client_id = node) SELECT root, segment, client_id, city FROM f WHERE r = 1")
+def inherited_segments(spark, sf):
+    """For each client and segment, the first client along the merges that stands for it."""
+    clients, closure = merged_clients(spark, sf)
+    return lineage.inherited_rows(closure, clients, "client_id", "segment", "client_id").select("root", "segment", "client_id", "city")

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threshmill.functions import vectors as V
-from threshmill.operators import clusters, complete_link, similarity
+from threshmill.operators import clusters, complete_link, dedup, similarity
 from threshmill.plans.base import query, read
 
 LOW = 0.35
@@ -156,7 +156,13 @@ def blocked_merges(spark, sf):
     return complete_link.blocked_merges(edges, complete_link.complete_link(edges), 0.32, 0.9)
 
 
-@query()
+#: The greedy choice in SQL: a fold over rows (vec_id, i, near, entry), with the rows kept so far as a list.
+_FOLD = "g(i, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT o.i, CASE WHEN entry IS NULL AND NOT list_has_any(near, kept) THEN list_append(kept, vec_id) ELSE kept END FROM g JOIN o ON o.i = g.i + 1), last AS (SELECT kept FROM g ORDER BY i DESC LIMIT 1)"
+
+
+@query(f"""WITH RECURSIVE {_PAIRS}, n AS (SELECT id_b AS vec_id, list(id_a) AS near FROM p WHERE similarity >= 0.3 GROUP BY 1),
+o AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS i, coalesce(near, []) AS near, NULL AS entry FROM embeddings LEFT JOIN n USING (vec_id)), {_FOLD}
+SELECT vec_id, list_contains(kept, vec_id) AS kept FROM o, last""")
 def greedy_dedup(spark, sf):
     """First kept wins, in the order of the identifiers."""
     e = read(spark, sf, "embeddings").select("vec_id")
@@ -164,6 +170,22 @@ def greedy_dedup(spark, sf):
     return clusters.greedy_keep(e.withColumn("rank", F.col("vec_id")), edges, "vec_id", "rank")
 
 
+@query(f"""WITH RECURSIVE {_PAIRS}, r AS (SELECT vec_id, concat(label, ' ', floor(embedding[1]::DOUBLE * 20)::BIGINT) AS text FROM embeddings WHERE vec_id % 17 <> 0), f AS (SELECT text, min(vec_id) AS vec_id FROM r GROUP BY text),
+s AS (SELECT id_a AS x, id_b AS y FROM p WHERE similarity >= 0.3 UNION ALL SELECT id_b, id_a FROM p WHERE similarity >= 0.3),
+k AS (SELECT x AS vec_id, min(y) AS entry FROM s WHERE y % 17 = 0 GROUP BY 1), n AS (SELECT x AS vec_id, list(y) AS near FROM s JOIN f ON f.vec_id = y GROUP BY 1),
+o AS (SELECT vec_id, text, row_number() OVER (ORDER BY vec_id) AS i, coalesce(near, []) AS near, entry FROM f LEFT JOIN n USING (vec_id) LEFT JOIN k USING (vec_id)), {_FOLD},
+d AS (SELECT vec_id AS first, text, entry, list_min(list_filter(near, lambda x: list_contains(kept, x))) AS near FROM o, last),
+e AS (SELECT vec_id, entry, CASE WHEN near < vec_id THEN near END AS near, CASE WHEN vec_id <> first AND near IS NULL AND entry IS NULL THEN first END AS exact FROM r JOIN d USING (text))
+SELECT vec_id, CASE WHEN exact IS NOT NULL THEN 'exact' WHEN near IS NOT NULL THEN 'near' WHEN entry IS NOT NULL THEN 'existing' ELSE 'kept' END AS decision, coalesce(exact, near, entry) AS target FROM e""")
+def three_tier_dedup(spark, sf):
+    """Exact and near against what is kept, then against every seventeenth vector as existing entries."""
+    text = F.concat_ws(" ", "label", F.floor(F.get("embedding", F.lit(0)).cast("double") * 20))
+    e = read(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("vec_id").alias("place"), text.alias("text"), F.col("embedding").alias("vector"))
+    rows, existing = e.filter("id % 17 <> 0"), e.filter("id % 17 = 0").select("id", "vector")
+    none = rows.select("id", "place", F.col("text").alias("fingerprint"), "vector").filter("false")
+    return dedup.deduplicated(rows, existing, none, 0.3).withColumnRenamed("id", "vec_id")
+
+
 @query()
 def issue_matching(spark, sf):
     """The best matching of the even with the odd vectors of each label, among similar pairs."""
