@@ -108,6 +108,27 @@ def test_matching_of_a_large_label(spark):
     assert {(r.left_id, r.right_id) for r in got} == {(i, i) for i in range(n)}
 
 
+def test_components_take_few_jobs(spark, monkeypatch):
+    n = 150
+    edges = [(i, i + 1) for i in range(n) if i % 50 != 49] + [(7, 7), (900, 7), (None, 1)]
+    wanted = {i: i // 50 * 50 for i in range(n)} | {900: 0, 1000: 1000}
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    nodes = spark.createDataFrame([(1000,), (3,), (3,)], "id long")
+    count = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    for group, size in (("whole", 10**6), ("rounds", 100), ("no shrinking", 10)):
+        monkeypatch.setattr(clusters, "TASK_EDGES", size)
+        monkeypatch.setattr(clusters, "STAR_ROWS", size)
+        spark.sparkContext.setJobGroup(group, group)
+        got = {r.node: r.component for r in clusters.connected_components(frame, nodes).collect()}
+        assert got == wanted
+        if group == "whole":
+            assert count() <= 12
+    words = spark.createDataFrame([("b", "c"), ("ä", "c"), ("z", "x")], "a string, b string")
+    assert {r.node: r.component for r in clusters.connected_components(words).collect()} == {"b": "b", "c": "b", "ä": "b", "x": "x", "z": "x"}
+    pairs = spark.createDataFrame([((1, 2), (3, 4))], "a struct<x:int,y:int>, b struct<x:int,y:int>")
+    assert {tuple(r.component) for r in clusters.connected_components(pairs).collect()} == {(1, 2)}
+
+
 def test_issue_matching_has_no_id_prefix(spark, tmp_path):
     from threshmill.plans import vectors
 

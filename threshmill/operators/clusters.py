@@ -5,11 +5,16 @@ from __future__ import annotations
 import heapq
 import re
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Edges that a task turns into stars at a time, and stars that meet in one task.
+STAR_ROWS, TASK_EDGES = 1 << 20, 2_000_000
+
 
 def set_checkpoint_dir(spark: SparkSession) -> None:
     """The folder that the session names; one of this machine's only where all run on it, as in tests."""
@@ -46,17 +51,77 @@ def exact_groups(rows: DataFrame, key: Column, order: str, name: str = "group_no
     return keyed.join(numbered, "_key").drop("_key").withColumn("group_rank", F.row_number().over(Window.partitionBy(name).orderBy(order)))
 
 
+def stars(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The components of edges (x, y) as stars: the least node of each, and every other node beside it."""
+    codes, names = pd.factorize(np.concatenate([x, y]), sort=True)
+    p, q = codes[: len(x)], codes[len(x) :]
+    label = np.arange(len(names))
+    while True:
+        low, high = np.minimum(label[p], label[q]), np.maximum(label[p], label[q])
+        open_ = low < high
+        if not open_.any():
+            break
+        p, q = p[open_], q[open_]
+        np.minimum.at(label, high[open_], low[open_])
+        while not np.array_equal(above := label[label], label):
+            label = above
+    others = np.flatnonzero(label != np.arange(len(names)))
+    return np.asarray(names)[label[others]], np.asarray(names)[others]
+
+
+def as_stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges (a, b) of a partition as stars; what is held grows with its nodes, not with its edges."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch[["a", "b"]])
+        size += len(batch)
+        if size > STAR_ROWS:
+            whole = pd.concat(held)
+            a, b = stars(whole["a"].to_numpy(), whole["b"].to_numpy())
+            held, size = [pd.DataFrame({"a": a, "b": b})], 0
+    if held:
+        whole = pd.concat(held)
+        a, b = stars(whole["a"].to_numpy(), whole["b"].to_numpy())
+        yield pd.DataFrame({"a": a, "b": b})
+
+
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 50) -> DataFrame:
-    """(node, component) by min-label steps with pointer jumping; edges (a, b), and lone nodes if given.
+    """(node, component) of edges (a, b), and lone nodes if given; a component is named by its least node.
 
-    Each round takes the least label around a node, then that label's own label, so labels travel twice as far each
-    time. Rounds are cut by a reliable checkpoint.
+    Each partition turns its edges into stars, so no more edges are written than partitions have nodes; stars meet in
+    fewer and fewer partitions of at most ``TASK_EDGES`` until one is left. Where they do not shrink any more, or nodes
+    are neither numbers nor strings, rounds of least labels with pointer jumping do the rest.
     """
     spark = edges.sparkSession
     set_checkpoint_dir(spark)
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct().checkpoint()
+    kind = dict(edges.dtypes)["a"]
+    own = edges.select("a", "b").filter("a <> b")
+    lone = nodes.toDF("node").distinct() if nodes is not None else None
+    plain = kind in ("tinyint", "smallint", "int", "bigint", "string") and dict(edges.dtypes)["b"] == kind
+    if not plain:
+        return _labels_by_rounds(own, lone, max_rounds)
+    meet = lambda df: df.mapInPandas(as_stars, f"a {kind}, b {kind}").checkpoint()
+    own = meet(own)
+    size, parts = own.count(), own.rdd.getNumPartitions()
+    while parts > 1 and size:
+        parts = -(-size // TASK_EDGES)
+        own = meet(own.repartition(parts) if parts > 1 else own.coalesce(1))
+        before, size = size, own.count()
+        if parts > 1 and size > 0.75 * before:
+            return _labels_by_rounds(own, lone, max_rounds)
+    found = own.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    found = found.unionByName(own.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    if lone is None:
+        return found
+    return lone.join(found, "node", "full_outer").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def _labels_by_rounds(edges: DataFrame, nodes: DataFrame | None, max_rounds: int) -> DataFrame:
+    """Each round takes the least label around a node, then that label's own label, so labels travel twice as far each
+    time. Rounds are cut by a reliable checkpoint."""
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     ids = both.select(F.col("a").alias("node"))
-    ids = (ids.unionByName(nodes.toDF("node")) if nodes is not None else ids).distinct()
+    ids = (ids.unionByName(nodes) if nodes is not None else ids).distinct()
     labels = ids.withColumn("component", F.col("node")).checkpoint()
     for _ in range(max_rounds):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
@@ -203,10 +268,11 @@ def bipartite_match(pairs: DataFrame, key: str, least: float = 0.35) -> DataFram
     Matchings never cross a component of the scored pairs, so components are worked on apart. A component's pairs are in
     one task; README gives figures.
     """
+    set_checkpoint_dir(pairs.sparkSession)
     kinds = dict(pairs.dtypes)
     schema = f"{key} {kinds[key]}, left_id {kinds['left_id']}, right_id {kinds['right_id']}, score double"
-    node = lambda side: F.struct(F.col(key).alias("key"), F.lit(side == "right_id").alias("right"), F.col(side).cast("string").alias("id"))
-    good = pairs.filter((F.col("score") >= least) & (F.col("score") > 0) & ~F.isnan("score")).select(key, "left_id", "right_id", F.col("score").cast("double").alias("score"), node("left_id").alias("_left"), node("right_id").alias("_right"))
+    node = lambda side: F.concat_ws(":", F.lit("r" if side == "right_id" else "l"), F.length(F.col(key).cast("string")), key, side)
+    good = pairs.filter((F.col("score") >= least) & (F.col("score") > 0) & ~F.isnan("score")).select(key, "left_id", "right_id", F.col("score").cast("double").alias("score"), node("left_id").alias("_left"), node("right_id").alias("_right")).checkpoint()
     parts = connected_components(good.select(F.col("_left").alias("a"), F.col("_right").alias("b")))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
