@@ -103,3 +103,14 @@ def test_top_k_visits_few(spark, small):
 def test_lengths_that_differ_are_an_error(spark):
     with pytest.raises(ValueError):
         similarity.pairs_above(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "id long, v array<double>"), "id", "v", 0.5)
+
+
+def test_a_tile_is_sent_once_for_each_block(spark, small, monkeypatch):
+    monkeypatch.setattr(vector_tree, "BLOCKS", 3)
+    rows = vector_tree.usable(frame(spark, clustered(400, 10)), "id", "v")
+    tiles = vector_tree.tiled(rows, 400, vector_tree.upper_cuts(rows, 400))
+    meet = vector_tree.meeting(tiles, tiles, -2.0, ordered=True)
+    sent, count = vector_tree.block_pairs(meet, tiles, tiles, []), tiles.rows.count()
+    assert meet.count() == count * (count + 1) // 2
+    blocks = tiles.blocks().select("block").distinct().count()
+    assert 3 <= blocks <= 4 and sent.count() == count * blocks

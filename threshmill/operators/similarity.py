@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -9,59 +12,111 @@ from pyspark.sql import functions as F
 
 from threshmill.operators import vector_tree as tree
 
-#: Pairs whose similarity is recomputed at a time.
-PAIRS = 1 << 16
+#: Pairs whose similarity is recomputed at a time, and pairs that leave a task at a time.
+PAIRS, BATCH = 1 << 12, 1 << 18
 
 
 def _products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Products of rows i of a with rows j of b, added up by coordinate: equal vectors score equally in every tile."""
-    out = []
-    for s in range(0, len(i), PAIRS):
-        x, y = a[i[s : s + PAIRS]].T, b[j[s : s + PAIRS]].T
-        total = np.zeros(x.shape[1])
-        for p, q in zip(x, y):
-            total += p * q
-        out.append(total)
+    """Products of rows i of a with rows j of b, each added up in the same order: equal vectors score equally in every tile."""
+    out = [np.einsum("ij,ij->i", a[i[s : s + PAIRS]], b[j[s : s + PAIRS]]) for s in range(0, len(i), PAIRS)]
     return np.concatenate(out) if out else np.zeros(0)
 
 
 def _ids(listed) -> np.ndarray:
+    if isinstance(listed, np.ndarray) and listed.dtype.kind in "iu":
+        return listed
     out = np.empty(len(listed), object)
     out[:] = listed
     return out
 
 
-def pairs_above(vectors: DataFrame, id_col: str, vector_col: str, threshold: float, group_col: str | None = None) -> DataFrame:
+def _sides(batches: Iterator[pd.DataFrame]) -> tuple[list, list]:
+    """The tiles of both blocks in the tree's order; those of a block with itself twice."""
+    rows = pd.concat(list(batches)).sort_values(["side", "tile"])
+    a, b = (list(rows[rows["side"] == s].itertuples(index=False)) for s in "ab")
+    return a, b or a
+
+
+def _balls(tiles: list) -> tuple[np.ndarray, np.ndarray]:
+    return np.stack([np.frombuffer(t.centre) for t in tiles]), np.array([t.radius for t in tiles])
+
+
+def pairs_above(vectors: DataFrame, id_col: str, vector_col: str, threshold: float, group_col: str | None = None, *, extra: tuple[str, ...] = (), combine: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]] | None = None, schema: str | None = None, edges: tuple[float, ...] = ()) -> DataFrame:
     """Pairs (id_a < id_b, similarity) with a cosine of at least ``threshold``; with a group, of different groups only.
 
     Vectors are put in tiles by a partition tree, and only tiles meet whose balls are near enough; a task holds two
-    tiles, and only what reaches the threshold leaves it. Rows without an identifier and vectors that are null, empty or not finite take no part.
+    blocks of tiles, and only what reaches the threshold leaves it. Rows without an identifier and vectors that are null, empty or not finite take no part.
+
+    ``combine`` may turn the pairs of a task, batch by batch and with each ``extra`` column of both sides (name_a, name_b), into
+    rows of ``schema`` before they leave it. Its similarities are right to the last places; on which side of one of ``edges`` they are is exact.
     """
-    extra = (group_col,) if group_col else ()
+    extra = tuple(dict.fromkeys((*extra, *((group_col,) if group_col else ()))))
     rows = tree.usable(vectors, id_col, vector_col, *extra)
     n = rows.count()
     tiles = tree.tiled(rows, n, tree.upper_cuts(rows, n), extra)
     meet = tree.meeting(tiles, tiles, threshold, ordered=True)
-    columns = ["ids", "vectors", *extra]
-    side = lambda s: tiles.rows.select(F.col("tile").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in columns))
-    both = meet.join(side("a"), "a").join(side("b"), "b")
-    kind, width = dict(vectors.dtypes)[id_col], tiles.width
+    both = tree.block_pairs(meet, tiles, tiles, list(extra))
+    kind, units = dict(vectors.dtypes)[id_col], tree.Tiles(None, None, tiles.width, tiles.real).units
+    told = np.array(sorted({threshold, *edges}))
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left, right = _sides(batches)
+        near = tree.most(tree.gaps(*_balls(left), *_balls(right))) >= threshold
+        theirs: dict = {}
+        for p, own in enumerate(left):
+            a, ids_a = units(own.vectors), _ids(own.ids)
+            for q in np.flatnonzero(near[p]):
+                other = right[q]
+                if left is right and q < p:
+                    continue
+                if q not in theirs:
+                    theirs[q] = units(other.vectors), _ids(other.ids)
+                b, ids_b = theirs[q]
+                sims = a @ b.T
+                keep = sims >= threshold - tree.SLACK
+                if left is right and p == q:
+                    keep &= np.triu(np.ones_like(keep), 1)
+                if group_col:
+                    ours, others = _ids(getattr(own, group_col)), _ids(getattr(other, group_col))
+                    keep &= (ours[:, None] != others) & pd.notna(ours)[:, None] & pd.notna(others)
+                i, j = np.nonzero(keep)
+                if combine is None:
+                    score = _products(a, b, i, j)
+                else:
+                    score = sims[i, j]
+                    at = np.searchsorted(told, score)
+                    close = np.minimum(np.abs(score - told[np.minimum(at, len(told) - 1)]), np.abs(score - told[np.maximum(at - 1, 0)])) <= tree.SLACK
+                    score[close] = _products(a, b, i[close], j[close])
+                sure = score >= threshold
+                i, j, score = i[sure], j[sure], score[sure]
+                x, y = ids_a[i], ids_b[j]
+                out = {"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "similarity": score}
+                if combine is not None and extra:
+                    less = np.asarray(x < y, bool)
+                    for c in extra:
+                        u, v = np.asarray(getattr(own, c))[i], np.asarray(getattr(other, c))[j]
+                        out |= {f"{c}_a": np.where(less, u, v), f"{c}_b": np.where(less, v, u)}
+                yield pd.DataFrame(out)
+
+    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunks = _chunked(found(batches))
+        yield from combine(chunks) if combine else chunks
+
+    return both.groupBy("block_a", "block_b").applyInPandas(run, schema if combine else f"id_a {kind}, id_b {kind}, similarity double")
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), np.frombuffer(row[f"vectors_{s}"]).reshape(-1, width)) for s in "ab")
-        keep = a @ b.T >= threshold - tree.SLACK
-        if key[0] == key[1]:
-            keep &= np.triu(np.ones_like(keep), 1)
-        if group_col:
-            keep &= _ids(row[f"{group_col}_a"])[:, None] != _ids(row[f"{group_col}_b"])
-        i, j = np.nonzero(keep)
-        found = _products(a, b, i, j)
-        sure = found >= threshold
-        x, y = ids_a[i[sure]], ids_b[j[sure]]
-        return pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "similarity": found[sure]})
 
-    return both.groupBy("a", "b").applyInPandas(run, f"id_a {kind}, id_b {kind}, similarity double")
+def _chunked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of many frames in fewer."""
+    held, size = [], 0
+    for frame in frames:
+        if len(frame):
+            held.append(frame)
+            size += len(frame)
+        if size >= BATCH:
+            yield pd.concat(held)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held)
 
 
 def pairs_between(left: DataFrame, right: DataFrame, id_col: str, vector_col: str, threshold: float) -> DataFrame:
@@ -77,11 +132,11 @@ def pairs_between(left: DataFrame, right: DataFrame, id_col: str, vector_col: st
         raise ValueError("vectors of different lengths")
     side = lambda t, s: t.rows.select(F.col("tile").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("vectors").alias(f"vectors_{s}"))
     both = tree.meeting(ours, theirs, threshold).join(side(ours, "a"), "a").join(side(theirs, "b"), "b")
-    width = ours.width
+    units = {s: tree.Tiles(None, None, t.width, t.real).units for s, t in (("a", ours), ("b", theirs))}
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         row = pdf.iloc[0]
-        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), np.frombuffer(row[f"vectors_{s}"]).reshape(-1, width)) for s in "ab")
+        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), units[s](row[f"vectors_{s}"])) for s in "ab")
         i, j = np.nonzero(a @ b.T >= threshold - tree.SLACK)
         found = _products(a, b, i, j)
         sure = found >= threshold
@@ -103,47 +158,77 @@ def top_k(queries: DataFrame, base: DataFrame, id_col: str, vector_col: str, k:
     cuts = tree.upper_cuts(rows, n)
     right = tree.tiled(rows, n, cuts)
     left = right if queries is base else tree.tiled(asked, asked.count(), cuts)
-    kind, width = dict(base.dtypes)[id_col], right.width
+    kind, asker = dict(base.dtypes)[id_col], dict(queries.dtypes)[id_col]
+    units = {s: tree.Tiles(None, None, t.width, t.real).units for s, t in (("a", left), ("b", right))}
     side = lambda t, s: t.rows.select(F.col("tile").alias(s), F.col("ids").alias(f"ids_{s}"), F.col("vectors").alias(f"vectors_{s}"))
 
-    def products(row) -> tuple:
-        (ids_a, a), (ids_b, b) = ((_ids(row[f"ids_{s}"]), np.frombuffer(row[f"vectors_{s}"]).reshape(-1, width)) for s in "ab")
-        sims = a @ b.T
-        if exclude_self:
-            sims[ids_a[:, None] == ids_b] = -np.inf
-        return ids_a, a, ids_b, b, sims
-
     def bound(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sims = np.concatenate([products(row)[-1] for _, row in pdf.iterrows()], axis=1)
-        floor = np.partition(sims, -k, axis=1)[:, -k] if sims.shape[1] >= k else np.full(len(sims), -2.0)
+        best, ids_a, a = np.zeros((0, 0)), None, None
+        for row in pdf.itertuples(index=False):
+            if a is None:
+                ids_a, a = _ids(row.ids_a), units["a"](row.vectors_a)
+                best = np.empty((len(a), 0))
+            sims = a @ units["b"](row.vectors_b).T
+            if exclude_self:
+                sims[ids_a[:, None] == _ids(row.ids_b)] = -np.inf
+            best = np.concatenate([best, sims], axis=1)
+            if best.shape[1] > k:
+                best = np.partition(best, -k, axis=1)[:, -k:]
+        floor = best.min(1) if best.shape[1] >= k else np.full(len(a), -2.0)
         floor = np.maximum(floor, -2.0) - tree.SLACK
         return pd.DataFrame({"tile": [key[0]], "floor": [floor.min()], "floors": [floor.tolist()]})
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        ids_a, a, ids_b, b, sims = products(row)
-        floors = np.asarray(row["floors"])[:, None] if row["floors"] is not None else -2.0
-        if sims.shape[1] > k:  # what is behind k others of the tile is not needed, but for ties
-            floors = np.maximum(floors, np.partition(sims, -k, axis=1)[:, -k :][:, :1] - tree.SLACK)
-        i, j = np.nonzero(sims >= np.maximum(floors, -2.0))
-        score = _products(a, b, i, j)
-        # ids ascend in a tile, so a stable sort gives ties to the smaller id
-        order = np.lexsort((j, -score, i))
-        i, j, score = i[order], j[order], score[order]
-        own = np.arange(len(i)) - np.searchsorted(i, i) < k
-        return pd.DataFrame({"query_id": ids_a[i[own]], "id": ids_b[j[own]], "similarity": score[own]})
+    def nearest(own, others: list, bounds: np.ndarray, names: dict) -> pd.DataFrame:
+        """The ``k`` nearest of other tiles (index, tile) for a tile's queries, from the nearest tile on."""
+        ids_a, a = _ids(own.ids), units["a"](own.vectors)
+        floors = np.asarray(own.floors, float) if own.floors is not None else np.full(len(a), -2.0)
+        i, j, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for q, other in others:
+            if bounds[q] < floors.min():
+                continue
+            ids_b, b, place = names[q]
+            sims = a @ b.T
+            if exclude_self:
+                sims[ids_a[:, None] == ids_b] = -np.inf
+            least = floors
+            if sims.shape[1] > k:  # what is behind k others of the tile is not needed, but for ties
+                least = np.maximum(floors, np.partition(sims, -k, axis=1)[:, -k] - tree.SLACK)
+            x, y = np.nonzero(sims >= np.maximum(least, -2.0)[:, None])
+            if not len(x):
+                continue
+            i, j, score = np.append(i, x), np.append(j, place[y]), np.append(score, _products(a, b, x, y))
+            order = np.lexsort((j, -score, i))  # places are in the order of identifiers: ties go to the smaller one
+            i, j, score = i[order], j[order], score[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            last = rank == k - 1
+            floors = floors.copy()
+            floors[i[last]] = np.maximum(floors[i[last]], score[last] - tree.SLACK)
+            i, j, score = (c[rank < k] for c in (i, j, score))
+        return ids_a[i], j, score
+
+    def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ours, theirs = _sides(batches)
+        listed = [_ids(t.ids) for t in theirs]
+        place, known = pd.factorize(np.concatenate(listed), sort=True)
+        at = np.cumsum([0] + [len(x) for x in listed])
+        names = {q: (x, units["b"](t.vectors), place[at[q] : at[q + 1]]) for q, (t, x) in enumerate(zip(theirs, listed))}
+        known = np.asarray(known)
+        tops = tree.most(tree.gaps(*_balls(ours), *_balls(theirs)))
+        for own, bounds in zip(ours, tops):
+            asked, j, score = nearest(own, [(q, theirs[q]) for q in np.argsort(-bounds, kind="stable")], bounds, names)
+            yield pd.DataFrame({"query_id": asked, "id": known[j], "similarity": score})
 
     if n > tree.TILE_ROWS:
         pairs = tree.seeds(left, right, k + 1)
         known = pairs.join(side(left, "a"), "a").join(side(right, "b"), "b").groupBy("a").applyInPandas(bound, "tile long, floor double, floors array<double>").checkpoint()
         leaves = left.rows.select("tile", "leaf").join(known, "tile", "left").groupBy("leaf").agg(F.min(F.coalesce("floor", F.lit(-2.0))).alias("floor")).collect()
         meet = tree.meeting(left, right, {r.leaf: r.floor for r in leaves}, known.select("tile", "floor"))
-        asking = side(left, "a").join(known.select(F.col("tile").alias("a"), "floors"), "a", "left")
+        asking = known.select("tile", "floors")
     else:
         meet = tree.meeting(left, right, -2.0)
-        asking = side(left, "a").withColumn("floors", F.lit(None).cast("array<double>"))
-    both = meet.join(asking, "a").join(side(right, "b"), "b")
-    found = both.groupBy("a", "b").applyInPandas(run, f"query_id {kind}, id {kind}, similarity double")
+        asking = left.rows.select("tile", F.lit(None).cast("array<double>").alias("floors"))
+    both = tree.block_pairs(meet, left, right, [], asking)
+    found = both.groupBy("block_a", "block_b").applyInPandas(run, f"query_id {asker}, id {kind}, similarity double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 

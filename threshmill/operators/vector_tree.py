@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threshmill.operators.clusters import set_checkpoint_dir
@@ -25,13 +25,15 @@ TILE_ROWS = 2048
 SAMPLE_ROWS, LEAF_SAMPLE = 20_000, 40
 #: Bytes of vectors that one task cuts into tiles.
 CHUNK_BYTES = 64 << 20
+#: Blocks that the tiles are dealt to, and bytes of vectors that a block holds at most: a task multiplies two blocks.
+BLOCKS, BLOCK_BYTES = 12, 32 << 20
 #: Room for rounding in a bound.
 SLACK = 1e-9
 
 
 def units(vectors) -> np.ndarray:
     """Rows in unit length; a zero vector stays zero."""
-    v = np.stack([np.asarray(x, np.float64) for x in vectors])
+    v = vectors.astype(np.float64) if isinstance(vectors, np.ndarray) and vectors.ndim == 2 else np.stack([np.asarray(x, np.float64) for x in vectors])
     n = np.linalg.norm(v, axis=1, keepdims=True)
     return v / np.where(n == 0, 1, n)
 
@@ -93,11 +95,30 @@ def split(points: np.ndarray, rows: int) -> Iterator[np.ndarray]:
 
 @dataclass
 class Tiles:
-    """``rows``: (tile, leaf, n, ids, vectors, centre, radius, extras). ``leaves``: number, centre and radius of each leaf."""
+    """``rows``: (tile, leaf, n, ids, vectors, centre, radius, extras). ``leaves``: number, centre and radius of each leaf.
+
+    Vectors are as given, in ``real`` numbers of four or eight bytes; ``units`` has their unit vectors."""
 
     rows: DataFrame
     leaves: pd.DataFrame
     width: int
+    real: type = np.float64
+    n: int = 0
+
+    def units(self, vectors: bytes) -> np.ndarray:
+        return units(np.frombuffer(vectors, self.real).reshape(-1, self.width))
+
+    def blocks(self) -> DataFrame:
+        """(tile, block): runs of tiles in the tree's order, as many as ``BLOCKS`` or as their bytes ask for."""
+        rows = max(1, min(max(TILE_ROWS, -(-self.n // BLOCKS)), BLOCK_BYTES // (8 * self.width)))
+        before = F.sum("n").over(Window.partitionBy("leaf").orderBy("tile")) - F.col("n")
+        sizes = self.rows.groupBy("leaf").agg(F.sum("n").alias("size")).orderBy("leaf").collect()  # a row for each leaf, of which the sample bounds the number
+        starts, at = [], 0
+        for leaf, size in sizes:
+            starts.append((leaf, at))
+            at += size
+        placed = self.rows.select("tile", "leaf", "n").withColumn("before", before).join(F.broadcast(self.rows.sparkSession.createDataFrame(starts, "leaf long, start long")), "leaf")
+        return placed.select("tile", F.floor((F.col("start") + F.col("before")) / rows).alias("block"))
 
     def balls(self) -> DataFrame:
         """The balls of each leaf's tiles, packed in a row."""
@@ -107,7 +128,7 @@ class Tiles:
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, *extra: str) -> DataFrame:
     """(id, v, extras) of the rows that take part: with an identifier and a vector, not empty, of finite components."""
-    v = F.col(vector_col).cast("array<double>")
+    v = F.col(vector_col) if dict(vectors.dtypes)[vector_col] == "array<float>" else F.col(vector_col).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vectors.filter(F.coalesce((F.size(v) > 0) & finite & F.col(id_col).isNotNull(), F.lit(False))).select(F.col(id_col).alias("id"), v.alias("v"), *extra)
 
@@ -129,6 +150,7 @@ def tiled(rows: DataFrame, n: int, cuts: list[tuple[np.ndarray, float]], extra:
     spark = rows.sparkSession
     set_checkpoint_dir(spark)
     kinds = dict(rows.dtypes)
+    real = np.float32 if kinds["v"] == "array<float>" else np.float64
     widths = [r[0] for r in rows.select(F.size("v")).distinct().limit(2).collect()]
     if len(widths) > 1:
         raise ValueError("vectors of different lengths")
@@ -157,15 +179,16 @@ def tiled(rows: DataFrame, n: int, cuts: list[tuple[np.ndarray, float]], extra:
         out = []
         for i, at in enumerate(split(points, TILE_ROWS)):
             own = points[at]
+            raw = np.stack([np.asarray(x, real) for x in pdf["v"].iloc[at]])
             centre = own.mean(0)
             radius = float(np.sqrt(((own - centre) ** 2).sum(1).max()))
-            out.append(((leaf << 40) | (chunk << 20) | i, leaf, len(at), pdf["id"].iloc[at].tolist(), own.tobytes(), centre.tobytes(), radius, *(pdf[c].iloc[at].tolist() for c in extra)))
+            out.append(((leaf << 40) | (chunk << 20) | i, leaf, len(at), pdf["id"].iloc[at].tolist(), raw.tobytes(), centre.tobytes(), radius, *(pdf[c].iloc[at].tolist() for c in extra)))
         return pd.DataFrame(out, columns=["tile", "leaf", "n", "ids", "vectors", "centre", "radius", *extra])
 
     tiles = salted.groupBy("leaf", "chunk").applyInPandas(tile_up, schema)
     if not cuts:
-        return Tiles(tiles.checkpoint() if chunks or n > TILE_ROWS else tiles, pd.DataFrame([(0, np.zeros(width), 1.0)], columns=["leaf", "centre", "radius"]), width)
-    tiles = Tiles(tiles.checkpoint(), pd.DataFrame(), width)
+        return Tiles(tiles.checkpoint() if chunks or n > TILE_ROWS else tiles, pd.DataFrame([(0, np.zeros(width), 1.0)], columns=["leaf", "centre", "radius"]), width, real, n)
+    tiles = Tiles(tiles.checkpoint(), pd.DataFrame(), width, real, n)
 
     def round_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -251,3 +274,23 @@ def seeds(a: Tiles, b: Tiles, rows: int) -> DataFrame:
                     yield pd.DataFrame({"a": own["tile"], "b": [y[i]["tile"] for i in few]})
 
     return both.mapInPandas(run, "a long, b long")
+
+
+def block_pairs(meet: DataFrame, a: Tiles, b: Tiles, columns: list[str], asking: DataFrame | None = None) -> DataFrame:
+    """The tiles of each pair of blocks of which tiles meet: (block_a, block_b, side, tile, ids, vectors, centre, radius, columns).
+
+    A block of its own pair comes as side a alone if ``a`` is ``b``. So a tile is sent once for each block that its own
+    meets, not for each tile. ``asking`` (tile, floor, floors) goes with the tiles of side a.
+    """
+    own = a is b
+    left = a.blocks()
+    right = left if own else b.blocks()
+    name = lambda df, s: df.select(F.col("tile").alias(s), F.col("block").alias(f"block_{s}"))
+    pairs = meet.join(name(left, "a"), "a").join(name(right, "b"), "b").select("block_a", "block_b").distinct().checkpoint()
+    wide = lambda t, blocks, s: t.rows.join(blocks, "tile").select(F.col("block").alias(f"block_{s}"), F.lit(s).alias("side"), "tile", "ids", "vectors", "centre", "radius", *columns)
+    sides = [pairs.join(wide(a, left, "a"), "block_a"), (pairs.filter("block_a <> block_b") if own else pairs).join(wide(b, right, "b"), "block_b")]
+    if asking is not None:
+        none = [F.lit(None).cast(t).alias(c) for c, t in asking.dtypes if c != "tile"]
+        sides = [sides[0].join(asking, "tile", "left"), sides[1].select("*", *none)]
+    both = sides[0].unionByName(sides[1])
+    return both.repartition(max(1, min(4096, 2 * pairs.count())), "block_a", "block_b")
