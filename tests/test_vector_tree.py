@@ -114,3 +114,24 @@ def test_a_tile_is_sent_once_for_each_block(spark, small, monkeypatch):
     assert meet.count() == count * (count + 1) // 2
     blocks = tiles.blocks().select("block").distinct().count()
     assert 3 <= blocks <= 4 and sent.count() == count * blocks
+
+
+def test_reduced_pairs_equal_pairs(spark, small):
+    rows = clustered(300, 12, spread=0.3)
+    s, n = cosines(rows), len(rows)
+    df = frame(spark, rows + ODD[:-1])
+    edges = [0.5, 0.8, 0.95, 1.5]
+    upper = [(s[i, j], rows[i][2] == rows[j][2]) for i in range(n) for j in range(i + 1, n)]
+    counts = similarity.counted_above(df, "id", "v", edges, "g")
+    wanted = {(t, sum(x >= t for x, _ in upper), sum(x >= t and e for x, e in upper)) for t in edges[:3]}
+    assert {tuple(r) for r in similarity.swept(counts, edges).collect()} == wanted
+    best = {r.id_a: r.similarity for r in similarity.best_above(df, "id", "v", edges).collect()}
+    assert best.keys() == {i for i in range(n - 1) if s[i, i + 1 :].max() >= 0.5}
+    assert all(abs(v - s[i, i + 1 :].max()) < 1e-12 for i, v in best.items())
+
+
+def test_a_task_sends_stars_only(spark, small):
+    rows = clustered(300, 3, spread=0.01)  # 14850 pairs at least
+    stars = similarity.components_above(frame(spark, rows), "id", "v", 0.9).collect()
+    assert 297 <= len(stars) < 14 * 300
+    assert {r.a % 3 == r.b % 3 for r in stars} == {True}

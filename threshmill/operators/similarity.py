@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threshmill.operators import clusters
 from threshmill.operators import vector_tree as tree
 
 #: Pairs whose similarity is recomputed at a time, and pairs that leave a task at a time.
@@ -105,6 +106,45 @@ def pairs_above(vectors: DataFrame, id_col: str, vector_col: str, threshold: flo
     return both.groupBy("block_a", "block_b").applyInPandas(run, schema if combine else f"id_a {kind}, id_b {kind}, similarity double")
 
 
+def components_above(vectors: DataFrame, id_col: str, vector_col: str, threshold: float) -> DataFrame:
+    """Edges (a, b) with the components of the pairs of ``pairs_above``: of its pairs a task sends stars, no more than it has rows."""
+    kind = dict(vectors.dtypes)[id_col]
+    stars = lambda found: clusters.as_stars(p.rename(columns={"id_a": "a", "id_b": "b"}) for p in found)
+    return pairs_above(vectors, id_col, vector_col, threshold, combine=stars, schema=f"a {kind}, b {kind}")
+
+
+def counted_above(vectors: DataFrame, id_col: str, vector_col: str, edges: list[float], label_col: str | None = None) -> DataFrame:
+    """(edge, pairs, same): how many pairs reach each of the rising ``edges`` but not the next, and how many of them have one label; tasks count."""
+
+    def count(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, same = np.zeros(len(edges), np.int64), np.zeros(len(edges), np.int64)
+        for pairs in found:
+            at = np.searchsorted(edges, pairs["similarity"], "right") - 1
+            total += np.bincount(at, minlength=len(edges))
+            if label_col:
+                same += np.bincount(at[(pairs[f"{label_col}_a"] == pairs[f"{label_col}_b"]).to_numpy(bool)], minlength=len(edges))
+        yield pd.DataFrame({"edge": edges, "pairs": total, "same": same})
+
+    found = pairs_above(vectors, id_col, vector_col, edges[0], extra=(label_col,) if label_col else (), combine=count, schema="edge double, pairs long, same long", edges=tuple(edges))
+    return found.groupBy("edge").agg(F.sum("pairs").alias("pairs"), F.sum("same").alias("same"))
+
+
+def best_above(vectors: DataFrame, id_col: str, vector_col: str, edges: list[float]) -> DataFrame:
+    """(id_a, similarity): the best similarity of each vector to those with a greater id, if it reaches the least of ``edges``; tasks keep the best."""
+    kind = dict(vectors.dtypes)[id_col]
+
+    def best(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pairs in found:
+            own = pairs.groupby("id_a", as_index=False)["similarity"].max()
+            held = own if held is None else pd.concat([held, own]).groupby("id_a", as_index=False)["similarity"].max()
+        if held is not None:
+            yield held
+
+    found = pairs_above(vectors, id_col, vector_col, edges[0], combine=best, schema=f"id_a {kind}, similarity double", edges=tuple(edges))
+    return found.groupBy("id_a").agg(F.max("similarity").alias("similarity"))
+
+
 def _chunked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rows of many frames in fewer."""
     held, size = [], 0
@@ -250,6 +290,20 @@ def buckets(values: DataFrame, value: str, edges: list[float]) -> DataFrame:
     return dim.join(counted, "bucket", "left").select("bucket", "low", "high", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def swept(counts: DataFrame, thresholds: list[float]) -> DataFrame:
+    """(threshold, pairs, same) of ``counted_above``: how many reach each threshold that any reaches."""
+    rows = counts.filter("pairs > 0").withColumn("threshold", F.explode(F.array(*(F.lit(t) for t in thresholds))))
+    over = F.col("edge") >= F.col("threshold")
+    sums = (F.sum(F.when(over, F.col(c)).otherwise(0)).cast("long").alias(c) for c in ("pairs", "same"))
+    return rows.groupBy("threshold").agg(*sums).filter("pairs > 0")
+
+
+def counted_buckets(counts: DataFrame, edges: list[float]) -> DataFrame:
+    """As ``buckets``, of ``counted_above``."""
+    dim = counts.sparkSession.createDataFrame(list(zip(range(len(edges) - 1), edges, edges[1:])), "bucket int, low double, high double")
+    return dim.join(counts.select(F.col("edge").alias("low"), "pairs"), "low", "left").select("bucket", "low", "high", F.coalesce("pairs", F.lit(0)).cast("long").alias("n"))
+
+
 def centroids(vectors: DataFrame, key: str, vector_col: str) -> DataFrame:
     """Element-wise mean of each key's vectors, combined before the shuffle."""
     flat = vectors.select(key, F.posexplode(vector_col).alias("at", "x"))

@@ -153,9 +153,8 @@ def foreign_pairs(pairs: DataFrame, owners: DataFrame) -> DataFrame:
     return both.filter(~F.arrays_overlap("owned_a", "owned_b")).drop("owned_a", "owned_b")
 
 
-def internal_similarity(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Of each cluster: its size, its pairs inside, their least and mean similarity and least confidence; (node, cluster) and (a, b, similarity, confidence)."""
-    a, b = members.select(c("node").alias("a"), "cluster"), members.select(c("node").alias("b"), c("cluster").alias("cluster_b"))
-    inside = pairs.join(a, "a").join(b, "b").filter("cluster = cluster_b")
-    found = inside.groupBy("cluster").agg(F.count("*").alias("pairs"), F.min("similarity").alias("least"), F.avg("similarity").alias("mean"), F.min("confidence").alias("least_confidence"))
+def internal_similarity(parts: DataFrame, members: DataFrame) -> DataFrame:
+    """Of each cluster: its size, its pairs inside, their least and mean similarity and least confidence; (node, cluster), and sums over pairs inside
+    (cluster, pairs, least, total, least_confidence), any number of rows for a cluster."""
+    found = parts.groupBy("cluster").agg(F.sum("pairs").alias("pairs"), F.min("least").alias("least"), (F.sum("total") / F.sum("pairs")).alias("mean"), F.min("least_confidence").alias("least_confidence"))
     return members.groupBy("cluster").agg(F.count("*").alias("members")).join(found, "cluster", "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)))
