@@ -1,3 +1,5 @@
+import re
+
 from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
@@ -59,3 +61,18 @@ def test_vectors(spark):
     v = F.array(F.lit(3.0), F.lit(4.0))
     zero = F.array(F.lit(0.0), F.lit(0.0))
     assert one(spark, V.cosine(v, v), V.cosine(v, zero), V.unit(v), V.unit(zero), V.checked(v, 2), V.checked(v, 3)) == (1.0, 0.0, [0.6, 0.8], [0.0, 0.0], True, False)
+
+
+def test_equal_pairs_of_texts_are_compared_once(spark):
+    """The ratio of a batch, and one Python function in a plan that asks for it twice."""
+    rows = spark.createDataFrame([("abcd", "bcde"), ("abcd", "bcde"), (None, ""), ("x", None), ("same", "same")], "a string, b string")
+    both = rows.select(T.sequence_similarity("a", "b").alias("r"), T.text_similarity("a", "b").alias("t"))
+    assert [r.r for r in both.collect()] == [0.75, 0.75, 1.0, 0.0, 1.0]
+    assert len(set(re.findall(r"_ratio\([^)]*\)+#\d+", both._jdf.queryExecution().optimizedPlan().toString()))) <= 1
+
+
+def test_comparisons_are_spread_over_tasks(spark, sf_dir):
+    from threshmill.plans import conversations, scalars
+
+    for name in (conversations.title_similarity, scalars.issue_similarity):
+        assert "REPARTITION_BY_NUM" in name(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

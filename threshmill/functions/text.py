@@ -6,6 +6,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
@@ -175,13 +176,24 @@ def bigram_jaccard(a: Column | str, b: Column | str) -> Column:
     return F.when((F.size(x) == 0) & (F.size(y) == 0), 1.0).otherwise(F.size(F.array_intersect(x, y)) / F.greatest(F.size(F.array_union(x, y)), F.lit(1)))
 
 
+@F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+    """Equal pairs of a batch are compared once."""
+    known: dict = {}
+    out = []
+    for pair in zip(a, b):
+        if pair not in known:
+            known[pair] = 1.0 if pair[0] == pair[1] else SequenceMatcher(None, *pair).ratio()
+        out.append(known[pair])
+    return pd.Series(out, dtype="float64")
 
 
 def sequence_similarity(a: Column | str, b: Column | str) -> Column:
-    """Ratcliff-Obershelp ratio; no built-in gives it, so texts cross to Python in Arrow batches."""
-    return F.pandas_udf(_ratio, "double")(F.coalesce(_col(a), F.lit("")), F.coalesce(_col(b), F.lit("")))
+    """Ratcliff-Obershelp ratio; no built-in gives it, so texts cross to Python in Arrow batches.
+
+    A function made once, so that a plan that asks for the same ratio twice compares once.
+    """
+    return _ratio(F.coalesce(_col(a), F.lit("")), F.coalesce(_col(b), F.lit("")))
 
 
 def text_similarity(a: Column | str, b: Column | str) -> Column:

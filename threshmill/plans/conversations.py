@@ -116,10 +116,15 @@ def asked_and_answered(spark, sf):
     return read(spark, sf, "conversations").select("conv_id", "turn", "role", "text", before.alias("question"), after.alias("answer"))
 
 
+def spread(spark, turns):
+    """Turns dealt apart from their conversations: comparing texts takes long, so neither a long conversation nor a small shuffle may end in few tasks."""
+    return turns.repartition(8 * spark.sparkContext.defaultParallelism, "conv_id", "turn")
+
+
 @query()
 def title_similarity(spark, sf):
     """Ratcliff-Obershelp and bigram similarity of each answer with its question, whole text against whole text."""
-    rows = asked_and_answered(spark, sf).filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("a"), F.coalesce("question", F.lit("")).alias("b"))
+    rows = spread(spark, asked_and_answered(spark, sf).filter("role = 'assistant'")).select("conv_id", "turn", F.col("text").alias("a"), F.coalesce("question", F.lit("")).alias("b"))
     return rows.select("conv_id", "turn", F.round(T.sequence_similarity("a", "b"), 6).alias("sequence"), F.round(T.text_similarity("a", "b"), 6).alias("similarity"))
 
 

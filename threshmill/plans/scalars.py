@@ -125,9 +125,9 @@ def mention_lines(spark, sf):
 @query()
 def issue_similarity(spark, sf):
     """Similarity of each answer's turn with the question before it, as issues with normalized text, text and role."""
-    from threshmill.plans.conversations import asked_and_answered
+    from threshmill.plans.conversations import asked_and_answered, spread
 
-    rows = asked_and_answered(spark, sf).filter("role = 'assistant' and question is not null")
+    rows = spread(spark, asked_and_answered(spark, sf).filter("role = 'assistant' and question is not null"))
     s = T.issue_similarity((T.normalize("text"), T.normalize("question")), ("text", "question"), (F.lit("assistant"), F.lit("user")))
     return rows.select("conv_id", "turn", F.round(s, 6).alias("similarity"))
 
