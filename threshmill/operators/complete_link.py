@@ -12,6 +12,7 @@ then the pairs are counted anew: two clusters still may merge if as many pairs a
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -25,11 +26,12 @@ TASK_ROWS = 500_000
 JUMPS = 3
 
 
-def settle(pairs: list[tuple]) -> dict:
+def settle(pairs: list[tuple], linked: Callable | None = None, joined: Callable | None = None) -> dict:
     """Merges among the clusters whose pairs (x, y, rank) are all given, x being one of them: {x: name of its cluster}.
 
     Pairs are taken by rank. A cluster whose best partner is another's business stays as it is, and so does one whose
-    best partner stays.
+    best partner stays. If worse pairs are not given, ``linked`` of a cluster and others tells with which it may merge, and
+    is told of merges by ``joined`` (both and their name).
     """
     near: dict = {}
     for x, y, rank in pairs:
@@ -51,6 +53,11 @@ def settle(pairs: list[tuple]) -> dict:
         low, high = min(x, y), max(x, y)
         a, b = near.pop(x), near.pop(y)
         both = {p: min(a[p], b[p]) for p in a.keys() & b.keys()}
+        if linked:
+            for own, other in ((a, y), (b, x)):
+                once = [p for p in own if p not in both and p != other]
+                both |= {p: own[p] for p in (linked(other, once) if once else ())}
+            joined(x, y, low)
         for p in (a.keys() | b.keys()) & near.keys():
             near[p].pop(x, None)
             near[p].pop(y, None)
@@ -69,22 +76,27 @@ def settle(pairs: list[tuple]) -> dict:
     return out
 
 
+def moved(found: dict) -> pd.DataFrame:
+    """The clusters of ``settle`` that merge."""
+    parts: dict = {}
+    for top in found.values():
+        parts[top] = parts.get(top, 0) + 1
+    rows = [(x, top, parts[top]) for x, top in found.items() if parts[top] > 1]
+    return pd.DataFrame(rows, columns=["node", "cluster", "parts"])
+
+
 def _settled(pairs: DataFrame, group: str, kind: str) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = settle(list(pdf[["x", "y", "rank"]].itertuples(index=False, name=None)))
-        parts: dict = {}
-        for top in found.values():
-            parts[top] = parts.get(top, 0) + 1
-        rows = [(x, top, parts[top]) for x, top in found.items() if parts[top] > 1]
-        return pd.DataFrame(rows, columns=["node", "cluster", "parts"])
+        return moved(settle(list(pdf[["x", "y", "rank"]].itertuples(index=False, name=None))))
 
     return pairs.groupBy(group).applyInPandas(run, f"node {kind}, cluster {kind}, parts long")
 
 
-def _merges(pairs: DataFrame, n: int, kind: str, task_rows: int) -> DataFrame:
+def _merges(pairs: DataFrame, n: int, kind: str, task_rows: int, settled: Callable | None = None) -> DataFrame:
     """(node, cluster, parts) of the clusters that merge in a round: at least the two with the best edge of all."""
+    settled = settled or _settled
     if n <= task_rows:
-        return _settled(pairs.withColumn("root", F.lit(0)), "root", kind)
+        return settled(pairs.withColumn("root", F.lit(0)), "root", kind)
     best = pairs.groupBy("x").agg(F.min(F.struct("rank", "y")).alias("b"), F.count("*").alias("degree"))
     best = best.select("x", F.col("b.y").alias("partner"), F.col("b.rank").alias("rank"), "degree")
     back = best.select(F.col("x").alias("partner"), F.col("partner").alias("back"))
@@ -97,7 +109,7 @@ def _merges(pairs: DataFrame, n: int, kind: str, task_rows: int) -> DataFrame:
     taken = roots.withColumn("taken", so_far <= task_rows)
     groups = taken.filter("taken").groupBy("root").agg(F.count("*").alias("members")).filter("members > 1").select("root")
     inside = taken.filter("taken").join(groups, "root").select("x", "root")
-    done = _settled(pairs.join(inside, "x"), "root", kind)
+    done = settled(pairs.join(inside, "x"), "root", kind)
     alone = taken.filter("mutual").join(groups, "root", "left_anti").select(F.col("x").alias("node"), F.least("x", "partner").alias("cluster"), F.lit(2).cast("long").alias("parts"))
     return done.unionByName(alone)
 
