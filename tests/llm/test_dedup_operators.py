@@ -81,6 +81,25 @@ def test_null_vector_identifiers(spark):
     assert len(got) == 4 and got[-1][0] == 4
 
 
+def shuffled(spark, job):
+    """Bytes that the stages of a job write to shuffles."""
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+    stages = lambda: {s.stageId(): s.shuffleWriteBytes() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList()))}
+    before = stages()
+    job()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(n for i, n in stages().items() if i not in before)
+
+
+def test_vectors_are_shuffled_once(spark, monkeypatch):
+    """What goes to disk follows the rows, not the pairs of tiles, and no vector of the result is lost."""
+    monkeypatch.setattr(embeddings, "TILE", 16)
+    v = np.random.default_rng(5).normal(size=(1200, 64))
+    frame = lambda n: spark.createDataFrame([(i, x) for i, x in enumerate(v[:n].tolist())], "vec_id long, embedding array<float>")
+    few, many = (shuffled(spark, lambda n=n: embeddings.near_duplicates(frame(n)).collect()) for n in (300, 1200))
+    assert 0 < many < 6 * few and many < 4 * 1200 * 64 * 4
+
+
 # --- 8
 
 

@@ -1,13 +1,16 @@
 """Near-duplicate vectors by PCA-ordered tiled comparison (operator 5).
 
-1. Vectors are cleaned and normed in double precision; equal ones form one class with one representative.
+1. Vectors are cleaned and packed as given, in floats or doubles, and normed in double precision where they are used;
+   equal ones form one class with one representative.
 2. The principal axes come from the covariance of all vectors, summed by partition. Vectors are ordered by a tree of
-   medians over the leading axes and cut into tiles of at most ``TILE``; a tile knows the box of its leading
+   medians over the leading axes and cut into tiles of some ``TILE``; a tile knows the box of its leading
    coordinates. Two tiles meet only if their boxes are no farther apart than linked vectors can be.
+   The tiles are written once, and each task reads its part of both sides; no tile is copied for those it meets.
 3. In a pair of tiles the products of the leading coordinates are added up first. What the rest can add is bounded by
    the product of the suffix norms; where that cannot reach the threshold the pair stops, and only live rows and
    columns go on to the next coordinates. What is left is decided by the whole cosine in double precision.
-4. A pair of tiles returns each vector's number of links and spanning edges of the links, never the links themselves.
+4. A task adds up each vector's number of links over all its pairs of tiles and returns it with spanning edges of the
+   links, never the links themselves.
 
 Defined results: vectors that are null, zero, empty or hold null or non-finite components link with nothing; so do
 vectors of unlike lengths; copies of a row are vectors of their own and link; a null identifier is kept and never
@@ -17,9 +20,9 @@ names a component; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,50 +34,55 @@ THRESHOLD = 0.9
 TILE = 2048
 #: Leading coordinates in a tile's box and in each step of a product.
 BOX_AXES, STEP = 8, 16
-#: Axes of the grid whose cells bring tiles together.
-GRID_AXES = 3
-#: Rows in the bounded sample whose medians place the cuts of the tree.
-CUT_SAMPLE = 10_000
+#: Rows in the bounded sample whose medians place the cuts of the tree, and how many of them a leaf has at least.
+CUT_SAMPLE, LEAF_SAMPLE = 10_000, 8
 #: A product in another order of axes differs from the plain one by less than this.
 SLACK = 1e-9
 
 
-def _unit(raw: bytes) -> np.ndarray:
-    v = np.frombuffer(raw, np.float64)
-    return v / np.sqrt(v @ v)
+def _units(raw: bytes, real: type, dimension: int) -> np.ndarray:
+    """Packed vectors in unit length and double precision; scaled first, so that no norm overflows."""
+    x = np.frombuffer(raw, real).reshape(-1, dimension).astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True, initial=0.0)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec_id, packed doubles, or null where a vector links with nothing."""
+def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, type]:
+    """(vec_id, vector), packed, or null where a vector links with nothing; and the numbers that vectors are packed in."""
+    real = np.float32 if dict(vectors.dtypes)[vector_col] == "array<float>" else np.float64
 
     def run(batches):
         for batch in batches:
-            column = batch.column("v").cast(pa.large_list(pa.float64()))
+            column = batch.column("v").cast(pa.large_list(pa.from_numpy_dtype(real)))
             out = []
-            for v in column.to_pylist():
-                x = None if not v or any(c is None for c in v) else np.array(v, np.float64)
-                if x is not None:
-                    top = np.abs(x).max()
-                    x = x / top if np.isfinite(top) and top > 0 else None  # scaled, so that no norm overflows
-                out.append(None if x is None else (x / np.sqrt(x @ x) + 0.0).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(out, pa.binary())], ["vec_id", "unit"])
+            for v in column:
+                x = v.values.to_numpy(zero_copy_only=False) if v.is_valid and len(v) and not v.values.null_count else None
+                out.append(x.tobytes() if x is not None and np.isfinite(x).all() and x.any() else None)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(out, pa.binary())], ["vec_id", "vector"])
 
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    return rows.mapInArrow(shared.frugal(run), "vec_id long, unit binary")
+    return rows.mapInArrow(shared.frugal(run), "vec_id long, vector binary"), real
 
 
-def principal_axes(units: DataFrame, dimension: int) -> np.ndarray:
-    """Rows: axes in falling order of variance; from sums of ``dimension`` squared numbers a partition."""
+def principal_axes(rows: DataFrame, dimension: int, real: type) -> np.ndarray:
+    """Rows: axes in falling order of variance; ``dimension`` squared numbers leave a partition, and one sum comes to the driver."""
 
-    def run(batches):
+    def squares(batches):
         total = np.zeros((dimension, dimension))
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(-1, dimension)
+            x = _units(b"".join(batch.column("vector").to_pylist()), real, dimension)
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
 
-    sums = [np.frombuffer(r.s, np.float64).reshape(dimension, dimension) for r in units.select("unit").coalesce(32).mapInArrow(shared.frugal(run), "s binary").collect()]
-    _, axes = np.linalg.eigh(sum(sums, np.zeros((dimension, dimension))))
+    def added(batches):
+        total = np.zeros(dimension * dimension)
+        for batch in batches:
+            for s in batch.column("s"):
+                total += np.frombuffer(s.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
+
+    sums = rows.select("vector").mapInArrow(shared.frugal(squares), "s binary").repartition(1).mapInArrow(added, "s binary")
+    _, axes = np.linalg.eigh(np.frombuffer(sums.first().s).reshape(dimension, dimension))
     return axes.T[::-1].copy()
 
 
@@ -170,90 +178,108 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     spark = vectors.sparkSession
     shared.small_batches(spark)
     folder = shared.work_dir(spark, "embeddings")
-    units = shared.staged(spark, clean(vectors, id_col, vector_col), f"{folder}/units")
-    classes = units.filter("unit is not null and vec_id is not null").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
-    classes = shared.staged(spark, classes, f"{folder}/classes")
-    widths = [r.w for r in classes.select(F.length("unit").alias("w")).distinct().collect()]
+    cleaned, real = clean(vectors, id_col, vector_col)
+    rows = shared.staged(spark, cleaned, f"{folder}/rows")
+    usable = rows.filter("vector is not null and vec_id is not null")
     links = edges = None
-    for width in widths:  # one for each length of vectors that there is, as a rule a single one
-        own_links, own_edges = _links(spark, classes.filter(F.length("unit") == width), width // 8, threshold, f"{folder}/{width}")
+    # One run for each length of vectors that there is, as a rule a single one.
+    for width, n, distinct in usable.groupBy(F.length("vector")).agg(F.count("*"), F.approx_count_distinct(F.xxhash64("vector"))).collect():
+        own_links, own_edges = _links(spark, usable.filter(F.length("vector") == width), n, distinct, width // np.dtype(real).itemsize, real, threshold, f"{folder}/{width}")
         links = own_links if links is None else links.unionByName(own_links)
         edges = own_edges if edges is None else edges.unionByName(own_edges)
     if links is None:
         none = F.lit(0).cast("long")
-        return units.select("vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select("vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     counted = links.groupBy("rep").agg(F.sum("n").alias("n"))
     joined = components(spark, edges).withColumnRenamed("node", "rep")
+    # Copies are brought together by a digest, so that vectors are not shuffled for it.
+    digest = F.unhex(F.sha2("vector", 256)).alias("digest")
+    classes = usable.select("vec_id", digest).groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"))
     known = classes.join(counted, "rep", "left").join(joined, "rep", "left")
-    known = known.select("unit", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = units.join(known, "unit", "left")
+    known = known.select("digest", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    out = rows.select("vec_id", digest).join(known, "digest", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id").eqNullSafe(component)).alias("kept"))
 
 
-def tile_pairs(tiles: DataFrame, axes: int, reach: float) -> DataFrame:
-    """Pairs (a, b), a <= b, of the tiles whose boxes of leading coordinates are no farther apart than ``reach``.
+def meeting(boxes: DataFrame, axes: int, reach: float) -> DataFrame:
+    """Rows (column_a, column_b) of pairs of ``boxes`` (tile, lo, hi and others) that are no farther apart than ``reach``, each pair once.
 
-    Boxes meet in the cells of a grid over the first axes, as wide as the reach, that they touch when widened by half of
-    it; a pair is made in the last of the cells that both touch.
+    A task reads a part of each side from where the boxes are stored, so nothing is shuffled. Which of a pair is a goes by
+    a hash, so that tasks are alike.
     """
-    box = tiles.groupBy("tile").agg(*(f(F.element_at("lead", i + 1)).alias(f"{name}{i}") for i in range(axes) for name, f in (("lo", F.min), ("hi", F.max))))
-    grid = min(GRID_AXES, axes)
-    cell = lambda x: F.floor(x / F.lit(reach))
-    for i in range(grid):
-        first = cell(F.col(f"lo{i}") - F.lit(reach / 2))
-        box = box.withColumn(f"first{i}", first).withColumn(f"cell{i}", F.explode(F.sequence(first, cell(F.col(f"hi{i}") + F.lit(reach / 2)))))
-    a, b = box.alias("a"), box.alias("b")
-    apart = sum((F.pow(F.greatest(F.lit(0.0), F.col(f"a.lo{i}") - F.col(f"b.hi{i}"), F.col(f"b.lo{i}") - F.col(f"a.hi{i}")), F.lit(2.0)) for i in range(axes)), F.lit(0.0))
-    same = [F.col(f"a.cell{i}") == F.col(f"b.cell{i}") for i in range(grid)]
-    last = [F.col(f"a.cell{i}") == F.greatest(f"a.first{i}", f"b.first{i}") for i in range(grid)]
-    near = (F.col("a.tile") <= F.col("b.tile")) & (apart <= F.lit(reach * reach + SLACK))
-    return a.join(b, reduce(lambda x, y: x & y, [*same, *last, near])).select(F.col("a.tile").alias("a"), F.col("b.tile").alias("b"))
-
-
-def _links(spark: SparkSession, classes: DataFrame, dimension: int, threshold: float, folder: str) -> tuple[DataFrame, DataFrame]:
-    n = classes.count()
-    axes = principal_axes(classes, dimension)
-    leaves = -(-n // TILE)
+    a, b = (boxes.select(*(F.col(c).alias(f"{c}_{s}") for c in boxes.columns)) for s in "ab")
+    gap = lambda i: F.greatest(F.lit(0.0), F.get("lo_a", F.lit(i)) - F.get("hi_b", F.lit(i)), F.get("lo_b", F.lit(i)) - F.get("hi_a", F.lit(i)))
+    apart = sum((F.pow(gap(i), F.lit(2.0)) for i in range(axes)), F.lit(0.0))
+    even = F.pmod(F.hash(F.least("tile_a", "tile_b"), F.greatest("tile_a", "tile_b")), F.lit(2)) == 0
+    once = F.when(even, F.col("tile_a") <= F.col("tile_b")).otherwise(F.col("tile_a") >= F.col("tile_b"))
+    return a.join(b.hint("shuffle_replicate_nl"), once & (apart <= F.lit(reach * reach + SLACK)))
+
+
+def tile_pairs(tiles: DataFrame, axes: int, reach: float) -> DataFrame:
+    """Pairs (a, b), a <= b, of the tiles whose boxes of leading coordinates are no farther apart than ``reach``."""
+    corner = lambda f: F.array(*(f(F.element_at("lead", i + 1)) for i in range(axes)))
+    met = meeting(tiles.groupBy("tile").agg(corner(F.min).alias("lo"), corner(F.max).alias("hi")), axes, reach)
+    return met.select(F.least("tile_a", "tile_b").alias("a"), F.greatest("tile_a", "tile_b").alias("b"))
+
+
+def _links(spark: SparkSession, rows: DataFrame, n: int, distinct: int, dimension: int, real: type, threshold: float, folder: str) -> tuple[DataFrame, DataFrame]:
+    axes = principal_axes(rows, dimension, real)
+    leaves = min(-(-distinct // TILE), CUT_SAMPLE // LEAF_SAMPLE)
     share = min(1.0, CUT_SAMPLE / max(1, n))
-    sample = classes.filter(F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))).select("unit").collect()
-    points = np.array([_unit(r.unit) for r in sample]).reshape(-1, dimension) @ axes[:BOX_AXES].T
+    sample = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))).select("vector").limit(2 * CUT_SAMPLE).collect()
+    points = _units(b"".join({bytes(r.vector) for r in sample}), real, dimension) @ axes[:BOX_AXES].T
     cuts = _tree(points, leaves)
 
-    def place(batches):
-        for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("unit").to_pylist()), np.float64).reshape(-1, dimension) @ axes[:BOX_AXES].T
-            yield pa.RecordBatch.from_arrays([pa.array(_leaf(x, cuts)), *(batch.column(c) for c in ("rep", "size", "unit")), pa.array(list(x), pa.list_(pa.float64()))], ["leaf", "rep", "size", "unit", "lead"])
-
-    placed = classes.select("rep", "size", "unit").mapInArrow(shared.frugal(place), "leaf long, rep long, size long, unit binary, lead array<double>")
-    # A leaf may hold more than a tile; its rows are dealt over as many tiles by hash.
-    in_leaf = placed.groupBy("leaf").agg(F.ceil(F.count("*") / TILE).cast("long").alias("cells"))
-    tiles = placed.join(in_leaf, "leaf").withColumn("tile", F.col("leaf") * F.lit(1 << 32) + F.pmod(F.xxhash64("rep"), F.col("cells")))
-    tiles = shared.staged(spark, tiles.drop("cells"), f"{folder}-tiles")
-    axes_used = min(BOX_AXES, dimension)
-    meet = tile_pairs(tiles, min(BOX_AXES, dimension), float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK)
-    packed = tiles.groupBy("tile").agg(F.sort_array(F.collect_list(F.struct("rep", "size", "unit"))).alias("rows"))
+    def place(cells):
+        """Each vector's leaf, copies of a batch once; and over how many tiles the leaf's vectors are dealt by hash."""
+
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    own = pa.Table.from_batches([batch]).group_by("vector").aggregate([("vec_id", "min"), ("vec_id", "count")]).combine_chunks()
+                    leaf = _leaf(_units(b"".join(own["vector"].to_pylist()), real, dimension) @ axes[:BOX_AXES].T, cuts)
+                    table = pa.table([pa.array(leaf), pa.array([cells.get(x, 1) for x in leaf.tolist()], pa.int64()), own["vec_id_min"], own["vec_id_count"], own["vector"]], ["leaf", "cells", "rep", "size", "vector"])
+                    yield from table.to_batches()
+
+        return rows.mapInArrow(shared.frugal(run), "leaf long, cells long, rep long, size long, vector binary")
+
+    def pack(pdf):
+        own = pdf.groupby("vector", sort=False).agg(rep=("rep", "min"), size=("size", "sum")).reset_index().sort_values("rep")
+        vectors = b"".join(own["vector"])
+        lead = _units(vectors, real, dimension) @ axes[:BOX_AXES].T
+        return pd.DataFrame({"tile": pdf["tile"].iloc[:1], "reps": [own["rep"].tolist()], "sizes": [own["size"].tolist()], "vectors": [vectors], "lo": [lead.min(0).tolist()], "hi": [lead.max(0).tolist()]})
+
+    in_leaf = place({}).groupBy("leaf").agg(F.approx_count_distinct(F.xxhash64("vector"))).collect()  # a row for each leaf, of which the sample bounds the number
+    tile = F.col("leaf") * F.lit(1 << 32) + F.pmod(F.xxhash64("vector"), F.col("cells"))
+    placed = place({leaf: -(-many // TILE) for leaf, many in in_leaf}).select(tile.alias("tile"), "rep", "size", "vector")
+    packed = placed.groupBy("tile").applyInPandas(pack, "tile long, reps array<long>, sizes array<long>, vectors binary, lo array<double>, hi array<double>")
     packed = shared.staged(spark, packed, f"{folder}-packed")
-    left = packed.select(F.col("tile").alias("a"), F.col("rows").alias("rows_a"))
-    right = packed.select(F.col("tile").alias("b"), F.col("rows").alias("rows_b"))
-    both = meet.join(left, "a").join(right, "b").repartition(shared.parallelism(spark) * 2, "a", "b")
+    both = meeting(packed, min(BOX_AXES, dimension), float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK)
 
     def run(batches):
+        links, forest, held = {}, _Forest(), None
         for batch in batches:
             for k in range(batch.num_rows):
-                a, b = batch.column("a")[k].as_py(), batch.column("b")[k].as_py()
-                sides = []
-                for name in ("rows_a", "rows_b"):
-                    own = batch.column(name)[k].values
-                    sides.append((own.field("rep").to_numpy(), own.field("size").to_numpy(), np.frombuffer(b"".join(own.field("unit").to_pylist()), np.float64).reshape(-1, dimension)))
-                links_a, links_b, edges = compare_tiles(*sides[0], *sides[1], a == b, axes, threshold)
-                rows = [(int(i), int(n), None) for ids, links in ((sides[0][0], links_a), (sides[1][0], links_b)) for i, n in zip(ids, links) if n]
-                rows += [(i, 0, j) for i, j in edges]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["rep", "n", "other"])
-
-    found = shared.staged(spark, both.mapInArrow(shared.frugal(run), "rep long, n long, other long"), f"{folder}-links")
-    shared.remove(spark, f"{folder}-tiles")
+                a, b = batch.column("tile_a")[k].as_py(), batch.column("tile_b")[k].as_py()
+                side = lambda s: (*(batch.column(f"{c}_{s}")[k].values.to_numpy() for c in ("reps", "sizes")), _units(batch.column(f"vectors_{s}")[k].as_py(), real, dimension))  # noqa: B023, E731
+                held = held if held and held[0] == a else (a, side("a"))
+                sides = held[1], held[1] if a == b else side("b")
+                *counts, edges = compare_tiles(*sides[0], *sides[1], a == b, axes, threshold)
+                for t, own, more in zip((a, b), sides, counts):
+                    if more.any():
+                        links.setdefault(t, (own[0].copy(), np.zeros(len(more), np.int64)))[1][:] += more
+                for i, j in edges:
+                    forest.join(i, j)
+        for ids, many in links.values():
+            linked = many > 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(many[linked]), pa.nulls(int(linked.sum()), pa.int64())], ["rep", "n", "other"])
+        if apart := [(i, r) for i in list(forest.up) if (r := forest.root(i)) != i]:
+            i, r = np.array(apart, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(np.zeros(len(i), np.int64)), pa.array(r)], ["rep", "n", "other"])
+
+    columns = [f"{c}_{s}" for s in "ab" for c in ("tile", "reps", "sizes", "vectors")]
+    found = shared.staged(spark, both.select(*columns).mapInArrow(shared.frugal(run), "rep long, n long, other long"), f"{folder}-links")
     shared.remove(spark, f"{folder}-packed")
     return found.filter("n > 0").select("rep", "n"), found.filter("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
