@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,31 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+class Rounds:
+    """Tables of a run of rounds, each written below the checkpoint folder and read back.
+
+    A checkpoint keeps the estimated size of its plan, which each join multiplies, so after some rounds the driver cannot
+    hold the number; a table that is read back has the size of its files. What a table's name stood for before is removed.
+    """
+
+    def __init__(self, spark: SparkSession):
+        set_checkpoint_dir(spark)
+        self.spark, self.at, self.paths = spark, itertools.count(), {}
+        self.folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/rounds-{uuid.uuid4().hex[:12]}"
+
+    def keep(self, name: str, table: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}-{next(self.at)}"
+        table.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(table.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for path in (self.paths.pop(n) for n in names if n in self.paths):
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def number_by_range(rows: DataFrame, *order: str, name: str = "row_no") -> DataFrame:
     """Adds 1, 2, 3 ... in the given order: rows are dealt by range and each range counted, so no task has all rows.
 
@@ -118,16 +145,17 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
 
 def _labels_by_rounds(edges: DataFrame, nodes: DataFrame | None, max_rounds: int) -> DataFrame:
     """Each round takes the least label around a node, then that label's own label, so labels travel twice as far each
-    time. Rounds are cut by a reliable checkpoint."""
+    time. Each round's labels are written."""
+    rounds = Rounds(edges.sparkSession)
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     ids = both.select(F.col("a").alias("node"))
     ids = (ids.unionByName(nodes) if nodes is not None else ids).distinct()
-    labels = ids.withColumn("component", F.col("node")).checkpoint()
+    labels = rounds.keep("labels", ids.withColumn("component", F.col("node")))
     for _ in range(max_rounds):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("near"))
         stepped = labels.join(near, labels["node"] == near["a"], "left").select("node", "component", F.least("component", F.coalesce("near", "component")).alias("new"))
         up = stepped.select(F.col("node").alias("at"), F.col("new").alias("above"))
-        jumped = stepped.join(up, stepped["new"] == up["at"], "left").select("node", "component", F.least("new", "above").alias("new")).checkpoint()
+        jumped = rounds.keep("labels", stepped.join(up, stepped["new"] == up["at"], "left").select("node", "component", F.least("new", "above").alias("new")))
         moved = jumped.filter("new <> component").limit(1).count()
         labels = jumped.select("node", F.col("new").alias("component"))
         if not moved:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threshmill.operators.clusters import number_by_range, set_checkpoint_dir
+from threshmill.operators.clusters import Rounds, number_by_range
 
 #: Rows of pairs that a task settles.
 TASK_ROWS = 500_000
@@ -92,7 +92,7 @@ def _settled(pairs: DataFrame, group: str, kind: str) -> DataFrame:
     return pairs.groupBy(group).applyInPandas(run, f"node {kind}, cluster {kind}, parts long")
 
 
-def _merges(pairs: DataFrame, n: int, kind: str, task_rows: int, settled: Callable | None = None) -> DataFrame:
+def _merges(rounds: Rounds, pairs: DataFrame, n: int, kind: str, task_rows: int, settled: Callable | None = None) -> DataFrame:
     """(node, cluster, parts) of the clusters that merge in a round: at least the two with the best edge of all."""
     settled = settled or _settled
     if n <= task_rows:
@@ -101,7 +101,7 @@ def _merges(pairs: DataFrame, n: int, kind: str, task_rows: int, settled: Callab
     best = best.select("x", F.col("b.y").alias("partner"), F.col("b.rank").alias("rank"), "degree")
     back = best.select(F.col("x").alias("partner"), F.col("partner").alias("back"))
     best = best.join(back, "partner", "left").withColumn("mutual", F.col("back").eqNullSafe(F.col("x")))
-    roots = best.select("x", "partner", "rank", "degree", "mutual", F.when(F.col("mutual"), F.least("x", "partner")).otherwise(F.col("partner")).alias("root")).checkpoint()
+    roots = rounds.keep("roots", best.select("x", "partner", "rank", "degree", "mutual", F.when(F.col("mutual"), F.least("x", "partner")).otherwise(F.col("partner")).alias("root")))
     for _ in range(JUMPS):
         roots = roots.join(roots.select(F.col("x").alias("root"), F.col("root").alias("above")), "root").drop("root").withColumnRenamed("above", "root")
     # The pair that merges comes first in its group; then what hangs on it, as far as a task holds it.
@@ -118,24 +118,25 @@ def complete_link(edges: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """(node, cluster, size) of all nodes of the edges (a, b, similarity, confidence, eligible).
 
     Edges are taken by confidence, similarity (both falling), a and b; a cluster is named by its smallest member. A pair
-    is eligible if one of its rows is. Rounds are cut by reliable checkpoints.
+    is eligible if one of its rows is. Each round's tables are written.
     """
-    set_checkpoint_dir(edges.sparkSession)
+    rounds = Rounds(edges.sparkSession)
     kind = dict(edges.dtypes)["a"]
     good = edges.filter("eligible and a <> b").select("a", "b", (-F.col("confidence")).alias("_c"), (-F.col("similarity")).alias("_s"))
     ranked = number_by_range(good, "_c", "_s", "a", "b", name="rank")
     one = ranked.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min("rank").alias("rank"))
-    pairs = one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y"), "rank")).checkpoint()
-    names = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("cluster", F.col("node")).checkpoint()
+    pairs = rounds.keep("pairs", one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y"), "rank")))
+    names = rounds.keep("names", edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("cluster", F.col("node")))
     while n := pairs.count():
-        moves = _merges(pairs, n, kind, task_rows).checkpoint()
+        moves = rounds.keep("moves", _merges(rounds, pairs, n, kind, task_rows))
         to = moves.select(F.col("node").alias("cluster"), F.col("cluster").alias("top"))
-        names = names.join(to, "cluster", "left").select("node", F.coalesce("top", "cluster").alias("cluster")).checkpoint()
+        names = rounds.keep("names", names.join(to, "cluster", "left").select("node", F.coalesce("top", "cluster").alias("cluster")))
         for side in "xy":
             own = moves.select(F.col("node").alias(side), F.col("cluster").alias("top"), F.col("parts").alias(f"parts_{side}"))
             pairs = pairs.join(own, side, "left").withColumns({side: F.coalesce("top", side), f"parts_{side}": F.coalesce(f"parts_{side}", F.lit(1).cast("long"))}).drop("top")
         counted = pairs.filter("x <> y").groupBy("x", "y", "parts_x", "parts_y").agg(F.count("*").alias("n"), F.min("rank").alias("rank"))
-        pairs = counted.filter("n = parts_x * parts_y").select("x", "y", "rank").checkpoint()
+        pairs = rounds.keep("pairs", counted.filter("n = parts_x * parts_y").select("x", "y", "rank"))
+    rounds.drop("pairs", "moves", "roots")
     return names.join(names.groupBy("cluster").agg(F.count("*").alias("size")), "cluster").select("node", "cluster", "size")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threshmill.operators.clusters import set_checkpoint_dir
+from threshmill.operators.clusters import Rounds
 
 
 def merge_closure(entries: DataFrame, merges: DataFrame, id_col: str, max_rounds: int = 100) -> DataFrame:
@@ -15,24 +15,25 @@ def merge_closure(entries: DataFrame, merges: DataFrame, id_col: str, max_rounds
     from root to node; of several paths the first in depth-first order counts, which is the least of lists. Paths grow by
     a join a round, only from nodes reached for the first time or by a smaller path. A walk round a cycle never makes a
     smaller path, so cycles end; ``in_cycle`` marks roots that were merged from themselves. Rows with a null or unknown parent
-    make no path, children that are no entries are nodes as well, repeated merges count once. Rounds are written
-    (reliable checkpoints).
+    make no path, children that are no entries are nodes as well, repeated merges count once. Each round's tables
+    are written.
     """
-    set_checkpoint_dir(entries.sparkSession)
+    written = Rounds(entries.sparkSession)
     edges = merges.select("parent", "child", "place").filter("child is not null").distinct().checkpoint()
     kind = dict(edges.dtypes)["place"]
     roots = entries.select(F.col(id_col).alias("root")).filter("root is not null").distinct()
-    reached = roots.select("root", F.col("root").alias("node"), F.array().cast(f"array<{kind}>").alias("path")).checkpoint()
+    reached = written.keep("reached0", roots.select("root", F.col("root").alias("node"), F.array().cast(f"array<{kind}>").alias("path")))
     frontier, rounds = reached, []
-    for _ in range(max_rounds):
+    for i in range(1, max_rounds + 1):
         step = frontier.join(edges, F.col("node") == F.col("parent")).select("root", F.col("child").alias("node"), F.concat("path", F.array("place")).alias("path"))
-        best = step.groupBy("root", "node").agg(F.min("path").alias("path")).checkpoint()
-        rounds.append(best.filter("root = node").select("root"))
+        best = written.keep("best", step.groupBy("root", "node").agg(F.min("path").alias("path")))
+        rounds.append(written.keep(f"cycle{i}", best.filter("root = node").select("root")))
         known = reached.withColumnRenamed("path", "was")
-        frontier = best.join(known, ["root", "node"], "left").filter("was is null or path < was").select("root", "node", "path").checkpoint()
+        frontier = written.keep(f"frontier{i}", best.join(known, ["root", "node"], "left").filter("was is null or path < was").select("root", "node", "path"))
         if not frontier.limit(1).count():
             break
-        reached = reached.join(frontier, ["root", "node"], "left_anti").unionByName(frontier).checkpoint()
+        reached = written.keep(f"reached{i}", reached.join(frontier, ["root", "node"], "left_anti").unionByName(frontier))
+        written.drop(f"reached{i - 1}", f"frontier{i - 1}")
     else:
         raise RuntimeError(f"merges reach deeper than {max_rounds}")
     again = rounds[0]
