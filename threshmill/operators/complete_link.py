@@ -102,11 +102,11 @@ def _merges(rounds: Rounds, pairs: DataFrame, n: int, kind: str, task_rows: int,
     back = best.select(F.col("x").alias("partner"), F.col("partner").alias("back"))
     best = best.join(back, "partner", "left").withColumn("mutual", F.col("back").eqNullSafe(F.col("x")))
     roots = rounds.keep("roots", best.select("x", "partner", "rank", "degree", "mutual", F.when(F.col("mutual"), F.least("x", "partner")).otherwise(F.col("partner")).alias("root")))
-    for _ in range(JUMPS):
-        roots = roots.join(roots.select(F.col("x").alias("root"), F.col("root").alias("above")), "root").drop("root").withColumnRenamed("above", "root")
+    for _ in range(JUMPS):  # each is written, else the plan doubles
+        roots = rounds.keep("roots", roots.join(roots.select(F.col("x").alias("root"), F.col("root").alias("above")), "root").drop("root").withColumnRenamed("above", "root"))
     # The pair that merges comes first in its group; then what hangs on it, as far as a task holds it.
     so_far = F.sum("degree").over(Window.partitionBy("root").orderBy("rank", "x"))
-    taken = roots.withColumn("taken", so_far <= task_rows)
+    taken = rounds.keep("taken", roots.withColumn("taken", so_far <= task_rows))
     groups = taken.filter("taken").groupBy("root").agg(F.count("*").alias("members")).filter("members > 1").select("root")
     inside = taken.filter("taken").join(groups, "root").select("x", "root")
     done = settled(pairs.join(inside, "x"), "root", kind)
@@ -136,7 +136,7 @@ def complete_link(edges: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
             pairs = pairs.join(own, side, "left").withColumns({side: F.coalesce("top", side), f"parts_{side}": F.coalesce(f"parts_{side}", F.lit(1).cast("long"))}).drop("top")
         counted = pairs.filter("x <> y").groupBy("x", "y", "parts_x", "parts_y").agg(F.count("*").alias("n"), F.min("rank").alias("rank"))
         pairs = rounds.keep("pairs", counted.filter("n = parts_x * parts_y").select("x", "y", "rank"))
-    rounds.drop("pairs", "moves", "roots")
+    rounds.drop("pairs", "moves", "roots", "taken")
     return names.join(names.groupBy("cluster").agg(F.count("*").alias("size")), "cluster").select("node", "cluster", "size")
 
 
